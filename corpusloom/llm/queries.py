@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import byte_bpe, language_id, license_scan, packing, quality, url_filter
+from corpusloom.llm import byte_bpe, embedding_join, language_id, license_scan, packing, quality, simhash, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,6 +21,10 @@ def op3_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan.digest(license_scan.scan_licenses(table(spark, sf_dir, "documents")))
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_texts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, digests=True)
 
@@ -29,6 +33,10 @@ def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
 
+def op8_embedding_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_join.range_join(table(spark, sf_dir, "embeddings"))
+
+
 def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.filter_urls(table(spark, sf_dir, "pages"))
 
@@ -38,5 +46,5 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
 
 
-QUERIES = {f.__name__: f for f in (op2_packing, op3_license_scan, op5_byte_bpe, op7_quality_rules, op9_url_filter, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op2_packing, op3_license_scan, op4_simhash, op5_byte_bpe, op7_quality_rules, op8_embedding_join, op9_url_filter, op10_language_id)}
 ORACLES: dict[str, str] = {}
