@@ -6,13 +6,17 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import byte_bpe, embedding_join, language_id, license_scan, packing, quality, simhash, url_filter
+from corpusloom.llm import byte_bpe, embedding_join, language_id, license_scan, packing, quality, simhash, substring_dedup, suffix_dedup, url_filter
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup.digest(substring_dedup.remove_repeated_words(table(spark, sf_dir, "documents")))
+
+
 def op2_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
 
@@ -29,6 +33,10 @@ def op5_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return byte_bpe.encode_texts(table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, digests=True)
 
 
+def op6_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_dedup.digest(suffix_dedup.remove_repeated_bytes(table(spark, sf_dir, "documents")))
+
+
 def op7_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(table(spark, sf_dir, "documents"))
 
@@ -46,5 +54,5 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
 
 
-QUERIES = {f.__name__: f for f in (op2_packing, op3_license_scan, op4_simhash, op5_byte_bpe, op7_quality_rules, op8_embedding_join, op9_url_filter, op10_language_id)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_packing, op3_license_scan, op4_simhash, op5_byte_bpe, op6_suffix_dedup, op7_quality_rules, op8_embedding_join, op9_url_filter, op10_language_id)}
 ORACLES: dict[str, str] = {}
