@@ -120,3 +120,21 @@ def fit_language_model(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     picked = base.filter(F.pmod(F.xxhash64("_id", F.lit(11)), F.lit(scale)) < keep).select("_id", "_text", "_lang")
     rows = picked.orderBy(F.xxhash64("_id", F.lit(11)), "_lang", "_text").limit(2 * train_rows).collect()  # bounded by train_rows
     return LanguageModel.fit([r[1] for r in rows], [r[2] for r in rows])
+
+
+def drop_unidentified(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", train_rows: int = 2000) -> DataFrame:
+    """The rows of ``df`` whose language can be told: neither ``und`` nor ambiguous; all their columns."""
+    import pyarrow as pa
+
+    shared = df.sparkSession.sparkContext.broadcast(fit_language_model(df, id_col, text_col, lang_col, train_rows))
+    at = df.columns.index(text_col)
+
+    def run(batches):
+        model = shared.value
+        for b in batches:
+            for lo in range(0, b.num_rows, 256):
+                part = b.slice(lo, 256)
+                got = [model.predict(t) for t in part.column(at).to_pylist()]
+                yield part.filter(pa.array([lang != "und" and not unsure for lang, _, unsure in got], pa.bool_()))
+
+    return df.mapInArrow(run, df.schema)

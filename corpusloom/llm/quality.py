@@ -91,3 +91,17 @@ def beta_prior(hosts: DataFrame) -> tuple[float, float]:
     spread = max(1e-6, s["sq"] / s["n"] - (s["bad"] / s["n"]) ** 2)
     strength = min(1000.0, max(2.0, mean * (1 - mean) / spread - 1))
     return mean * strength, (1 - mean) * strength
+
+
+def drop_rejected(df: DataFrame, text_col: str = "text", host_col: str = "source", worst_rate: float = 0.8, min_words: int = 50) -> DataFrame:
+    """The rows of ``df`` that :func:`judge` keeps, with all their columns; counts are made once for hosts and once for rows."""
+    m = text_measures(F.col(text_col))
+    failed = let(m, lambda x: (x["n_words"] < min_words) | (100 * x["n_repeat_words"] > 50 * x["n_words"]))
+    hosts = df.select(F.col(host_col).cast("string").alias("_host"), failed.alias("_failed")).filter("_host is not null")
+    hosts = hosts.groupBy("_host").agg(F.count("*").alias("n"), F.sum(F.col("_failed").cast("int")).alias("bad"))
+    from corpusloom.llm.common import materialise
+
+    hosts = materialise(hosts)
+    a, b = beta_prior(hosts)
+    bad = hosts.filter((F.col("bad") + a) / (F.col("n") + a + b) > worst_rate).select("_host")
+    return df.filter(~failed).join(bad, F.col(host_col).cast("string") == F.col("_host"), "left_anti")

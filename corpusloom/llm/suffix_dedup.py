@@ -225,3 +225,26 @@ def digest(removed: DataFrame) -> DataFrame:
     """The result with a SHA-256 in place of the texts."""
     id_col = removed.columns[0]
     return removed.select(id_col, "n_bytes", "n_removed", "n_spans", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
+
+
+def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars", window: int = 50, k: int = 16) -> DataFrame:
+    """The rows of ``df`` with their texts after :func:`remove_repeated_bytes`; ``length_col``, if there, is counted anew.
+
+    Characters that a cut splits are dropped.  Null texts and rows with a null id stay as they are; rows that share an
+    id get the text of one of them.
+    """
+    removed = remove_repeated_bytes(df.filter(F.col(id_col).isNotNull()), id_col, text_col, window, k).filter("n_removed > 0")
+
+    def decode(batches):
+        for b in batches:
+            text = pa.array([x.decode("utf-8", "ignore") for x in b.column(1).to_pylist()], pa.string())
+            yield pa.RecordBatch.from_arrays([b.column(0), text], names=["_id", "_text"])
+
+    texts = removed.select(F.col(id_col).alias("_id"), "kept").mapInArrow(decode, "_id bigint, _text string").dropDuplicates(["_id"])
+    out = df.join(texts, F.col(id_col) == F.col("_id"), "left")
+    changed = F.col("_id").isNotNull()
+    out = out.withColumn(text_col, F.when(changed, F.col("_text")).otherwise(F.col(text_col)))
+    if length_col in df.columns:
+        kind = df.schema[length_col].dataType
+        out = out.withColumn(length_col, F.when(changed, F.length("_text").cast(kind)).otherwise(F.col(length_col)))
+    return out.select(*df.columns)
