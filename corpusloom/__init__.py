@@ -1,0 +1 @@
+"""Document analytics on Spark: catalogs, extraction, recovery, enrichment, work queues."""
