@@ -27,6 +27,26 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def tidy(run: Callable) -> Callable:
+    """``run`` on batches; at its end the worker, which waits for other tasks, gives memory back to the machine."""
+
+    def tidied(batches):
+        try:
+            yield from run(batches)
+        finally:
+            import ctypes
+            import gc
+
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (AttributeError, OSError):  # not every C library has it
+                pass
+
+    return tidied
+
+
 def map_texts(df: DataFrame, id_col: str, text_col: str, make: Callable[[], Callable], fields: Iterable[T.StructField]) -> DataFrame:
     """One row for each row of ``df``: its id, then ``make()(text)``, a tuple with a value for each of ``fields``.
 
@@ -48,7 +68,7 @@ def map_texts(df: DataFrame, id_col: str, text_col: str, make: Callable[[], Call
                     names=[id_col, *(f.name for f in fields)],
                 )
 
-    return df.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(run, schema)
+    return df.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(tidy(run), schema)
 
 
 def schema_types(fields: Iterable[T.StructField]) -> list[pa.DataType]:

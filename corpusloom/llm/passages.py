@@ -24,10 +24,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.llm.common import tidy
 from corpusloom.llm import windows as W
 
 #: Stretches a task gathers before it sends them; bounds its memory.
-GATHER = 1_000_000
+GATHER = 600_000
 #: Bytes of text or tokens a task gathers before it sends them.
 GATHER_BYTES = 24_000_000
 COVERED, UNSURE, TEXT = 0, 1, 2
@@ -76,6 +77,33 @@ def unsqueeze(data: bytes) -> list[np.ndarray]:
     return out
 
 
+def placed(n: int, each: int = 1) -> list[int]:
+    """Numbers that hash partitioning deals to n partitions, ``each`` to every one, so that no shares meet by chance.
+
+    Spark hashes an int by Murmur3 of 32 bits with seed 42.
+    """
+    m32 = (1 << 32) - 1
+    rot = lambda x, r: (x << r | x >> 32 - r) & m32
+
+    def murmur(x: int) -> int:
+        k = rot(x * 0xCC9E2D51 & m32, 15) * 0x1B873593 & m32
+        h = (rot(42 ^ k, 13) * 5 + 0xE6546B64 & m32) ^ 4
+        h = (h ^ h >> 16) * 0x85EBCA6B & m32
+        h = (h ^ h >> 13) * 0xC2B2AE35 & m32
+        h ^= h >> 16
+        return h - (1 << 32) if h >> 31 else h
+
+    found: list[list[int]] = [[] for _ in range(n)]
+    x = left = 0
+    while left < n * each:
+        own = found[murmur(x) % n]
+        if len(own) < each:
+            own.append(x)
+            left += 1
+        x += 1
+    return [x for own in zip(*found, strict=True) for x in own]
+
+
 def block_of(ids: np.ndarray, blocks: int) -> np.ndarray:
     return (W.mix(ids.astype(np.uint64) + np.uint64(1)) % np.uint64(blocks)).astype(np.int64)
 
@@ -86,7 +114,8 @@ def table(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.diff(distinct, prepend=0), place.astype(np.uint32)
 
 
-def rows(part: list[int], kind: list[int], data: list[bytes]) -> pa.RecordBatch:
+def rows(places: list[int], part: list[int], kind: list[int], data: list[bytes]) -> pa.RecordBatch:
+    part = [places[p] for p in part]
     return pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(kind, pa.int32()), pa.array(data, pa.binary())], names=["part", "kind", "data"])
 
 
@@ -118,8 +147,9 @@ def by_part(batches) -> Iterator[tuple[int, Iterator[tuple[int, bytes]]]]:
         yield part, ((k, d.as_py()) for _, k, d in own)
 
 
-def send_stretches(plan: Plan, buckets: int):
+def send_stretches(plan: Plan, places: list[int]):
     """Round 1, first half.  A row for each bucket: heads (anchor, stretch, document, first, windows), repeats of a head in its own text, covered spans."""
+    buckets = len(places)
 
     def flush(docs: list[int], found: list[tuple]) -> pa.RecordBatch:
         order = sorted(range(len(docs)), key=docs.__getitem__)
@@ -161,7 +191,7 @@ def send_stretches(plan: Plan, buckets: int):
                 (where[tt] - low).astype(np.uint32), tf.astype(np.uint32), tn.astype(np.uint16), cids, ci, cf.astype(np.uint32), ce.astype(np.uint32),
             )
             low += len(hh)
-        return rows(list(out), [COVERED] * len(out), list(out.values()))
+        return rows(places, list(out), [COVERED] * len(out), list(out.values()))
 
     def run(batches):
         docs, found, n = [], [], 0
@@ -198,11 +228,15 @@ def read_marks(data: bytes) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
     return int(bucket[0]), np.cumsum(ids)[place], first.astype(np.int64), first.astype(np.int64) + length
 
 
-def settle_stretches(plan: Plan, blocks: int):
+def settle_stretches(plan: Plan, buckets: list[int], places: list[int]):
     """Round 1, second half, for each bucket: spans covered by an equal stretch, and stretches that round 3 has to see."""
+    blocks = len(places)
+
+    number = {p: i for i, p in enumerate(buckets)}
 
     def run(batches):
         for bucket, own in by_part(batches):
+            bucket = number[bucket]
             cols: list[list[np.ndarray]] = [[] for _ in range(5)]
             twin_cols: list[list[np.ndarray]] = [[] for _ in range(3)]
             out = []
@@ -233,13 +267,14 @@ def settle_stretches(plan: Plan, blocks: int):
                     e = f + np.concatenate((n[mask], tn[t])) - 1 + plan.window
                     out += marks(kind, blocks, bucket, d, f, e)
             if out:
-                yield rows(*map(list, zip(*out, strict=True)))
+                yield rows(places, *map(list, zip(*out, strict=True)))
 
     return run
 
 
-def send_texts(blocks: int):
+def send_texts(places: list[int]):
     """Texts as they are, many to a row, by block.  Null ids go to block 0, after the others, without a place in any window."""
+    blocks = len(places)
 
     def flush(ids, texts):
         known = np.array([0 if i is None else i for i in ids], np.int64)
@@ -250,7 +285,7 @@ def send_texts(blocks: int):
             flags = np.array([(ids[i] is None) + 2 * (texts[i] is None) for i in at.tolist()], np.uint8)
             data = np.frombuffer(b"".join(t or b"" for t in own), np.uint8)
             out.append((b, TEXT, squeeze(known[at], flags, np.array([len(t or b"") for t in own], np.int64), data)))
-        return rows(*map(list, zip(*out, strict=True)))
+        return rows(places, *map(list, zip(*out, strict=True)))
 
     def run(batches):
         ids, texts, n = [], [], 0
@@ -281,7 +316,7 @@ def sorted_marks(own: list[tuple]) -> tuple[np.ndarray, ...]:
     return tuple(c[by] for c in cols)
 
 
-def send_unsure(plan: Plan):
+def send_unsure(plan: Plan, places: list[int]):
     """Round 2: the tokens of each stretch that round 3 has to see, once for equal ones of a text, to its bucket."""
 
     def flush(gathered: dict[int, list]) -> pa.RecordBatch:
@@ -292,7 +327,7 @@ def send_unsure(plan: Plan):
                 np.array(doc, np.int64), np.array([len(x) for x in starts], np.uint32), np.array([y for x in starts for y in x], np.uint32),
                 np.array([len(c) for c in content], np.uint32), np.concatenate(content),
             )))
-        return rows(*map(list, zip(*out, strict=True)))
+        return rows(places, *map(list, zip(*out, strict=True)))
 
     def run(batches):
         gathered: dict[int, list] = {}
@@ -330,11 +365,13 @@ def send_unsure(plan: Plan):
     return run
 
 
-def resolve_unsure(plan: Plan, blocks: int):
+def resolve_unsure(plan: Plan, buckets: list[int], places: list[int]):
     """Round 3, for each bucket: the windows of its records that also start earlier."""
+    blocks, number = len(places), {p: i for i, p in enumerate(buckets)}
 
     def run(batches):
         for bucket, own in by_part(batches):
+            bucket = number[bucket]
             doc, count, starts, length, content = (np.concatenate(c) for c in zip(*(unsqueeze(d) for _, d in own), strict=True))
             length, count, starts = length.astype(np.int64), count.astype(np.int64), starts.astype(np.int64)
             begin = np.cumsum(length) - length
@@ -352,7 +389,7 @@ def resolve_unsure(plan: Plan, blocks: int):
             start = starts[low[r][each] + nth]
             out = list(marks(COVERED, blocks, bucket, doc[r][each], start + f[each], start + e[each]))
             if out:
-                yield rows(*map(list, zip(*out, strict=True)))
+                yield rows(places, *map(list, zip(*out, strict=True)))
 
     return run
 
@@ -390,15 +427,18 @@ def remove_repeats(df: DataFrame, plan: Plan, cut, types: list[tuple[str, pa.Dat
     from corpusloom.llm.common import materialise
 
     spark = df.sparkSession
-    parts = 4 * int(spark.conf.get("spark.sql.shuffle.partitions"))
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    # Two buckets a partition halve what is in memory at once.  Blocks are read as they come and can be larger; there
+    # are at most as many rows as buckets times blocks.
+    buckets, places = placed(parts, 2), placed(parts)[: -(-parts // 2)]
     base = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
 
     def deal(x: DataFrame) -> DataFrame:
-        return x.repartition("part").sortWithinPartitions("part", "kind")
+        return x.repartition(parts, "part").sortWithinPartitions("part", "kind")
 
-    first = materialise(deal(base.mapInArrow(send_stretches(plan, parts), ROW)).mapInArrow(settle_stretches(plan, parts), ROW))
-    texts = base.mapInArrow(send_texts(parts), ROW)
-    unsure = deal(first.filter(F.col("kind") == UNSURE).unionByName(texts)).mapInArrow(send_unsure(plan), ROW)
-    second = deal(unsure).mapInArrow(resolve_unsure(plan, parts), ROW)
+    first = materialise(deal(base.mapInArrow(tidy(send_stretches(plan, buckets)), ROW)).mapInArrow(tidy(settle_stretches(plan, buckets, places)), ROW))
+    texts = base.mapInArrow(tidy(send_texts(places)), ROW)
+    unsure = deal(first.filter(F.col("kind") == UNSURE).unionByName(texts)).mapInArrow(tidy(send_unsure(plan, buckets)), ROW)
+    second = deal(unsure).mapInArrow(tidy(resolve_unsure(plan, buckets, places)), ROW)
     all_marks = first.filter(F.col("kind") == COVERED).unionByName(second)
-    return deal(all_marks.unionByName(texts)).mapInArrow(apply_marks(id_col, pa.int64(), cut, types), f"`{id_col}` bigint, {ddl}")
+    return deal(all_marks.unionByName(texts)).mapInArrow(tidy(apply_marks(id_col, pa.int64(), cut, types)), f"`{id_col}` bigint, {ddl}")

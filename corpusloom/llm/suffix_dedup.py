@@ -13,52 +13,73 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.llm.common import tidy
 from corpusloom.llm import windows as W
 from corpusloom.llm.passages import Plan, remove_repeats
 
 
-def big_words(data: np.ndarray, at: np.ndarray, window: int) -> np.ndarray:
-    """The ``window`` bytes from each place as big-endian words of eight bytes, zeros behind them; numbers compare as strings do."""
+def word_at(data: np.ndarray) -> np.ndarray:
+    """For every place the eight bytes from there as a number, zeros behind the end; numbers compare as strings do."""
+    padded = np.concatenate((data, np.zeros(8, np.uint8)))
+    rows = np.lib.stride_tricks.as_strided(padded, (len(data) + 1, 8), (1, 1))
+    return np.ascontiguousarray(rows).view(">u8").ravel().astype(np.uint64)
+
+
+def big_words(at_place: np.ndarray, at: np.ndarray, window: int) -> np.ndarray:
+    """The ``window`` bytes from each place as words of eight bytes, zeros behind them; ``at_place``: of :func:`word_at`."""
     n = -(-window // 8)
-    padded = np.concatenate((data, np.zeros(8 * n, np.uint8)))
-    grid = padded[at[:, None] + np.arange(8 * n)[None, :]]
-    grid[:, window:] = 0
-    return grid.view(">u8").astype(np.uint64)
+    out = at_place[np.minimum(at[:, None] + 8 * np.arange(n), len(at_place) - 1)]
+    if spare := 8 * n - window:
+        out[:, -1] &= np.uint64((1 << 64) - (1 << 8 * spare))
+    return out
 
 
 def boundaries(group: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1]))) if len(group) else np.zeros(0, np.int64)
 
 
-def multikey_quicksort(key: np.ndarray, order: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+def multikey_quicksort(key: np.ndarray, order: np.ndarray, group: np.ndarray, rows: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Order each group by ``key``: ternary partition around a pivot, in all groups at once.
 
-    ``order``: items, by group; ``group``: a number for each of them that rises along the order.  Returns the order
-    and groups of equal keys, numbered along the order.
+    ``order``: items, by group; ``group``: a number for each of them that rises along the order; ``rows``: places along
+    the order, whole groups, to which the sort is confined.  Returns the order and groups of equal keys, numbered
+    along the order.
     """
     order, group = order.copy(), group.copy()
     n = len(order)
-    todo = np.arange(n)
     final = np.zeros(n, bool)  # a group starts here
     final[boundaries(group)] = True
+    todo = np.arange(n) if rows is None else rows
+    if len(todo):
+        begin = boundaries(group[todo])
+        size = np.diff(np.concatenate((begin, [len(todo)])))
+        todo = todo[np.repeat(size > 1, size)]
     while len(todo):
-        g = group[todo]
-        begin = boundaries(g)
+        items = order[todo]
+        begin = boundaries(group[todo])
         size = np.diff(np.concatenate((begin, [len(todo)])))
-        row = np.repeat(np.arange(len(begin)), size)
-        k = key[order[todo]]
+        k = key[items]
         a, b, c = k[begin], k[begin + size // 2], k[begin + size - 1]
-        pivot = np.maximum(np.minimum(a, b), np.minimum(np.maximum(a, b), c))[row]  # the median of three
-        side = (k > pivot).astype(np.int64) + (k >= pivot)  # 0 below, 1 equal, 2 above
-        new = np.argsort(3 * row + side, kind="stable")
-        order[todo] = order[todo][new]
-        part = (3 * row + side)[new]
-        starts = boundaries(part)
-        final[todo[starts]] = True
-        length = np.diff(np.concatenate((starts, [len(part)])))
-        open_ = np.repeat((part[starts] % 3 != 1) & (length > 1), length)
-        group[todo] = todo[np.repeat(starts, length)]
-        todo = todo[open_]
+        pivot = np.repeat(np.maximum(np.minimum(a, b), np.minimum(np.maximum(a, b), c)), size)  # the median of three
+        below, above = k < pivot, k > pivot
+        # Each part keeps its order: items go to the start of their part, and on by those of the part before them.
+        nb, na = np.add.reduceat(below.astype(np.int64), begin), np.add.reduceat(above.astype(np.int64), begin)
+        seen_b, seen_a = np.cumsum(below), np.cumsum(above)
+        seen_e = np.arange(1, len(todo) + 1) - seen_b - seen_a
+        zero = lambda seen: np.concatenate(([0], seen))[begin]
+        spot = np.where(
+            below, seen_b + np.repeat(begin - zero(seen_b), size),
+            np.where(above, seen_a + np.repeat(begin + size - na - zero(seen_a), size), seen_e + np.repeat(begin + nb - zero(seen_e), size)),
+        ) - 1
+        order[todo[spot]] = items
+        middle, top = begin + nb, begin + size - na
+        final[todo[middle]] = True  # the pivot itself is there
+        final[todo[top[na > 0]]] = True
+        group[todo] = todo[np.repeat(begin, size)]
+        place = np.arange(len(todo))
+        mid, hi = np.repeat(middle, size), np.repeat(top, size)
+        group[todo] = todo[np.where(place < mid, np.repeat(begin, size), np.where(place < hi, mid, np.minimum(hi, len(todo) - 1)))]
+        todo = todo[((place < mid) & np.repeat(nb > 1, size)) | ((place >= hi) & np.repeat(na > 1, size))]
     return order, np.cumsum(final) - 1
 
 
@@ -147,15 +168,37 @@ def blind_tries(words: np.ndarray, order: np.ndarray, group: np.ndarray) -> tupl
     return order[by], np.cumsum(np.concatenate(([True], sorted_[1:] != sorted_[:-1]))) - 1 if len(order) else group
 
 
-def deep_shallow_sort(words: np.ndarray, group: np.ndarray | None = None, shallow: int = 3) -> tuple[np.ndarray, np.ndarray]:
-    """Order strings (rows of big-endian words), within groups if given; returns the order and classes of equal strings along it."""
+def deep_shallow_sort(words: np.ndarray, group: np.ndarray | None = None, shallow: int = 3, trie: int = 48) -> tuple[np.ndarray, np.ndarray]:
+    """Order strings (rows of big-endian words), within groups if given; returns the order and classes of equal strings along it.
+
+    Groups of over ``trie`` strings that share the shallow prefix go on with the quicksort, the others to blind tries.
+    """
     order = np.arange(len(words)) if group is None else np.argsort(group, kind="stable")
     group = np.zeros(len(words), np.int64) if group is None else group[order]
-    for w in range(min(shallow, words.shape[1])):
+    n_words = words.shape[1]
+    for w in range(min(shallow, n_words)):
         order, group = multikey_quicksort(words[:, w], order, group)
-    if shallow < words.shape[1] and len(order):
-        order, group = blind_tries(words, order, group)
-    return order, group
+    if shallow >= n_words or not len(order):
+        return order, group
+    begin = boundaries(group)
+    size = np.diff(np.concatenate((begin, [len(order)])))
+    large, small = np.repeat(size > trie, size), np.repeat((size > 1) & (size <= trie), size)
+    rows = np.flatnonzero(large)
+    starts = np.zeros(len(order), bool)
+    starts[begin] = True
+    if small.any():
+        at = np.flatnonzero(small)
+        own = order[at]
+        # Only what goes to the tries is copied; items are renumbered for them.
+        sub, equal = blind_tries(words[own], np.arange(len(own)), group[at])
+        order[at] = own[sub]
+        starts[at[boundaries(equal)]] = True
+    for w in range(shallow, n_words):
+        if len(rows):
+            order, deeper = multikey_quicksort(words[:, w], order, group, rows)
+            group = deeper
+    starts[boundaries(group)] = True
+    return order, np.cumsum(starts) - 1
 
 
 def sort_windows(window: int, k: int, salt: int = 3, at_once: int = 400_000):
@@ -167,7 +210,7 @@ def sort_windows(window: int, k: int, salt: int = 3, at_once: int = 400_000):
         record = np.repeat(np.arange(len(doc)), n)
         at = begin[record] + np.arange(len(record)) - np.repeat(np.cumsum(n) - n, n)
         # All windows of a record have one anchor: the least run of k bytes in its first window.
-        runs = W.Spans(W._BYTE[data], salt).runs(k)
+        runs = W.Spans(W.byte_tokens(data), salt).runs(k)
         reach = window - k + 1
         anchor = np.empty(len(doc), np.int64)
         for lo in range(0, len(doc), 8192):
@@ -176,18 +219,19 @@ def sort_windows(window: int, k: int, salt: int = 3, at_once: int = 400_000):
         key = W.mix(runs[anchor][record] + (anchor[record] - at).astype(np.uint64))
         out = np.zeros(len(data), bool)
         # Buckets of one suffix need no sort; the others are taken some at a time, a bucket never split.
-        by = np.argsort(key, kind="stable")
+        by = np.argsort(key)
         starts = boundaries(key[by])
         size = np.diff(np.concatenate((starts, [len(by)])))
         by, size = by[np.repeat(size > 1, size)], size[size > 1]
         ends = np.cumsum(size)
+        at_place = word_at(data)
         lo = 0
         while lo < len(ends):
             base = ends[lo] - size[lo]
             hi = max(lo + 1, int(np.searchsorted(ends, base + at_once, side="right")))
             own = by[base : ends[hi - 1]]
             group = np.repeat(np.arange(hi - lo), size[lo:hi])
-            order, equal = deep_shallow_sort(big_words(data, at[own], window), group)
+            order, equal = deep_shallow_sort(big_words(at_place, at[own], window), group)
             own = own[order]
             least = np.minimum.reduceat(doc[record[own]], boundaries(equal))[equal]
             out[at[own[doc[record[own]] > least]]] = True
@@ -240,7 +284,7 @@ def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
             text = pa.array([x.decode("utf-8", "ignore") for x in b.column(1).to_pylist()], pa.string())
             yield pa.RecordBatch.from_arrays([b.column(0), text], names=["_id", "_text"])
 
-    texts = removed.select(F.col(id_col).alias("_id"), "kept").mapInArrow(decode, "_id bigint, _text string").dropDuplicates(["_id"])
+    texts = removed.select(F.col(id_col).alias("_id"), "kept").mapInArrow(tidy(decode), "_id bigint, _text string").dropDuplicates(["_id"])
     out = df.join(texts, F.col(id_col) == F.col("_id"), "left")
     changed = F.col("_id").isNotNull()
     out = out.withColumn(text_col, F.when(changed, F.col("_text")).otherwise(F.col(text_col)))

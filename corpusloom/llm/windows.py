@@ -68,7 +68,7 @@ class Spans:
         return mix(raw + np.uint64(k * int(_BASE) % (1 << 64)))
 
 
-def byte_tokens(data: bytes) -> np.ndarray:
+def byte_tokens(data: bytes | np.ndarray) -> np.ndarray:
     return _BYTE[np.frombuffer(data, np.uint8)]
 
 
