@@ -27,6 +27,14 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def fresh(name: str, *frames: DataFrame) -> str:
+    """``name``, longer if it has to be, so that no frame has a column of it."""
+    taken = {c.lower() for f in frames for c in f.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
 def tidy(run: Callable) -> Callable:
     """``run`` on batches; at its end the worker, which waits for other tasks, gives memory back to the machine."""
 

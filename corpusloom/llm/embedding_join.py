@@ -17,6 +17,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.llm.common import tidy
+
 
 def rows_of(column: pa.Array) -> list[np.ndarray | None]:
     """Each vector as a numpy array; None for null, zero, empty, or with a null or non-finite component."""
@@ -128,7 +130,7 @@ def range_join(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
             keys = [None if r is None else hashlib.blake2b(r, digest_size=16).digest() for r in raw]
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array(keys, pa.binary()), pa.array(raw, pa.binary())], names=["id", "key", "raw"])
 
-    rows = materialise(df.select(F.col(id_col).cast("bigint"), vector_col).mapInArrow(read, "id bigint, key binary, raw binary"))
+    rows = materialise(df.select(F.col(id_col).cast("bigint"), vector_col).mapInArrow(tidy(read), "id bigint, key binary, raw binary"))
     distinct = materialise(rows.filter("key is not null").groupBy("key").agg(F.min("id").alias("rep"), F.count("*").alias("copies"), F.first("raw").alias("raw")))
     picked = distinct.select("raw").orderBy(F.xxhash64("key")).limit(sample).collect()  # bounded by sample
     by_length: dict[int, list[np.ndarray]] = {}
@@ -156,7 +158,7 @@ def range_join(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
     # A number of rows bounded by lengths times pivots.
     cells = {
         (r["size"], r["cell"]): (r["far"], max(1, -(-r["n"] // block)))
-        for r in distinct.select("rep", "copies", "raw").mapInArrow(homes, "size int, cell int, far double").groupBy("size", "cell").agg(F.max("far").alias("far"), F.count("*").alias("n")).collect()
+        for r in distinct.select("rep", "copies", "raw").mapInArrow(tidy(homes), "size int, cell int, far double").groupBy("size", "cell").agg(F.max("far").alias("far"), F.count("*").alias("n")).collect()
     }
 
     def deal(batches):
@@ -191,7 +193,7 @@ def range_join(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
                     names=["cell", "part", "guest", "key", "rep", "copies", "raw"],
                 )
 
-    dealt = distinct.select("key", "rep", "copies", "raw").mapInArrow(deal, "cell bigint, part int, guest boolean, key binary, rep bigint, copies bigint, raw binary")
+    dealt = distinct.select("key", "rep", "copies", "raw").mapInArrow(tidy(deal), "cell bigint, part int, guest boolean, key binary, rep bigint, copies bigint, raw binary")
     dealt = dealt.repartition("cell", "part").sortWithinPartitions("cell", "part", "guest")
 
     def compare(batches):
@@ -228,7 +230,7 @@ def range_join(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
         if own[0]:
             yield out((block_ or start()).rows())
 
-    found = materialise(dealt.mapInArrow(compare, "key binary, n bigint, a bigint, b bigint"))
+    found = materialise(dealt.mapInArrow(tidy(compare), "key binary, n bigint, a bigint, b bigint"))
     counts = found.filter("n is not null").select("key", F.col("n").alias("n_links"))
     roots = components(found.filter("b is not null").select("a", "b")).select(F.col("node").alias("rep"), "root")
     by_key = distinct.select("key", "rep").join(counts, "key", "left").join(roots, "rep", "left")

@@ -15,6 +15,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusloom.llm.common import tidy
+
 FIELDS = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("ambiguous", T.BooleanType())]
 DIM_BITS = 13
 _DIGITS = re.compile(r"[\W\d_]+")
@@ -137,4 +139,4 @@ def drop_unidentified(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 got = [model.predict(t) for t in part.column(at).to_pylist()]
                 yield part.filter(pa.array([lang != "und" and not unsure for lang, _, unsure in got], pa.bool_()))
 
-    return df.mapInArrow(run, df.schema)
+    return df.mapInArrow(tidy(run), df.schema)

@@ -16,6 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusloom.llm.common import tidy
+
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
 
@@ -167,7 +169,7 @@ def link(prints: DataFrame, col: str = "fp", radius: int = 3, tree_nodes: int =
         close()
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
-    return shards.mapInArrow(run, "a bigint, b bigint")
+    return shards.mapInArrow(tidy(run), "a bigint, b bigint")
 
 
 def hex_print(fp):
@@ -227,39 +229,148 @@ def long_fingerprint(text: str | None, k: int, bits: int, seed: int, block: int,
     return np.packbits(lead > 0).tobytes(), keys.ravel().tolist()
 
 
+#: Rows up to which a table of ids, some tens of megabytes at most, is broadcast; beyond it joins go by exchange.
+BROADCAST_ROWS = 500_000
+
+
+def checked_broadcast(small: DataFrame, rows: int) -> DataFrame:
+    return F.broadcast(small) if rows <= BROADCAST_ROWS else small
+
+
+def in_parts(rows: DataFrame, key: str, by: str, most: int) -> DataFrame:
+    """Adds ``lo, hi, own``: keys of over ``most`` rows are dealt to parts, and each row goes to every pair of parts with its own."""
+    from corpusloom.llm.common import materialise
+
+    hot = materialise(rows.groupBy(key).count().filter(F.col("count") > most).select(key, F.ceil(F.col("count") / most).cast("int").alias("parts")))
+    n = hot.count()
+    if not n:
+        return rows.withColumns({"lo": F.lit(0), "hi": F.lit(0), "own": F.lit(0)})
+    dealt = rows.join(checked_broadcast(hot, n), key, "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    dealt = dealt.withColumn("own", F.pmod(F.xxhash64(by, F.lit(3)), F.col("parts")).cast("int"))
+    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    return dealt.withColumns({"lo": F.least("own", "other"), "hi": F.greatest("own", "other")}).drop("parts", "other")
+
+
+def grouped(batches, n_key: int):
+    """Rows of sorted batches as Python values, a list for each run of equal first ``n_key`` columns."""
+    at, own = None, []
+    for b in batches:
+        for row in zip(*(c.to_pylist() for c in b.columns), strict=True):
+            if row[:n_key] != at:
+                if own:
+                    yield at, own
+                at, own = row[:n_key], []
+            own.append(row[n_key:])
+    if own:
+        yield at, own
+
+
+def pairs_batch(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+    a, b = zip(*pairs, strict=True) if pairs else ((), ())
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
 def link_keyed(keyed: DataFrame, radius: int, tree_nodes: int = 1024) -> DataFrame:
     """Spanning links (``a``, ``b``) among ``node`` whose ``fp`` (binary) is within the radius and that share a ``key``."""
-    hot = keyed.groupBy("key").count().filter(F.col("count") > tree_nodes).select("key", F.ceil(F.col("count") / tree_nodes).cast("int").alias("parts"))
-    dealt = keyed.join(hot, "key", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("fp", F.lit(3)), F.col("parts")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    dealt = dealt.select("key", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "node", "fp")
+    dealt = in_parts(keyed, "key", "fp", tree_nodes).select("key", "lo", "hi", "own", "node", "fp")
     shards = dealt.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "own")
 
     def run(batches):
-        at, own, guests, a, b = None, [], [], [], []
-
-        def close():
-            if own and len(own) + len(guests) > 1:
-                node = dict((fp, n) for n, fp in own + guests)
-                # Positive numbers of more than 64 bits: none is taken for a signed one.
-                for x, y in link_wide([fp for _, fp in own], [fp for _, fp in guests], radius):
-                    a.append(node[x])
-                    b.append(node[y])
-
-        for batch in batches:
-            for key, lo, hi, part, node, fp in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if at != (key, lo, hi):
-                    close()
-                    at, own, guests = (key, lo, hi), [], []
-                (own if part == lo else guests).append((node, int.from_bytes(fp, "big")))
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-            a.clear()
-            b.clear()
-        close()
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+        out = []
+        for (_, lo, hi), rows in grouped(batches, 3):
+            if len(rows) > 1:
+                node = {int.from_bytes(fp, "big"): n for _, n, fp in rows}
+                own = [int.from_bytes(fp, "big") for part, _, fp in rows if part == lo]
+                guests = [int.from_bytes(fp, "big") for part, _, fp in rows if part != lo]
+                if own and (guests or lo == hi):
+                    out += [(node[x], node[y]) for x, y in link_wide(own, guests, radius)]
+            if len(out) > 10_000:
+                yield pairs_batch(out)
+                out = []
+        yield pairs_batch(out)
+
+    return shards.mapInArrow(tidy(run), "a bigint, b bigint")
+
+
+def alike(wanted: list[np.ndarray], among: list[np.ndarray], similarity: float, same: bool):
+    """For each set its fellows of Jaccard similarity or more, exactly, from one inverted index; of the same list only those before it."""
+    sizes = np.array([len(s) for s in among])
+    keys = np.concatenate(among)
+    owner = np.repeat(np.arange(len(among)), sizes)
+    order = np.argsort(keys, kind="stable")
+    keys, owner = keys[order], owner[order]
+    for i, s in enumerate(wanted):
+        lo, hi = np.searchsorted(keys, s, "left"), np.searchsorted(keys, s, "right")
+        n = hi - lo
+        at = np.repeat(lo - (np.cumsum(n) - n), n) + np.arange(n.sum())
+        common = np.bincount(owner[at], minlength=len(among))
+        found = np.flatnonzero(common >= similarity * (len(s) + sizes - common) - 1e-9)
+        yield i, found[found < i] if same else found
+
+
+def verified(members: DataFrame, texts: DataFrame, k: int, similarity: float, block: int = 512) -> DataFrame:
+    """Spanning links within groups, of pairs whose sets of shingles have the similarity, exactly.
+
+    ``members``: ``node, root``, materialised; ``texts``: ``_id, _text``.  Texts of members travel compressed to the
+    task of their group; groups of over ``block`` members are dealt to parts, and each pair of parts is one task.
+    """
+    n = members.count()
+    own = texts.join(checked_broadcast(members, n), F.col("_id") == F.col("node")).select("root", "node", "_text")
+
+    def squeeze(batches):
+        import zstandard
+
+        pack = zstandard.ZstdCompressor(level=3)
+        for b in batches:
+            data = [pack.compress((t or "").encode("utf-8", "surrogatepass")) for t in b.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array(data, pa.binary())], names=["root", "node", "data"])
+
+    sent = own.mapInArrow(tidy(squeeze), "root bigint, node bigint, data binary")
+    sizes = members.groupBy("root").count()
+    hot = sizes.filter(F.col("count") > block).select("root", F.ceil(F.col("count") / block).cast("int").alias("parts"))
+    n_hot = hot.count()
+    if n_hot:
+        sent = sent.join(checked_broadcast(hot, n_hot), "root", "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
+    else:
+        sent = sent.withColumn("parts", F.lit(1))
+    sent = sent.withColumn("own", F.pmod(F.xxhash64("node", F.lit(3)), F.col("parts")).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
+    sent = sent.select("root", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "node", "data")
+    sent = sent.repartition("root", "lo", "hi").sortWithinPartitions("root", "lo", "hi", "own", "node")
 
-    return shards.mapInArrow(run, "a bigint, b bigint")
+    def run(batches):
+        import zstandard
+        from xxhash import xxh64_intdigest
+
+        unpack = zstandard.ZstdDecompressor()
+        out = []
+        for (_, lo, hi), rows in grouped(batches, 3):
+            sets: list[dict[int, np.ndarray]] = [{}, {}]
+            for part, node, data in rows:
+                side = sets[part != lo]
+                if node not in side:  # repeated rows are one
+                    text = unpack.decompress(data).decode("utf-8", "surrogatepass")
+                    side[node] = np.unique(np.array([xxh64_intdigest(s) for s in shingles(text, k)], np.uint64))
+            same = lo == hi
+            among, wanted = sets[0], sets[0] if same else sets[1]
+            if not among or not wanted:
+                continue
+            names, guests, union = list(among), list(wanted), Union()
+            union.grow(len(names))
+            for i, found in alike(list(wanted.values()), list(among.values()), similarity, same):
+                for j in found.tolist():
+                    union.join(found[0], j)
+                if len(found):
+                    if same:
+                        union.join(int(found[0]), i)
+                    else:
+                        out.append((guests[i], names[found[0]]))
+            out += [(names[j], names[union.root(j)]) for j in range(len(names)) if union.root(j) != j]
+            if len(out) > 10_000:
+                yield pairs_batch(out)
+                out = []
+        yield pairs_batch(out)
+
+    return sent.mapInArrow(tidy(run), "a bigint, b bigint")
 
 
 def link_wide(own: list[int], guests: list[int], radius: int) -> list[tuple[int, int]]:
@@ -286,26 +397,35 @@ def drop_near_duplicates(
 ) -> DataFrame:
     """The rows of ``df`` without near copies: of each group linked at ``similarity`` or more the smallest id stays.
 
-    Similarity is the Jaccard similarity of sets of ``k``-word shingles, as the distance of fingerprints of ``bits`` bits
-    tells it: at the threshold itself about 98 of 100 pairs are linked.  Shards hold ``block`` bits: as the number of
-    documents grows beyond 2 ** (block + 4), take a wider block and ``flips = block / 4 - 2``; with 256 bits such shards
-    miss fewer than one pair in 200 at 0.8.  A row with a null id always stays.  Of repeated rows one stays.  Blank
-    texts are equal to each other.  All columns of ``df`` are returned; an empty table gives no rows.
+    Similarity is the Jaccard similarity of sets of ``k``-word shingles.  Fingerprints of ``bits`` bits find groups in
+    which it may be reached, with a radius two standard deviations beyond what is expected at the threshold; an exact
+    check of the sets follows inside each group.  Shards hold ``block`` bits: as the number of documents grows beyond
+    2 ** (block + 4), take a wider block and ``flips = block / 4 - 2``; with 256 bits such shards miss fewer than one
+    pair in 200 at 0.8.  Documents of one fingerprint are copies of each other.  A row with a null id always stays.  Of
+    repeated rows one stays.  All columns of ``df`` are returned; an empty table gives no rows.
     """
-    from corpusloom.llm.common import components, map_texts, materialise
+    from corpusloom.llm.common import components, fresh, map_texts, materialise
 
     fields = [T.StructField("_fp", T.BinaryType()), T.StructField("_keys", T.ArrayType(T.LongType()))]
-    base = df.select(F.col(id_col).alias("_id"), F.col(text_col).alias("_text"))
+    base = df.select(F.col(id_col).cast("bigint").alias("_id"), F.col(text_col).cast("string").alias("_text"))
     prints = map_texts(base, "_id", "_text", lambda: lambda t: long_fingerprint(t, k, bits, seed, block, flips), fields)
     prints = materialise(prints)
     # Equal fingerprints are one node, named by the least id.
     classes = materialise(prints.filter("_id is not null").groupBy("_fp").agg(F.min("_id").alias("node"), F.first("_keys").alias("_keys")))
     keyed = classes.select("node", F.col("_fp").alias("fp"), F.explode("_keys").alias("key"))
-    roots = components(link_keyed(keyed, similarity_radius(similarity, bits), tree_nodes))
-    kept = classes.join(roots.filter("node <> root").select("node"), "node", "left_anti").select(F.col("node").alias("_node"))
-    out = df.filter(F.col(id_col).isNull()).unionByName(df.join(kept, F.col(id_col) == F.col("_node"), "left_semi"))
-    repeated = prints.filter("_id is not null").groupBy("_id").count().filter("count > 1").select("_id")
-    if not repeated.limit(1).count():
+    groups = materialise(components(link_keyed(keyed, similarity_radius(similarity, bits), tree_nodes)))
+    roots = components(verified(groups, base, k, similarity))
+    # Ids that go: of each fingerprint all but the least, and fingerprints that are not the least of their group.
+    least = classes.select("_fp", "node").join(roots.filter("node <> root").select("node").withColumn("_late", F.lit(True)), "node", "left")
+    gone = prints.filter("_id is not null").select("_id", "_fp").join(least, "_fp").filter("_late or _id <> node")
+    out_id = fresh("_gone", df)
+    gone = materialise(gone.select(F.col("_id").alias(out_id)).distinct())
+    # An id that stays with one text and goes with another is kept apart by no column; it goes.
+    out = df.join(checked_broadcast(gone, gone.count()), F.col(id_col).cast("bigint") == F.col(out_id), "left_anti")
+    repeated = prints.filter("_id is not null").groupBy("_id").count().filter("count > 1").select(F.col("_id").alias(out_id))
+    n = repeated.count()
+    if not n:
         return out
-    twice = F.col(id_col) == F.col("_id")
-    return out.join(repeated, twice, "left_anti").unionByName(out.join(repeated, twice, "left_semi").dropDuplicates([id_col]))
+    twice = F.col(id_col).cast("bigint") == F.col(out_id)
+    once = checked_broadcast(repeated, n)
+    return out.join(once, twice, "left_anti").unionByName(out.join(once, twice, "left_semi").dropDuplicates([id_col]))

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import tidy
+from corpusloom.llm.common import fresh, tidy
 from corpusloom.llm import windows as W
 from corpusloom.llm.passages import Plan, remove_repeats
 
@@ -282,13 +282,14 @@ def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     def decode(batches):
         for b in batches:
             text = pa.array([x.decode("utf-8", "ignore") for x in b.column(1).to_pylist()], pa.string())
-            yield pa.RecordBatch.from_arrays([b.column(0), text], names=["_id", "_text"])
+            yield pa.RecordBatch.from_arrays([b.column(0), text], names=[id_, kept])
 
-    texts = removed.select(F.col(id_col).alias("_id"), "kept").mapInArrow(tidy(decode), "_id bigint, _text string").dropDuplicates(["_id"])
-    out = df.join(texts, F.col(id_col) == F.col("_id"), "left")
-    changed = F.col("_id").isNotNull()
-    out = out.withColumn(text_col, F.when(changed, F.col("_text")).otherwise(F.col(text_col)))
+    id_, kept = fresh("_id", df), fresh("_kept", df)
+    texts = removed.select(F.col(id_col).alias(id_), "kept").mapInArrow(tidy(decode), f"`{id_}` bigint, `{kept}` string").dropDuplicates([id_])
+    out = df.join(texts, F.col(id_col) == F.col(id_), "left")
+    changed = F.col(id_).isNotNull()
+    out = out.withColumn(text_col, F.when(changed, F.col(kept)).otherwise(F.col(text_col)))
     if length_col in df.columns:
         kind = df.schema[length_col].dataType
-        out = out.withColumn(length_col, F.when(changed, F.length("_text").cast(kind)).otherwise(F.col(length_col)))
+        out = out.withColumn(length_col, F.when(changed, F.length(kept).cast(kind)).otherwise(F.col(length_col)))
     return out.select(*df.columns)

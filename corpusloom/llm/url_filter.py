@@ -15,6 +15,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from corpusloom.llm.common import tidy
+
 #: (verdict, host suffix, path prefix)
 RULES = (
     ("block", "com", "/en/"),
@@ -182,4 +184,4 @@ def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
             )
 
     kind = pages.schema[id_col].dataType.simpleString()
-    return base.mapInArrow(judge, f"`{id_col}` {kind}, host string, path string, rule string, verdict string, p_block double")
+    return base.mapInArrow(tidy(judge), f"`{id_col}` {kind}, host string, path string, rule string, verdict string, p_block double")
