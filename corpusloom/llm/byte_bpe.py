@@ -74,47 +74,71 @@ def model_bytes(tokens: list[bytes]) -> bytes:
     return b"".join(out) + _bytes(2, trainer) + _bytes(3, normalizer)
 
 
+class Kept:
+    """What was computed for a key: two generations of at most ``keep`` entries, the older one dropped as the younger is full."""
+
+    def __init__(self, keep: int) -> None:
+        self.keep, self.young, self.old = keep, {}, {}
+
+    def all(self, keys: list, learn) -> list:
+        """The value of each key; ``learn`` gets the keys that are new, without repeats, and returns their values."""
+        got = list(map(self.young.get, keys))
+        if all(got):
+            return got
+        # An empty value counts as missing and is learned again; that is rare.
+        missing = dict.fromkeys([k for k, v in zip(keys, got, strict=True) if not v])
+        if len(self.young) + len(missing) > self.keep:
+            self.old, self.young = self.young, {}
+        young, old = self.young, self.old
+        if old:
+            for k in missing:
+                missing[k] = old.get(k)
+        new = [k for k, v in missing.items() if not v]
+        missing.update(zip(new, learn(new), strict=True))
+        young.update(missing)
+        return [v or missing[k] for k, v in zip(keys, got, strict=True)]
+
+
 class Codec:
-    """Encodes each match of ``pattern`` by itself.  Encodings of runs are kept, at most ``keep`` of them."""
+    """Encodes each match of ``pattern`` by itself.  Encodings of runs and of matches are kept, at most ``keep`` of either and generation."""
 
-    def __init__(self, tokens: list[bytes], pattern: str, keep: int = 200_000) -> None:
+    def __init__(self, tokens: list[bytes], pattern: str, keep: int = 600_000) -> None:
         import sentencepiece
 
         self.model = sentencepiece.SentencePieceProcessor(model_proto=model_bytes(tokens))
         chars = byte_chars()
-        self.to_chars = {b: c for b, c in enumerate(chars)}
-        self.to_byte = {c: b for b, c in enumerate(chars)}
+        self.to_chars = dict(enumerate(chars))
+        to_byte = {c: b for b, c in enumerate(chars)}
+        # Inverse mapping: the characters of each piece back to bytes.
+        self.bytes_of = [bytes(to_byte[c] for c in p) for p in self.model.id_to_piece(list(range(len(tokens))))]
         self.whole = {t: i for i, t in enumerate(tokens)}
         self.pattern = regex.compile(pattern)
-        self.keep, self.known = keep, {}
+        self.runs, self.parts = Kept(keep), Kept(keep)
 
     def decode(self, ids: list[int]) -> bytes:
-        """Inverse mapping: ids to pieces, their characters to bytes."""
-        return bytes(self.to_byte[c] for c in "".join(self.model.id_to_piece(ids)))
-
-    def _learn(self, runs: list[str]) -> None:
-        parts = [[m.encode() for m in self.pattern.findall(r)] for r in runs]
-        encoded = iter(self.model.encode([p.decode("latin-1").translate(self.to_chars) for own in parts for p in own if p not in self.whole], out_type=int))
-        for run, own in zip(runs, parts, strict=True):
-            ids = [i for p in own for i in ([self.whole[p]] if p in self.whole else next(encoded))]
-            self.known[run] = (ids, len(ids), " ".join(map(str, ids)), self.decode(ids))
-
-    def entries(self, text: str) -> list[tuple]:
-        runs = _RUNS.findall(text)
-        known = self.known
-        try:
-            return [known[r] for r in runs]
-        except KeyError:
-            new = list({r for r in runs if r not in known})
-            if len(known) + len(new) > self.keep:
-                known.clear()
-                new = list(set(runs))
-            for i in range(0, len(new), 4096):
-                self._learn(new[i : i + 4096])
-            return [known[r] for r in runs]
+        return b"".join([self.bytes_of[i] for i in ids])
+
+    def _encode_parts(self, parts: list[str]) -> list[list[int]]:
+        raw = [p.encode() for p in parts]
+        merge = [r.decode("latin-1").translate(self.to_chars) for r in raw if r not in self.whole]
+        merged = iter(self.model.encode(merge, out_type=int, num_threads=1))
+        return [[self.whole[r]] if r in self.whole else next(merged) for r in raw]
+
+    def _encode_runs(self, runs: list[str]) -> list[tuple[str, int, bytes]]:
+        found = [self.pattern.findall(r) for r in runs]
+        ids = iter(self.parts.all([p for own in found for p in own], self._encode_parts))
+        out = []
+        for own in found:
+            got = [i for _ in own for i in next(ids)]
+            out.append((" ".join(map(str, got)), len(got), self.decode(got)))
+        return out
+
+    def entries(self, text: str) -> list[tuple[str, int, bytes]]:
+        """For each run its ids as decimals, their number, and what they decode to."""
+        return self.runs.all(_RUNS.findall(text), self._encode_runs)
 
     def encode(self, text: str) -> list[int]:
-        return [i for e in self.entries(text) for i in e[0]]
+        return [int(i) for e in self.entries(text) for i in e[0].split()]
 
 
 def _full(path: str, pattern: str):
@@ -132,8 +156,8 @@ def _digests(path: str, pattern: str):
 
     def each(text):
         got = codec.entries(text or "")
-        ids = " ".join([e[2] for e in got])
-        return sum([e[1] for e in got]), hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(b"".join([e[3] for e in got])).hexdigest()
+        ids = " ".join([e[0] for e in got])
+        return sum([e[1] for e in got]), hashlib.sha256(ids.encode()).hexdigest(), hashlib.sha256(b"".join([e[2] for e in got])).hexdigest()
 
     return each
 
