@@ -7,45 +7,153 @@ decreasing: a tournament tree over the free room of its bins finds the leftmost
 
 from __future__ import annotations
 
+import json
 import os
+import sys
+import unicodedata
 import zlib
+from array import array
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusloom.llm.common import bound_batches, tidy
+from corpusloom.llm.byte_bpe import Kept
+from corpusloom.llm.windows import span_hashes, word_spans
+
+
+#: Fixed value: a pattern under which a word of letters, or of letters and one stop, needs no search.
+LETTER_RUNS = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+_STOP = np.isin(np.arange(256), list(b",.;:!?"))
+_WIDE_SPACE = regex.compile(r"[\x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]")
+
+
+def little(ids: list[int]) -> bytes:
+    """Ids as little-endian unsigned numbers of 32 bits."""
+    a = array("I", ids)
+    if sys.byteorder == "big":
+        a.byteswap()
+    return a.tobytes()
+
 
 class WordTokenizer:
-    """Ids of a tokenizer whose words never cross white space, as little-endian bytes; encodings of words are kept, at most ``keep``."""
+    """Ids of a tokenizer whose words never cross white space, as little-endian bytes; encodings of words are kept."""
 
     #: White space to Python's split() but not to the tokenizer, or strings that are tokens of their own.
     ODD = ("\x1c", "\x1d", "\x1e", "\x1f")
 
-    def __init__(self, path: str, keep: int = 200_000) -> None:
+    def __init__(self, path: str, keep: int = 600_000) -> None:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.odd = self.ODD + tuple(t.content for t in self.tokenizer.get_added_tokens_decoder().values())
-        self.keep, self.known = keep, {}
+        self.words, self.parts = Kept(keep), Kept(keep)
+        spec = json.loads(self.tokenizer.to_str())
+        steps = (spec["pre_tokenizer"] or {}).get("pretokenizers", [])
+        # If matches of a pattern are all that is kept of a word, they can be encoded one by one.
+        split = steps[0]["pattern"]["Regex"] if steps and steps[0]["type"] == "Split" and steps[0]["behavior"] == "Removed" and steps[0]["invert"] else None
+        self.pattern = split and regex.compile(split)
+        self.plain = split == LETTER_RUNS
+        self.lowers = [x["type"] for x in (spec["normalizer"] or {}).get("normalizers", [])] == ["NFC", "Replace", "Lowercase"]
+
+    def _encode(self, parts: list[str]) -> list[bytes]:
+        out = []
+        for lo in range(0, len(parts), 512):
+            own = parts[lo : lo + 512]
+            # Blanks between keep the parts apart; ids are dealt out again by the word they belong to.
+            e = self.tokenizer.encode(" ".join(own), add_special_tokens=False)
+            cuts = np.flatnonzero(np.diff(np.array(e.word_ids, np.int64), prepend=-1)).tolist()
+            if len(cuts) == len(own):
+                raw = little(e.ids)
+                out += [raw[4 * i : 4 * j] for i, j in zip(cuts, [*cuts[1:], len(e.ids)], strict=True)]
+            else:
+                out += [little(x.ids) for x in self.tokenizer.encode_batch_fast(own, add_special_tokens=False)]
+        return out
+
+    def _parts(self, word: str) -> list[str]:
+        if self.plain:
+            if word.isalpha():
+                return [word]
+            if word[-1] in ",.;:!?" and word[:-1].isalpha():
+                return [word[:-1], word[-1]]
+        return self.pattern.findall(word)
+
+    def _encode_words(self, words: list[str]) -> list[bytes]:
+        if not self.pattern:
+            return [little(x.ids) for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
+        found = list(map(self._parts, words))
+        # A word of one part is kept as a word; parts of others are kept as parts.
+        single = iter(self._encode([own[0] for own in found if len(own) == 1]))
+        several = iter(self.parts.all([p for own in found if len(own) > 1 for p in own], self._encode))
+        return [next(single) if len(own) == 1 else b"".join([next(several) for _ in own]) for own in found]
+
+    def _normal(self, text: str) -> str | None:
+        """The text lower-cased, or null if that is not all its normal form takes, or a neighbour matters."""
+        if "\u03a3" in text or not unicodedata.is_normalized("NFC", text) or any(x in text for x in self.odd):
+            return None
+        low = text.lower()
+        return low if low.isascii() or unicodedata.is_normalized("NFC", low) else None
+
+    def _spans(self, data: bytes) -> tuple[np.ndarray, np.ndarray]:
+        """Starts and ends of words; a stop after a letter stands alone, if the pattern never has the two together."""
+        start, end = word_spans(data)
+        if not self.plain or not len(start):
+            return start, end
+        b = np.frombuffer(data, np.uint8)
+        before = b[np.maximum(end - 2, 0)]
+        cut = (end - start > 1) & _STOP[b[end - 1]] & (before >= 97) & (before <= 122)
+        pieces = 1 + cut
+        word = np.repeat(np.arange(len(start)), pieces)
+        second = np.ones(len(word), bool)
+        second[np.cumsum(pieces) - pieces] = False
+        stop = end[word] - 1
+        return np.where(second, stop, start[word]), np.where(cut[word] & ~second, stop, end[word])
+
+    def _together(self, texts: list[str]) -> list[bytes]:
+        """Ids of normal texts with no white space but ASCII: each different word of them is looked up once."""
+        raw = [t.encode() for t in texts]
+        data = b"\n".join(raw)
+        start, end = self._spans(data)
+        _, first, inverse = np.unique(span_hashes(data, start, end), return_index=True, return_inverse=True)
+        found = self.words.all([data[a:b].decode() for a, b in zip(start[first].tolist(), end[first].tolist(), strict=True)], self._encode_words)
+        size = np.fromiter(map(len, found), np.int64, len(found)) // 4
+        ids = np.frombuffer(b"".join(found), "<u4")
+        length = size[inverse]
+        ends = np.cumsum(length)
+        total = int(ends[-1]) if len(ends) else 0
+        out = ids[np.repeat((np.cumsum(size) - size)[inverse] - (ends - length), length) + np.arange(total)].tobytes()
+        # Ids up to the end of each text.
+        stops = np.cumsum([len(r) + 1 for r in raw])
+        upto = np.concatenate(([0], ends))[np.searchsorted(start, stops)].tolist()
+        return [out[4 * i : 4 * j] for i, j in zip([0, *upto[:-1]], upto, strict=True)]
+
+    def all(self, texts: list[str]) -> list[bytes]:
+        """Ids of each text; normal ones are looked up together, texts that are not in normal form go the slow way."""
+        out: list[bytes] = [b""] * len(texts)
+        fast = []
+        for i, text in enumerate(texts):
+            low = self._normal(text) if self.pattern and self.lowers else None
+            if low is None:
+                out[i] = little(self.tokenizer.encode(text, add_special_tokens=False).ids)
+            elif low.isascii() or not _WIDE_SPACE.search(low):
+                fast.append((i, low))
+            else:
+                out[i] = b"".join(self.words.all(low.split(), self._encode_words))
+        if fast:
+            for (i, _), ids in zip(fast, self._together([t for _, t in fast]), strict=True):
+                out[i] = ids
+        return out
 
     def __call__(self, text: str) -> bytes:
-        if any(x in text for x in self.odd):
-            return np.array(self.tokenizer.encode(text, add_special_tokens=False).ids, "<u4").tobytes()
-        words, known = text.split(), self.known
-        try:
-            return b"".join([known[w] for w in words])
-        except KeyError:
-            new = list({w for w in words if w not in known})
-            if len(known) + len(new) > self.keep:
-                known.clear()
-                new = list(set(words))
-            for w, e in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False), strict=True):
-                known[w] = np.array(e.ids, "<u4").tobytes()
-            return b"".join([known[w] for w in words])
+        return self.all([text])[0]
 
 
 class Tournament:
@@ -86,6 +194,7 @@ PIECES = "start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 
 def tokenise(df: DataFrame, path: str, end_id: int, room: int, id_col: str, text_col: str, with_ids: bool) -> DataFrame:
     """One row for each piece: a full sequence, or the rest of a document; with its ids if asked for."""
+    bound_batches(df.sparkSession)
     kind = df.schema[id_col].dataType.simpleString()
 
     def run(batches):
@@ -94,8 +203,8 @@ def tokenise(df: DataFrame, path: str, end_id: int, room: int, id_col: str, text
             for lo in range(0, batch.num_rows, 256):
                 part = batch.slice(lo, 256)
                 take, rows = [], []
-                for i, text in enumerate(part.column(1).to_pylist()):
-                    ids = tok(text or "") + end
+                for i, ids in enumerate(tok.all([t or "" for t in part.column(1).to_pylist()])):
+                    ids += end
                     n = len(ids) // 4
                     for a in range(0, n, room):
                         own = ids[4 * a : 4 * min(n, a + room)]
@@ -109,7 +218,7 @@ def tokenise(df: DataFrame, path: str, end_id: int, room: int, id_col: str, text
                     names.append("ids")
                 yield pa.RecordBatch.from_arrays(arrays, names=names)
 
-    return df.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(run, f"`{id_col}` {kind}, {PIECES}" + ", ids binary" * with_ids)
+    return df.select(F.col(id_col), F.col(text_col).cast("string")).mapInArrow(tidy(run), f"`{id_col}` {kind}, {PIECES}" + ", ids binary" * with_ids)
 
 
 def pack(df: DataFrame, path: str, room: int = 2048, end_id: int = 1, group: int = 4096, seed: int = 7, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:

@@ -76,7 +76,7 @@ def remove_repeated_words(df: DataFrame, id_col: str = "doc_id", text_col: str =
     get the result of one of them.  Other columns are ignored.
     """
     start = min(start, window)
-    plan = Plan(window, start, lambda t: W.word_tokens(t)[0], lambda t: W.word_tokens(t)[0], True, doubling(window, start))
+    plan = Plan(window, start, W.word_tokens, W.word_tokens, True, doubling(window, start))
     types = [("n_words", pa.int64()), ("n_removed", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("kept", pa.string())]
     return remove_repeats(df, plan, cut_words, types, "n_words bigint, n_removed bigint, spans array<struct<start:bigint,end:bigint>>, kept string", id_col, text_col)
 

@@ -72,15 +72,23 @@ def byte_tokens(data: bytes | np.ndarray) -> np.ndarray:
     return _BYTE[np.frombuffer(data, np.uint8)]
 
 
-def word_tokens(data: bytes) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Hashes, starts and ends of the words between blanks and the control characters 9 to 13."""
+def word_spans(data: bytes) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of the words between blanks and the control characters 9 to 13."""
     b = np.frombuffer(data, np.uint8)
     inside = np.ones(len(b) + 2, bool)
     inside[0] = inside[-1] = False
     inside[1:-1] = (b != 32) & ((b < 9) | (b > 13))
     edges = np.flatnonzero(inside[1:] != inside[:-1])
-    start, end = edges[::2], edges[1::2]
-    return Spans(_BYTE[b], 1).hash(start, end), start, end
+    return edges[::2], edges[1::2]
+
+
+def span_hashes(data: bytes, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    return Spans(byte_tokens(data), 1).hash(start, end)
+
+
+def word_tokens(data: bytes) -> np.ndarray:
+    """Hashes of the words."""
+    return span_hashes(data, *word_spans(data))
 
 
 def sliding_argmin(h: np.ndarray, w: int) -> np.ndarray:
