@@ -27,6 +27,17 @@ def materialise(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+#: Spark's own bound of a batch to Python, and ours: texts are long, and several batches of a task are in memory at once.
+SPARK_BATCH, BATCH = f"{64 << 20}b", "4m"
+
+
+def bound_batches(spark: SparkSession) -> None:
+    """Bound the bytes of a batch to Python, unless the session has a bound of its own."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    if spark.conf.get(key) == SPARK_BATCH:
+        spark.conf.set(key, BATCH)
+
+
 def fresh(name: str, *frames: DataFrame) -> str:
     """``name``, longer if it has to be, so that no frame has a column of it."""
     taken = {c.lower() for f in frames for c in f.columns}
@@ -60,6 +71,7 @@ def map_texts(df: DataFrame, id_col: str, text_col: str, make: Callable[[], Call
 
     ``make`` runs once in each task.  Other columns are not read, so their names cannot clash.
     """
+    bound_batches(df.sparkSession)
     fields = list(fields)
     schema = T.StructType([T.StructField(id_col, df.schema[id_col].dataType), *fields])
 

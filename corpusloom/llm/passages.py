@@ -24,13 +24,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import tidy
+from corpusloom.llm.common import bound_batches, tidy
 from corpusloom.llm import windows as W
 
 #: Stretches a task gathers before it sends them; bounds its memory.
-GATHER = 600_000
+GATHER = 300_000
 #: Bytes of text or tokens a task gathers before it sends them.
-GATHER_BYTES = 24_000_000
+GATHER_BYTES = 12_000_000
 COVERED, UNSURE, TEXT = 0, 1, 2
 
 
@@ -427,6 +427,7 @@ def remove_repeats(df: DataFrame, plan: Plan, cut, types: list[tuple[str, pa.Dat
     from corpusloom.llm.common import materialise
 
     spark = df.sparkSession
+    bound_batches(spark)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # Two buckets a partition halve what is in memory at once.  Blocks are read as they come and can be larger; there
     # are at most as many rows as buckets times blocks.

@@ -406,6 +406,7 @@ def drop_near_duplicates(
     """
     from corpusloom.llm.common import components, fresh, map_texts, materialise
 
+    # Batches are bounded by map_texts, and so are those of the check.
     fields = [T.StructField("_fp", T.BinaryType()), T.StructField("_keys", T.ArrayType(T.LongType()))]
     base = df.select(F.col(id_col).cast("bigint").alias("_id"), F.col(text_col).cast("string").alias("_text"))
     prints = map_texts(base, "_id", "_text", lambda: lambda t: long_fingerprint(t, k, bits, seed, block, flips), fields)

@@ -13,7 +13,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import fresh, tidy
+from corpusloom.llm.common import fresh
 from corpusloom.llm import windows as W
 from corpusloom.llm.passages import Plan, remove_repeats
 
@@ -241,6 +241,10 @@ def sort_windows(window: int, k: int, salt: int = 3, at_once: int = 400_000):
     return resolve
 
 
+def plan_of(window: int, k: int) -> Plan:
+    return Plan(window, k, W.byte_tokens, lambda t: np.frombuffer(t, np.uint8), False, sort_windows(window, k))
+
+
 def cut_bytes(text: bytes, start: np.ndarray, end: np.ndarray) -> tuple:
     kept, last, removed = [], 0, 0
     for f, e in zip(start.tolist(), end.tolist(), strict=True):
@@ -260,7 +264,7 @@ def remove_repeated_bytes(df: DataFrame, id_col: str = "doc_id", text_col: str =
     counts as empty.  A document with a null id stays as it is and makes no other lose a byte.  Rows that repeat a
     document, id and text, get the result of one of them.  Other columns are ignored.
     """
-    plan = Plan(window, k, W.byte_tokens, lambda t: np.frombuffer(t, np.uint8), False, sort_windows(window, k))
+    plan = plan_of(window, k)
     types = [("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("kept", pa.binary())]
     return remove_repeats(df, plan, cut_bytes, types, "n_bytes bigint, n_removed bigint, n_spans bigint, spans array<struct<start:bigint,end:bigint>>, kept binary", id_col, text_col)
 
@@ -271,21 +275,21 @@ def digest(removed: DataFrame) -> DataFrame:
     return removed.select(id_col, "n_bytes", "n_removed", "n_spans", F.sha2(F.col("kept"), 256).alias("kept_sha256"))
 
 
+def cut_text(text: bytes, start: np.ndarray, end: np.ndarray) -> tuple:
+    """The text that is left, null if all of it is; characters that a cut splits are dropped."""
+    return (cut_bytes(text, start, end)[-1].decode("utf-8", "ignore") if len(start) else None,)
+
+
 def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars", window: int = 50, k: int = 16) -> DataFrame:
     """The rows of ``df`` with their texts after :func:`remove_repeated_bytes`; ``length_col``, if there, is counted anew.
 
     Characters that a cut splits are dropped.  Null texts and rows with a null id stay as they are; rows that share an
     id get the text of one of them.
     """
-    removed = remove_repeated_bytes(df.filter(F.col(id_col).isNotNull()), id_col, text_col, window, k).filter("n_removed > 0")
-
-    def decode(batches):
-        for b in batches:
-            text = pa.array([x.decode("utf-8", "ignore") for x in b.column(1).to_pylist()], pa.string())
-            yield pa.RecordBatch.from_arrays([b.column(0), text], names=[id_, kept])
-
     id_, kept = fresh("_id", df), fresh("_kept", df)
-    texts = removed.select(F.col(id_col).alias(id_), "kept").mapInArrow(tidy(decode), f"`{id_}` bigint, `{kept}` string").dropDuplicates([id_])
+    named = df.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias(id_), F.col(text_col).alias(kept))
+    texts = remove_repeats(named, plan_of(window, k), cut_text, [(kept, pa.string())], f"`{kept}` string", id_, kept)
+    texts = texts.filter(F.col(kept).isNotNull()).dropDuplicates([id_])
     out = df.join(texts, F.col(id_col) == F.col(id_), "left")
     changed = F.col(id_).isNotNull()
     out = out.withColumn(text_col, F.when(changed, F.col(kept)).otherwise(F.col(text_col)))
