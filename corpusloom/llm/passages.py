@@ -1,5 +1,6 @@
 """Repeated passages over a corpus: the rounds that substring dedup and suffix-array dedup share.
 
+0. Runs of tokens that many texts of a bounded sample share are ranked last as anchors.
 1. Every task cuts its texts into stretches (see :mod:`windows`), keeps one of each set of equal stretches, and deals
    the hashes to buckets by anchor.  A bucket sees which stretches also start earlier, and which anchors stand in
    different stretches; anchors that stand alone end here.
@@ -17,7 +18,7 @@ from __future__ import annotations
 import itertools
 import struct
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
@@ -44,8 +45,9 @@ class Plan:
     content: Callable[[bytes], np.ndarray]
     #: Whether a window that starts earlier in the same text counts.
     same_text: bool
-    #: Round 3: (documents, first starts, lengths in tokens, tokens of all records) to a mask of windows, one for each token.
-    resolve: Callable[[np.ndarray, np.ndarray, np.ndarray, np.ndarray], np.ndarray]
+    #: Round 3: (rank, documents, first starts, lengths in tokens, tokens of all records) to a mask of windows, one for each token.
+    resolve: Callable[[W.Rank, np.ndarray, np.ndarray, np.ndarray, np.ndarray], np.ndarray]
+    rank: W.Rank = W.Rank(np.zeros(0, np.uint64))
 
 
 def squeeze(*arrays: np.ndarray) -> bytes:
@@ -203,7 +205,7 @@ def send_stretches(plan: Plan, places: list[int]):
                 continue
             spans = W.Spans(tokens, 3)
             runs = spans.runs(plan.k)
-            anchor, first, last = W.stretches(runs, plan.window, plan.k)
+            anchor, first, last = W.stretches(plan.rank(runs), plan.window, plan.k)
             docs.append(i)
             found.append((runs[anchor], spans.hash(first, last + plan.window), first, last - first + 1))
             n += len(anchor)
@@ -376,7 +378,7 @@ def resolve_unsure(plan: Plan, buckets: list[int], places: list[int]):
             length, count, starts = length.astype(np.int64), count.astype(np.int64), starts.astype(np.int64)
             begin = np.cumsum(length) - length
             low = np.cumsum(count) - count
-            covered = plan.resolve(doc, starts[low], length, content)
+            covered = plan.resolve(plan.rank, doc, starts[low], length, content)
             at = np.flatnonzero(covered)
             record = np.searchsorted(begin, at, side="right") - 1
             offset = at - begin[record]
@@ -422,6 +424,29 @@ def apply_marks(id_col: str, kind: pa.DataType, cut: Callable[[bytes, np.ndarray
     return run
 
 
+#: Texts sampled for runs that many texts share, the share of them that makes a run common, and how many are kept.
+SAMPLE, COMMON, COMMON_RUNS = 1500, 0.01, 1 << 16
+
+
+def common_runs(base: DataFrame, plan: Plan) -> W.Rank:
+    """Ranks by the runs that stand in many texts of a sample of bounded size; any sample gives the same result in the end."""
+    scale, n = 1 << 20, max(1, base.count())
+    share = min(scale, -(-scale * SAMPLE * 5 // (4 * n)))
+    picked = base.filter(F.pmod(F.xxhash64("id", F.lit(17)), F.lit(scale)) < share).select("text").limit(2 * SAMPLE).toLocalIterator()
+    seen, texts = [], 0
+    for (text,) in picked:
+        tokens = plan.tokens((text or "").encode("utf-8", "surrogatepass"))
+        if len(tokens) >= plan.window:
+            seen.append(np.unique(W.Spans(tokens, 3).runs(plan.k)))
+            texts += 1
+    if not seen:
+        return plan.rank
+    runs, count = np.unique(np.concatenate(seen), return_counts=True)
+    often = count >= max(8, COMMON * texts)
+    runs, count = runs[often], count[often]
+    return W.Rank(runs[np.argsort(-count, kind="stable")[:COMMON_RUNS]])
+
+
 def remove_repeats(df: DataFrame, plan: Plan, cut, types: list[tuple[str, pa.DataType]], ddl: str, id_col: str, text_col: str) -> DataFrame:
     """The four rounds; a row for each row of ``df``: its id and what ``cut`` returns."""
     from corpusloom.llm.common import materialise
@@ -434,6 +459,8 @@ def remove_repeats(df: DataFrame, plan: Plan, cut, types: list[tuple[str, pa.Dat
     buckets, places = placed(parts, 2), placed(parts)[: -(-parts // 2)]
     base = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
 
+    plan = replace(plan, rank=common_runs(base, plan))
+
     def deal(x: DataFrame) -> DataFrame:
         return x.repartition(parts, "part").sortWithinPartitions("part", "kind")
 

@@ -108,68 +108,16 @@ class Union:
         self.up[max(i, j)] = min(i, j)
 
 
-def link_shard(own: list[int], guests: list[int], radius: int) -> list[tuple[int, int]]:
-    """A spanning set of the links among ``own``, or between ``guests`` and ``own`` if there are guests."""
-    tree, sets = BKTree(), Union()
-    mask = (1 << 64) - 1
-    for v in own:
-        at = tree.add(v & mask)
-        sets.grow(at + 1)
-        if not guests:
-            for n in tree.near(v & mask, radius):
-                sets.join(at, n)
-    out = []
-    for g in guests:
-        near = tree.near(g & mask, radius)
-        for n in near[1:]:
-            sets.join(near[0], n)
-        if near:
-            out.append((g, near[0]))
-    signed = [v - (1 << 64) if v >> 63 else v for v in tree.values]
-    out = [(g, signed[n]) for g, n in out]
-    return out + [(signed[i], signed[sets.root(i)]) for i in range(len(signed)) if sets.root(i) != i]
-
-
 def link(prints: DataFrame, col: str = "fp", radius: int = 3, tree_nodes: int = 1024) -> DataFrame:
     """Spanning links (``a``, ``b``) of the graph on distinct fingerprints within the radius; no link between sets is lost."""
     blocks = radius + 1
     width = 64 // blocks
     cuts = [(i * width, 64 if i == blocks - 1 else (i + 1) * width) for i in range(blocks)]
-    keys = [
-        F.struct(F.lit(i).alias("block"), F.shiftrightunsigned(F.shiftleft(F.col("fp"), 64 - b), 64 - b + a).alias("value")) for i, (a, b) in enumerate(cuts)
-    ]
-    keyed = prints.select(F.col(col).alias("fp")).select("fp", F.explode(F.array(*keys)).alias("key")).select("fp", "key.*")
-    hot = keyed.groupBy("block", "value").count().filter(F.col("count") > tree_nodes)
-    hot = hot.select("block", "value", F.ceil(F.col("count") / tree_nodes).cast("int").alias("parts"))
-    dealt = keyed.join(hot, ["block", "value"], "left").withColumn("parts", F.coalesce("parts", F.lit(1)))
-    dealt = dealt.withColumn("own", F.pmod(F.xxhash64("fp", F.lit(3)), F.col("parts")).cast("int"))
-    dealt = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)))
-    dealt = dealt.select("block", "value", F.least("own", "other").alias("lo"), F.greatest("own", "other").alias("hi"), "own", "fp")
-    shards = dealt.repartition("block", "value", "lo", "hi").sortWithinPartitions("block", "value", "lo", "hi", "own", "fp")
-
-    def run(batches):
-        key, own, guests = None, [], []
-        a, b = [], []
-
-        def close():
-            if len(own) + len(guests) > 1 and own:
-                for x, y in link_shard(own, guests, radius):
-                    a.append(x)
-                    b.append(y)
-
-        for batch in batches:
-            for block, value, lo, hi, part, fp in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if key != (block, value, lo, hi):
-                    close()
-                    key, own, guests = (block, value, lo, hi), [], []
-                (own if part == lo else guests).append(fp)
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-            a.clear()
-            b.clear()
-        close()
-        yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
-
-    return shards.mapInArrow(tidy(run), "a bigint, b bigint")
+    fp = F.col(col)
+    value = lambda a, b: F.shiftrightunsigned(F.shiftleft(fp, 64 - b), 64 - b + a)
+    keys = [F.lit(i << 40) + value(a, b) if blocks > 1 else fp for i, (a, b) in enumerate(cuts)]
+    raw = F.unhex(F.lpad(F.hex(fp), 16, "0"))
+    return link_keyed(prints.select(fp.alias("node"), raw.alias("fp"), F.explode(F.array(*keys)).alias("key")), radius, tree_nodes)
 
 
 def hex_print(fp):
@@ -374,7 +322,7 @@ def verified(members: DataFrame, texts: DataFrame, k: int, similarity: float, bl
 
 
 def link_wide(own: list[int], guests: list[int], radius: int) -> list[tuple[int, int]]:
-    """:func:`link_shard` for fingerprints of any number of bits."""
+    """A spanning set of the links among ``own``, or between ``guests`` and ``own`` if there are guests; fingerprints of any number of bits."""
     tree, sets = BKTree(), Union()
     for v in own:
         at = tree.add(v)

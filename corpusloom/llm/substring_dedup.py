@@ -18,7 +18,7 @@ from corpusloom.llm.passages import Plan, remove_repeats
 def doubling(window: int, start: int):
     """Round 3 for words: lengths ``start``, twice that, and so on; the last step reaches exactly ``window``."""
 
-    def resolve(doc: np.ndarray, first: np.ndarray, length: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    def resolve(rank: W.Rank, doc: np.ndarray, first: np.ndarray, length: np.ndarray, tokens: np.ndarray) -> np.ndarray:
         n = len(tokens)
         end = np.repeat(np.cumsum(length), length)  # where the record of each token ends
         begin = np.cumsum(length) - length
@@ -55,6 +55,10 @@ def doubling(window: int, start: int):
     return resolve
 
 
+def plan_of(window: int, start: int) -> Plan:
+    return Plan(window, start, W.word_tokens, W.word_tokens, True, doubling(window, start))
+
+
 def cut_words(text: bytes, start: np.ndarray, end: np.ndarray) -> tuple:
     words = text.split()
     kept, last = [], 0
@@ -75,8 +79,7 @@ def remove_repeated_words(df: DataFrame, id_col: str = "doc_id", text_col: str =
     document with a null id stays as it is and makes no other lose a word.  Rows that repeat a document, id and text,
     get the result of one of them.  Other columns are ignored.
     """
-    start = min(start, window)
-    plan = Plan(window, start, W.word_tokens, W.word_tokens, True, doubling(window, start))
+    plan = plan_of(window, min(start, window))
     types = [("n_words", pa.int64()), ("n_removed", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("kept", pa.string())]
     return remove_repeats(df, plan, cut_words, types, "n_words bigint, n_removed bigint, spans array<struct<start:bigint,end:bigint>>, kept string", id_col, text_col)
 

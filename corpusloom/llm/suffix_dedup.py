@@ -204,13 +204,13 @@ def deep_shallow_sort(words: np.ndarray, group: np.ndarray | None = None, shallo
 def sort_windows(window: int, k: int, salt: int = 3, at_once: int = 400_000):
     """Round 3 for bytes: windows that also start in a document of smaller id, from the sorted suffixes."""
 
-    def resolve(doc: np.ndarray, first: np.ndarray, length: np.ndarray, data: np.ndarray) -> np.ndarray:
+    def resolve(rank: W.Rank, doc: np.ndarray, first: np.ndarray, length: np.ndarray, data: np.ndarray) -> np.ndarray:
         begin = np.cumsum(length) - length
         n = length - window + 1
         record = np.repeat(np.arange(len(doc)), n)
         at = begin[record] + np.arange(len(record)) - np.repeat(np.cumsum(n) - n, n)
-        # All windows of a record have one anchor: the least run of k bytes in its first window.
-        runs = W.Spans(W.byte_tokens(data), salt).runs(k)
+        # All windows of a record have one anchor: the run of k bytes of least rank in its first window.
+        runs = rank(W.Spans(W.byte_tokens(data), salt).runs(k))
         reach = window - k + 1
         anchor = np.empty(len(doc), np.int64)
         for lo in range(0, len(doc), 8192):

@@ -106,9 +106,30 @@ def sliding_argmin(h: np.ndarray, w: int) -> np.ndarray:
     return at[:n]
 
 
-def stretches(h: np.ndarray, window: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """Anchors of all windows: place of the anchor, first and last window start of each stretch.  h: hashes of runs of k."""
-    at = sliding_argmin(h, window - k + 1)
+class Rank:
+    """What runs are compared by for anchors: their hash, but runs in ``common`` come after all others.
+
+    A run that very many texts share would else be the anchor of very many different stretches.  Whatever is in
+    ``common``, the rank hangs on the run alone, so equal windows still have equal anchors.
+    """
+
+    def __init__(self, common: np.ndarray) -> None:
+        self.common = np.sort(common.astype(np.uint64))
+        self.some = np.zeros(1 << 20, bool)
+        self.some[(self.common >> np.uint64(44)).astype(np.int64)] = True
+
+    def __call__(self, h: np.ndarray) -> np.ndarray:
+        out = h >> np.uint64(1)
+        if len(self.common):
+            at = np.flatnonzero(self.some[(h >> np.uint64(44)).astype(np.int64)])
+            found = self.common[np.minimum(np.searchsorted(self.common, h[at]), len(self.common) - 1)] == h[at]
+            out[at[found]] |= np.uint64(1 << 63)
+        return out
+
+
+def stretches(ranks: np.ndarray, window: int, k: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Anchors of all windows: place of the anchor, first and last window start of each stretch.  ranks: of runs of k."""
+    at = sliding_argmin(ranks, window - k + 1)
     if not len(at):
         z = np.zeros(0, np.int64)
         return z, z, z

@@ -70,6 +70,23 @@ def test_low_entropy(spark, monkeypatch, gather):
     assert short == {i: v[1] for i, v in brute_words(rows, 12).items()}
 
 
+def test_common_runs_change_nothing(spark, monkeypatch):
+    """A passage in most documents is ranked last, and the result is the same."""
+    monkeypatch.setattr(passages, "COMMON", 0.2)
+    rng = random.Random(8)
+    passage = " ".join(f"p{rng.randrange(30)}" for _ in range(60))
+    rows = [(i, " ".join(f"{rng.choice('abcdef')}{rng.randrange(40)}" for _ in range(30)) + " " + passage + " " + " ".join(f"z{rng.randrange(9)}" for _ in range(30)), "en", "s") for i in range(40)]
+    df = frame(spark, rows, 4)
+    base = df.selectExpr("doc_id AS id", "text")
+    for plan in (suffix_dedup.plan_of(50, 16), substring_dedup.plan_of(20, 5)):
+        common = passages.common_runs(base, plan).common
+        assert len(common) >= 40
+        runs = windows.Spans(plan.tokens(passage.encode()), 3).runs(plan.k)
+        assert np.isin(runs, common).all()
+    assert {r[0]: tuple(r[1:]) for r in substring_dedup.digest(substring_dedup.remove_repeated_words(df)).collect()} == brute_words(rows)
+    assert {r[0]: tuple(r[1:]) for r in suffix_dedup.digest(suffix_dedup.remove_repeated_bytes(df)).collect()} == brute_bytes(rows)
+
+
 def test_empty(none):
     assert substring_dedup.remove_repeated_words(none).count() == 0
     assert suffix_dedup.remove_repeated_bytes(none).count() == 0
