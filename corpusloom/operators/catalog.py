@@ -42,6 +42,6 @@ def content_sections(df: DataFrame, heading: str = "heading") -> DataFrame:
 
 
 def span_bucket(published: Column, event: Column) -> Column:
-    """How long after publication an event lies: within 1, 5 or 10 years, or later.  Open in the reference; an extension."""
+    """How long after publication an event lies: within 1, 5 or 10 years, or later.  An extension."""
     years = F.floor(F.datediff(event, published) / 365.25)
     return F.when(years < 0, "before").when(years < 1, "1y").when(years < 5, "5y").when(years < 10, "10y").otherwise("later")
