@@ -99,10 +99,10 @@ def drop_rejected(df: DataFrame, text_col: str = "text", host_col: str = "source
     failed = let(m, lambda x: (x["n_words"] < min_words) | (100 * x["n_repeat_words"] > 50 * x["n_words"]))
     hosts = df.select(F.col(host_col).cast("string").alias("_host"), failed.alias("_failed")).filter("_host is not null")
     hosts = hosts.groupBy("_host").agg(F.count("*").alias("n"), F.sum(F.col("_failed").cast("int")).alias("bad"))
-    from corpusloom.llm.common import fresh, materialise
+    from corpusloom.llm.common import checked_broadcast, fresh, materialise
 
     hosts = materialise(hosts)
     a, b = beta_prior(hosts)
     host = fresh("_bad_host", df)
     bad = hosts.filter((F.col("bad") + a) / (F.col("n") + a + b) > worst_rate).select(F.col("_host").alias(host))
-    return df.filter(~failed).join(bad, F.col(host_col).cast("string") == F.col(host), "left_anti")
+    return df.filter(~failed).join(checked_broadcast(bad, bad.count()), F.col(host_col).cast("string") == F.col(host), "left_anti")

@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.llm.common import tidy
+from corpusloom.llm.common import checked_broadcast, tidy
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
 
@@ -177,14 +177,6 @@ def long_fingerprint(text: str | None, k: int, bits: int, seed: int, block: int,
     return np.packbits(lead > 0).tobytes(), keys.ravel().tolist()
 
 
-#: Rows up to which a table of ids, some tens of megabytes at most, is broadcast; beyond it joins go by exchange.
-BROADCAST_ROWS = 500_000
-
-
-def checked_broadcast(small: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(small) if rows <= BROADCAST_ROWS else small
-
-
 def in_parts(rows: DataFrame, key: str, by: str, most: int) -> DataFrame:
     """Adds ``lo, hi, own``: keys of over ``most`` rows are dealt to parts, and each row goes to every pair of parts with its own."""
     from corpusloom.llm.common import materialise

@@ -276,24 +276,23 @@ def digest(removed: DataFrame) -> DataFrame:
 
 
 def cut_text(text: bytes, start: np.ndarray, end: np.ndarray) -> tuple:
-    """The text that is left, null if all of it is; characters that a cut splits are dropped."""
-    return (cut_bytes(text, start, end)[-1].decode("utf-8", "ignore") if len(start) else None,)
+    """The text that is left; characters that a cut splits are dropped."""
+    return ((cut_bytes(text, start, end)[-1] if len(start) else text).decode("utf-8", "ignore"),)
 
 
 def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", length_col: str = "n_chars", window: int = 50, k: int = 16) -> DataFrame:
     """The rows of ``df`` with their texts after :func:`remove_repeated_bytes`; ``length_col``, if there, is counted anew.
 
     Characters that a cut splits are dropped.  Null texts and rows with a null id stay as they are; rows that share an
-    id get the text of one of them.
+    id get the text of one of them.  The other columns are joined back by id, so a text travels once.
     """
-    id_, kept = fresh("_id", df), fresh("_kept", df)
-    named = df.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias(id_), F.col(text_col).alias(kept))
-    texts = remove_repeats(named, plan_of(window, k), cut_text, [(kept, pa.string())], f"`{kept}` string", id_, kept)
-    texts = texts.filter(F.col(kept).isNotNull()).dropDuplicates([id_])
-    out = df.join(texts, F.col(id_col) == F.col(id_), "left")
-    changed = F.col(id_).isNotNull()
-    out = out.withColumn(text_col, F.when(changed, F.col(kept)).otherwise(F.col(text_col)))
+    id_, kept, none = fresh("_id", df), fresh("_kept", df), fresh("_none", df)
+    known = df.filter(F.col(id_col).isNotNull())
+    named = known.select(F.col(id_col).alias(id_), F.col(text_col).alias(kept))
+    texts = remove_repeats(named, plan_of(window, k), cut_text, [(kept, pa.string())], f"`{kept}` string", id_, kept).dropDuplicates([id_])
+    rest = known.withColumn(none, F.col(text_col).isNull()).drop(text_col)
+    out = rest.join(texts, F.col(id_col) == F.col(id_)).withColumn(text_col, F.when(~F.col(none), F.col(kept)))
     if length_col in df.columns:
         kind = df.schema[length_col].dataType
-        out = out.withColumn(length_col, F.when(changed, F.length(kept).cast(kind)).otherwise(F.col(length_col)))
-    return out.select(*df.columns)
+        out = out.withColumn(length_col, F.when(F.col(none), F.col(length_col)).otherwise(F.length(kept).cast(kind)))
+    return out.select(*df.columns).unionByName(df.filter(F.col(id_col).isNull()))
