@@ -143,7 +143,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     return prints.join(member, "_fp").select(F.col(id_col), hex_print(F.col("_fp")).alias("fingerprint"), "component_id")
 
 
-def similarity_radius(similarity: float, bits: int, spread: float = 2.0) -> int:
+def similarity_radius(similarity: float, bits: int, spread: float = 3.0) -> int:
     """Bits that may differ at this Jaccard similarity: as many as are expected, and ``spread`` standard deviations."""
     p = float(np.arccos(2 * similarity / (1 + similarity)) / np.pi)
     return int(bits * p + spread * (bits * p * (1 - p)) ** 0.5)
@@ -338,7 +338,7 @@ def drop_near_duplicates(
     """The rows of ``df`` without near copies: of each group linked at ``similarity`` or more the smallest id stays.
 
     Similarity is the Jaccard similarity of sets of ``k``-word shingles.  Fingerprints of ``bits`` bits find groups in
-    which it may be reached, with a radius two standard deviations beyond what is expected at the threshold; an exact
+    which it may be reached, with a radius three standard deviations beyond what is expected at the threshold; an exact
     check of the sets follows inside each group.  Shards hold ``block`` bits: as the number of documents grows beyond
     2 ** (block + 4), take a wider block and ``flips = block / 4 - 2``; with 256 bits such shards miss fewer than one
     pair in 200 at 0.8.  Documents of one fingerprint are copies of each other.  A row with a null id always stays.  Of
