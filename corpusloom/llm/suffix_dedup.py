@@ -201,7 +201,7 @@ def deep_shallow_sort(words: np.ndarray, group: np.ndarray | None = None, shallo
     return order, np.cumsum(starts) - 1
 
 
-def sort_windows(window: int, k: int, salt: int = 3, at_once: int = 400_000):
+def sort_windows(window: int, k: int, salt: int = 3, at_once: int = 200_000):
     """Round 3 for bytes: windows that also start in a document of smaller id, from the sorted suffixes."""
 
     def resolve(rank: W.Rank, doc: np.ndarray, first: np.ndarray, length: np.ndarray, data: np.ndarray) -> np.ndarray:
@@ -210,13 +210,14 @@ def sort_windows(window: int, k: int, salt: int = 3, at_once: int = 400_000):
         record = np.repeat(np.arange(len(doc)), n)
         at = begin[record] + np.arange(len(record)) - np.repeat(np.cumsum(n) - n, n)
         # All windows of a record have one anchor: the run of k bytes of least rank in its first window.
-        runs = rank(W.Spans(W.byte_tokens(data), salt).runs(k))
+        runs = rank(W.runs_of(W.byte_tokens(data), k, salt))
         reach = window - k + 1
         anchor = np.empty(len(doc), np.int64)
         for lo in range(0, len(doc), 8192):
             anchor[lo : lo + 8192] = runs[begin[lo : lo + 8192, None] + np.arange(reach)].argmin(1)
         anchor += begin
         key = W.mix(runs[anchor][record] + (anchor[record] - at).astype(np.uint64))
+        del runs, anchor
         out = np.zeros(len(data), bool)
         # Buckets of one suffix need no sort; the others are taken some at a time, a bucket never split.
         by = np.argsort(key)

@@ -68,6 +68,12 @@ class Spans:
         return mix(raw + np.uint64(k * int(_BASE) % (1 << 64)))
 
 
+def runs_of(tokens: np.ndarray, k: int, salt: int, step: int = 1 << 17) -> np.ndarray:
+    """Hashes of all runs of ``k`` tokens, of any number of tokens in bounded memory: a run's hash hangs on its tokens alone."""
+    n = len(tokens) - k + 1
+    return np.concatenate([Spans(tokens[lo : lo + step + k - 1], salt).runs(k)[: n - lo] for lo in range(0, n, step)]) if n > 0 else np.zeros(0, np.uint64)
+
+
 def byte_tokens(data: bytes | np.ndarray) -> np.ndarray:
     return _BYTE[np.frombuffer(data, np.uint8)]
 

@@ -266,3 +266,10 @@ def test_components_on_chains(spark):
     edges = [(i, i + 1) for i in range(0, n)] + [(1000 - i, 1000) for i in range(1, 30)] + [(7, 7), (3, 2)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == dict.fromkeys(range(n + 1), 0) | dict.fromkeys(range(971, 1001), 971)
+
+
+def test_runs_in_steps():
+    rng = np.random.default_rng(3)
+    for n in (0, 3, 4, 50, 333):
+        x = windows.mix(rng.integers(0, 9, n).astype(np.uint64))
+        assert (windows.runs_of(x, 4, 3, step=7) == windows.Spans(x, 3).runs(4)).all()
