@@ -219,6 +219,8 @@ def link_keyed(keyed: DataFrame, radius: int, tree_nodes: int = 1024) -> DataFra
         out = []
         for (_, lo, hi), rows in grouped(batches, 3):
             if len(rows) > 1:
+                # By node, so that the least of a set is what its links lead to, in every shard the same if it is there.
+                rows.sort(key=lambda r: r[1])
                 node = {int.from_bytes(fp, "big"): n for _, n, fp in rows}
                 own = [int.from_bytes(fp, "big") for part, _, fp in rows if part == lo]
                 guests = [int.from_bytes(fp, "big") for part, _, fp in rows if part != lo]
@@ -328,7 +330,7 @@ def link_wide(own: list[int], guests: list[int], radius: int) -> list[tuple[int,
         for n in near[1:]:
             sets.join(near[0], n)
         if near:
-            out.append((g, tree.values[near[0]]))
+            out.append((g, tree.values[min(near)]))
     return out + [(tree.values[i], tree.values[sets.root(i)]) for i in range(len(tree.values)) if sets.root(i) != i]
 
 
