@@ -80,7 +80,7 @@ class Scanner:
         self.seeds.make_automaton()
 
     def fuzzy(self, norm: str) -> list[tuple[str, int, int, int]]:
-        """Label, span in characters of the normal form, edits; spans of one notice do not overlap."""
+        """Label, span in characters of the normal form, edits; spans of one notice do not overlap, and no match is left between them."""
         near: dict[int, list[tuple[int, int]]] = {}
         for end, own in self.seeds.iter(norm):
             for s in own:
@@ -97,20 +97,32 @@ class Scanner:
                     at.append([lo, hi])
         out = []
         for notice, spans in windows.items():
+            label, text, k = self.notices[notice]
+            # Blocks of bounded length keep the work of the matcher linear.  Only matches that start in the block count; the
+            # rest is so long that nothing beyond it changes them: a match gives way to one of fewer edits only, k times at most.
+            step, ahead = 40 * len(text), (k + 2) * (len(text) + 2 * k)
             for lo, hi in spans:
-                # Blocks of bounded length, each with the margin of a match, keep the work of the matcher linear.
-                text, k = self.notices[notice][1:]
-                step, margin = 40 * len(text), len(text) + 2 * k
-                seen = max(0, lo)
-                for a in range(max(0, lo), hi, step):
-                    pos = max(a, seen)
-                    while m := self.verify[notice].search(norm, pos, min(len(norm), a + step + margin, hi)):
-                        if m.end() <= pos:
-                            break
-                        out.append((self.notices[notice][0], m.start(), m.end(), sum(m.fuzzy_counts)))
-                        pos = seen = m.end()
+                a = max(0, lo)
+                while a < min(hi, len(norm)):
+                    own = [m for m in self.matches(notice, norm, a, min(len(norm), a + step + ahead, hi)) if m[0] < a + step]
+                    out += [(label, *m) for m in own]
+                    a = max([a + step, *(m[1] for m in own)])
         return sorted(out, key=lambda x: (x[1], x[2], x[0]))
 
+    def matches(self, notice: int, norm: str, lo: int, hi: int) -> list[tuple[int, int, int]]:
+        """Start, end, edits: the match of fewest edits, then those of the stretches before and after it, until none is left."""
+        _, text, k = self.notices[notice]
+        out, todo = [], [(lo, hi)]
+        while todo:
+            a, b = todo.pop()
+            if b - a < max(1, len(text) - k):
+                continue
+            m = self.verify[notice].search(norm, a, b)
+            if m and m.end() > m.start():
+                out.append((m.start(), m.end(), sum(m.fuzzy_counts)))
+                todo += [(a, m.start()), (m.end(), b)]
+        return out
+
     def __call__(self, text: str | None) -> tuple:
         norm = normal(text)
         n_words = norm.count(" ") - 1

@@ -154,6 +154,48 @@ def test_fuzzy_notices():
             assert label in scan(body)[5].split(",")
 
 
+def edits_within(text, norm, k):
+    """Ends of the substrings of ``norm`` within ``k`` edits of ``text``."""
+    row = [0] * (len(norm) + 1)
+    for i, c in enumerate(text):
+        new = [i + 1]
+        for j, d in enumerate(norm):
+            new.append(min(row[j] + (c != d), row[j + 1] + 1, new[j] + 1))
+        row = new
+    return [j for j, e in enumerate(row) if e <= k]
+
+
+def test_all_copies_side_by_side():
+    notices = license_scan.NOTICES
+    scan = license_scan.Scanner(license_scan.PHRASES, notices)
+    text = notices[0][1]
+    near = text.replace("granted", "grqnted")
+    for copies in ([near] * 20 + [text], [near, text], [text, near], [near, text] * 60, [near] * 100 + [text] * 3):
+        at, want = 1, []
+        for c in copies:
+            want.append(("mit", at, at + len(c), int(c != text)))
+            at += len(c) + 1
+        assert scan.fuzzy(license_scan.normal(" ".join(copies))) == want
+    rng = np.random.default_rng(4)
+    for t in range(60):
+        label, text, k = notices[t % len(notices)]
+        scan = license_scan.Scanner({}, [(label, text, k)])
+        parts = []
+        for _ in range(int(rng.integers(2, 7))):
+            c = list(text)
+            for _ in range(int(rng.integers(0, k + 2))):
+                at = int(rng.integers(len(c)))
+                c[at : at + 1] = [[], ["z"], [c[at], "z"]][int(rng.integers(3))]
+            parts += ["".join(c)] + ["words between"] * int(rng.integers(2))
+        norm = license_scan.normal(" ".join(parts))
+        spans = scan.fuzzy(norm)
+        # Nothing that matches is left before, between or after the spans, and their edits are those of the texts.
+        cuts = [0, *(x for s in spans for x in s[1:3]), len(norm)]
+        assert cuts == sorted(cuts) and not any(edits_within(text, norm[a:b], k) for a, b in zip(cuts[::2], cuts[1::2], strict=True))
+        for _, a, b, e in spans:
+            assert e <= k and b - a in edits_within(text, norm[a:b], e) and not edits_within(text, norm[a:b], e - 1)
+
+
 # Quality rules --------------------------------------------------------------------------------------------------
 
 def brute_quality(text):
