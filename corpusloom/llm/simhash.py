@@ -149,8 +149,8 @@ def similarity_radius(similarity: float, bits: int, spread: float = 3.0) -> int:
     return int(bits * p + spread * (bits * p * (1 - p)) ** 0.5)
 
 
-def long_fingerprint(text: str | None, k: int, bits: int, seed: int, block: int, flips: int) -> tuple[bytes, list[int]]:
-    """A fingerprint of ``bits`` bits over the distinct shingles, and its shard keys.
+def long_fingerprint(text: str | None, k: int, bits: int, seed: int, block: int, flips: int) -> tuple[bytes, list[int], int]:
+    """A fingerprint of ``bits`` bits over the distinct shingles, its shard keys, and a hash of the set of shingles.
 
     A key is a block of ``block`` bits.  Each block also gives the keys with any of its ``flips`` bits of the closest
     votes turned over: those are the bits in which near copies differ first.
@@ -174,7 +174,7 @@ def long_fingerprint(text: str | None, k: int, bits: int, seed: int, block: int,
     for j in range(flips):
         keys = np.concatenate((keys, keys ^ (np.int64(1) << near[:, j : j + 1].astype(np.int64))), axis=1)
     keys = keys + (np.arange(len(values), dtype=np.int64) << 32)[:, None]
-    return np.packbits(lead > 0).tobytes(), keys.ravel().tolist()
+    return np.packbits(lead > 0).tobytes(), keys.ravel().tolist(), int(np.uint64(xxh64_intdigest(hashes.tobytes())).view(np.int64))
 
 
 def in_parts(rows: DataFrame, key: str, by: str, most: int) -> DataFrame:
@@ -343,24 +343,34 @@ def drop_near_duplicates(
     which it may be reached, with a radius three standard deviations beyond what is expected at the threshold; an exact
     check of the sets follows inside each group.  Shards hold ``block`` bits: as the number of documents grows beyond
     2 ** (block + 4), take a wider block and ``flips = block / 4 - 2``; with 256 bits such shards miss fewer than one
-    pair in 200 at 0.8.  Documents of one fingerprint are copies of each other.  A row with a null id always stays.  Of
+    pair in 200 at 0.8.  Documents of one set of shingles are copies of each other; different sets of one
+    fingerprint are a group, in which the exact check takes every set.  A row with a null id always stays.  Of
     repeated rows one stays.  All columns of ``df`` are returned; an empty table gives no rows.
     """
     from corpusloom.llm.common import components, fresh, map_texts, materialise
 
     # Batches are bounded by map_texts, and so are those of the check.
-    fields = [T.StructField("_fp", T.BinaryType()), T.StructField("_keys", T.ArrayType(T.LongType()))]
+    fields = [T.StructField("_fp", T.BinaryType()), T.StructField("_keys", T.ArrayType(T.LongType())), T.StructField("_set", T.LongType())]
     base = df.select(F.col(id_col).cast("bigint").alias("_id"), F.col(text_col).cast("string").alias("_text"))
     prints = map_texts(base, "_id", "_text", lambda: lambda t: long_fingerprint(t, k, bits, seed, block, flips), fields)
     prints = materialise(prints)
-    # Equal fingerprints are one node, named by the least id.
-    classes = materialise(prints.filter("_id is not null").groupBy("_fp").agg(F.min("_id").alias("node"), F.first("_keys").alias("_keys")))
-    keyed = classes.select("node", F.col("_fp").alias("fp"), F.explode("_keys").alias("key"))
-    groups = materialise(components(link_keyed(keyed, similarity_radius(similarity, bits), tree_nodes)))
+    # Equal sets are one node, named by the least id; all sets of a fingerprint are in its group, which has the keys of each.
+    sets = materialise(prints.filter("_id is not null").groupBy("_fp", "_set").agg(F.min("_id").alias("node"), F.first("_keys").alias("_keys")))
+    classes = materialise(sets.groupBy("_fp").agg(F.min(F.struct("node", "_set", "_keys")).alias("least"), F.count("*").alias("n")))
+    keyed = classes.select(F.col("least.node").alias("node"), F.col("_fp").alias("fp"), F.explode("least._keys").alias("key"))
+    several = classes.filter("n > 1")
+    n = several.count()
+    if n:
+        further = sets.join(checked_broadcast(several, n), "_fp").filter(F.col("_set") != F.col("least._set"))
+        keyed = keyed.unionByName(further.select(F.col("least.node").alias("node"), F.col("_fp").alias("fp"), F.explode(F.array_except("_keys", "least._keys")).alias("key")).distinct())
+    links = link_keyed(keyed, similarity_radius(similarity, bits), tree_nodes)
+    if n:
+        links = links.unionByName(further.select(F.col("node").alias("a"), F.col("least.node").alias("b")))
+    groups = materialise(components(links))
     roots = components(verified(groups, base, k, similarity))
-    # Ids that go: of each fingerprint all but the least, and fingerprints that are not the least of their group.
-    least = classes.select("_fp", "node").join(roots.filter("node <> root").select("node").withColumn("_late", F.lit(True)), "node", "left")
-    gone = prints.filter("_id is not null").select("_id", "_fp").join(least, "_fp").filter("_late or _id <> node")
+    # Ids that go: of each set all but the least, and sets that are not the least of their group.
+    least = sets.select("_fp", "_set", "node").join(roots.filter("node <> root").select("node").withColumn("_late", F.lit(True)), "node", "left")
+    gone = prints.filter("_id is not null").select("_id", "_fp", "_set").join(least, ["_fp", "_set"]).filter("_late or _id <> node")
     out_id = fresh("_gone", df)
     gone = materialise(gone.select(F.col("_id").alias(out_id)).distinct())
     # An id that stays with one text and goes with another is kept apart by no column; it goes.

@@ -231,6 +231,25 @@ def test_drop_near_duplicates(docs, rows):
             assert max(near(own, s) for j, s in every.items() if j != i) >= 0.8
 
 
+def test_sets_of_one_fingerprint_are_all_checked(spark):
+    """A third text at 0.8 to the second of two different texts of one fingerprint, and less to the first."""
+    rng = random.Random(6)
+    of = lambda words: simhash.long_fingerprint(" ".join(words), 1, 64, 42, 16, 2)
+    while True:
+        first = [f"w{rng.randrange(10**6)}" for _ in range(200)]
+        extra = f"x{rng.randrange(10**6)}"
+        third = [*rng.sample(first, 160), extra]
+        a, b, c = of(first), of([*first, extra]), of(third)
+        if len(set(first)) == 200 and a[0] == b[0] and (int.from_bytes(a[0], "big") ^ int.from_bytes(c[0], "big")).bit_count() <= 15 and set(a[1]) & set(b[1]) & set(c[1]):
+            break
+    near = lambda x, y: len(set(x) & set(y)) / len(set(x) | set(y))
+    assert near(first, third) < 0.8 <= near([*first, extra], third)
+    texts = {1: first, 2: [*first, extra], 3: third, 4: [f"y{i}" for i in range(50)]}
+    df = frame(spark, [(i, " ".join(w), "en", "s") for i, w in texts.items()], 2)
+    assert {r.doc_id for r in simhash.drop_near_duplicates(df, k=1, bits=64).collect()} == {1, 4}
+    assert {r.doc_id for r in simhash.drop_near_duplicates(df.filter("doc_id <> 2"), k=1, bits=64).collect()} == {1, 3, 4}
+
+
 def test_verified_links_are_exact(spark):
     rng = random.Random(5)
     base = [[f"w{rng.randrange(400)}" for _ in range(60)] for _ in range(4)]
