@@ -149,8 +149,8 @@ def similarity_radius(similarity: float, bits: int, spread: float = 3.0) -> int:
     return int(bits * p + spread * (bits * p * (1 - p)) ** 0.5)
 
 
-def long_fingerprint(text: str | None, k: int, bits: int, seed: int, block: int, flips: int) -> tuple[bytes, list[int], int]:
-    """A fingerprint of ``bits`` bits over the distinct shingles, its shard keys, and a hash of the set of shingles.
+def long_fingerprint(text: str | None, k: int, bits: int, seed: int, block: int, flips: int, small: int = 0) -> tuple[bytes, list[int], int, list[int] | None]:
+    """A fingerprint of ``bits`` bits over the distinct shingles, its shard keys, a hash of the set of shingles, and a set of up to ``small`` itself.
 
     A key is a block of ``block`` bits.  Each block also gives the keys with any of its ``flips`` bits of the closest
     votes turned over: those are the bits in which near copies differ first.
@@ -174,7 +174,7 @@ def long_fingerprint(text: str | None, k: int, bits: int, seed: int, block: int,
     for j in range(flips):
         keys = np.concatenate((keys, keys ^ (np.int64(1) << near[:, j : j + 1].astype(np.int64))), axis=1)
     keys = keys + (np.arange(len(values), dtype=np.int64) << 32)[:, None]
-    return np.packbits(lead > 0).tobytes(), keys.ravel().tolist(), int(np.uint64(xxh64_intdigest(hashes.tobytes())).view(np.int64))
+    return np.packbits(lead > 0).tobytes(), keys.ravel().tolist(), int(np.uint64(xxh64_intdigest(hashes.tobytes())).view(np.int64)), hashes.view(np.int64).tolist() if len(hashes) <= small else None
 
 
 def in_parts(rows: DataFrame, key: str, by: str, most: int) -> DataFrame:
@@ -250,6 +250,61 @@ def alike(wanted: list[np.ndarray], among: list[np.ndarray], similarity: float,
         yield i, found[found < i] if same else found
 
 
+def spanning(own: list[tuple[int, np.ndarray]], guests: list[tuple[int, np.ndarray]] | None, similarity: float) -> list[tuple[int, int]]:
+    """A spanning set of the links of the similarity among ``own`` (nodes and sets), or between ``guests`` and ``own`` unless they are None; exact."""
+    same = guests is None
+    wanted = own if same else guests
+    if not own or not wanted:
+        return []
+    names, out, union = [n for n, _ in own], [], Union()
+    union.grow(len(names))
+    for i, found in alike([s for _, s in wanted], [s for _, s in own], similarity, same):
+        for j in found.tolist():
+            union.join(found[0], j)
+        if len(found):
+            if same:
+                union.join(int(found[0]), i)
+            else:
+                out.append((wanted[i][0], names[found[0]]))
+    return out + [(names[j], names[union.root(j)]) for j in range(len(names)) if union.root(j) != j]
+
+
+def small_links(sets: DataFrame, similarity: float, block: int = 1024) -> DataFrame:
+    """Spanning links of ``node`` whose sets of hashes, ``_small``, have the similarity; exact, none is missed.
+
+    Sets of the similarity share one of their first ``size - ceil(similarity * size) + 1`` hashes in any order that all
+    sets keep; hashes of over ``block`` sets come last in it.  Sets that share such a hash are compared; those of a hash
+    of over ``block`` sets are dealt to parts, and each pair of parts is compared.
+    """
+    from corpusloom.llm.common import materialise
+
+    sets = sets.select("node", "_small").filter("size(_small) > 0")
+    each = sets.select("node", "_small", F.explode("_small").alias("s"))
+    hot = materialise(each.groupBy("s").count().filter(F.col("count") > block).select("s", F.lit(1).alias("hot")))
+    n = hot.count()
+    if n:
+        each = each.join(checked_broadcast(hot, n), "s", "left")
+        sets = each.groupBy("node", "_small").agg(F.sort_array(F.collect_list(F.struct(F.coalesce("hot", F.lit(0)).alias("hot"), "s"))).alias("o")).select("node", "_small", F.col("o.s").alias("o"))
+    else:
+        sets = sets.withColumn("o", F.sort_array("_small"))
+    first = F.slice("o", F.lit(1), (F.size("o") - F.ceil(F.size("o") * similarity - 1e-9) + 1).cast("int"))
+    dealt = in_parts(sets.select("node", "_small", F.explode(first).alias("key")), "key", "node", block).select("key", "lo", "hi", "own", "node", "_small")
+
+    def run(batches):
+        out = []
+        for (_, lo, hi), rows in grouped(batches, 3):
+            sides: list[list[tuple[int, np.ndarray]]] = [[], []]
+            for part, node, hashes in rows:
+                sides[part != lo].append((node, np.array(hashes, np.int64)))
+            out += spanning(sides[0], None if lo == hi else sides[1], similarity)
+            if len(out) > 10_000:
+                yield pairs_batch(out)
+                out = []
+        yield pairs_batch(out)
+
+    return dealt.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "own", "node").mapInArrow(tidy(run), "a bigint, b bigint")
+
+
 def verified(members: DataFrame, texts: DataFrame, k: int, similarity: float, block: int = 512) -> DataFrame:
     """Spanning links within groups, of pairs whose sets of shingles have the similarity, exactly.
 
@@ -292,21 +347,7 @@ def verified(members: DataFrame, texts: DataFrame, k: int, similarity: float, bl
                 if node not in side:  # repeated rows are one
                     text = unpack.decompress(data).decode("utf-8", "surrogatepass")
                     side[node] = np.unique(np.array([xxh64_intdigest(s) for s in shingles(text, k)], np.uint64))
-            same = lo == hi
-            among, wanted = sets[0], sets[0] if same else sets[1]
-            if not among or not wanted:
-                continue
-            names, guests, union = list(among), list(wanted), Union()
-            union.grow(len(names))
-            for i, found in alike(list(wanted.values()), list(among.values()), similarity, same):
-                for j in found.tolist():
-                    union.join(found[0], j)
-                if len(found):
-                    if same:
-                        union.join(int(found[0]), i)
-                    else:
-                        out.append((guests[i], names[found[0]]))
-            out += [(names[j], names[union.root(j)]) for j in range(len(names)) if union.root(j) != j]
+            out += spanning(list(sets[0].items()), None if lo == hi else list(sets[1].items()), similarity)
             if len(out) > 10_000:
                 yield pairs_batch(out)
                 out = []
@@ -335,27 +376,29 @@ def link_wide(own: list[int], guests: list[int], radius: int) -> list[tuple[int,
 
 
 def drop_near_duplicates(
-    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, similarity: float = 0.8, bits: int = 256, block: int = 16, flips: int = 2, seed: int = 42, tree_nodes: int = 1024
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, similarity: float = 0.8, bits: int = 256, block: int = 16, flips: int = 2, seed: int = 42, tree_nodes: int = 1024, small: int = 48
 ) -> DataFrame:
     """The rows of ``df`` without near copies: of each group linked at ``similarity`` or more the smallest id stays.
 
     Similarity is the Jaccard similarity of sets of ``k``-word shingles.  Fingerprints of ``bits`` bits find groups in
     which it may be reached, with a radius three standard deviations beyond what is expected at the threshold; an exact
     check of the sets follows inside each group.  Shards hold ``block`` bits: as the number of documents grows beyond
-    2 ** (block + 4), take a wider block and ``flips = block / 4 - 2``; with 256 bits such shards miss fewer than one
-    pair in 200 at 0.8.  Documents of one set of shingles are copies of each other; different sets of one
+    2 ** (block + 4), take a wider block and ``flips = block / 4 - 2``; with 256 bits such shards and the radius miss
+    fewer than one pair in 200 at 0.8 of sets of over 48 shingles.  Smaller sets would lose more (9 against 9 shingles
+    about 3 %): pairs with a set of up to ``small`` shingles are found by an exact index instead, so none is missed.  Documents of one set of shingles are copies of each other; different sets of one
     fingerprint are a group, in which the exact check takes every set.  A row with a null id always stays.  Of
     repeated rows one stays.  All columns of ``df`` are returned; an empty table gives no rows.
     """
     from corpusloom.llm.common import components, fresh, map_texts, materialise
 
     # Batches are bounded by map_texts, and so are those of the check.
-    fields = [T.StructField("_fp", T.BinaryType()), T.StructField("_keys", T.ArrayType(T.LongType())), T.StructField("_set", T.LongType())]
+    fields = [T.StructField("_fp", T.BinaryType()), T.StructField("_keys", T.ArrayType(T.LongType())), T.StructField("_set", T.LongType()), T.StructField("_small", T.ArrayType(T.LongType()))]
+    most = int(small / similarity + 1e-9)  # the largest set that a small one can be similar to
     base = df.select(F.col(id_col).cast("bigint").alias("_id"), F.col(text_col).cast("string").alias("_text"))
-    prints = map_texts(base, "_id", "_text", lambda: lambda t: long_fingerprint(t, k, bits, seed, block, flips), fields)
+    prints = map_texts(base, "_id", "_text", lambda: lambda t: long_fingerprint(t, k, bits, seed, block, flips, most), fields)
     prints = materialise(prints)
     # Equal sets are one node, named by the least id; all sets of a fingerprint are in its group, which has the keys of each.
-    sets = materialise(prints.filter("_id is not null").groupBy("_fp", "_set").agg(F.min("_id").alias("node"), F.first("_keys").alias("_keys")))
+    sets = materialise(prints.filter("_id is not null").groupBy("_fp", "_set").agg(F.min("_id").alias("node"), F.first("_keys").alias("_keys"), F.first("_small").alias("_small")))
     classes = materialise(sets.groupBy("_fp").agg(F.min(F.struct("node", "_set", "_keys")).alias("least"), F.count("*").alias("n")))
     keyed = classes.select(F.col("least.node").alias("node"), F.col("_fp").alias("fp"), F.explode("least._keys").alias("key"))
     several = classes.filter("n > 1")
@@ -367,7 +410,11 @@ def drop_near_duplicates(
     if n:
         links = links.unionByName(further.select(F.col("node").alias("a"), F.col("least.node").alias("b")))
     groups = materialise(components(links))
-    roots = components(verified(groups, base, k, similarity))
+    near = verified(groups, base, k, similarity)
+    few = sets.filter("size(_small) > 0")
+    if few.limit(2).count() > 1:
+        near = near.unionByName(small_links(few, similarity, tree_nodes))
+    roots = components(near)
     # Ids that go: of each set all but the least, and sets that are not the least of their group.
     least = sets.select("_fp", "_set", "node").join(roots.filter("node <> root").select("node").withColumn("_late", F.lit(True)), "node", "left")
     gone = prints.filter("_id is not null").select("_id", "_fp", "_set").join(least, ["_fp", "_set"]).filter("_late or _id <> node")

@@ -250,6 +250,31 @@ def test_sets_of_one_fingerprint_are_all_checked(spark):
     assert {r.doc_id for r in simhash.drop_near_duplicates(df.filter("doc_id <> 2"), k=1, bits=64).collect()} == {1, 3, 4}
 
 
+@pytest.mark.parametrize("nodes", [6, 1024])
+def test_near_copies_of_short_texts(spark, nodes):
+    """All links of small sets are found, also where a shingle is in most of them."""
+    rng = random.Random(nodes)
+    texts = []
+    for i in range(240):
+        if i % 3 == 0:
+            n = rng.randrange(4, 60)
+            base = [f"w{rng.randrange(10**6)}" for _ in range(n)] + ["common"] * (i % 2)
+        most = max(1, len(base) // 10)
+        texts.append((i, " ".join([w for w in base if rng.random() > 0.04] + [f"x{rng.randrange(10**6)}" for _ in range(rng.randrange(most + 1))])))
+    sets = {i: shingle_set(t, 1) for i, t in texts}
+    want = brute_links(list(sets), lambda a, b: len(sets[a] & sets[b]) >= 0.8 * len(sets[a] | sets[b]) - 1e-9)
+    kept = simhash.drop_near_duplicates(frame(spark, [(i, t, "en", "s") for i, t in texts], 4), k=1, tree_nodes=nodes, small=80)
+    assert {r.doc_id for r in kept.collect()} == set(want.values()) and 80 < len(set(want.values())) < 200
+    # Pairs at the threshold itself, of 9 and 9 shingles and of 4 and 5; fingerprints alone lose some.
+    pairs = []
+    for i in range(150):
+        w = [f"p{i}w{j}" for j in range(9)]
+        pairs += [(4 * i, w), (4 * i + 1, [*w[:8], "z"]), (4 * i + 2, w[4:8] + ["q"]), (4 * i + 3, w[4:8])]
+        pairs[-2:] = [(n, [f"s{x}" for x in w]) for n, w in pairs[-2:]]
+    kept = simhash.drop_near_duplicates(frame(spark, [(i, " ".join(w), "en", "s") for i, w in pairs], 4), k=1, tree_nodes=nodes)
+    assert {r.doc_id for r in kept.collect()} == set(brute_links_of(dict(pairs)).values())
+
+
 def test_verified_links_are_exact(spark):
     rng = random.Random(5)
     base = [[f"w{rng.randrange(400)}" for _ in range(60)] for _ in range(4)]
@@ -268,6 +293,11 @@ def test_verified_links_are_exact(spark):
     assert len(set(want.values())) < 90
 
 
+def brute_links_of(words, similarity=0.8):
+    sets = {i: set(w) for i, w in words.items()}
+    return brute_links(list(sets), lambda a, b: len(sets[a] & sets[b]) >= similarity * len(sets[a] | sets[b]) - 1e-9)
+
+
 def brute_links(nodes, linked):
     label = {n: n for n in nodes}
     for a in nodes:
