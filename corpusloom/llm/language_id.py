@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.llm.common import bound_batches, tidy
+from corpusloom.llm.common import bound_batches, checked_broadcast, materialise, tidy
 
 FIELDS = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("ambiguous", T.BooleanType())]
 DIM_BITS = 13
@@ -45,9 +45,15 @@ def codewords(k: int, seed: int = 5) -> np.ndarray:
     for _ in range(50):
         code = rng.choice([-1.0, 1.0], (k, bits))
         code = code[:, np.abs(code.sum(1 - 1)) < k]
-        near = min(int((code[i] != code[j]).sum()) for i in range(k) for j in range(i))
+        if k > 2000:  # too many pairs to compare; rows that all differ are enough
+            if len(np.unique(code, axis=0)) == k:
+                return code
+            continue
+        near = int(code.shape[1] - (code @ code.T)[np.tril_indices(k, -1)].max()) // 2
         if near > best[0]:
             best = (near, code)
+    if best[1] is None:
+        raise ValueError(f"no codewords for {k} classes")
     return best[1]
 
 
@@ -66,7 +72,8 @@ class LanguageModel:
         w, b = np.zeros((1 << DIM_BITS, code.shape[1]), np.float32), np.zeros(code.shape[1], np.float32)
         if code.shape[1]:
             x = np.stack([features(t) for t in texts])
-            y = code[[names.index(v) for v in langs]].astype(np.float32)
+            place = {v: i for i, v in enumerate(names)}
+            y = code[[place[v] for v in langs]].astype(np.float32)
             # Adagrad on the logistic loss, all bits at once.
             gw, gb = np.full_like(w, 1e-8), np.full_like(b, 1e-8)
             for _ in range(rounds):
@@ -97,7 +104,8 @@ def identify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
     """Predict the language of each whole text: ``held_out``, ``lang_pred``, ``score``, ``ambiguous``.
 
     Learns from about ``train_rows`` labelled rows, an equal share for each language, chosen by a hash of the id among
-    rows that are not held out.  A text that is null or has no letter is ``und`` with score 0, and so is every text if
+    rows that are not held out; every value of the column is learned, from one row at least, at 32 KB of the driver's
+    memory for a row.  A text that is null or has no letter is ``und`` with score 0, and so is every text if
     no row is labelled.  Repeated rows give repeated results; other columns are ignored.
     """
     from corpusloom.llm.common import map_texts
@@ -111,16 +119,20 @@ def identify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
 def fit_language_model(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", train_rows: int = 2000) -> LanguageModel:
     base = df.select(F.col(id_col).alias("_id"), F.col(text_col).cast("string").alias("_text"), F.col(lang_col).cast("string").alias("_lang"))
     base = base.filter("_lang is not null and _text is not null").filter(~held_out("_id"))
-    # Languages are few; should a column hold very many values, the most frequent 200 are learned.
-    counts = base.groupBy("_lang").count().orderBy(F.desc("count"), "_lang").limit(200).collect()
-    if not counts:
+    # Languages are few; should a column hold very many values, all are learned, and each has a row at least.
+    counts = materialise(base.groupBy("_lang").agg(F.count("*").alias("_n")))
+    k = counts.count()
+    if not k:
         return LanguageModel.fit([], [])
-    share, scale = max(1, train_rows // len(counts)), 1 << 20
-    keep = None
-    for lang, n in counts:
-        keep = (F.when if keep is None else keep.when)(F.col("_lang") == lang, min(scale, -(-scale * share // n)))
-    picked = base.filter(F.pmod(F.xxhash64("_id", F.lit(11)), F.lit(scale)) < keep).select("_id", "_text", "_lang")
-    rows = picked.orderBy(F.xxhash64("_id", F.lit(11)), "_lang", "_text").limit(2 * train_rows).collect()  # bounded by train_rows
+    share, place = max(1, train_rows // k), F.xxhash64("_id", F.lit(11))
+    scale = 1 << 20
+    wanted = counts.select("_lang", F.least(F.lit(scale), F.ceil(F.lit(scale * share) / F.col("_n"))).alias("_keep"))
+    picked = base.join(checked_broadcast(wanted, k), "_lang").filter(F.pmod(place, F.lit(scale)) < F.col("_keep")).select("_id", "_text", "_lang")
+    rows = picked.orderBy(place, "_lang", "_text").limit(2 * max(train_rows, k)).collect()  # bounded by train_rows and the languages
+    if lost := k - len({r[2] for r in rows}):
+        # The hash may pass over a language with few rows: its least row by the hash stands for it.
+        seen = checked_broadcast(df.sparkSession.createDataFrame([(v,) for v in sorted({r[2] for r in rows})], "_lang string"), k - lost)
+        rows += base.join(seen, "_lang", "left_anti").groupBy("_lang").agg(F.min(F.struct(place.alias("_at"), "_id", "_text")).alias("m")).select("m._id", "m._text", "_lang").orderBy("_lang").collect()
     return LanguageModel.fit([r[1] for r in rows], [r[2] for r in rows])
 
 

@@ -320,3 +320,17 @@ def test_map_operators_empty(none):
     assert packing.pack(none, WORD_FILE).count() == 0
     assert license_scan.scan_licenses(none).count() == 0
     assert byte_bpe.encode_texts(none, RANK_FILE, P.PATTERN).count() == 0
+
+
+def test_every_language_is_learned(spark):
+    rows = [(i, f"wort{i % 230} und satz{i % 230} " * 3, f"l{i % 230}", "s") for i in range(230 * 6)]
+    want = {r[2] for r in rows if zlib.crc32(str(r[0]).encode()) % 3 != 1}
+    assert len(want) > 200
+    for train_rows in (100, 400):
+        assert set(language_id.fit_language_model(frame(spark, rows, 4), train_rows=train_rows).langs) == want
+
+
+def test_codewords_differ():
+    for k in (7, 40, 3000):
+        code = language_id.codewords(k)
+        assert len(np.unique(code, axis=0)) == k
