@@ -1,9 +1,10 @@
 """Suffix-array dedup: bytes that repeat from documents of smaller id go; suffixes are ordered by deep-shallow sorting.
 
 Suffixes are first put in buckets, by the anchor of their window and its offset.  A multikey quicksort, eight bytes to
-a character and all buckets at once, orders them to a shallow depth.  Groups that still share a prefix are ordered by
-blind tries: a search goes down by single bits, compares once with the leaf it reaches, and the new leaf is put in at
-the first bit that differs.
+a character and all buckets at once, orders them to a shallow depth of 24 bytes.  Groups of up to 48 that still share a
+prefix are ordered by blind tries: a search goes down by single bits, compares once with the leaf it reaches, and the
+new leaf is put in at the first bit that differs.  Larger groups, those of passages that very many documents share, go
+on with the quicksort to the end and see no trie; the order is the same.
 """
 
 from __future__ import annotations
