@@ -46,7 +46,7 @@ STAGES = [
     ("packing", pack),
 ]
 
-#: The stages are beyond SQL; tests hold them against brute force.
+#: The stages are beyond SQL; tests hold the two dedup stages here, and each operator by itself, against brute force.
 ORACLE_SQL = None
 
 
