@@ -32,7 +32,7 @@ SPARK_BATCH, BATCH = f"{64 << 20}b", "4m"
 
 
 def bound_batches(spark: SparkSession) -> None:
-    """Bound the bytes of a batch to Python, unless the session has a bound of its own."""
+    """Bound the bytes of a batch to Python, unless the session has a bound of its own; for applications, operators leave the session alone."""
     key = "spark.sql.execution.arrow.maxBytesPerBatch"
     if spark.conf.get(key) == SPARK_BATCH:
         spark.conf.set(key, BATCH)
@@ -79,7 +79,6 @@ def map_texts(df: DataFrame, id_col: str, text_col: str, make: Callable[[], Call
 
     ``make`` runs once in each task.  Other columns are not read, so their names cannot clash.
     """
-    bound_batches(df.sparkSession)
     fields = list(fields)
     schema = T.StructType([T.StructField(id_col, df.schema[id_col].dataType), *fields])
 

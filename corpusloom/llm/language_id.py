@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.llm.common import bound_batches, checked_broadcast, materialise, tidy
+from corpusloom.llm.common import checked_broadcast, materialise, tidy
 
 FIELDS = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("ambiguous", T.BooleanType())]
 DIM_BITS = 13
@@ -140,7 +140,6 @@ def drop_unidentified(df: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """The rows of ``df`` whose language can be told: neither ``und`` nor ambiguous; all their columns."""
     import pyarrow as pa
 
-    bound_batches(df.sparkSession)
     shared = df.sparkSession.sparkContext.broadcast(fit_language_model(df, id_col, text_col, lang_col, train_rows))
     at = df.columns.index(text_col)
 

@@ -22,9 +22,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.llm.common import bound_batches, tidy
+from corpusloom.llm.common import tidy
 from corpusloom.llm.byte_bpe import Kept
-from corpusloom.llm.windows import span_hashes, word_spans
+from corpusloom.llm.windows import word_hashes, word_spans
 
 
 #: Fixed value: a pattern under which a word of letters, or of letters and one stop, needs no search.
@@ -122,7 +122,7 @@ class WordTokenizer:
         raw = [t.encode() for t in texts]
         data = b"\n".join(raw)
         start, end = self._spans(data)
-        _, first, inverse = np.unique(span_hashes(data, start, end), return_index=True, return_inverse=True)
+        _, first, inverse = np.unique(word_hashes(data, start, end), return_index=True, return_inverse=True)
         found = self.words.all([data[a:b].decode() for a, b in zip(start[first].tolist(), end[first].tolist(), strict=True)], self._encode_words)
         size = np.fromiter(map(len, found), np.int64, len(found)) // 4
         ids = np.frombuffer(b"".join(found), "<u4")
@@ -194,7 +194,6 @@ PIECES = "start bigint, length bigint, ids_crc32 bigint, doc_tokens bigint"
 
 def tokenise(df: DataFrame, path: str, end_id: int, room: int, id_col: str, text_col: str, with_ids: bool) -> DataFrame:
     """One row for each piece: a full sequence, or the rest of a document; with its ids if asked for."""
-    bound_batches(df.sparkSession)
     kind = df.schema[id_col].dataType.simpleString()
 
     def run(batches):

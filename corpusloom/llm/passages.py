@@ -1,16 +1,21 @@
 """Repeated passages over a corpus: the rounds that substring dedup and suffix-array dedup share.
 
-0. Runs of tokens that many texts of a bounded sample share are ranked last as anchors.
-1. Every task cuts its texts into stretches (see :mod:`windows`), keeps one of each set of equal stretches, and deals
-   the hashes to buckets by anchor.  A bucket sees which stretches also start earlier, and which anchors stand in
-   different stretches; anchors that stand alone end here.
-2. Texts are dealt to blocks by id, with the marks of round 1.  A stretch whose anchor also stands in others sends its
-   tokens to the bucket of the anchor: all windows that can equal one of its windows are there too.
-3. A bucket finds the windows that also start earlier, by the method of the operator.
-4. Texts are dealt to blocks again, with all marks, and lose the marked tokens.
-
-What is sent travels as packed arrays, several tokens' worth of columns in a row; a bucket or block is a share of all
-rows that shrinks as ``spark.sql.shuffle.partitions`` grows with the corpus.
+0. Runs of tokens that many texts of a sample share are ranked last as anchors.
+1. Every task cuts its texts into stretches (see :mod:`windows`) and sends their hashes to buckets by anchor.  Equal
+   stretches of a task's gather travel as one, with a list of the others: the operator's method decides on it in the task,
+   as a combiner does.
+2. A bucket names the candidates: stretches that stand more than once and stretches whose anchor also stands in others.
+   For each different one it asks the text of its least owner for the tokens, and notes the other owners.
+3. Blocks of texts answer; a text nobody asks for stays where it lies.
+4. The bucket runs the operator's method on the tokens, each different stretch once, counted as often as it has owners.
+   A window is removed only where the method says that it repeats.
+5. Texts with marks lose the marked tokens.
+
+Hashes only find candidates and equal stretches; what repeats is decided in ``resolve`` (rounds 1 and 4) and nowhere else.
+
+What is sent travels as packed arrays.  A row holds what one gather of a task has for one bucket or block, at least one
+stretch or mark: there are never more rows than stretches and marks, so rows grow with the corpus alone.  Rows of a few
+stretches are not compressed.  Buckets and blocks are numbers modulo ``spark.sql.shuffle.partitions``.
 """
 
 from __future__ import annotations
@@ -25,53 +30,58 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from corpusloom.llm.common import bound_batches, tidy
+from corpusloom.llm.common import BROADCAST_ROWS, materialise, tidy
 from corpusloom.llm import windows as W
 
 #: Stretches a task gathers before it sends them; bounds its memory.
 GATHER = 300_000
 #: Bytes of text or tokens a task gathers before it sends them.
 GATHER_BYTES = 12_000_000
-COVERED, UNSURE, TEXT = 0, 1, 2
+#: Kinds of rows, in the order in which a bucket or block reads them.
+COVERED, OWNERS, REQUEST, CONTENT, TEXT = range(5)
 
 
 @dataclass(frozen=True)
 class Plan:
     window: int
     k: int
-    #: Tokens of a text as hashes, for rounds 1 and 2.
+    #: Tokens of a text as hashes.
     tokens: Callable[[bytes], np.ndarray]
-    #: What round 2 sends for tokens first to last of a text.
+    #: What the method is run on, one for each token.
     content: Callable[[bytes], np.ndarray]
     #: Whether a window that starts earlier in the same text counts.
     same_text: bool
-    #: Round 3: (rank, documents, first starts, lengths in tokens, tokens of all records) to a mask of windows, one for each token.
-    resolve: Callable[[W.Rank, np.ndarray, np.ndarray, np.ndarray, np.ndarray], np.ndarray]
+    #: The method: (rank, least documents, first starts, lengths in tokens, owners, content of all records) to two masks
+    #: of windows, one for each token: those that stand more than once, and those that also start earlier than the least owner's.
+    resolve: Callable[[W.Rank, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
     rank: W.Rank = W.Rank(np.zeros(0, np.uint64))
 
 
-def squeeze(*arrays: np.ndarray) -> bytes:
+KINDS = ("u1", "u2", "u4", "u8", "i8")
+#: Arrays of fewer bytes are not worth a compressor's frame.
+PLAIN = 512
+
+
+def squeeze(*arrays: np.ndarray, level: int = 1) -> bytes:
     """Arrays as bytes: the bytes of equal rank together, so that high bytes that are zero shrink to nothing."""
     import zstandard
 
-    head = struct.pack("<B", len(arrays))
-    body = b""
-    for a in arrays:
-        a = np.ascontiguousarray(a)
-        head += struct.pack("<3sQ", a.dtype.str[1:].encode().ljust(3), len(a))
-        body += a.view(np.uint8).reshape(len(a), a.itemsize).T.tobytes() if a.itemsize > 1 else a.tobytes()
-    return head + zstandard.ZstdCompressor(level=1).compress(body)
+    arrays = [np.ascontiguousarray(a) for a in arrays]
+    head = struct.pack("<B", len(arrays)) + b"".join([struct.pack("<BI", KINDS.index(a.dtype.str[1:]), len(a)) for a in arrays])
+    body = b"".join([a.view(np.uint8).reshape(len(a), a.itemsize).T.tobytes() if a.itemsize > 1 else a.tobytes() for a in arrays])
+    return b"\0" + head + body if len(body) < PLAIN else b"\1" + head + zstandard.ZstdCompressor(level=level).compress(body)
 
 
 def unsqueeze(data: bytes) -> list[np.ndarray]:
     import zstandard
 
-    n = data[0]
-    heads = [struct.unpack_from("<3sQ", data, 1 + 11 * i) for i in range(n)]
-    body = np.frombuffer(zstandard.ZstdDecompressor().decompress(data[1 + 11 * n :]), np.uint8)
+    n = data[1]
+    heads = [struct.unpack_from("<BI", data, 2 + 5 * i) for i in range(n)]
+    body = data[2 + 5 * n :]
+    body = np.frombuffer(zstandard.ZstdDecompressor().decompress(body) if data[0] else body, np.uint8)
     out, at = [], 0
     for kind, size in heads:
-        dtype = np.dtype(kind.decode().strip())
+        dtype = np.dtype(KINDS[kind])
         end = at + size * dtype.itemsize
         part = body[at:end]
         out.append(np.ascontiguousarray(part.reshape(dtype.itemsize, size).T).reshape(-1).view(dtype) if dtype.itemsize > 1 and size else part.view(dtype))
@@ -79,33 +89,6 @@ def unsqueeze(data: bytes) -> list[np.ndarray]:
     return out
 
 
-def placed(n: int, each: int = 1) -> list[int]:
-    """Numbers that hash partitioning deals to n partitions, ``each`` to every one, so that no shares meet by chance.
-
-    Spark hashes an int by Murmur3 of 32 bits with seed 42.
-    """
-    m32 = (1 << 32) - 1
-    rot = lambda x, r: (x << r | x >> 32 - r) & m32
-
-    def murmur(x: int) -> int:
-        k = rot(x * 0xCC9E2D51 & m32, 15) * 0x1B873593 & m32
-        h = (rot(42 ^ k, 13) * 5 + 0xE6546B64 & m32) ^ 4
-        h = (h ^ h >> 16) * 0x85EBCA6B & m32
-        h = (h ^ h >> 13) * 0xC2B2AE35 & m32
-        h ^= h >> 16
-        return h - (1 << 32) if h >> 31 else h
-
-    found: list[list[int]] = [[] for _ in range(n)]
-    x = left = 0
-    while left < n * each:
-        own = found[murmur(x) % n]
-        if len(own) < each:
-            own.append(x)
-            left += 1
-        x += 1
-    return [x for own in zip(*found, strict=True) for x in own]
-
-
 def block_of(ids: np.ndarray, blocks: int) -> np.ndarray:
     return (W.mix(ids.astype(np.uint64) + np.uint64(1)) % np.uint64(blocks)).astype(np.int64)
 
@@ -116,8 +99,11 @@ def table(ids: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return np.diff(distinct, prepend=0), place.astype(np.uint32)
 
 
-def rows(places: list[int], part: list[int], kind: list[int], data: list[bytes]) -> pa.RecordBatch:
-    part = [places[p] for p in part]
+def untable(ids: np.ndarray, place: np.ndarray) -> np.ndarray:
+    return np.cumsum(ids)[place] if len(place) else np.zeros(0, np.int64)
+
+
+def rows(part: list[int], kind: list[int], data: list[bytes]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(part, pa.int32()), pa.array(kind, pa.int32()), pa.array(data, pa.binary())], names=["part", "kind", "data"])
 
 
@@ -149,54 +135,69 @@ def by_part(batches) -> Iterator[tuple[int, Iterator[tuple[int, bytes]]]]:
         yield part, ((k, d.as_py()) for _, k, d in own)
 
 
-def send_stretches(plan: Plan, places: list[int]):
-    """Round 1, first half.  A row for each bucket: heads (anchor, stretch, document, first, windows), repeats of a head in its own text, covered spans."""
-    buckets = len(places)
+def owned_spans(window: int, record: np.ndarray, first: np.ndarray, last: np.ndarray, owner: np.ndarray, start: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Spans of tokens of each owner, ``owner``: its record, ``start``: where it stands; ``record`` rises.  Returns the owner's number, start and end."""
+    lo, hi = np.searchsorted(record, owner, "left"), np.searchsorted(record, owner, "right")
+    at = W.ranges(lo, hi - lo)
+    who = np.repeat(np.arange(len(owner)), hi - lo)
+    return who, start[who] + first[at], start[who] + last[at] + window
+
+
+def send_stretches(plan: Plan, buckets: int):
+    """Round 1.  A row for each bucket: heads (anchor, stretch, document, first, windows), repeats of a head in its own text, covered spans."""
 
     def flush(docs: list[int], found: list[tuple]) -> pa.RecordBatch:
         order = sorted(range(len(docs)), key=docs.__getitem__)
-        h = np.concatenate([found[i][0] for i in order]) >> np.uint64(16)
-        s = np.concatenate([found[i][1] for i in order]) >> np.uint64(8)
-        first = np.concatenate([found[i][2] for i in order])
-        n = np.concatenate([found[i][3] for i in order])
-        doc = np.repeat(np.array([docs[i] for i in order], np.int64), [len(found[i][0]) for i in order])
+        found = [found[i] for i in order]
+        h = np.concatenate([x[0] for x in found])
+        s = np.concatenate([x[1] for x in found]) >> np.uint64(8)
+        first = np.concatenate([x[2] for x in found])
+        n = np.concatenate([x[3] for x in found])
+        sizes = [len(x[0]) for x in found]
+        doc = np.repeat(np.array([docs[i] for i in order], np.int64), sizes)
+        begin = np.repeat(np.cumsum([0] + [len(x[4]) for x in found[:-1]]), sizes)  # where the text of each stretch begins in all content
         by = np.argsort(s, kind="stable")  # rows stand by document and place, and so they do among equals
-        h, s, first, n, doc = h[by], s[by], first[by], n[by], doc[by]
+        h, s, first, n, doc, begin = h[by], s[by], first[by], n[by], doc[by], begin[by]
         head = np.concatenate(([True], (s[1:] != s[:-1]) | (h[1:] != h[:-1])))
         at = np.maximum.accumulate(np.where(head, np.arange(len(head)), 0))
-        late = ~head & ((doc != doc[at]) | (plan.same_text & (first != first[at])))
-        twin = ~head & ~late & (first != first[at])
+        other = ~head & ((doc != doc[at]) | (first != first[at]))  # what is left are repeated rows
+        late = other & ((doc != doc[at]) | plan.same_text)
+        twin = other & ~late
         bucket = (h % np.uint64(buckets)).astype(np.int64)
-        # Covered spans can pass through any bucket; whose they are spreads them evenly.
-        via: dict[int, list] = {}
+        none = np.zeros(0, np.int64)
+        # The method decides on stretches that stand more than once here, each different one once.
+        via: dict[int, tuple] = {}
         if late.any():
-            for doc_, (f, e) in dealt(doc[late], first[late], first[late] + n[late] - 1 + plan.window):
+            own, weight = np.unique(at[late], return_counts=True)
+            length = n[own] - 1 + plan.window
+            everything = np.concatenate([x[4] for x in found])
+            repeats, _ = plan.resolve(plan.rank, doc[own], first[own], length, weight + 1, everything[W.ranges(begin[own] + first[own], length)])
+            mine = np.flatnonzero(late)
+            who, f, e = owned_spans(plan.window, *W.mask_spans(repeats, length), np.searchsorted(own, at[late]), first[mine])
+            # Covered spans can pass through any bucket; whose they are spreads them evenly.
+            for doc_, (f, e) in dealt(doc[mine][who], f, e):
                 f, e = W.merge_spans(f, e)
                 via.setdefault(doc_ % buckets, []).append((np.full(len(f), doc_), f, e))
-        place = np.where(head, np.cumsum(head) - 1, 0)
-        none = np.zeros(0, np.int64)
-        twins = {b: x for b, x in dealt(bucket[twin], place[at[twin]], first[twin], n[twin])} if twin.any() else {}
+        key = np.flatnonzero(head)
+        key = key[np.lexsort((h[key], bucket[key]))]
+        where = np.zeros(len(head), np.int64)  # the place of a head among those of its bucket
+        starts = np.flatnonzero(np.concatenate(([True], np.diff(bucket[key]) != 0)))
+        where[key] = np.arange(len(key)) - np.repeat(starts, np.diff(np.concatenate((starts, [len(key)]))))
+        twins = dict(dealt(bucket[twin], where[at[twin]], first[twin])) if twin.any() else {}
+        heads = dict(dealt(bucket[key], h[key], s[key], doc[key], first[key], n[key]))
         out: dict[int, bytes] = {}
-        key = np.argsort((bucket[head] << 48) | h[head].astype(np.int64), kind="stable")
-        where = np.empty(len(key), np.int64)
-        where[key] = np.arange(len(key))
-        low = 0
-        heads = dict(dealt(bucket[head][key], h[head][key], s[head][key], doc[head][key], first[head][key], n[head][key]))
         for b in sorted({*heads, *via}):
             hh, ss, dd, ff, nn = heads.get(b, (np.zeros(0, np.uint64), np.zeros(0, np.uint64), none, none, none))
-            tt, tf, tn = twins.get(b, (none, none, none))
+            tt, tf = twins.get(b, (none, none))
             cd, cf, ce = (np.concatenate(x) for x in zip(*via[b], strict=True)) if b in via else (none, none, none)
-            ids, di = table(dd)
-            cids, ci = table(cd)
             out[b] = squeeze(
-                np.diff(hh, prepend=np.uint64(0)), ss, ids, di, ff.astype(np.uint32), nn.astype(np.uint16),
-                (where[tt] - low).astype(np.uint32), tf.astype(np.uint32), tn.astype(np.uint16), cids, ci, cf.astype(np.uint32), ce.astype(np.uint32),
+                np.diff(hh >> np.uint64(16), prepend=np.uint64(0)), ss, *table(dd), ff.astype(np.uint32), nn.astype(np.uint16),
+                tt.astype(np.uint32), tf.astype(np.uint32), *table(cd), cf.astype(np.uint32), ce.astype(np.uint32),
             )
-            low += len(hh)
-        return rows(places, list(out), [COVERED] * len(out), list(out.values()))
+        return rows(list(out), [COVERED] * len(out), list(out.values()))
 
     def run(batches):
-        docs, found, n = [], [], 0
+        docs, found, n, size = [], [], 0, 0
         for i, text in texts_of(batches):
             if i is None or not text:
                 continue
@@ -207,76 +208,78 @@ def send_stretches(plan: Plan, places: list[int]):
             runs = spans.runs(plan.k)
             anchor, first, last = W.stretches(plan.rank(runs), plan.window, plan.k)
             docs.append(i)
-            found.append((runs[anchor], spans.hash(first, last + plan.window), first, last - first + 1))
+            content = tokens if plan.content is plan.tokens else plan.content(text)
+            found.append((runs[anchor], spans.hash(first, last + plan.window), first, last - first + 1, content))
             n += len(anchor)
-            if n >= GATHER:
+            size += found[-1][-1].nbytes
+            if n >= GATHER or size >= 2 * GATHER_BYTES:
                 yield flush(docs, found)
-                docs, found, n = [], [], 0
+                docs, found, n, size = [], [], 0, 0
         if docs:
             yield flush(docs, found)
 
     return run
 
 
-def marks(kind: int, blocks: int, bucket: int, doc: np.ndarray, first: np.ndarray, end: np.ndarray) -> Iterator[tuple[int, int, bytes]]:
+def to_blocks(kind: int, blocks: int, doc: np.ndarray, first: np.ndarray, end: np.ndarray, *more: np.ndarray, head: tuple = ()) -> Iterator[tuple[int, int, bytes]]:
+    """Spans of documents, with more columns, as rows for their blocks."""
     if len(doc):
-        for block, (d, f, e) in dealt(block_of(doc, blocks), doc, first, end):
-            ids, place = table(d)
-            yield block, kind, squeeze(np.array([bucket]), ids, place, f.astype(np.uint32), (e - f).astype(np.uint32))
+        for block, (d, f, e, *x) in dealt(block_of(doc, blocks), doc, first, end, *more):
+            yield block, kind, squeeze(*table(d), f.astype(np.uint32), (e - f).astype(np.uint32), *(c.astype(np.uint32) for c in x), *head)
 
 
-def read_marks(data: bytes) -> tuple[int, np.ndarray, np.ndarray, np.ndarray]:
-    bucket, ids, place, first, length = unsqueeze(data)
-    return int(bucket[0]), np.cumsum(ids)[place], first.astype(np.int64), first.astype(np.int64) + length
+def read_spans(data: bytes) -> tuple[np.ndarray, ...]:
+    ids, place, first, length, *more = unsqueeze(data)
+    return untable(ids, place), first.astype(np.int64), first.astype(np.int64) + length, *more
 
 
-def settle_stretches(plan: Plan, buckets: list[int], places: list[int]):
-    """Round 1, second half, for each bucket: spans covered by an equal stretch, and stretches that round 3 has to see."""
-    blocks = len(places)
-
-    number = {p: i for i, p in enumerate(buckets)}
+def find_candidates(plan: Plan, blocks: int):
+    """Round 2, for each bucket: requests for the tokens of each different candidate, its other owners, and the covered spans that pass through."""
 
     def run(batches):
         for bucket, own in by_part(batches):
-            bucket = number[bucket]
             cols: list[list[np.ndarray]] = [[] for _ in range(5)]
-            twin_cols: list[list[np.ndarray]] = [[] for _ in range(3)]
+            twin_cols: list[list[np.ndarray]] = [[], []]
             out = []
             low = 0
             for _, data in own:
-                h, s, ids, place, first, n, tt, tf, tn, cids, cplace, cf, ce = unsqueeze(data)
-                for c, v in zip(cols, (np.cumsum(h, dtype=np.uint64), s, np.cumsum(ids)[place] if len(place) else ids, first.astype(np.int64), n.astype(np.int64)), strict=True):
+                h, s, ids, place, first, n, tt, tf, cids, cplace, cf, ce = unsqueeze(data)
+                for c, v in zip(cols, (np.cumsum(h, dtype=np.uint64), s, untable(ids, place), first.astype(np.int64), n.astype(np.int64)), strict=True):
                     c.append(v)
-                for c, v in zip(twin_cols, (tt.astype(np.int64) + low, tf.astype(np.int64), tn.astype(np.int64)), strict=True):
+                for c, v in zip(twin_cols, (tt.astype(np.int64) + low, tf.astype(np.int64)), strict=True):
                     c.append(v)
                 low += len(h)
-                if len(cplace):
-                    out += marks(COVERED, blocks, bucket, np.cumsum(cids)[cplace], cf.astype(np.int64), ce.astype(np.int64))
+                out += to_blocks(COVERED, blocks, untable(cids, cplace), cf.astype(np.int64), ce.astype(np.int64))
             h, s, doc, first, n = map(np.concatenate, cols)
-            tt, tf, tn = map(np.concatenate, twin_cols)
+            tt, tf = map(np.concatenate, twin_cols)
             if len(h):
                 by = np.argsort(s, kind="stable")
                 new = np.flatnonzero(np.concatenate(([True], (s[by][1:] != s[by][:-1]) | (h[by][1:] != h[by][:-1]))))
-                run_of = np.empty(len(h), np.int64)
-                run_of[by] = np.repeat(np.arange(len(new)), np.diff(np.concatenate((new, [len(h)]))))
-                least = np.minimum.reduceat(doc[by], new)[run_of]
+                size = np.diff(np.concatenate((new, [len(h)])))
                 _, inverse, count = np.unique(h[by][new], return_inverse=True, return_counts=True)
-                late = doc > least
-                unsure = ~late & (count[inverse] > 1)[run_of]
-                for kind, mask in ((COVERED, late), (UNSURE, unsure)):
-                    t = mask[tt]
-                    d, f = np.concatenate((doc[mask], doc[tt[t]])), np.concatenate((first[mask], tf[t]))
-                    e = f + np.concatenate((n[mask], tn[t])) - 1 + plan.window
-                    out += marks(kind, blocks, bucket, d, f, e)
+                wanted = (size > 1) | (count[inverse] > 1)
+                group = np.full(len(h), -1)
+                group[by] = np.repeat(np.where(wanted, np.cumsum(wanted) - 1, -1), size)
+                at = np.flatnonzero(group >= 0)
+                at = at[np.lexsort((first[at], doc[at], group[at]))]
+                lead = np.concatenate(([True], np.diff(group[at]) != 0)) if len(at) else np.zeros(0, bool)
+                least, others = at[lead], at[~lead]
+                if len(least):
+                    out += to_blocks(REQUEST, blocks, doc[least], first[least], first[least] + n[least] - 1 + plan.window, np.arange(len(least)), head=(np.array([bucket]),))
+                t = group[tt] >= 0
+                idx = np.concatenate((group[others], group[tt[t]]))
+                if len(idx):
+                    d, f = np.concatenate((doc[others], doc[tt[t]])), np.concatenate((first[others], tf[t]))
+                    order = np.argsort(idx, kind="stable")
+                    out.append((bucket, OWNERS, squeeze(np.diff(idx[order], prepend=0).astype(np.uint32), *table(d[order]), f[order].astype(np.uint32))))
             if out:
-                yield rows(places, *map(list, zip(*out, strict=True)))
+                yield rows(*map(list, zip(*out, strict=True)))
 
     return run
 
 
-def send_texts(places: list[int]):
+def send_texts(blocks: int):
     """Texts as they are, many to a row, by block.  Null ids go to block 0, after the others, without a place in any window."""
-    blocks = len(places)
 
     def flush(ids, texts):
         known = np.array([0 if i is None else i for i in ids], np.int64)
@@ -287,7 +290,7 @@ def send_texts(places: list[int]):
             flags = np.array([(ids[i] is None) + 2 * (texts[i] is None) for i in at.tolist()], np.uint8)
             data = np.frombuffer(b"".join(t or b"" for t in own), np.uint8)
             out.append((b, TEXT, squeeze(known[at], flags, np.array([len(t or b"") for t in own], np.int64), data)))
-        return rows(places, *map(list, zip(*out, strict=True)))
+        return rows(*map(list, zip(*out, strict=True)))
 
     def run(batches):
         ids, texts, n = [], [], 0
@@ -312,38 +315,38 @@ def read_texts(data: bytes) -> Iterator[tuple[int | None, bytes | None]]:
         at += n
 
 
-def sorted_marks(own: list[tuple]) -> tuple[np.ndarray, ...]:
+def sorted_spans(own: list[tuple]) -> tuple[np.ndarray, ...]:
     cols = [np.concatenate(c) for c in zip(*own, strict=True)]
     by = np.argsort(cols[0], kind="stable")
     return tuple(c[by] for c in cols)
 
 
-def send_unsure(plan: Plan, places: list[int]):
-    """Round 2: the tokens of each stretch that round 3 has to see, once for equal ones of a text, to its bucket."""
+def answer_requests(plan: Plan):
+    """Round 3, for each block: the tokens that buckets ask for."""
 
-    def flush(gathered: dict[int, list]) -> pa.RecordBatch:
+    def flush(found: list[tuple]) -> pa.RecordBatch:
+        bucket, idx, doc, first, length, content = (np.concatenate(c) for c in zip(*found, strict=True))
+        begin = np.cumsum(length) - length
         out = []
-        for bucket, own in gathered.items():
-            doc, starts, content = zip(*own, strict=True)
-            out.append((bucket, UNSURE, squeeze(
-                np.array(doc, np.int64), np.array([len(x) for x in starts], np.uint32), np.array([y for x in starts for y in x], np.uint32),
-                np.array([len(c) for c in content], np.uint32), np.concatenate(content),
+        for b, (at,) in dealt(bucket, np.arange(len(bucket))):
+            at = at[np.argsort(idx[at], kind="stable")]
+            out.append((b, CONTENT, squeeze(
+                np.diff(idx[at], prepend=0), *table(doc[at]), first[at].astype(np.uint32), length[at].astype(np.uint32), content[W.ranges(begin[at], length[at])], level=4,
             )))
-        return rows(places, *map(list, zip(*out, strict=True)))
+        return rows(*map(list, zip(*out, strict=True)))
 
     def run(batches):
-        gathered: dict[int, list] = {}
-        size = 0
+        gathered, size = [], 0
         for _, own in by_part(batches):
-            found, cols = [], None
+            asked, cols = [], None
             for kind, data in own:
-                if kind == UNSURE:
-                    bucket, doc, first, end = read_marks(data)
-                    found.append((doc, first, end, np.full(len(doc), bucket)))
+                if kind == REQUEST:
+                    doc, first, end, idx, bucket = read_spans(data)
+                    asked.append((doc, first, end, idx.astype(np.int64), np.full(len(doc), bucket[0])))
                     continue
-                if not found:
+                if not asked:
                     continue
-                cols = cols or sorted_marks(found)
+                cols = cols or sorted_spans(asked)
                 for i, text in read_texts(data):
                     if i is None or not text:
                         continue
@@ -351,53 +354,62 @@ def send_unsure(plan: Plan, places: list[int]):
                     if lo == hi:
                         continue
                     content = plan.content(text)
-                    same: dict[tuple, list[int]] = {}
-                    for f, e, bucket in zip(*(c[lo:hi].tolist() for c in cols[1:]), strict=True):
-                        starts = same.setdefault((bucket, content[f:e].tobytes()), [])
-                        if not starts:
-                            gathered.setdefault(bucket, []).append((i, starts, content[f:e]))
-                            size += (e - f) * content.itemsize + 32
-                        starts.append(f)
-                if size >= GATHER_BYTES:
-                    yield flush(gathered)
-                    gathered, size = {}, 0
+                    first, end, idx, bucket = (c[lo:hi] for c in cols[1:])
+                    there = end <= len(content)
+                    if not there.all():  # asked of another text of the same id
+                        first, end, idx, bucket = (c[there] for c in (first, end, idx, bucket))
+                    gathered.append((bucket, idx, np.full(len(idx), i), first, end - first, content[W.ranges(first, end - first)]))
+                    size += gathered[-1][-1].nbytes + 40 * len(idx)
+                    if size >= GATHER_BYTES:
+                        yield flush(gathered)
+                        gathered, size = [], 0
         if gathered:
             yield flush(gathered)
 
     return run
 
 
-def resolve_unsure(plan: Plan, buckets: list[int], places: list[int]):
-    """Round 3, for each bucket: the windows of its records that also start earlier."""
-    blocks, number = len(places), {p: i for i, p in enumerate(buckets)}
+def decide(plan: Plan, blocks: int):
+    """Round 4, for each bucket: the method on its records, and the spans of every owner that it says are repeated."""
 
     def run(batches):
-        for bucket, own in by_part(batches):
-            bucket = number[bucket]
-            doc, count, starts, length, content = (np.concatenate(c) for c in zip(*(unsqueeze(d) for _, d in own), strict=True))
-            length, count, starts = length.astype(np.int64), count.astype(np.int64), starts.astype(np.int64)
+        none = np.zeros(0, np.int64)
+        for _, own in by_part(batches):
+            owner, owner_doc, owner_start, records = none, none, none, []
+            for kind, data in own:
+                if kind == OWNERS:
+                    idx, ids, place, first = unsqueeze(data)
+                    owner, owner_doc, owner_start = np.cumsum(idx, dtype=np.int64), untable(ids, place), first.astype(np.int64)
+                else:
+                    idx, ids, place, first, length, content = unsqueeze(data)
+                    records.append((np.cumsum(idx, dtype=np.int64), untable(ids, place), first.astype(np.int64), length.astype(np.int64), content))
+            idx, doc, first, length, content = (np.concatenate(c) for c in zip(*records, strict=True))
+            records.clear()
+            order = np.argsort(idx, kind="stable")
+            order = order[np.concatenate(([True], np.diff(idx[order]) != 0))]  # repeated rows answer twice
             begin = np.cumsum(length) - length
-            low = np.cumsum(count) - count
-            covered = plan.resolve(plan.rank, doc, starts[low], length, content)
-            at = np.flatnonzero(covered)
-            record = np.searchsorted(begin, at, side="right") - 1
-            offset = at - begin[record]
-            # Windows next to each other as one span; then once for each start of the record.
-            new = np.flatnonzero(np.concatenate(([True], (record[1:] != record[:-1]) | (offset[1:] != offset[:-1] + 1)))) if len(at) else at
-            r, f = record[new], offset[new]
-            e = offset[np.concatenate((new[1:], [len(at)])) - 1] + plan.window if len(at) else f
-            each = np.repeat(np.arange(len(r)), count[r])
-            nth = np.arange(len(each)) - np.repeat(np.cumsum(count[r]) - count[r], count[r])
-            start = starts[low[r][each] + nth]
-            out = list(marks(COVERED, blocks, bucket, doc[r][each], start + f[each], start + e[each]))
+            idx, doc, first, length, content = idx[order], doc[order], first[order], length[order], content[W.ranges(begin[order], length[order])]
+            known = np.isin(owner, idx)
+            owner, owner_doc, owner_start = np.searchsorted(idx, owner[known]), owner_doc[known], owner_start[known]
+            weight = 1 + np.bincount(owner, minlength=len(idx))
+            repeats, late = plan.resolve(plan.rank, doc, first, length, weight, content)
+            del content
+            # The least owner, and its twins in the same text, lose what starts earlier elsewhere; other owners what repeats.
+            twin = (owner_doc == doc[owner]) & (not plan.same_text)
+            own_late, own_all = W.mask_spans(late, length), W.mask_spans(repeats, length)
+            found = []
+            for spans, who, docs, start in ((own_late, np.arange(len(idx)), doc, first), (own_late, owner[twin], owner_doc[twin], owner_start[twin]), (own_all, owner[~twin], owner_doc[~twin], owner_start[~twin])):
+                at, f, e = owned_spans(plan.window, *spans, who, start)
+                found.append((docs[at], f, e))
+            out = list(to_blocks(COVERED, blocks, *(np.concatenate(c) for c in zip(*found, strict=True))))
             if out:
-                yield rows(places, *map(list, zip(*out, strict=True)))
+                yield rows(*map(list, zip(*out, strict=True)))
 
     return run
 
 
 def apply_marks(id_col: str, kind: pa.DataType, cut: Callable[[bytes, np.ndarray, np.ndarray], tuple], types: list[tuple[str, pa.DataType]]):
-    """Round 4: ``cut(text, starts, ends)`` for each text and its disjoint covered spans, in tokens."""
+    """Round 5: ``cut(text, starts, ends)`` for each text and its disjoint covered spans, in tokens."""
 
     def run(batches):
         none = np.zeros(0, np.int64)
@@ -405,10 +417,10 @@ def apply_marks(id_col: str, kind: pa.DataType, cut: Callable[[bytes, np.ndarray
             found, cols = [], None
             for mark, data in own:
                 if mark == COVERED:
-                    found.append(read_marks(data)[1:])
+                    found.append(read_spans(data)[:3])
                     continue
                 if found and cols is None:
-                    cols = sorted_marks(found)
+                    cols = sorted_spans(found)
                 ids, out = [], []
                 for i, text in read_texts(data):
                     f, e = none, none
@@ -417,9 +429,26 @@ def apply_marks(id_col: str, kind: pa.DataType, cut: Callable[[bytes, np.ndarray
                         f, e = W.merge_spans(cols[1][lo:hi], cols[2][lo:hi])
                     ids.append(i)
                     out.append(cut(text or b"", f, e))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ids, kind), *(pa.array(c, t) for c, (_, t) in zip(zip(*out, strict=True), types, strict=True))], names=[id_col, *(n for n, _ in types)]
-                )
+                yield cut_batch(id_col, kind, types, pa.array(ids, kind), out)
+
+    return run
+
+
+def cut_batch(id_col: str, kind: pa.DataType, types: list[tuple[str, pa.DataType]], ids: pa.Array, out: list[tuple]) -> pa.RecordBatch:
+    cols = zip(*out, strict=True) if out else [()] * len(types)
+    return pa.RecordBatch.from_arrays([ids, *(pa.array(c, t) for c, (_, t) in zip(cols, types, strict=True))], names=[id_col, *(n for n, _ in types)])
+
+
+def leave_whole(id_col: str, kind: pa.DataType, cut: Callable[[bytes, np.ndarray, np.ndarray], tuple], types: list[tuple[str, pa.DataType]]):
+    """Texts without marks, where they lie."""
+
+    def run(batches):
+        none = np.zeros(0, np.int64)
+        for b in batches:
+            for lo in range(0, b.num_rows, 256):
+                part = b.slice(lo, 256)
+                out = [cut((t or "").encode("utf-8", "surrogatepass"), none, none) for t in part.column(1).to_pylist()]
+                yield cut_batch(id_col, kind, types, part.column(0).cast(kind), out)
 
     return run
 
@@ -429,44 +458,59 @@ SAMPLE, COMMON, COMMON_RUNS = 1500, 0.01, 1 << 16
 
 
 def common_runs(base: DataFrame, plan: Plan) -> W.Rank:
-    """Ranks by the runs that stand in many texts of a sample of bounded size; any sample gives the same result in the end."""
+    """Ranks by the runs that stand in many of about ``SAMPLE`` texts, counted where the texts lie; any ranks give the same result in the end."""
     scale, n = 1 << 20, max(1, base.count())
-    share = min(scale, -(-scale * SAMPLE * 5 // (4 * n)))
-    picked = base.filter(F.pmod(F.xxhash64("id", F.lit(17)), F.lit(scale)) < share).select("text").limit(2 * SAMPLE).toLocalIterator()
-    seen, texts = [], 0
-    for (text,) in picked:
-        tokens = plan.tokens((text or "").encode("utf-8", "surrogatepass"))
-        if len(tokens) >= plan.window:
-            seen.append(np.unique(W.Spans(tokens, 3).runs(plan.k)))
-            texts += 1
-    if not seen:
-        return plan.rank
-    runs, count = np.unique(np.concatenate(seen), return_counts=True)
-    often = count >= max(8, COMMON * texts)
-    runs, count = runs[often], count[often]
-    return W.Rank(runs[np.argsort(-count, kind="stable")[:COMMON_RUNS]])
+    share = min(scale, -(-scale * SAMPLE // n))
 
+    def runs(batches):
+        for _, text in texts_of(batches):
+            tokens = plan.tokens(text or b"")
+            own = np.unique(W.runs_of(tokens, plan.k, 3)) if len(tokens) >= plan.window else np.zeros(0, np.uint64)
+            for lo in range(0, len(own), 1 << 16):
+                part = own[lo : lo + (1 << 16)].view(np.int64)
+                yield pa.RecordBatch.from_arrays([pa.array(part)], names=["run"])
 
-def remove_repeats(df: DataFrame, plan: Plan, cut, types: list[tuple[str, pa.DataType]], ddl: str, id_col: str, text_col: str) -> DataFrame:
-    """The four rounds; a row for each row of ``df``: its id and what ``cut`` returns."""
-    from corpusloom.llm.common import materialise
+    picked = base.filter(F.pmod(F.xxhash64("id", F.lit(17)), F.lit(scale)) < share).select("id", "text")
+    often = picked.mapInArrow(tidy(runs), "run bigint").groupBy("run").count().filter(F.col("count") >= max(8, int(COMMON * min(n, SAMPLE))))
+    found = often.orderBy(F.col("count").desc(), "run").limit(COMMON_RUNS).collect()
+    return W.Rank(np.array([r["run"] for r in found], np.int64).view(np.uint64)) if found else plan.rank
+
+
+def ids_in(first: DataFrame, kinds: tuple[int, ...]) -> DataFrame:
+    """The documents that rows of these kinds name."""
+
+    def run(batches):
+        for b in batches:
+            for kind, data in zip(b.column(0).to_pylist(), b.column(1), strict=True):
+                found = unsqueeze(data.as_py())
+                yield pa.RecordBatch.from_arrays([pa.array(np.cumsum(found[1 if kind == OWNERS else 0]))], names=["marked"])
 
+    return first.filter(F.col("kind").isin(*kinds)).select("kind", "data").mapInArrow(tidy(run), "marked bigint").distinct()
+
+
+def remove_repeats(df: DataFrame, plan: Plan, cut, types: list[tuple[str, pa.DataType]], ddl: str, id_col: str, text_col: str) -> DataFrame:
+    """The rounds; a row for each row of ``df``: its id and what ``cut`` returns."""
     spark = df.sparkSession
-    bound_batches(spark)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # Two buckets a partition halve what is in memory at once.  Blocks are read as they come and can be larger; there
-    # are at most as many rows as buckets times blocks.
-    buckets, places = placed(parts, 2), placed(parts)[: -(-parts // 2)]
+    # Two buckets a partition halve what is in memory at once.  Blocks are read as they come and can be larger.
+    buckets, blocks = 2 * parts, -(-parts // 2)
     base = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
-
     plan = replace(plan, rank=common_runs(base, plan))
 
     def deal(x: DataFrame) -> DataFrame:
-        return x.repartition(parts, "part").sortWithinPartitions("part", "kind")
-
-    first = materialise(deal(base.mapInArrow(tidy(send_stretches(plan, buckets)), ROW)).mapInArrow(tidy(settle_stretches(plan, buckets, places)), ROW))
-    texts = base.mapInArrow(tidy(send_texts(places)), ROW)
-    unsure = deal(first.filter(F.col("kind") == UNSURE).unionByName(texts)).mapInArrow(tidy(send_unsure(plan, buckets)), ROW)
-    second = deal(unsure).mapInArrow(tidy(resolve_unsure(plan, buckets, places)), ROW)
-    all_marks = first.filter(F.col("kind") == COVERED).unionByName(second)
-    return deal(all_marks.unionByName(texts)).mapInArrow(tidy(apply_marks(id_col, pa.int64(), cut, types)), f"`{id_col}` bigint, {ddl}")
+        return x.repartitionById(parts, F.col("part")).sortWithinPartitions("part", "kind")
+
+    first = materialise(deal(base.mapInArrow(tidy(send_stretches(plan, buckets)), ROW)).mapInArrow(tidy(find_candidates(plan, blocks)), ROW))
+    # Texts without marks need not travel, if the list of the others is short enough to be broadcast.
+    asked, marked = materialise(ids_in(first, (REQUEST,))), materialise(ids_in(first, (COVERED, OWNERS, REQUEST)))
+    few = marked.count() <= BROADCAST_ROWS
+    of = lambda ids, how: base.join(F.broadcast(ids), F.col("id") == F.col("marked"), how)
+    texts = lambda x: x.mapInArrow(tidy(send_texts(blocks)), ROW)
+    answers = deal(first.filter(F.col("kind") == REQUEST).unionByName(texts(of(asked, "left_semi") if few else base))).mapInArrow(tidy(answer_requests(plan)), ROW)
+    second = deal(first.filter(F.col("kind") == OWNERS).unionByName(answers)).mapInArrow(tidy(decide(plan, blocks)), ROW)
+    marks = first.filter(F.col("kind") == COVERED).unionByName(second)
+    schema = f"`{id_col}` bigint, {ddl}"
+    cut_out = deal(marks.unionByName(texts(of(marked, "left_semi") if few else base))).mapInArrow(tidy(apply_marks(id_col, pa.int64(), cut, types)), schema)
+    if few:
+        cut_out = cut_out.unionByName(of(marked, "left_anti").mapInArrow(tidy(leave_whole(id_col, pa.int64(), cut, types)), schema))
+    return cut_out

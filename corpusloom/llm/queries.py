@@ -7,9 +7,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.llm import byte_bpe, embedding_join, language_id, license_scan, packing, quality, simhash, substring_dedup, suffix_dedup, url_filter
+from corpusloom.llm.common import bound_batches
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the driver's; the session of these queries gets a bound on batches to Python, for texts are long."""
+    bound_batches(spark)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

@@ -1,7 +1,8 @@
 """Substring dedup by level-wise doubling: words that repeat earlier in the corpus go.
 
-Windows of a few words that repeat are extended to twice that length, those that still repeat are extended again, and
-so on to the target length; a window that does not repeat at one length is no candidate at the next.
+Single words that repeat are extended to windows of twice that length, those that still repeat are extended again, and
+so on to the target length; a window that does not repeat at one length is no candidate at the next.  Which stretches of
+text can repeat at all is found by sampling (:mod:`passages`); what goes, doubling decides.
 """
 
 from __future__ import annotations
@@ -15,48 +16,54 @@ from corpusloom.llm import windows as W
 from corpusloom.llm.passages import Plan, remove_repeats
 
 
-def doubling(window: int, start: int):
-    """Round 3 for words: lengths ``start``, twice that, and so on; the last step reaches exactly ``window``."""
+def classes_of(keys: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A number for each key, equal for equal keys, and whether the weights of its class sum to more than one."""
+    _, inverse = np.unique(keys, return_inverse=True)
+    return inverse, np.bincount(inverse, weight)[inverse] > 1
 
-    def resolve(rank: W.Rank, doc: np.ndarray, first: np.ndarray, length: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+
+def doubling(window: int):
+    """The method on words: lengths 1, 2, 4 and so on; the last step reaches exactly ``window``.
+
+    Two windows of a length are equal if their halves (overlapping ones in the last step) are, so classes are numbered
+    by pairs of classes and nothing is hashed on the way.  A window that stands alone at a length is no candidate later.
+    """
+
+    def resolve(rank: W.Rank, doc: np.ndarray, first: np.ndarray, length: np.ndarray, owners: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         n = len(tokens)
-        end = np.repeat(np.cumsum(length), length)  # where the record of each token ends
-        begin = np.cumsum(length) - length
-        place = np.repeat(first, length) + np.arange(n) - np.repeat(begin, length)
-        owner = np.repeat(doc, length)
-        one, two = W.Spans(tokens, 21), W.Spans(tokens, 22)
+        record = np.repeat(np.arange(len(length)), length)
+        end = np.cumsum(length)[record]  # where the record of each token ends
+        weight = owners.astype(np.float64)
         at = np.arange(n)
-        alive, size = np.ones(n, bool), 0
-        while size < window and alive.any():
-            step = start if not size else min(2 * size, window)
-            fits = at + step <= end
-            if size:
-                fits[: n - (step - size)] &= alive[: n - (step - size)] & alive[step - size :]
-            keep = np.flatnonzero(fits)
-            h = one.hash(keep, keep + step)
-            _, inverse, count = np.unique(h, return_inverse=True, return_counts=True)
-            alive = np.zeros(n, bool)
-            alive[keep[count[inverse] > 1]] = True
-            size = step
-        at = np.flatnonzero(alive)
-        out = np.zeros(n, bool)
-        if not len(at):
-            return out
-        # At the full length two hashes have to agree; the earliest of equal windows stays.
-        a, b = one.hash(at, at + window), two.hash(at, at + window)
-        by = np.lexsort((place[at], owner[at], b, a))
-        at, a, b = at[by], a[by], b[by]
-        head = np.concatenate(([True], (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
-        lead = at[np.maximum.accumulate(np.where(head, np.arange(len(at)), 0))]
-        late = (owner[at] != owner[lead]) | (place[at] != place[lead])
-        out[at[late]] = True
-        return out
+        kind, more = classes_of(tokens, weight[record])
+        at, kind, size = at[more], kind[more], 1
+        of = np.full(n, -1)
+        while size < window and len(at):
+            step = min(2 * size, window)
+            of[:] = -1
+            of[at] = kind
+            at = at[at + step <= end[at]]
+            half = of[at + step - size]
+            at, half = at[half >= 0], half[half >= 0]
+            kind, more = classes_of(of[at] * n + half, weight[record[at]])
+            at, kind, size = at[more], kind[more], step
+        repeats, late = np.zeros(n, bool), np.zeros(n, bool)
+        repeats[at] = True
+        # The earliest of equal windows stays.
+        place = first[record[at]] + at - (end - length[record])[at]
+        owner = doc[record[at]]
+        by = np.lexsort((place, owner, kind))
+        at, kind, place, owner = at[by], kind[by], place[by], owner[by]
+        new = np.concatenate(([True], kind[1:] != kind[:-1])) if len(at) else np.zeros(0, bool)
+        lead = np.maximum.accumulate(np.where(new, np.arange(len(at)), 0))
+        late[at[(owner != owner[lead]) | (place != place[lead])]] = True
+        return repeats, late
 
     return resolve
 
 
-def plan_of(window: int, start: int) -> Plan:
-    return Plan(window, start, W.word_tokens, W.word_tokens, True, doubling(window, start))
+def plan_of(window: int, k: int) -> Plan:
+    return Plan(window, k, W.word_tokens, W.word_tokens, True, doubling(window))
 
 
 def cut_words(text: bytes, start: np.ndarray, end: np.ndarray) -> tuple:
@@ -74,10 +81,12 @@ def remove_repeated_words(df: DataFrame, id_col: str = "doc_id", text_col: str =
     """Each text without the words that lie in a window of ``window`` words that also starts earlier.
 
     Earlier: in a document of smaller id, or before in the same one; windows are judged on the input.  Words stand
-    between blanks and the control characters 9 to 13.  Returns the id (bigint), ``n_words``, ``n_removed``, ``spans``
-    (removed words, half-open) and ``kept`` (words joined by one blank).  A null or blank text has no words.  A
-    document with a null id stays as it is and makes no other lose a word.  Rows that repeat a document, id and text,
-    get the result of one of them.  Other columns are ignored.
+    between blanks and the control characters 9 to 13.  ``start``: words in a sampled run; it changes the cost, not the
+    result.  Returns the id (bigint), ``n_words``, ``n_removed``, ``spans`` (removed words, half-open) and ``kept``
+    (words joined by one blank).  A null or blank text has no words.  A text of any length is taken whole; a task holds
+    one whole text at a time.  Of equal windows the one of smallest id and start stays, so there are no ties.  A document
+    with a null id stays as it is and makes no other lose a word.  Rows that repeat a document, id and text, get the
+    result of one of them.  An empty table gives no rows.  Other columns are ignored, whatever their names.
     """
     plan = plan_of(window, min(start, window))
     types = [("n_words", pa.int64()), ("n_removed", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("kept", pa.string())]

@@ -1,14 +1,17 @@
 """Suffix-array dedup: bytes that repeat from documents of smaller id go; suffixes are ordered by deep-shallow sorting.
 
 Suffixes are first put in buckets, by the anchor of their window and its offset.  A multikey quicksort, eight bytes to
-a character and all buckets at once, orders them to a shallow depth of 24 bytes.  Groups of up to 48 that still share a
-prefix are ordered by blind tries: a search goes down by single bits, compares once with the leaf it reaches, and the
-new leaf is put in at the first bit that differs.  Larger groups, those of passages that very many documents share, go
-on with the quicksort to the end and see no trie; the order is the same.
+a character and all buckets at once, orders them to a shallow depth of 24 bytes.  Every group that still shares a prefix
+is ordered by a blind trie, whatever its size.  A node of a blind trie holds only the first bit in which its strings
+differ, never the strings; what they share is skipped.  The tries of all groups are built in step, from the roots down:
+each string is compared once with the first of its node, the least bit that differs is the node's, and its two sides
+are the next nodes.  Leaves from left to right are the order, and a leaf holds equal strings.
 """
 
 from __future__ import annotations
 
+from dataclasses import dataclass
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -39,18 +42,17 @@ def boundaries(group: np.ndarray) -> np.ndarray:
     return np.flatnonzero(np.concatenate(([True], group[1:] != group[:-1]))) if len(group) else np.zeros(0, np.int64)
 
 
-def multikey_quicksort(key: np.ndarray, order: np.ndarray, group: np.ndarray, rows: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+def multikey_quicksort(key: np.ndarray, order: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Order each group by ``key``: ternary partition around a pivot, in all groups at once.
 
-    ``order``: items, by group; ``group``: a number for each of them that rises along the order; ``rows``: places along
-    the order, whole groups, to which the sort is confined.  Returns the order and groups of equal keys, numbered
-    along the order.
+    ``order``: items, by group; ``group``: a number for each of them that rises along the order.  Returns the order and
+    groups of equal keys, numbered along the order.
     """
     order, group = order.copy(), group.copy()
     n = len(order)
     final = np.zeros(n, bool)  # a group starts here
     final[boundaries(group)] = True
-    todo = np.arange(n) if rows is None else rows
+    todo = np.arange(n)
     if len(todo):
         begin = boundaries(group[todo])
         size = np.diff(np.concatenate((begin, [len(todo)])))
@@ -84,132 +86,95 @@ def multikey_quicksort(key: np.ndarray, order: np.ndarray, group: np.ndarray, ro
     return order, np.cumsum(final) - 1
 
 
-def blind_tries(words: np.ndarray, order: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Order each group by the strings in ``words``: one trie a group, all groups in step, one item of each a round.
+def first_bits(words: np.ndarray, items: np.ndarray, others: np.ndarray) -> np.ndarray:
+    """The place of the first bit in which each item differs from the other; the number of all bits if it doesn't."""
+    n_words = words.shape[1]
+    out = np.full(len(items), 64 * n_words)
+    left = np.arange(len(items))
+    for w in range(n_words):
+        x = words[items[left], w] ^ words[others[left], w]
+        hit = np.flatnonzero(x)
+        if len(hit):
+            x = x[hit]
+            # The highest bit set, from the exponent of what is left when all lower bits are cleared.
+            for s in (1, 2, 4, 8, 16, 32):
+                x = x | (x >> np.uint64(s))
+            out[left[hit]] = 64 * w + 63 - np.log2((x ^ (x >> np.uint64(1))).astype(np.float64)).astype(np.int64)
+            left = np.delete(left, hit)
+        if not len(left):
+            break
+    return out
+
+
+@dataclass
+class BlindTries:
+    """Nodes of blind tries: the bit a node looks at, its strings along the order, and where those with the bit set begin."""
 
-    Returns the order and groups of equal strings, numbered along the order.
+    bit: list[np.ndarray]
+    low: list[np.ndarray]
+    middle: list[np.ndarray]
+    high: list[np.ndarray]
+
+
+def blind_tries(words: np.ndarray, order: np.ndarray, group: np.ndarray) -> tuple[np.ndarray, np.ndarray, BlindTries]:
+    """Order each group by the strings in ``words``: one trie a group, all groups in step, a level of nodes a round.
+
+    Returns the order, groups of equal strings numbered along it, and the inner nodes by level.
     """
+    order = order.copy()
+    tries = BlindTries([], [], [], [])
+    starts = np.zeros(len(order), bool)
     begin = boundaries(group)
+    starts[begin] = True
     size = np.diff(np.concatenate((begin, [len(order)])))
-    n_words = words.shape[1]
-    # Nodes: the bit looked at and two children; a negative child is leaf -1 - item.
-    bit = np.zeros(len(order), np.int64)
-    child = np.zeros((len(order), 2), np.int64)
-    root = -1 - order[begin]
-    leaf = np.arange(len(words))
-    used = 0
-
-    def bit_of(items: np.ndarray, bits: np.ndarray) -> np.ndarray:
-        return ((words[items, bits >> 6] >> (np.uint64(63) - (bits & 63).astype(np.uint64))) & np.uint64(1)).astype(np.int64)
-
-    for turn in range(1, int(size.max(initial=1))):
-        tries = np.flatnonzero(size > turn)
-        item = order[begin[tries] + turn]
-        at = root[tries].copy()
-        live = np.flatnonzero(at >= 0)
-        while len(live):
-            at[live] = child[at[live], bit_of(item[live], bit[at[live]])]
-            live = live[at[live] >= 0]
-        found = -1 - at
-        differ = words[item] ^ words[found]
-        some = differ != 0
-        equal = ~some.any(1)
-        leaf[item[equal]] = found[equal]
-        new = np.flatnonzero(~equal)
-        if not len(new):
-            continue
-        w = some[new].argmax(1)
-        x = differ[new, w]
-        # The highest bit set, from the exponent of what is left when all lower bits are cleared.
-        for s in (1, 2, 4, 8, 16, 32):
-            x = x | (x >> np.uint64(s))
-        top = np.log2((x ^ (x >> np.uint64(1))).astype(np.float64)).astype(np.int64)
-        where = 64 * w + 63 - top
-        it, tr = item[new], tries[new]
-        parent, way, at = np.full(len(new), -1), np.zeros(len(new), np.int64), root[tr].copy()
-        live = np.flatnonzero((at >= 0) & (bit[np.maximum(at, 0)] < where))
-        while len(live):
-            parent[live] = at[live]
-            way[live] = bit_of(it[live], bit[at[live]])
-            at[live] = child[parent[live], way[live]]
-            live = live[(at[live] >= 0) & (bit[np.maximum(at[live], 0)] < where[live])]
-        node = used + np.arange(len(new))
-        used += len(new)
-        mine = bit_of(it, where)
-        bit[node] = where
-        child[node, mine] = -1 - it
-        child[node, 1 - mine] = at
-        top_ = parent < 0
-        root[tr[top_]] = node[top_]
-        child[parent[~top_], way[~top_]] = node[~top_]
-    # In order: the size of each subtree, deepest bits first, then the place of each, from the roots on.
-    bits = bit[:used]
-    weight = np.zeros(used, np.int64)
-    members = np.bincount(leaf[order], minlength=len(words))
-
-    def weigh(c: np.ndarray) -> np.ndarray:
-        return np.where(c < 0, members[np.maximum(-1 - c, 0)], weight[np.maximum(c, 0)])
-
-    levels = [np.flatnonzero(bits == b) for b in np.unique(bits)]
-    for own in reversed(levels):
-        weight[own] = weigh(child[own, 0]) + weigh(child[own, 1])
-    place, leaf_place = np.zeros(used, np.int64), np.zeros(len(words), np.int64)
-    inner = root >= 0
-    place[root[inner]] = begin[inner]
-    leaf_place[-1 - root[~inner]] = begin[~inner]
-    for own in levels:
-        for side in (0, 1):
-            c = child[own, side]
-            p = place[own] + (weigh(child[own, 0]) if side else 0)
-            place[c[c >= 0]] = p[c >= 0]
-            leaf_place[-1 - c[c < 0]] = p[c < 0]
-    spot = leaf_place[leaf[order]]
-    by = np.argsort(spot, kind="stable")
-    sorted_ = spot[by]
-    return order[by], np.cumsum(np.concatenate(([True], sorted_[1:] != sorted_[:-1]))) - 1 if len(order) else group
-
-
-def deep_shallow_sort(words: np.ndarray, group: np.ndarray | None = None, shallow: int = 3, trie: int = 48) -> tuple[np.ndarray, np.ndarray]:
-    """Order strings (rows of big-endian words), within groups if given; returns the order and classes of equal strings along it.
-
-    Groups of over ``trie`` strings that share the shallow prefix go on with the quicksort, the others to blind tries.
-    """
+    begin, size = begin[size > 1], size[size > 1]
+    while len(begin):
+        at = W.ranges(begin, size)
+        items = order[at]
+        edge = np.cumsum(size) - size
+        bit = np.minimum.reduceat(first_bits(words, items, np.repeat(items[edge], size)), edge)
+        inner = bit < 64 * words.shape[1]  # the others are leaves of equal strings
+        keep = np.repeat(inner, size)
+        at, items, begin, size, bit = at[keep], items[keep], begin[inner], size[inner], bit[inner]
+        if not len(begin):
+            break
+        edge = np.cumsum(size) - size
+        each = np.repeat(bit, size)
+        one = ((words[items, each >> 6] >> (np.uint64(63) - (each & 63).astype(np.uint64))) & np.uint64(1)).astype(np.int64)
+        ones = np.add.reduceat(one, edge)
+        seen = np.cumsum(one)
+        before = seen - one - np.repeat(seen[edge] - one[edge], size)  # ones of the node before each string
+        place = np.arange(len(items)) - np.repeat(edge, size)
+        spot = np.where(one == 1, np.repeat(size - ones, size) + before, place - before)
+        order[np.repeat(begin, size) + spot] = items
+        middle = begin + size - ones
+        starts[middle] = True
+        for kept, new in zip((tries.bit, tries.low, tries.middle, tries.high), (bit, begin, middle, begin + size), strict=True):
+            kept.append(new)
+        begin, size = np.stack((begin, middle), 1).ravel(), np.stack((size - ones, ones), 1).ravel()
+        begin, size = begin[size > 1], size[size > 1]
+    return order, np.cumsum(starts) - 1, tries
+
+
+def deep_shallow_sort(words: np.ndarray, group: np.ndarray | None = None, shallow: int = 3) -> tuple[np.ndarray, np.ndarray]:
+    """Order strings (rows of big-endian words), within groups if given; returns the order and classes of equal strings along it."""
     order = np.arange(len(words)) if group is None else np.argsort(group, kind="stable")
     group = np.zeros(len(words), np.int64) if group is None else group[order]
-    n_words = words.shape[1]
-    for w in range(min(shallow, n_words)):
+    for w in range(min(shallow, words.shape[1])):
         order, group = multikey_quicksort(words[:, w], order, group)
-    if shallow >= n_words or not len(order):
-        return order, group
-    begin = boundaries(group)
-    size = np.diff(np.concatenate((begin, [len(order)])))
-    large, small = np.repeat(size > trie, size), np.repeat((size > 1) & (size <= trie), size)
-    rows = np.flatnonzero(large)
-    starts = np.zeros(len(order), bool)
-    starts[begin] = True
-    if small.any():
-        at = np.flatnonzero(small)
-        own = order[at]
-        # Only what goes to the tries is copied; items are renumbered for them.
-        sub, equal = blind_tries(words[own], np.arange(len(own)), group[at])
-        order[at] = own[sub]
-        starts[at[boundaries(equal)]] = True
-    for w in range(shallow, n_words):
-        if len(rows):
-            order, deeper = multikey_quicksort(words[:, w], order, group, rows)
-            group = deeper
-    starts[boundaries(group)] = True
-    return order, np.cumsum(starts) - 1
+    if shallow < words.shape[1] and len(order):
+        order, group, _ = blind_tries(words, order, group)
+    return order, group
 
 
 def sort_windows(window: int, k: int, salt: int = 3, at_once: int = 200_000):
-    """Round 3 for bytes: windows that also start in a document of smaller id, from the sorted suffixes."""
+    """The method on bytes: windows that stand more than once, and those that start in a document of smaller id, from the sorted suffixes."""
 
-    def resolve(rank: W.Rank, doc: np.ndarray, first: np.ndarray, length: np.ndarray, data: np.ndarray) -> np.ndarray:
+    def resolve(rank: W.Rank, doc: np.ndarray, first: np.ndarray, length: np.ndarray, owners: np.ndarray, data: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         begin = np.cumsum(length) - length
         n = length - window + 1
         record = np.repeat(np.arange(len(doc)), n)
-        at = begin[record] + np.arange(len(record)) - np.repeat(np.cumsum(n) - n, n)
+        at = W.ranges(begin, n)
         # All windows of a record have one anchor: the run of k bytes of least rank in its first window.
         runs = rank(W.runs_of(W.byte_tokens(data), k, salt))
         reach = window - k + 1
@@ -219,11 +184,13 @@ def sort_windows(window: int, k: int, salt: int = 3, at_once: int = 200_000):
         anchor += begin
         key = W.mix(runs[anchor][record] + (anchor[record] - at).astype(np.uint64))
         del runs, anchor
-        out = np.zeros(len(data), bool)
-        # Buckets of one suffix need no sort; the others are taken some at a time, a bucket never split.
+        repeats, late = np.zeros(len(data), bool), np.zeros(len(data), bool)
+        # Suffixes alone in their bucket are in order; the others are taken some at a time, a bucket never split.
         by = np.argsort(key)
         starts = boundaries(key[by])
         size = np.diff(np.concatenate((starts, [len(by)])))
+        single = by[starts[size == 1]]
+        repeats[at[single]] = owners[record[single]] > 1
         by, size = by[np.repeat(size > 1, size)], size[size > 1]
         ends = np.cumsum(size)
         at_place = word_at(data)
@@ -235,10 +202,12 @@ def sort_windows(window: int, k: int, salt: int = 3, at_once: int = 200_000):
             group = np.repeat(np.arange(hi - lo), size[lo:hi])
             order, equal = deep_shallow_sort(big_words(at_place, at[own], window), group)
             own = own[order]
-            least = np.minimum.reduceat(doc[record[own]], boundaries(equal))[equal]
-            out[at[own[doc[record[own]] > least]]] = True
+            edge = boundaries(equal)
+            source = doc[record[own]]
+            repeats[at[own]] = (np.add.reduceat(owners[record[own]], edge) > 1)[equal]
+            late[at[own]] = source > np.minimum.reduceat(source, edge)[equal]
             lo = hi
-        return out
+        return repeats, late
 
     return resolve
 
@@ -262,9 +231,11 @@ def remove_repeated_bytes(df: DataFrame, id_col: str = "doc_id", text_col: str =
     """Each text, as UTF-8, without the bytes in a string of ``window`` bytes that also starts in a document of smaller id.
 
     Strings are judged on the input and never cross documents.  Returns the id (bigint), ``n_bytes``, ``n_removed``,
-    ``n_spans``, ``spans`` (removed bytes, half-open) and ``kept`` (binary; a cut can split a character).  A null text
-    counts as empty.  A document with a null id stays as it is and makes no other lose a byte.  Rows that repeat a
-    document, id and text, get the result of one of them.  Other columns are ignored.
+    ``n_spans``, ``spans`` (removed bytes, half-open) and ``kept`` (binary; a cut can split a character).  ``k``: bytes
+    in a sampled run; it changes the cost, not the result.  A null text counts as empty.  A text of any length is taken
+    whole; a task holds one whole text at a time.  Strings that repeat in one document only stay.  A document with a null
+    id stays as it is and makes no other lose a byte.  Rows that repeat a document, id and text, get the result of one of
+    them.  An empty table gives no rows.  Other columns are ignored, whatever their names.
     """
     plan = plan_of(window, k)
     types = [("n_bytes", pa.int64()), ("n_removed", pa.int64()), ("n_spans", pa.int64()), ("spans", pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))), ("kept", pa.binary())]

@@ -88,13 +88,34 @@ def word_spans(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return edges[::2], edges[1::2]
 
 
-def span_hashes(data: bytes, start: np.ndarray, end: np.ndarray) -> np.ndarray:
-    return Spans(byte_tokens(data), 1).hash(start, end)
+_LOW = np.array([(1 << 8 * k) - 1 for k in range(8)] + [(1 << 64) - 1], np.uint64)
+
+
+def word_keys(data: bytes, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """The first and the second eight bytes of each word as numbers, zeros behind its end, and its length: all there is of a word of up to 16 bytes."""
+    padded = np.frombuffer(data + bytes(16), np.uint8)
+    rows = np.lib.stride_tricks.as_strided(padded, (len(data) + 9, 8), (1, 1))
+    size = end - start
+    first = rows[start].view("<u8").ravel() & _LOW[np.minimum(size, 8)]
+    second = rows[np.minimum(start + 8, len(data))].view("<u8").ravel() & _LOW[np.clip(size - 8, 0, 8)]
+    return first, second, size
+
+
+def word_hashes(data: bytes, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of words: mixed from their bytes up to 16 of them, XXH3 of longer ones."""
+    from xxhash import xxh3_64_intdigest
+
+    first, second, size = word_keys(data, start, end)
+    out = mix(mix(first) ^ (mix(second) + size.astype(np.uint64) * _BASE))
+    long = np.flatnonzero(size > 16)
+    if len(long):
+        out[long] = np.fromiter((xxh3_64_intdigest(data[a:b]) for a, b in zip(start[long].tolist(), end[long].tolist(), strict=True)), np.uint64, len(long))
+    return out
 
 
 def word_tokens(data: bytes) -> np.ndarray:
     """Hashes of the words."""
-    return span_hashes(data, *word_spans(data))
+    return word_hashes(data, *word_spans(data))
 
 
 def sliding_argmin(h: np.ndarray, w: int) -> np.ndarray:
@@ -151,3 +172,18 @@ def merge_spans(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndar
     start, end = start[order], np.maximum.accumulate(end[order])
     first = np.flatnonzero(np.concatenate(([True], start[1:] > end[:-1])))
     return start[first], end[np.concatenate((first[1:], [len(start)])) - 1]
+
+
+def ranges(start: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """The places of spans, one span after the other."""
+    return np.repeat(start - (np.cumsum(length) - length), length) + np.arange(int(length.sum()))
+
+
+def mask_spans(mask: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Runs of true values that do not cross records of the given lengths: the record, first and last offset in it."""
+    at = np.flatnonzero(mask)
+    begin = np.cumsum(length) - length
+    record = np.searchsorted(begin, at, side="right") - 1
+    offset = at - begin[record]
+    new = np.flatnonzero(np.concatenate(([True], (record[1:] != record[:-1]) | (offset[1:] != offset[:-1] + 1)))) if len(at) else at
+    return record[new], offset[new], offset[np.concatenate((new[1:], [len(at)])) - 1] if len(at) else at

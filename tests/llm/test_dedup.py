@@ -6,6 +6,7 @@ import re
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from common_docs import frame
 from xxhash import xxh64_intdigest
@@ -113,23 +114,71 @@ def test_sort():
         data = rng.integers(97, 97 + int(rng.integers(1, 4)), n + 60).astype(np.uint8)
         at, group = rng.integers(0, n, n), rng.integers(0, 3, n) if t % 2 else np.zeros(n, int)
         words = suffix_dedup.big_words(suffix_dedup.word_at(data), at, 50)
-        order, equal = suffix_dedup.deep_shallow_sort(words, group, shallow=int(rng.integers(0, 8)), trie=int(rng.integers(0, 60)))
+        order, equal = suffix_dedup.deep_shallow_sort(words, group, shallow=int(rng.integers(0, 8)))
         keys = [(int(g), bytes(data[a : a + 50])) for g, a in zip(group, at, strict=True)]
         assert [keys[i] for i in order] == sorted(keys)
         assert all((keys[a] == keys[b]) == (x == y) for a, b, x, y in zip(order, order[1:], equal, equal[1:], strict=False))
 
 
-def test_placed(spark):
-    from pyspark.sql import functions as F
-
-    for n, each in ((1, 1), (7, 2), (51, 2)):
-        found = passages.placed(n, each)
-        got = spark.createDataFrame([(x,) for x in found], "x int").select(F.pmod(F.hash("x"), F.lit(n)).alias("p")).groupBy("p").count().collect()
-        assert {r["p"]: r["count"] for r in got} == dict.fromkeys(range(n), each)
+def test_large_groups_go_to_tries():
+    """Thousands of strings with one long common prefix, many of them equal: every one is ordered by a trie."""
+    rng = np.random.default_rng(4)
+    words = np.zeros((6000, 7), np.uint64)
+    words[:, 5] = rng.integers(0, 900, 6000)
+    order, equal, tries = suffix_dedup.blind_tries(words, np.arange(6000), np.zeros(6000, int))
+    assert (np.diff(words[order, 5].astype(int)) >= 0).all() and ((np.diff(equal) == 0) == (np.diff(words[order, 5].astype(int)) == 0)).all()
+    assert sum(map(len, tries.bit)) == len(np.unique(words[:, 5])) - 1 and min(b.min() for b in tries.bit) >= 5 * 64
+
+
+@pytest.mark.parametrize("method", ["words", "bytes"])
+def test_nothing_bypasses_the_method(docs, rows, monkeypatch, method):
+    """With a method that finds nothing, nothing is removed."""
+    from dataclasses import replace
+
+    module, run = (substring_dedup, substring_dedup.remove_repeated_words) if method == "words" else (suffix_dedup, suffix_dedup.remove_repeated_bytes)
+    real = module.plan_of
+    none = lambda rank, doc, first, length, owners, content: (np.zeros(len(content), bool),) * 2
+    assert run(docs).filter("n_removed > 0").count() > 10
+    monkeypatch.setattr(module, "plan_of", lambda *a: replace(real(*a), resolve=none))
+    assert run(docs).filter("n_removed > 0").count() == 0
+
+
+def test_many_buckets(monkeypatch):
+    """More buckets than 2 ** 15: repeats of a stretch in its own text still name the right stretch."""
+    plan = suffix_dedup.plan_of(50, 16)
+    rng = random.Random(3)
+    piece = "".join(rng.choice("abcdefghijklmnop") for _ in range(800))
+    text = piece + "".join(rng.choice("abcdefghijklmnop") for _ in range(200)) + piece
+    got = list(passages.send_stretches(plan, 40_000)([pa.RecordBatch.from_arrays([pa.array([7]), pa.array([text])], names=["id", "text"])]))
+    twins = 0
+    for b in got:
+        for part, data in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True):
+            h, s, ids, place, first, n, tt, tf, *_ = passages.unsqueeze(data)
+            assert 0 <= part < 40_000 and (tt < len(h)).all()
+            for t, f in zip(tt.tolist(), tf.tolist(), strict=True):
+                size = int(n[t]) + 49
+                assert text[f : f + size] == text[int(first[t]) : int(first[t]) + size]
+                twins += 1
+    assert twins > 5
+
+
+def thue_morse(n, letters):
+    return "".join(letters[i.bit_count() & 1] for i in range(n))
+
+
+@pytest.mark.parametrize("n", [16, 17, 512, 1024, 2048, 4096])
+def test_long_words_are_told_apart(spark, n):
+    """Words that sums of powers cannot tell apart."""
+    a, b = thue_morse(n, "ab"), thue_morse(n, "ba")
+    assert len(set(windows.word_tokens(f"{a} {b} {a}x {a[:-1]}".encode()).tolist())) == 4
+    filler = [f"f{i}" for i in range(19)]
+    rows = [(1, " ".join([*filler, a]), "en", "s"), (2, " ".join([*filler, b]), "en", "s"), (3, " ".join([*filler, a]), "en", "s")]
+    got = {r[0]: tuple(r[1:]) for r in substring_dedup.digest(substring_dedup.remove_repeated_words(frame(spark, rows, 2))).collect()}
+    assert got == brute_words(rows) and [got[i][1] for i in (1, 2, 3)] == [0, 0, 20]
 
 
 def test_packed_arrays():
-    arrays = [np.array([], np.int64), np.array([1, 5, 2**40]), np.array([3, 2], np.uint16), np.frombuffer(b"abc", np.uint8)]
+    arrays = [np.array([], np.int64), np.array([1, 5, 2**40]), np.array([3, 2], np.uint16), np.frombuffer(b"abc", np.uint8), np.arange(500)]
     assert all(a.dtype == b.dtype and (a == b).all() for a, b in zip(arrays, passages.unsqueeze(passages.squeeze(*arrays)), strict=True))
 
 
