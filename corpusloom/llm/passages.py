@@ -191,7 +191,7 @@ def send_stretches(plan: Plan, buckets: int):
             tt, tf = twins.get(b, (none, none))
             cd, cf, ce = (np.concatenate(x) for x in zip(*via[b], strict=True)) if b in via else (none, none, none)
             out[b] = squeeze(
-                np.diff(hh >> np.uint64(16), prepend=np.uint64(0)), ss, *table(dd), ff.astype(np.uint32), nn.astype(np.uint16),
+                np.diff(hh >> np.uint64(24), prepend=np.uint64(0)), ss, *table(dd), ff.astype(np.uint32), nn.astype(np.uint16),
                 tt.astype(np.uint32), tf.astype(np.uint32), *table(cd), cf.astype(np.uint32), ce.astype(np.uint32),
             )
         return rows(list(out), [COVERED] * len(out), list(out.values()))
@@ -289,7 +289,7 @@ def send_texts(blocks: int):
             own = [texts[i] for i in at.tolist()]
             flags = np.array([(ids[i] is None) + 2 * (texts[i] is None) for i in at.tolist()], np.uint8)
             data = np.frombuffer(b"".join(t or b"" for t in own), np.uint8)
-            out.append((b, TEXT, squeeze(known[at], flags, np.array([len(t or b"") for t in own], np.int64), data)))
+            out.append((b, TEXT, squeeze(known[at], flags, np.array([len(t or b"") for t in own], np.int64), data, level=3)))
         return rows(*map(list, zip(*out, strict=True)))
 
     def run(batches):
@@ -476,16 +476,15 @@ def common_runs(base: DataFrame, plan: Plan) -> W.Rank:
     return W.Rank(np.array([r["run"] for r in found], np.int64).view(np.uint64)) if found else plan.rank
 
 
-def ids_in(first: DataFrame, kinds: tuple[int, ...]) -> DataFrame:
-    """The documents that rows of these kinds name."""
+def ids_in(spans: DataFrame, kind: int) -> DataFrame:
+    """The documents that rows of spans name."""
 
     def run(batches):
         for b in batches:
-            for kind, data in zip(b.column(0).to_pylist(), b.column(1), strict=True):
-                found = unsqueeze(data.as_py())
-                yield pa.RecordBatch.from_arrays([pa.array(np.cumsum(found[1 if kind == OWNERS else 0]))], names=["marked"])
+            for data in b.column(0):
+                yield pa.RecordBatch.from_arrays([pa.array(np.cumsum(unsqueeze(data.as_py())[0]))], names=["marked"])
 
-    return first.filter(F.col("kind").isin(*kinds)).select("kind", "data").mapInArrow(tidy(run), "marked bigint").distinct()
+    return spans.filter(F.col("kind") == kind).select("data").mapInArrow(tidy(run), "marked bigint").distinct()
 
 
 def remove_repeats(df: DataFrame, plan: Plan, cut, types: list[tuple[str, pa.DataType]], ddl: str, id_col: str, text_col: str) -> DataFrame:
@@ -501,16 +500,20 @@ def remove_repeats(df: DataFrame, plan: Plan, cut, types: list[tuple[str, pa.Dat
         return x.repartitionById(parts, F.col("part")).sortWithinPartitions("part", "kind")
 
     first = materialise(deal(base.mapInArrow(tidy(send_stretches(plan, buckets)), ROW)).mapInArrow(tidy(find_candidates(plan, blocks)), ROW))
-    # Texts without marks need not travel, if the list of the others is short enough to be broadcast.
-    asked, marked = materialise(ids_in(first, (REQUEST,))), materialise(ids_in(first, (COVERED, OWNERS, REQUEST)))
-    few = marked.count() <= BROADCAST_ROWS
-    of = lambda ids, how: base.join(F.broadcast(ids), F.col("id") == F.col("marked"), how)
+    # Texts nobody asks for and texts without marks need not travel, if the list of the others is short enough to be broadcast.
+    def parted(ids: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+        ids = materialise(ids)
+        if ids.count() > BROADCAST_ROWS:
+            return base, None
+        named = lambda how: base.join(F.broadcast(ids), F.col("id") == F.col("marked"), how)
+        return named("left_semi"), named("left_anti")
+
     texts = lambda x: x.mapInArrow(tidy(send_texts(blocks)), ROW)
-    answers = deal(first.filter(F.col("kind") == REQUEST).unionByName(texts(of(asked, "left_semi") if few else base))).mapInArrow(tidy(answer_requests(plan)), ROW)
-    second = deal(first.filter(F.col("kind") == OWNERS).unionByName(answers)).mapInArrow(tidy(decide(plan, blocks)), ROW)
+    asked, _ = parted(ids_in(first, REQUEST))
+    answers = deal(first.filter(F.col("kind") == REQUEST).unionByName(texts(asked))).mapInArrow(tidy(answer_requests(plan)), ROW)
+    second = materialise(deal(first.filter(F.col("kind") == OWNERS).unionByName(answers)).mapInArrow(tidy(decide(plan, blocks)), ROW))
     marks = first.filter(F.col("kind") == COVERED).unionByName(second)
+    marked, whole = parted(ids_in(marks, COVERED))
     schema = f"`{id_col}` bigint, {ddl}"
-    cut_out = deal(marks.unionByName(texts(of(marked, "left_semi") if few else base))).mapInArrow(tidy(apply_marks(id_col, pa.int64(), cut, types)), schema)
-    if few:
-        cut_out = cut_out.unionByName(of(marked, "left_anti").mapInArrow(tidy(leave_whole(id_col, pa.int64(), cut, types)), schema))
-    return cut_out
+    out = deal(marks.unionByName(texts(marked))).mapInArrow(tidy(apply_marks(id_col, pa.int64(), cut, types)), schema)
+    return out if whole is None else out.unionByName(whole.mapInArrow(tidy(leave_whole(id_col, pa.int64(), cut, types)), schema))
