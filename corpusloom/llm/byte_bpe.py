@@ -166,7 +166,8 @@ def encode_texts(df: DataFrame, path: str, pattern: str, id_col: str = "doc_id",
     """Encode each whole text and decode its ids again: columns ``ids`` and ``decoded``, or their digests.
 
     ``path``: a rank file on every machine, ``pattern``: what splits a text before the merges.  A null text counts as
-    empty: no ids.  Repeated rows give repeated results; other columns are ignored.
+    empty: no ids.  A text of any length is encoded whole.  Of pairs of one rank the leftmost is merged first.  Repeated
+    rows give repeated results; an empty table gives no rows; other columns are ignored, whatever their names.
     """
     from corpusloom.llm.common import map_texts
 

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 from collections.abc import Callable, Iterable
 
@@ -16,8 +17,13 @@ SLICE = 256
 
 
 def checkpoint_dir(spark: SparkSession) -> None:
-    """Use the folder in ``spark.checkpoint.dir``; set one of our own only where none is set (tests, local mode)."""
+    """Use the folder in ``spark.checkpoint.dir``; set one of our own only where none is set, in local mode.
+
+    On a cluster a folder of one machine would not do, so one that is not set is an error there.
+    """
     if spark.conf.get("spark.checkpoint.dir", None) is None and spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
+        if not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(os.path.join(tempfile.gettempdir(), "corpusloom-checkpoints"))
 
 
@@ -38,12 +44,20 @@ def bound_batches(spark: SparkSession) -> None:
         spark.conf.set(key, BATCH)
 
 
-#: Rows up to which a table of ids, some tens of megabytes at most, is broadcast; beyond it joins go by exchange.
-BROADCAST_ROWS = 500_000
+#: Rows and bytes of strings up to which a table of a few columns is broadcast; beyond them joins go by exchange.
+BROADCAST_ROWS, BROADCAST_BYTES = 500_000, 32 << 20
+
+
+def checked_broadcast(small: DataFrame, rows: int, strings: int = 0) -> DataFrame:
+    """``small`` to be broadcast, if its rows and the bytes of its ``strings`` are few enough; numbers need no second check."""
+    return F.broadcast(small) if rows <= BROADCAST_ROWS and strings <= BROADCAST_BYTES else small
 
 
-def checked_broadcast(small: DataFrame, rows: int) -> DataFrame:
-    return F.broadcast(small) if rows <= BROADCAST_ROWS else small
+def broadcast_texts(small: DataFrame, *columns: str) -> DataFrame:
+    """As :func:`checked_broadcast`, for a materialised table whose strings have no bound of their own."""
+    bytes_ = F.coalesce(F.sum(sum((F.coalesce(F.octet_length(c), F.lit(0)) for c in columns), F.lit(0))), F.lit(0))
+    n, strings = small.agg(F.count("*"), bytes_).first()
+    return checked_broadcast(small, n, strings)
 
 
 def fresh(name: str, *frames: DataFrame) -> str:
@@ -123,7 +137,7 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
     """
     e = edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct()
     e = materialise(e)
-    last = None
+    n = e.count()
     for _ in range(max_rounds):
         # Large star: join every larger neighbour of a node to the node's smallest neighbour (or itself).
         both = e.select("u", "v").unionByName(e.select(F.col("v").alias("u"), F.col("u").alias("v")))
@@ -132,11 +146,12 @@ def components(edges: DataFrame, max_rounds: int = 60) -> DataFrame:
         # Small star: join every smaller neighbour of a node, and the node, to the smallest of them.
         low = large.groupBy("u").agg(F.min("v").alias("m"))
         small = large.join(low, "u").select(F.when(F.col("v") == F.col("m"), F.col("u")).otherwise(F.col("v")).alias("u"), F.col("m").alias("v"))
+        before, last = e, n
         e = materialise(small.filter("u <> v").distinct())
-        now = tuple(e.agg(F.count("*"), F.coalesce(F.sum(F.xxhash64("u", "v") % 1000003), F.lit(0))).first())
-        if now == last:
+        n = e.count()
+        # Settled when a round changes no edge: as many as before, and none that was not there.
+        if n == last and not e.join(before, ["u", "v"], "left_anti").limit(1).count():
             break
-        last = now
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     nodes = e.select(F.col("u").alias("node"), F.col("v").alias("root"))

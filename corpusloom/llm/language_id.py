@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from corpusloom.llm.common import checked_broadcast, materialise, tidy
+from corpusloom.llm.common import broadcast_texts, checked_broadcast, materialise, tidy
 
 FIELDS = [T.StructField("lang_pred", T.StringType()), T.StructField("score", T.DoubleType()), T.StructField("ambiguous", T.BooleanType())]
 DIM_BITS = 13
@@ -67,11 +67,15 @@ class LanguageModel:
 
     @classmethod
     def fit(cls, texts: list[str], langs: list[str], rounds: int = 150, ridge: float = 1e-4) -> LanguageModel:
+        return cls.fit_features([features(t) for t in texts], langs, rounds, ridge)
+
+    @classmethod
+    def fit_features(cls, rows: list[np.ndarray], langs: list[str], rounds: int = 150, ridge: float = 1e-4) -> LanguageModel:
         names = sorted(set(langs))
         code = codewords(len(names)) if len(names) > 1 else np.zeros((len(names), 0))
         w, b = np.zeros((1 << DIM_BITS, code.shape[1]), np.float32), np.zeros(code.shape[1], np.float32)
         if code.shape[1]:
-            x = np.stack([features(t) for t in texts])
+            x = np.stack(rows)
             place = {v: i for i, v in enumerate(names)}
             y = code[[place[v] for v in langs]].astype(np.float32)
             # Adagrad on the logistic loss, all bits at once.
@@ -106,7 +110,9 @@ def identify(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang
     Learns from about ``train_rows`` labelled rows, an equal share for each language, chosen by a hash of the id among
     rows that are not held out; every value of the column is learned, from one row at least, at 32 KB of the driver's
     memory for a row.  A text that is null or has no letter is ``und`` with score 0, and so is every text if
-    no row is labelled.  Repeated rows give repeated results; other columns are ignored.
+    no row is labelled.  A text of any length is read whole.  Of two languages of equal loss the first by name is
+    taken, and flagged as ambiguous.  A null id is never held out.  Repeated rows give repeated results; an empty table
+    gives no rows; other columns are ignored, whatever their names.
     """
     from corpusloom.llm.common import map_texts
 
@@ -127,20 +133,45 @@ def fit_language_model(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
     share, place = max(1, train_rows // k), F.xxhash64("_id", F.lit(11))
     scale = 1 << 20
     wanted = counts.select("_lang", F.least(F.lit(scale), F.ceil(F.lit(scale * share) / F.col("_n"))).alias("_keep"))
-    picked = base.join(checked_broadcast(wanted, k), "_lang").filter(F.pmod(place, F.lit(scale)) < F.col("_keep")).select("_id", "_text", "_lang")
-    rows = picked.orderBy(place, "_lang", "_text").limit(2 * max(train_rows, k)).collect()  # bounded by train_rows and the languages
-    if lost := k - len({r[2] for r in rows}):
+    picked = base.join(broadcast_texts(wanted, "_lang"), "_lang").filter(F.pmod(place, F.lit(scale)) < F.col("_keep")).select(place.alias("_at"), "_text", "_lang")
+    # Bounded by train_rows and the languages; texts stay where they are, features of bounded size go to the driver.
+    rows = with_features(picked).orderBy("_at", "_lang", "_feature").limit(2 * max(train_rows, k)).collect()
+    if lost := k - len({r["_lang"] for r in rows}):
         # The hash may pass over a language with few rows: its least row by the hash stands for it.
-        seen = checked_broadcast(df.sparkSession.createDataFrame([(v,) for v in sorted({r[2] for r in rows})], "_lang string"), k - lost)
-        rows += base.join(seen, "_lang", "left_anti").groupBy("_lang").agg(F.min(F.struct(place.alias("_at"), "_id", "_text")).alias("m")).select("m._id", "m._text", "_lang").orderBy("_lang").collect()
-    return LanguageModel.fit([r[1] for r in rows], [r[2] for r in rows])
+        seen = checked_broadcast(df.sparkSession.createDataFrame([(v,) for v in sorted({r["_lang"] for r in rows})], "_lang string"), k - lost)
+        least = base.join(seen, "_lang", "left_anti").groupBy("_lang").agg(F.min(F.struct(place.alias("_at"), "_text")).alias("m"))
+        rows += with_features(least.select("m._at", "m._text", "_lang")).orderBy("_lang").collect()
+    return LanguageModel.fit_features([np.frombuffer(r["_feature"], "<f4") for r in rows], [r["_lang"] for r in rows])
+
+
+def with_features(texts: DataFrame) -> DataFrame:
+    """``_at, _text, _lang`` with the text's features, of a size that its length does not change, in place of the text."""
+    import pyarrow as pa
+
+    def run(batches):
+        for b in batches:
+            got = [features(t).astype("<f4").tobytes() for t in b.column(1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(got, pa.binary())], names=["_at", "_lang", "_feature"])
+
+    return texts.mapInArrow(tidy(run), "_at bigint, _lang string, _feature binary")
 
 
 def drop_unidentified(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", train_rows: int = 2000) -> DataFrame:
-    """The rows of ``df`` whose language can be told: neither ``und`` nor ambiguous; all their columns."""
+    """The rows of ``df`` whose language can be told: neither ``und`` nor ambiguous; all their columns.
+
+    A null text, one without a letter and one between two languages go.  With no labelled row to learn from no language
+    can be told, so every row goes, and a warning says so.  Repeated rows all stay or all go; null ids and labels only
+    keep a row from being learned from.  An empty table gives no rows.  A text of any length is read whole.  Columns of
+    any name are passed through.
+    """
+    import warnings
+
     import pyarrow as pa
 
-    shared = df.sparkSession.sparkContext.broadcast(fit_language_model(df, id_col, text_col, lang_col, train_rows))
+    model = fit_language_model(df, id_col, text_col, lang_col, train_rows)
+    if not model.langs:
+        warnings.warn(f"no row has a text and a value of {lang_col} to learn from: no language can be told, all rows go", stacklevel=2)
+    shared = df.sparkSession.sparkContext.broadcast(model)
     at = df.columns.index(text_col)
 
     def run(batches):

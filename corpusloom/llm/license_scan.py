@@ -145,7 +145,9 @@ def scan_licenses(df: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """Exact phrases and fuzzy notices of each whole text; one result for each row.
 
     ``spans`` has the fuzzy matches in characters of the normal form (see :func:`normal`).  A null text counts as
-    empty: no words, no labels, score 0.  Repeated rows give repeated results; other columns are ignored.
+    empty: no words, no labels, score 0.  A text of any length is searched whole, in blocks of bounded length.  Matches of
+    fewest edits are taken first, the leftmost of equal ones; notices that match the same place are all reported.
+    Repeated rows give repeated results; an empty table gives no rows; other columns are ignored, whatever their names.
     """
     from corpusloom.llm.common import map_texts
 

@@ -225,15 +225,19 @@ def pack(df: DataFrame, path: str, room: int = 2048, end_id: int = 1, group: int
 
     Returns the id, ``start``, ``length``, ``ids_crc32``, ``doc_tokens``, ``sequence_id``, ``offset`` (and ``ids``,
     little-endian, if ``with_ids``).  ``group``: rests in a randomised group, on average.  A null text counts as empty
-    and gives one piece, the end id.  Rows that repeat a document are documents of their own; an empty table gives no
-    rows; other columns are ignored.  Sequence ids are unique but have gaps.
+    and gives one piece, the end id.  A text of any length is tokenised whole and cut into full sequences and a rest.
+    Rests of one length are placed by id and start.  Rows that repeat a document are documents of their own, dealt to
+    groups like any others; a null id is one, too.  An empty table gives no rows; other columns are ignored, whatever
+    their names.  Sequence ids are unique but have gaps.
     """
     from corpusloom.llm.common import materialise
 
     pieces = materialise(tokenise(df, path, end_id, room, id_col, text_col, with_ids))
     n = pieces.filter(F.col("length") < room).count()
     groups = max(1, -(-n // group))
-    salted = pieces.withColumn("_group", F.pmod(F.xxhash64(F.lit(seed), F.col(id_col), "start", "doc_tokens", "ids_crc32"), F.lit(groups)))
+    # The number of the row, too: rows that are all alike are dealt like any others.  Pieces are written, so it stays.
+    row = F.monotonically_increasing_id()
+    salted = pieces.withColumn("_group", F.pmod(F.xxhash64(F.lit(seed), F.col(id_col), "start", "doc_tokens", "ids_crc32", row), F.lit(groups)))
     # A full sequence needs no bin; it takes ids from a range of its own, by partition and row.
     full = salted.filter(F.col("length") >= room).withColumns({"sequence_id": -1 - F.monotonically_increasing_id(), "offset": F.lit(0).cast("bigint")}).drop("_group")
     rest = salted.filter(F.col("length") < room)

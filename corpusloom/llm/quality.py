@@ -63,9 +63,11 @@ def judge(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_co
     A document fails if it has fewer than ``min_words`` words or more than half of them repeat.  A host is rejected,
     and all its documents with it, if its failure rate, shrunk by the prior, is above ``worst_rate``.  A null text
     counts as empty; documents of a null host have no host rate and are judged alone.  Repeated rows count as often
-    as they stand and give repeated results; an empty table gives no rows; other columns are ignored.
+    as they stand and give repeated results; an empty table gives no rows; other columns are ignored, whatever their
+    names.  A text of any length is measured whole, as arrays of its words in one row.  A rate of exactly ``worst_rate``
+    is kept.
     """
-    from corpusloom.llm.common import materialise
+    from corpusloom.llm.common import broadcast_texts, materialise
 
     own = df.select(F.col(id_col).alias("_id"), F.col(host_col).cast("string").alias("_host"), text_measures(F.col(text_col)).alias("m"))
     own = own.select("_id", "_host", "m.*")
@@ -74,7 +76,7 @@ def judge(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_co
     hosts = own.filter("_host is not null").groupBy("_host").agg(F.count("*").alias("n"), F.sum(F.col("base_failed").cast("int")).alias("bad"))
     a, b = beta_prior(hosts)
     hosts = hosts.select("_host", ((F.col("bad") + a) / (F.col("n") + a + b)).alias("host_rate"))
-    joined = own.join(hosts, "_host", "left")
+    joined = own.join(broadcast_texts(materialise(hosts), "_host"), "_host", "left")
     kept = ~F.col("base_failed") & F.coalesce(F.col("host_rate") <= worst_rate, F.lit(True))
     return joined.select(
         F.col("_id").alias(id_col), "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", kept.alias("kept"), "host_rate",
@@ -93,16 +95,25 @@ def beta_prior(hosts: DataFrame) -> tuple[float, float]:
     return mean * strength, (1 - mean) * strength
 
 
-def drop_rejected(df: DataFrame, text_col: str = "text", host_col: str = "source", worst_rate: float = 0.8, min_words: int = 50) -> DataFrame:
-    """The rows of ``df`` that :func:`judge` keeps, with all their columns; counts are made once for hosts and once for rows."""
-    m = text_measures(F.col(text_col))
-    failed = let(m, lambda x: (x["n_words"] < min_words) | (100 * x["n_repeat_words"] > 50 * x["n_words"]))
-    hosts = df.select(F.col(host_col).cast("string").alias("_host"), failed.alias("_failed")).filter("_host is not null")
-    hosts = hosts.groupBy("_host").agg(F.count("*").alias("n"), F.sum(F.col("_failed").cast("int")).alias("bad"))
+def drop_rejected(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", host_col: str = "source", worst_rate: float = 0.8, min_words: int = 50) -> DataFrame:
+    """The rows of ``df`` that :func:`judge` keeps, with all their columns.
+
+    Texts are measured once; what is kept of a row is its id, a hash of its text, its host and whether it failed, and the
+    rows to drop are joined back by these.  A null text has no words and goes; a null host is judged by its documents
+    alone; a null id is an id like any other here.  Repeated rows all stay or all go.  An empty table gives no rows.
+    Columns of any name are passed through.
+    """
     from corpusloom.llm.common import checked_broadcast, fresh, materialise
 
-    hosts = materialise(hosts)
+    id_, text, host = fresh("_rejected_id", df), fresh("_rejected_text", df), fresh("_rejected_host", df)
+    digest, source = F.xxhash64(F.col(text_col).cast("string")), F.col(host_col).cast("string")
+    failed = let(text_measures(F.col(text_col)), lambda x: (x["n_words"] < min_words) | (100 * x["n_repeat_words"] > 50 * x["n_words"]))
+    own = materialise(df.select(F.col(id_col).alias(id_), digest.alias(text), F.xxhash64(source).alias(host), source.isNotNull().alias("_known"), failed.alias("_failed")))
+    # Hosts are told apart by a hash: their names have no bound.
+    hosts = materialise(own.filter("_known").groupBy(host).agg(F.count("*").alias("n"), F.sum(F.col("_failed").cast("int")).alias("bad")))
     a, b = beta_prior(hosts)
-    host = fresh("_bad_host", df)
-    bad = hosts.filter((F.col("bad") + a) / (F.col("n") + a + b) > worst_rate).select(F.col("_host").alias(host))
-    return df.filter(~failed).join(checked_broadcast(bad, bad.count()), F.col(host_col).cast("string") == F.col(host), "left_anti")
+    bad = materialise(hosts.filter((F.col("bad") + a) / (F.col("n") + a + b) > worst_rate).select(host))
+    poor = own.join(checked_broadcast(bad, bad.count()), host, "left_semi").filter("_known").unionByName(own.filter("_failed"))
+    poor = materialise(poor.select(id_, text).distinct())
+    same = F.col(id_col).eqNullSafe(F.col(id_)) & (digest == F.col(text))
+    return df.join(checked_broadcast(poor, poor.count()), same, "left_anti")

@@ -157,7 +157,9 @@ def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     The trees learn from at most ``train_rows`` URLs that a rule labels, the ones chosen by a hash of the URL.
     Returns the id, ``host``, ``path``, ``rule``, ``verdict`` and ``p_block`` (null where a rule decides).  A null,
     empty or odd URL has an empty host and path and is judged by the trees; with no labelled URL at all every
-    other URL is allowed.  Repeated rows give repeated results; other columns are ignored.
+    other URL is allowed.  A URL of any length is read whole.  Of rules of one length the first listed wins; a
+    probability of exactly ``threshold`` blocks.  Repeated rows give repeated results; an empty table gives no rows; other
+    columns are ignored, whatever their names.
     """
     host, path = url_parts(F.col("_url"))
     base = pages.select(F.col(id_col).alias("_id"), F.col(url_col).cast("string").alias("_url"))

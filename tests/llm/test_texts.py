@@ -334,3 +334,23 @@ def test_codewords_differ():
     for k in (7, 40, 3000):
         code = language_id.codewords(k)
         assert len(np.unique(code, axis=0)) == k
+
+
+def test_equal_rows_are_dealt_to_many_groups(spark):
+    """Forty thousand equal documents: at the usual size of a group they need about ten."""
+    import public_tokenizers
+
+    df = spark.range(40_000).selectExpr("1L AS doc_id", "'some words that are all the same' AS text").repartition(4)
+    got = packing.pack(df, public_tokenizers.path("word_bpe_49k.json")).selectExpr("sequence_id >> 32 AS g", "length").groupBy("g").count().collect()
+    assert len(got) >= 9 and max(r["count"] for r in got) < 6000
+
+
+def test_long_words_keep_their_ids():
+    """Words that sums of powers cannot tell apart have ids of their own."""
+    import public_tokenizers
+
+    tok = packing.WordTokenizer(public_tokenizers.path("word_bpe_49k.json"))
+    for n in (512, 1024, 4096):
+        words = ["".join(letters[i.bit_count() & 1] for i in range(n)) for letters in ("ab", "ba")]
+        assert [tok(w) for w in words] == tok.all(words) == [packing.little(tok.tokenizer.encode(w, add_special_tokens=False).ids) for w in words]
+        assert tok(" ".join(words)) == tok(words[0]) + tok(words[1])
