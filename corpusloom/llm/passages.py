@@ -489,6 +489,14 @@ def ids_in(spans: DataFrame, kind: int) -> DataFrame:
 
 def remove_repeats(df: DataFrame, plan: Plan, cut, types: list[tuple[str, pa.DataType]], ddl: str, id_col: str, text_col: str) -> DataFrame:
     """The rounds; a row for each row of ``df``: its id and what ``cut`` returns."""
+    out, _, whole = cut_repeats(df, plan, cut, types, ddl, id_col, text_col)
+    if whole is None:
+        return out
+    return out.unionByName(whole.mapInArrow(tidy(leave_whole(id_col, pa.int64(), cut, types)), f"`{id_col}` bigint, {ddl}"))
+
+
+def cut_repeats(df: DataFrame, plan: Plan, cut, types: list[tuple[str, pa.DataType]], ddl: str, id_col: str, text_col: str) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
+    """What ``cut`` returns for texts with marks, the ids of these (``marked``), and ``id, text`` of the others; None for both if the ids are too many to be broadcast, and then all texts are cut."""
     spark = df.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     # Two buckets a partition halve what is in memory at once.  Blocks are read as they come and can be larger.
@@ -501,19 +509,19 @@ def remove_repeats(df: DataFrame, plan: Plan, cut, types: list[tuple[str, pa.Dat
 
     first = materialise(deal(base.mapInArrow(tidy(send_stretches(plan, buckets)), ROW)).mapInArrow(tidy(find_candidates(plan, blocks)), ROW))
     # Texts nobody asks for and texts without marks need not travel, if the list of the others is short enough to be broadcast.
-    def parted(ids: DataFrame) -> tuple[DataFrame, DataFrame | None]:
+    def parted(ids: DataFrame) -> tuple[DataFrame, DataFrame | None, DataFrame | None]:
         ids = materialise(ids)
         if ids.count() > BROADCAST_ROWS:
-            return base, None
+            return base, None, None
         named = lambda how: base.join(F.broadcast(ids), F.col("id") == F.col("marked"), how)
-        return named("left_semi"), named("left_anti")
+        return named("left_semi"), ids, named("left_anti")
 
     texts = lambda x: x.mapInArrow(tidy(send_texts(blocks)), ROW)
-    asked, _ = parted(ids_in(first, REQUEST))
+    asked, _, _ = parted(ids_in(first, REQUEST))
     answers = deal(first.filter(F.col("kind") == REQUEST).unionByName(texts(asked))).mapInArrow(tidy(answer_requests(plan)), ROW)
     second = materialise(deal(first.filter(F.col("kind") == OWNERS).unionByName(answers)).mapInArrow(tidy(decide(plan, blocks)), ROW))
     marks = first.filter(F.col("kind") == COVERED).unionByName(second)
-    marked, whole = parted(ids_in(marks, COVERED))
+    marked, ids, whole = parted(ids_in(marks, COVERED))
     schema = f"`{id_col}` bigint, {ddl}"
     out = deal(marks.unionByName(texts(marked))).mapInArrow(tidy(apply_marks(id_col, pa.int64(), cut, types)), schema)
-    return out if whole is None else out.unionByName(whole.mapInArrow(tidy(leave_whole(id_col, pa.int64(), cut, types)), schema))
+    return out, ids, whole

@@ -19,7 +19,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.llm.common import fresh
 from corpusloom.llm import windows as W
-from corpusloom.llm.passages import Plan, remove_repeats
+from corpusloom.llm.passages import Plan, cut_repeats, remove_repeats
 
 
 def word_at(data: np.ndarray) -> np.ndarray:
@@ -257,15 +257,24 @@ def without_repeats(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """The rows of ``df`` with their texts after :func:`remove_repeated_bytes`; ``length_col``, if there, is counted anew.
 
     Characters that a cut splits are dropped.  Null texts and rows with a null id stay as they are; rows that share an
-    id get the text of one of them.  The other columns are joined back by id, so a text travels once.
+    id and lose something get the text of one of them.  Rows that lose nothing stay where they are, if the ids of the
+    others are few enough to be broadcast; the other columns are joined back by id, so a text travels once.  An empty
+    table gives no rows; columns of any name are passed through.
     """
     id_, kept, none = fresh("_id", df), fresh("_kept", df), fresh("_none", df)
-    known = df.filter(F.col(id_col).isNotNull())
-    named = known.select(F.col(id_col).alias(id_), F.col(text_col).alias(kept))
-    texts = remove_repeats(named, plan_of(window, k), cut_text, [(kept, pa.string())], f"`{kept}` string", id_, kept).dropDuplicates([id_])
-    rest = known.withColumn(none, F.col(text_col).isNull()).drop(text_col)
-    out = rest.join(texts, F.col(id_col) == F.col(id_)).withColumn(text_col, F.when(~F.col(none), F.col(kept)))
+    named = df.filter(F.col(id_col).isNotNull()).select(F.col(id_col).alias(id_), F.col(text_col).alias(kept))
+    texts, ids, _ = cut_repeats(named, plan_of(window, k), cut_text, [(kept, pa.string())], f"`{kept}` string", id_, kept)
+    texts = texts.dropDuplicates([id_])
+    marked, whole = df.filter(F.col(id_col).isNotNull()), df.filter(F.col(id_col).isNull())
+    if ids is not None:
+        ids = F.broadcast(ids.withColumnRenamed("marked", id_))
+        marked, whole = (df.join(ids, F.col(id_col).cast("bigint") == F.col(id_), how) for how in ("left_semi", "left_anti"))
+    rest = marked.withColumn(none, F.col(text_col).isNull()).drop(text_col)
+    out = rest.join(texts, F.col(id_col).cast("bigint") == F.col(id_)).withColumn(text_col, F.when(~F.col(none), F.col(kept)))
     if length_col in df.columns:
         kind = df.schema[length_col].dataType
-        out = out.withColumn(length_col, F.when(F.col(none), F.col(length_col)).otherwise(F.length(kept).cast(kind)))
-    return out.select(*df.columns).unionByName(df.filter(F.col(id_col).isNull()))
+        out = out.withColumn(length_col, F.when(F.col(none), F.col(length_col)).otherwise(F.length(text_col).cast(kind)))
+        if ids is not None:
+            known = F.col(id_col).isNotNull() & F.col(text_col).isNotNull()
+            whole = whole.withColumn(length_col, F.when(known, F.length(text_col).cast(kind)).otherwise(F.col(length_col)))
+    return out.select(*df.columns).unionByName(whole)
