@@ -35,7 +35,7 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def substring_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Strings of 50 bytes that also start in a document of smaller id go from the texts.  Null texts and rows with a null id stay as they are; of repeated rows one stays."""
+    """Strings of 50 bytes that also start in a document of smaller id go from the texts.  Null texts and rows with a null id stay as they are; rows that share an id get one text."""
     bound_batches(spark)
     return suffix_dedup.without_repeats(docs)
 
