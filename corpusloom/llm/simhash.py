@@ -1,21 +1,29 @@
 """SimHash near-duplicates: fingerprints of word shingles, linked within a Hamming radius by BK-trees.
 
-A fingerprint is cut into ``radius + 1`` blocks of bits.  Two fingerprints within the radius agree on a whole block, so
-each value of each block is a shard, and links only run inside shards.  A shard is a BK-tree: children are keyed by
-their integer Hamming distance to the parent, and a search follows only the edges within the radius.  Shards of more
-than ``tree_nodes`` fingerprints are dealt to several trees, and every search of the shard visits each of them.
-A tree goes to the task that holds the searches of its shard instead of to all tasks: all trees together grow with the
-corpus, so broadcasting them has no size bound.
+Two fingerprints within the radius agree on all bits outside at most ``radius`` of the blocks that a fingerprint is cut
+into, so each choice of the other blocks is a shard key, and links only run inside shards.  There are more blocks, and so
+more bits in a key, the more fingerprints there are.  A shard is a BK-tree: children are keyed by their integer Hamming
+distance to the parent, and a search follows only the edges within the radius.  The trees of many shards are kept as one
+set of arrays (:class:`Forest`).
+
+While all trees together take no more than ``TREE_BYTES``, a bound that is checked first, they are broadcast and every task
+searches for its own fingerprints.  All trees together grow with the corpus: beyond the bound a tree goes to the task
+that holds the searches of its shard.  There shards of more than ``tree_nodes`` fingerprints are dealt to several trees,
+and every search of the shard visits each of them.
 """
 
 from __future__ import annotations
 
+import itertools
+import pickle
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusloom.llm import windows as W
 from corpusloom.llm.common import checked_broadcast, tidy
 
 _LOWER = bytes(c + 32 if 65 <= c <= 90 else c for c in range(256))
@@ -49,44 +57,87 @@ def fingerprint(text: str | None, k: int = 3, seed: int = 42) -> int:
     return votes_to_fingerprint(np.array([xxh64_intdigest(s, seed) for s in shingles(text, k)], np.uint64))
 
 
-class BKTree:
-    """Distinct integers under Hamming distance."""
-
-    def __init__(self) -> None:
-        self.values: list[int] = []
-        self.children: list[dict[int, int]] = []
-
-    def near(self, value: int, radius: int) -> list[int]:
-        """Places of the values within the radius."""
-        found, stack = [], [0] if self.values else []
-        while stack:
-            at = stack.pop()
-            d = (self.values[at] ^ value).bit_count()
-            if d <= radius:
-                found.append(at)
-            kids = self.children[at]
-            if kids:
-                lo, hi = d - radius, d + radius
-                if len(kids) <= 2 * radius:
-                    stack.extend([n for e, n in kids.items() if lo <= e <= hi])
-                else:
-                    stack.extend([kids[e] for e in range(lo, hi + 1) if e in kids])
-        return found
-
-    def add(self, value: int) -> int:
-        """The place of the value, a new one unless the tree has it."""
-        new, at = len(self.values), 0
-        while self.values:
-            d = (self.values[at] ^ value).bit_count()
-            if not d:
-                return at
-            if d not in self.children[at]:
-                self.children[at][d] = new
-                break
-            at = self.children[at][d]
-        self.values.append(value)
-        self.children.append({})
-        return new
+#: Bytes that broadcast trees may take, and what a node takes at most: fingerprint, node, edge, child, and its share of a shard.
+TREE_BYTES, NODE_BYTES = 64 << 20, 44
+
+
+class Forest:
+    """BK-trees of shards of integers under Hamming distance, as arrays: an edge is a parent, a distance and a child."""
+
+    def __init__(self, shard: np.ndarray, prints: np.ndarray) -> None:
+        """``prints``: a row of 64-bit numbers for each item; ``shard``: where it belongs.  Items are added in their order."""
+        self.prints, self.span = prints, 64 * prints.shape[1] + 1
+        self.shards, self.roots = np.unique(shard, return_index=True)
+        self.same = np.arange(len(shard))  # the item in the tree with this print
+        place = np.searchsorted(self.shards, shard)
+        self.size = np.bincount(place, minlength=len(self.shards))
+        at = self.roots[place]
+        todo = np.flatnonzero(at != np.arange(len(shard)))
+        at = at[todo]
+        keys, children = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+        while len(todo):
+            d = self.distance(prints[todo], prints[at])
+            self.same[todo[d == 0]] = at[d == 0]
+            todo, key = todo[d > 0], (at * self.span + d)[d > 0]
+            order = np.argsort(key, kind="stable")
+            todo, key = todo[order], key[order]
+            new = np.concatenate(([True], key[1:] != key[:-1])) if len(key) else np.zeros(0, bool)
+            keys.append(key[new])
+            children.append(todo[new])
+            at, todo = todo[np.maximum.accumulate(np.where(new, np.arange(len(key)), 0))][~new], todo[~new]
+        self.key, self.child = np.concatenate(keys), np.concatenate(children)
+        order = np.argsort(self.key)
+        self.key, self.child = self.key[order], self.child[order]
+
+    @staticmethod
+    def distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+        return np.bitwise_count(a ^ b).sum(1, dtype=np.int64)
+
+    def near(self, shard: np.ndarray, prints: np.ndarray, radius: int, visits: int = 1 << 21):
+        """Pairs of a query and an item of its shard within the radius, some queries at a time; equal items count as one."""
+        if not len(self.shards):
+            return
+        place = np.minimum(np.searchsorted(self.shards, shard), len(self.shards) - 1)
+        known = np.flatnonzero(self.shards[place] == shard)
+        root, most = self.roots[place[known]], np.cumsum(self.size[place[known]])
+        lo = 0
+        while lo < len(known):
+            hi = max(lo + 1, int(np.searchsorted(most, (most[lo - 1] if lo else 0) + visits, side="right")))
+            q, at, found = known[lo:hi], root[lo:hi], []
+            while len(q):
+                d = self.distance(prints[q], self.prints[at])
+                hit = d <= radius
+                found.append((q[hit], at[hit]))
+                a = np.searchsorted(self.key, at * self.span + np.maximum(d - radius, 1))
+                n = np.searchsorted(self.key, at * self.span + np.minimum(d + radius, self.span - 1), side="right") - a
+                q, at = np.repeat(q, n), self.child[W.ranges(a, n)]
+            yield tuple(np.concatenate(c) for c in zip(*found, strict=True))
+            lo = hi
+
+
+def unite(label: np.ndarray, a: np.ndarray, b: np.ndarray) -> None:
+    """Join the sets of each pair; ``label`` leads every place to the least of its set, before and after."""
+    a, b = label[a], label[b]
+    while True:
+        apart = np.flatnonzero(a != b)
+        if not len(apart):
+            return
+        a, b = a[apart], b[apart]
+        np.minimum.at(label, np.maximum(a, b), np.minimum(a, b))
+        while (label[label] != label).any():
+            label[:] = label[label]
+        a, b = label[a], label[b]
+
+
+def tree_links(shard: np.ndarray, node: np.ndarray, prints: np.ndarray, own: np.ndarray, guest: np.ndarray, radius: int) -> tuple[np.ndarray, np.ndarray]:
+    """Spanning links of rows of some shards: trees of the rows ``own``, searched for the rows ``guest``."""
+    at, ask = np.flatnonzero(own), np.flatnonzero(guest)
+    forest, label = Forest(shard[at], prints[at]), np.arange(len(shard))
+    unite(label, at, at[forest.same])
+    for q, found in forest.near(shard[ask], prints[ask], radius):
+        unite(label, ask[q], at[found])
+    led = np.flatnonzero(label != np.arange(len(label)))
+    return node[led], node[label[led]]
 
 
 class Union:
@@ -108,35 +159,44 @@ class Union:
         self.up[max(i, j)] = min(i, j)
 
 
-def link(prints: DataFrame, col: str = "fp", radius: int = 3, tree_nodes: int = 1024) -> DataFrame:
+def shard_keys(fp, n: int, radius: int, per_shard: int = 16) -> list:
+    """Keys of a 64-bit fingerprint: of ``m`` blocks any ``m - radius``, the fewest blocks for which ``n`` values leave a shard ``per_shard`` on average."""
+    m = radius + 1
+    while n > per_shard << (64 * (m - radius) // m) and m < radius + 8:
+        m += 1
+    edges = [64 * i // m for i in range(m + 1)]
+    blocks = [(1 << b) - (1 << a) for a, b in itertools.pairwise(edges)]
+    signed = lambda x: x - (1 << 64) if x >> 63 else x
+    # A hash of the bits is key enough: whatever meets by chance is told apart by its distance.
+    return [F.xxhash64(F.lit(i), fp.bitwiseAND(F.lit(signed(sum(own))))) for i, own in enumerate(itertools.combinations(blocks, m - radius))]
+
+
+def link(prints: DataFrame, col: str = "fp", radius: int = 3, tree_nodes: int = 1024, tree_bytes: int = TREE_BYTES) -> DataFrame:
     """Spanning links (``a``, ``b``) of the graph on distinct fingerprints within the radius; no link between sets is lost."""
-    blocks = radius + 1
-    width = 64 // blocks
-    cuts = [(i * width, 64 if i == blocks - 1 else (i + 1) * width) for i in range(blocks)]
     fp = F.col(col)
-    value = lambda a, b: F.shiftrightunsigned(F.shiftleft(fp, 64 - b), 64 - b + a)
-    keys = [F.lit(i << 40) + value(a, b) if blocks > 1 else fp for i, (a, b) in enumerate(cuts)]
     raw = F.unhex(F.lpad(F.hex(fp), 16, "0"))
-    return link_keyed(prints.select(fp.alias("node"), raw.alias("fp"), F.explode(F.array(*keys)).alias("key")), radius, tree_nodes)
+    keys = shard_keys(fp, prints.count(), radius)
+    return link_keyed(prints.select(fp.alias("node"), raw.alias("fp"), F.explode(F.array(*keys)).alias("key")), radius, 64, tree_nodes, tree_bytes)
 
 
 def hex_print(fp):
     return F.lower(F.lpad(F.hex(fp), 16, "0"))
 
 
-def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3, seed: int = 42, radius: int = 3, tree_nodes: int = 1024) -> DataFrame:
+def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 3, seed: int = 42, radius: int = 3, tree_nodes: int = 1024, tree_bytes: int = TREE_BYTES) -> DataFrame:
     """Fingerprint and component of each row: the id, ``fingerprint`` (hex) and ``component_id``.
 
     ``component_id`` is the smallest id that links reach.  A null or blank text has fingerprint zero, and zero links
     like any other.  Rows with a null id take part and get the smallest id there is in their component, or null.
-    Repeated rows give repeated results; an empty table gives no rows; other columns are ignored.
+    Repeated rows give repeated results; an empty table gives no rows.  A text of any length is taken whole.  A bit that
+    exactly half of the hashes have is 0.  Other columns are ignored, whatever their names.
     """
     from corpusloom.llm.common import components, map_texts, materialise
 
     prints = map_texts(df, id_col, text_col, lambda: lambda t: (fingerprint(t, k, seed),), [T.StructField("_fp", T.LongType())])
     prints = materialise(prints)
     classes = materialise(prints.groupBy("_fp").agg(F.min(id_col).alias("_least")))
-    roots = components(link(classes, "_fp", radius, tree_nodes)).select(F.col("node").alias("_fp"), F.col("root").alias("_root"))
+    roots = components(link(classes, "_fp", radius, tree_nodes, tree_bytes)).select(F.col("node").alias("_fp"), F.col("root").alias("_root"))
     rooted = classes.join(roots, "_fp", "left").withColumn("_root", F.coalesce("_root", "_fp"))
     least = rooted.groupBy("_root").agg(F.min("_least").alias("component_id"))
     member = rooted.select("_fp", "_root").join(least, "_root").select("_fp", "component_id")
@@ -167,9 +227,10 @@ def long_fingerprint(text: str | None, k: int, bits: int, seed: int, block: int,
             part = np.unpackbits(own[lo : lo + (1 << 16)].view(np.uint8).reshape(-1, 8), axis=1, bitorder="little")
             votes[64 * w : 64 * w + 64] += part.sum(0, dtype=np.uint32)
     lead = 2 * votes - len(hashes)
-    on = (lead > 0).reshape(-1, block)
+    blocks = bits // block
+    on = (lead > 0)[: blocks * block].reshape(blocks, block)
     values = on @ (np.int64(1) << np.arange(block, dtype=np.int64))
-    near = np.argsort(np.abs(lead).reshape(-1, block), axis=1, kind="stable")[:, :flips]
+    near = np.argsort(np.abs(lead)[: blocks * block].reshape(blocks, block), axis=1, kind="stable")[:, :flips]
     keys = values[:, None]
     for j in range(flips):
         keys = np.concatenate((keys, keys ^ (np.int64(1) << near[:, j : j + 1].astype(np.int64))), axis=1)
@@ -210,30 +271,110 @@ def pairs_batch(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
 
 
-def link_keyed(keyed: DataFrame, radius: int, tree_nodes: int = 1024) -> DataFrame:
-    """Spanning links (``a``, ``b``) among ``node`` whose ``fp`` (binary) is within the radius and that share a ``key``."""
+def prints_of(column: pa.Array, bits: int) -> np.ndarray:
+    """Fingerprints of equal length as rows of 64-bit numbers."""
+    lo = np.frombuffer(column.buffers()[1], np.int32)[column.offset] if len(column) else 0
+    return np.frombuffer(column.buffers()[2], np.uint8)[lo : lo + len(column) * bits // 8].view("<u8").reshape(-1, bits // 64) if len(column) else np.zeros((0, bits // 64), np.uint64)
+
+
+def whole_shards(batches, bits: int, rows: int = 1 << 18):
+    """Sorted rows ``key, lo, hi, own, node, fp`` as arrays, many shards at once, a shard never split: a number for each shard, then own or guest, node, print."""
+    held: list[tuple[np.ndarray, ...]] = []
+    n = 0
+
+    def joined():
+        key, lo, hi, own, node, fp = (np.concatenate(c) for c in zip(*held, strict=True))
+        new = np.concatenate(([True], (key[1:] != key[:-1]) | (lo[1:] != lo[:-1]) | (hi[1:] != hi[:-1])))
+        return np.cumsum(new) - 1, new, (key, lo, hi, own, node, fp)
+
+    for b in batches:
+        if not b.num_rows:
+            continue
+        held.append((*(b.column(i).to_numpy(zero_copy_only=False) for i in range(5)), prints_of(b.column(5), bits)))
+        n += b.num_rows
+        if n >= rows:
+            shard, new, cols = joined()
+            cut = int(np.flatnonzero(new)[-1])  # the last shard may go on
+            if cut:
+                yield shard[:cut], *(c[:cut] for c in cols[1:])
+            held = [tuple(c[cut:].copy() for c in cols)]
+            n = len(shard) - cut
+            rows = max(rows, 2 * n)
+    if n:
+        shard, _, cols = joined()
+        yield shard, *cols[1:]
+
+
+def edge_batch(a: np.ndarray, b: np.ndarray) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+
+def link_keyed(keyed: DataFrame, radius: int, bits: int, tree_nodes: int = 1024, tree_bytes: int = TREE_BYTES) -> DataFrame:
+    """Spanning links (``a``, ``b``) among ``node`` whose ``fp`` (binary, of ``bits`` bits) is within the radius and that share a ``key``."""
+    keyed = keyed.select("key", "node", "fp")
+    n = keyed.count()
+    if n * (NODE_BYTES + bits // 8 - 8) <= tree_bytes:
+        return link_by_broadcast(keyed, radius, bits)
     dealt = in_parts(keyed, "key", "fp", tree_nodes).select("key", "lo", "hi", "own", "node", "fp")
-    shards = dealt.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "own")
+    shards = dealt.repartition("key", "lo", "hi").sortWithinPartitions("key", "lo", "hi", "own", "node")
 
     def run(batches):
-        out = []
-        for (_, lo, hi), rows in grouped(batches, 3):
-            if len(rows) > 1:
-                # By node, so that the least of a set is what its links lead to, in every shard the same if it is there.
-                rows.sort(key=lambda r: r[1])
-                node = {int.from_bytes(fp, "big"): n for _, n, fp in rows}
-                own = [int.from_bytes(fp, "big") for part, _, fp in rows if part == lo]
-                guests = [int.from_bytes(fp, "big") for part, _, fp in rows if part != lo]
-                if own and (guests or lo == hi):
-                    out += [(node[x], node[y]) for x, y in link_wide(own, guests, radius)]
-            if len(out) > 10_000:
-                yield pairs_batch(out)
-                out = []
-        yield pairs_batch(out)
+        for shard, lo, hi, own, node, prints in whole_shards(batches, bits):
+            yield edge_batch(*tree_links(shard, node, prints, own == lo, (lo == hi) | (own != lo), radius))
 
     return shards.mapInArrow(tidy(run), "a bigint, b bigint")
 
 
+def link_by_broadcast(keyed: DataFrame, radius: int, bits: int) -> DataFrame:
+    """As :func:`link_keyed`, for trees that may be broadcast: built where their shards meet, searched wherever a fingerprint lies."""
+    spark = keyed.sparkSession
+    parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    part = F.pmod(F.xxhash64("key", F.lit(9)), F.lit(parts)).cast("int")
+    # A shard of one fingerprint has no links.
+    rows = keyed.withColumn("part", part)
+
+    def build(batches):
+        for number, own in itertools.groupby((r for b in batches for r in slices(b)), key=lambda r: r[0]):
+            key, node, prints = (np.concatenate(c) for c in zip(*(r[1:] for r in own), strict=True))
+            _, inverse, count = np.unique(key, return_inverse=True, return_counts=True)
+            some = count[inverse] > 1
+            if some.any():
+                forest = Forest(key[some], prints[some])
+                forest.same = None
+                yield pa.RecordBatch.from_arrays([pa.array([number], pa.int32()), pa.array([pickle.dumps((forest, node[some]))], pa.binary())], names=["part", "trees"])
+
+    def slices(b: pa.RecordBatch):
+        number = b.column(0).to_numpy()
+        cuts = np.flatnonzero(np.diff(number)) + 1
+        prints = prints_of(b.column(3), bits)
+        for lo, hi in itertools.pairwise([0, *cuts.tolist(), len(number)]):
+            if hi > lo:
+                yield int(number[lo]), b.column(1).to_numpy()[lo:hi], b.column(2).to_numpy()[lo:hi], prints[lo:hi]
+
+    built = rows.select("part", "key", "node", "fp").repartitionById(parts, F.col("part")).sortWithinPartitions("part", "node").mapInArrow(tidy(build), "part int, trees binary")
+    trees = spark.sparkContext.broadcast({r["part"]: bytes(r["trees"]) for r in built.collect()})  # tree_bytes bound it
+
+    def search(batches):
+        forests = {p: pickle.loads(x) for p, x in trees.value.items()}
+        for b in batches:
+            number, key, node, prints = b.column(0).to_numpy(), b.column(1).to_numpy(), b.column(2).to_numpy(), prints_of(b.column(3), bits)
+            found = []
+            for p in np.unique(number).tolist():
+                if p in forests:
+                    forest, names = forests[p]
+                    own = np.flatnonzero(number == p)
+                    found += [(node[own[q]], names[at]) for q, at in forest.near(key[own], prints[own], radius)]
+            if found:
+                a, c = (np.concatenate(x) for x in zip(*found, strict=True))
+                names, places = np.unique(np.concatenate((a, c)), return_inverse=True)
+                label = np.arange(len(names))
+                unite(label, places[: len(a)], places[len(a) :])
+                led = np.flatnonzero(label != np.arange(len(label)))
+                yield edge_batch(names[led], names[label[led]])
+
+    return rows.select("part", "key", "node", "fp").mapInArrow(tidy(search), "a bigint, b bigint")
+
+
 def alike(wanted: list[np.ndarray], among: list[np.ndarray], similarity: float, same: bool):
     """For each set its fellows of Jaccard similarity or more, exactly, from one inverted index; of the same list only those before it."""
     sizes = np.array([len(s) for s in among])
@@ -356,38 +497,26 @@ def verified(members: DataFrame, texts: DataFrame, k: int, similarity: float, bl
     return sent.mapInArrow(tidy(run), "a bigint, b bigint")
 
 
-def link_wide(own: list[int], guests: list[int], radius: int) -> list[tuple[int, int]]:
-    """A spanning set of the links among ``own``, or between ``guests`` and ``own`` if there are guests; fingerprints of any number of bits."""
-    tree, sets = BKTree(), Union()
-    for v in own:
-        at = tree.add(v)
-        sets.grow(at + 1)
-        if not guests:
-            for n in tree.near(v, radius):
-                sets.join(at, n)
-    out = []
-    for g in guests:
-        near = tree.near(g, radius)
-        for n in near[1:]:
-            sets.join(near[0], n)
-        if near:
-            out.append((g, tree.values[min(near)]))
-    return out + [(tree.values[i], tree.values[sets.root(i)]) for i in range(len(tree.values)) if sets.root(i) != i]
+def shard_width(n: int) -> tuple[int, int]:
+    """Bits of a block and closest votes turned over in it, for so many documents; see README for what such shards miss."""
+    return (16, 2) if n <= 1 << 20 else (20, 3) if n <= 1 << 24 else (24, 5)
 
 
 def drop_near_duplicates(
-    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, similarity: float = 0.8, bits: int = 256, block: int = 16, flips: int = 2, seed: int = 42, tree_nodes: int = 1024, small: int = 48
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, similarity: float = 0.8, bits: int = 256, block: int | None = None, flips: int | None = None, seed: int = 42, tree_nodes: int = 1024, small: int = 48
 ) -> DataFrame:
     """The rows of ``df`` without near copies: of each group linked at ``similarity`` or more the smallest id stays.
 
     Similarity is the Jaccard similarity of sets of ``k``-word shingles.  Fingerprints of ``bits`` bits find groups in
     which it may be reached, with a radius three standard deviations beyond what is expected at the threshold; an exact
-    check of the sets follows inside each group.  Shards hold ``block`` bits: as the number of documents grows beyond
-    2 ** (block + 4), take a wider block and ``flips = block / 4 - 2``; with 256 bits such shards and the radius miss
-    fewer than one pair in 200 at 0.8 of sets of over 48 shingles.  Smaller sets would lose more (9 against 9 shingles
+    check of the sets follows inside each group.  Shards hold ``block`` bits, with the ``flips`` closest votes turned over;
+    both follow the number of documents unless given (:func:`shard_width`).  With 256 bits such shards and the radius miss
+    fewer than one pair in 100 at 0.8 of sets of over 48 shingles, one in 200 up to 16 million documents.
+    Smaller sets would lose more (9 against 9 shingles
     about 3 %): pairs with a set of up to ``small`` shingles are found by an exact index instead, so none is missed.  Documents of one set of shingles are copies of each other; different sets of one
-    fingerprint are a group, in which the exact check takes every set.  A row with a null id always stays.  Of
-    repeated rows one stays.  All columns of ``df`` are returned; an empty table gives no rows.
+    fingerprint are a group, in which the exact check takes every set.  Texts without a word, null ones too, are one set.
+    A row with a null id always stays.  Of repeated rows one stays.  A text of any length is taken whole.  All columns of
+    ``df`` are returned, whatever their names; an empty table gives no rows.
     """
     from corpusloom.llm.common import components, fresh, map_texts, materialise
 
@@ -395,6 +524,8 @@ def drop_near_duplicates(
     fields = [T.StructField("_fp", T.BinaryType()), T.StructField("_keys", T.ArrayType(T.LongType())), T.StructField("_set", T.LongType()), T.StructField("_small", T.ArrayType(T.LongType()))]
     most = int(small / similarity + 1e-9)  # the largest set that a small one can be similar to
     base = df.select(F.col(id_col).cast("bigint").alias("_id"), F.col(text_col).cast("string").alias("_text"))
+    if block is None or flips is None:
+        block, flips = shard_width(base.count())
     prints = map_texts(base, "_id", "_text", lambda: lambda t: long_fingerprint(t, k, bits, seed, block, flips, most), fields)
     prints = materialise(prints)
     # Equal sets are one node, named by the least id; all sets of a fingerprint are in its group, which has the keys of each.
@@ -406,7 +537,7 @@ def drop_near_duplicates(
     if n:
         further = sets.join(checked_broadcast(several, n), "_fp").filter(F.col("_set") != F.col("least._set"))
         keyed = keyed.unionByName(further.select(F.col("least.node").alias("node"), F.col("_fp").alias("fp"), F.explode(F.array_except("_keys", "least._keys")).alias("key")).distinct())
-    links = link_keyed(keyed, similarity_radius(similarity, bits), tree_nodes)
+    links = link_keyed(keyed, similarity_radius(similarity, bits), bits, tree_nodes)
     if n:
         links = links.unionByName(further.select(F.col("node").alias("a"), F.col("least.node").alias("b")))
     groups = materialise(components(links))

@@ -222,11 +222,12 @@ def brute_components(prints, radius=3):
     return [least.get(root(i)) for i in range(len(prints))]
 
 
+@pytest.mark.parametrize("tree_bytes", [0, simhash.TREE_BYTES])
 @pytest.mark.parametrize("nodes", [3, 1024])
-def test_simhash(docs, rows, nodes):
+def test_simhash(docs, rows, nodes, tree_bytes):
     prints = [(i, brute_print(t)) for i, t, *_ in rows]
     want = Counter((i, f"{p:016x}", c) for (i, p), c in zip(prints, brute_components(prints), strict=True))
-    assert Counter(tuple(r) for r in simhash.near_duplicates(docs, tree_nodes=nodes).collect()) == want
+    assert Counter(tuple(r) for r in simhash.near_duplicates(docs, tree_nodes=nodes, tree_bytes=tree_bytes).collect()) == want
 
 
 def test_hash_is_sparks(spark):
@@ -236,13 +237,44 @@ def test_hash_is_sparks(spark):
     assert df.select(F.xxhash64("s")).first()[0] & (1 << 64) - 1 == xxh64_intdigest("a bé c".encode(), 42)
 
 
+def test_forest_is_a_bk_tree():
+    """Children hang on their distance to the parent, and a search finds what brute force finds."""
+    rng = np.random.default_rng(7)
+    for words in (1, 4):
+        prints = rng.integers(0, 2**63, (12, words)).astype(np.uint64)[rng.integers(0, 12, 400)] ^ (np.uint64(1) << rng.integers(0, 64, (400, words)).astype(np.uint64))
+        shard = rng.integers(0, 9, 400)
+        forest = simhash.Forest(shard, prints)
+        parent, d = np.divmod(forest.key, forest.span)
+        assert (simhash.Forest.distance(prints[parent], prints[forest.child]) == d).all() and (shard[parent] == shard[forest.child]).all() and (np.diff(forest.key) > 0).all()
+        assert len(forest.child) + 9 == len(np.unique(forest.same))
+        for radius in (0, 3, 40):
+            found = {(int(q), int(x)) for a, b in forest.near(shard, prints, radius, visits=300) for q, x in zip(a, b, strict=True)}
+            assert found == {(i, j) for i in range(400) for j in np.flatnonzero((shard == shard[i]) & (forest.same == np.arange(400))).tolist() if np.bitwise_count(prints[i] ^ prints[j]).sum() <= radius}
+
+
+def test_keys_follow_the_number_of_fingerprints(spark):
+    """With any number of blocks, two values within the radius share a key."""
+    from pyspark.sql import functions as F
+
+    rng = random.Random(2)
+    pairs = []
+    for _ in range(300):
+        v = rng.getrandbits(64)
+        w = v ^ sum({1 << rng.randrange(64) for _ in range(3)})
+        pairs.append(tuple(x - (1 << 64) if x >> 63 else x for x in (v, w)))
+    df = spark.createDataFrame(pairs, "v long, w long")
+    for n, keys in ((1000, 4), (10**8, 10), (10**10, 20)):
+        v, w = (simhash.shard_keys(F.col(c), n, 3) for c in "vw")
+        assert len(v) == keys and df.filter(F.arrays_overlap(F.array(*v), F.array(*w))).count() == 300
+
+
 @pytest.mark.parametrize("nodes", [8, 1024])
 def test_links_within_radius(spark, nodes):
     rng = random.Random(nodes)
     base = [rng.getrandbits(64) for _ in range(15)]
     values = list({v ^ sum(1 << rng.randrange(64) for _ in range(rng.randrange(5))) & (1 << 64) - 1 for v in base for _ in range(12)})
     signed = [v - (1 << 64) if v >> 63 else v for v in values]
-    edges = simhash.link(spark.createDataFrame([(v,) for v in signed], "fp long"), tree_nodes=nodes).collect()
+    edges = simhash.link(spark.createDataFrame([(v,) for v in signed], "fp long"), tree_nodes=nodes, tree_bytes=0).collect()
     mask = (1 << 64) - 1
     up = {v: v for v in signed}
 
