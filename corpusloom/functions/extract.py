@@ -45,7 +45,8 @@ def axis_value(block: Column, axis: str, part: str) -> Column:
     for name in AXES[axis]:
         nested = F.get_json_object(block, f"$.{name}")
         flat = [F.get_json_object(block, f"$.{name}_{p}") for p in PARTS]
-        is_object = nested.startswith("{")
+        # By the JSON type, not by how the text begins: a string may begin with a brace, too.
+        is_object = F.coalesce(F.try_variant_get(F.try_parse_json(block), f"$.{name}", "map<string,variant>").isNotNull(), F.lit(False))
         out = F.when(is_object, F.get_json_object(block, f"$.{name}.{part}")) if out is None else out.when(is_object, F.get_json_object(block, f"$.{name}.{part}"))
         out = out.when(F.coalesce(*flat).isNotNull(), F.get_json_object(block, f"$.{name}_{part}"))
     return F.coalesce(out, F.lit(""))

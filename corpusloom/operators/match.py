@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from corpusloom.functions.scalars import normal_title, title_words
@@ -46,9 +46,14 @@ def resolve(wanted: DataFrame, index: DataFrame, overrides: DataFrame, key: str
 
 
 def first_by(df: DataFrame, keys: list[str], *order: Column | str) -> DataFrame:
-    """The first row of each key in the given order."""
-    return df.withColumn("_n", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).filter("_n = 1").drop("_n")
+    """The first row of each key in the given order: an aggregate, so a task sends one row for each key it has."""
+    return _end_by(df, keys, F.min_by, order)
 
 
-def last_by(df: DataFrame, keys: list[str], pos: str) -> DataFrame:
-    return first_by(df, keys, F.col(pos).desc())
+def last_by(df: DataFrame, keys: list[str], *order: Column | str) -> DataFrame:
+    return _end_by(df, keys, F.max_by, order)
+
+
+def _end_by(df: DataFrame, keys: list[str], end, order) -> DataFrame:
+    by = F.struct(*[(F.col(c) if isinstance(c, str) else c).alias(f"o{i}") for i, c in enumerate(order)])
+    return df.groupBy(*keys).agg(end(F.struct(*[F.col(f"`{c}`") for c in df.columns]), by).alias("_row")).select("_row.*")

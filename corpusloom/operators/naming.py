@@ -15,14 +15,30 @@ def base_stem(date: Column, author: Column, title: Column, strip_html: bool = Fa
 def unique_stems(df: DataFrame, pos: str = "row_pos", date: str = "published_date", author: str = "pope", title: str = "title", link: str = "link", strip_html: bool = False) -> DataFrame:
     """Adds ``stem``: the first row of a base name has it, later ones get the stem of their link and a number.
 
-    Numbers count from 2 for each base and link stem.  Both windows stand on the base name, so one exchange serves them.
+    Numbers count from 2 for each base and link stem.  The first row of a base is found by an aggregate; only rows after
+    it are numbered, by ranges of the sorted names, so a name that very many rows share is no single task.
     """
     slug = file_part(url_stem(F.col(link)), strip_html=strip_html)
     named = df.withColumns({"_base": base_stem(F.col(date), F.col(author), F.col(title), strip_html), "_slug": slug})
-    named = named.withColumn("_k", F.row_number().over(Window.partitionBy("_base").orderBy(pos)))
-    first = F.col("_k") == 1
-    nth = F.row_number().over(Window.partitionBy("_base", "_slug", first).orderBy(pos)) + 1
-    return named.withColumn("stem", F.when(first, F.col("_base")).otherwise(F.concat_ws("_", "_base", "_slug", nth.cast("string")))).drop("_base", "_slug", "_k")
+    least = named.groupBy("_base").agg(F.min(pos).alias("_least"), F.count("*").alias("_rows"))
+    later = named.select("_base", "_slug", pos).join(least.filter("_rows > 1"), "_base").filter(F.col(pos) > F.col("_least")).select("_base", "_slug", pos)
+    nth = nth_in_key(later, ["_base", "_slug"], pos, "_nth").select(F.col(pos).alias("_pos"), "_nth")
+    out = named.join(nth, F.col(pos) == F.col("_pos"), "left")
+    stem = F.when(F.col("_nth").isNull(), F.col("_base")).otherwise(F.concat_ws("_", "_base", "_slug", (F.col("_nth") + 1).cast("string")))
+    return out.withColumn("stem", stem).drop("_base", "_slug", "_pos", "_nth")
+
+
+def nth_in_key(df: DataFrame, keys: list[str], pos: str, out: str) -> DataFrame:
+    """Numbers from 1 in each key by ``pos``, which is different in every row: ranges are numbered, then offset by what stands before them."""
+    from corpusloom.sources.files import settle
+
+    ranged = settle(df.repartitionByRange(*keys, pos).withColumn("_part", F.spark_partition_id()))
+    own = ranged.withColumn(out, F.row_number().over(Window.partitionBy("_part", *keys).orderBy(pos)))
+    sizes = ranged.groupBy("_part", *keys).count()
+    before = F.sum("count").over(Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1))
+    # Keys that go on from one range to the next: no more than there are ranges.
+    goes_on = sizes.withColumn("_before", before).filter("_before > 0").drop("count")
+    return own.join(F.broadcast(goes_on), ["_part", *keys], "left").withColumn(out, F.col(out) + F.coalesce("_before", F.lit(0))).drop("_part", "_before")
 
 
 def clashes(named: DataFrame) -> DataFrame:

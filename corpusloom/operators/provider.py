@@ -26,6 +26,24 @@ def stub_theme(text: str) -> str:
     return f"---\npass: stub\n---\n\n- **Key theme:** {theme}\n- **Theme (one sentence):** {first}\n- **Summary:** {len(words)} words\n"
 
 
+def stub_gradient(text: str) -> str:
+    """A research report with a block of gradients from counts of words: the same for the same text, and no more than that."""
+    words = text.lower().split()
+    n = max(1, len(words))
+    social, spiritual = (sum(words.count(w) for w in group) / n for group in (SOCIAL_WORDS, SPIRITUAL_WORDS))
+    axis = lambda a, b: f'{{"saturation": {round(a, 4)}, "density": {round(b, 4)}}}'
+    return f'# Report\n\n## Gradients\n\n```json\n{{"reflective": {axis(social, spiritual)}, "prospective": {axis(spiritual, social)}}}\n```\n'
+
+
+def research(df: DataFrame, text_col: str, key: str, providers: dict[str, Callable[[str], str]], concurrency: int = 5) -> DataFrame:
+    """``tier, key, report, error``: every tier's provider on every row, tiers in the order given."""
+    out = None
+    for tier, provider in providers.items():
+        own = call(df, text_col, key, provider, concurrency).select(F.lit(tier).alias("tier"), key, "report", "error")
+        out = own if out is None else out.unionByName(own)
+    return out
+
+
 def call(df: DataFrame, text_col: str, key: str, provider: Callable[[str], str] = stub_theme, concurrency: int = 5) -> DataFrame:
     """``key, report, error``; at most ``concurrency`` calls run at once in a task.  A null text is not sent."""
 

@@ -15,7 +15,9 @@ from corpusloom.sources.files import append_events
 
 
 class QueueStore:
-    def __init__(self, spark: SparkSession, path: str, now: Column | None = None, keep: int = 5) -> None:
+    def __init__(self, spark: SparkSession, path: str, now: Column | None = None, keep: int = 5, about: tuple[str, str, str] = ("step3", "", "")) -> None:
+        """``about``: step, model and prompt file for the row that describes the queue."""
+        self.about = about
         self.spark, self.path, self.keep = spark, path.rstrip("/"), keep
         self.now = utc_stamp() if now is None else now
 
@@ -60,9 +62,14 @@ class QueueStore:
         if not total:
             raise ValueError("no source files")
         sources = naming.number_by_name(names.select("name"), "name").select("id", "name")
-        self._write(work_queue.init(sources, present, self.now, report_dir))
+        items = work_queue.init(sources, present, self.now, report_dir)
+        self._write(items)
+        work_queue.meta(self.items(), self.now, *self.about).write.mode("overwrite").parquet(f"{self.path}/meta")
         self._event("init", total=F.lit(total))
 
+    def meta(self) -> DataFrame:
+        return self.spark.read.parquet(f"{self.path}/meta")
+
     def sync(self, present: DataFrame) -> int:
         before, after = self.items(), work_queue.sync(self.items(), present, self.now)
         changed = after.filter("status = 'complete'").count() - before.filter("status = 'complete'").count()

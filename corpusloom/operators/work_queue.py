@@ -19,6 +19,12 @@ MARKS = ("complete", "failed", "pending", "skipped")
 COLUMNS = ("id", "source_file", "report_file", "status", "batch_id", "started_at", "completed_at", "error", "agent_id")
 
 
+def meta(items: DataFrame, now: Column, step: str, model: str, prompt_file: str, batch_size: int = BATCH) -> DataFrame:
+    """The one row that describes a queue: ``step, model, batch_size, prompt_file, created_at, total``."""
+    lit = lambda v: F.lit(v)
+    return items.agg(F.count("*").alias("total")).select(lit(step).alias("step"), lit(model).alias("model"), lit(batch_size).alias("batch_size"), lit(prompt_file).alias("prompt_file"), now.alias("created_at"), "total")
+
+
 def report_name(name: Column) -> Column:
     return F.concat(F.lit("run-"), name)
 
@@ -111,6 +117,6 @@ def event(kind: str, now: Column, **fields: Column) -> list[Column]:
 
 def latest(events: DataFrame, item: str = "id", order: tuple[str, ...] = ("ts",)) -> DataFrame:
     """The last event of each item: what the fold over the log comes to."""
-    from corpusloom.operators.match import first_by
+    from corpusloom.operators.match import last_by
 
-    return first_by(events, [item], *[F.col(c).desc() for c in order])
+    return last_by(events, [item], *order)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import time
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -10,6 +11,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions.html import html_markdown, page_body
 from corpusloom.functions.scalars import text_or_empty
 from corpusloom.operators import match, merge, naming, prompt, recover
+from corpusloom.operators.provider import call
 from corpusloom.sources import files, web
 
 
@@ -47,6 +49,17 @@ def fetch_catalog(catalog: DataFrame, present: DataFrame, pages: DataFrame) -> t
     return documents, log.unionByName(skipped)
 
 
+def fetch_missing(catalog: DataFrame, present: DataFrame, get=web.http_get, api_base: str | None = None, pause: float = web.PAUSE_S, sleep=time.sleep) -> tuple[DataFrame, DataFrame]:
+    """As :func:`fetch_catalog`, fetching as well: only links of documents that are not there are asked for, each once.
+
+    What was fetched is written down before anything is made of it, so no later step asks a site again.
+    """
+    named = naming.unique_stems(catalog, strip_html=True).withColumn("file", F.concat("stem", F.lit(".md")))
+    flagged = named.join(present.select(F.col("name").alias("file"), "size"), "file", "left")
+    wanted = flagged.filter(~files.fetched()).select("link").distinct()
+    return fetch_catalog(catalog, present, files.settle(web.fetch(wanted, get=get, api_base=api_base, pause=pause, sleep=sleep)))
+
+
 def recover_failed(catalog: DataFrame, failed: DataFrame, index: DataFrame, spark: SparkSession) -> DataFrame:
     """For each failed entry where to look now: ``file, link, action, reason, url, method``."""
     planned = recover.plan(failed, catalog, list(web.SKIP_LINKS))
@@ -59,6 +72,40 @@ def recover_failed(catalog: DataFrame, failed: DataFrame, index: DataFrame, spar
     return again.select(*cols).unionByName(rest.select(*cols))
 
 
+def run_commands(commands: list[tuple[str, dict]], run: Callable[[str, dict], int]) -> list[str]:
+    """Run commands in turn; one that returns anything but 0 ends the run with an error.  Returns the names of those that ran."""
+    done = []
+    for name, options in commands:
+        if status := run(name, options):
+            raise RuntimeError(f"{name} ended with status {status}")
+        done.append(name)
+    return done
+
+
+def run_rest(store, sources: str, reports: str, provider: Callable[[str], str], size: int = 30, limit: int | None = None, concurrency: int = 5) -> int:
+    """Take batches from the queue until none is pending or ``limit`` items are done: call the provider, write the reports, mark the items.
+
+    What a provider cannot do is marked failed with its error.  Returns the number of items taken.
+    """
+    spark, done = store.spark, 0
+    while limit is None or done < limit:
+        taken = store.next_batch(size if limit is None else min(size, limit - done))
+        if not taken:
+            break
+        names = spark.createDataFrame([(r["id"], r["source_file"], r["report_file"]) for r in taken], "id long, name string, report string")
+        texts = files.read_texts(spark, sources).join(F.broadcast(names), "name")  # a batch
+        got = files.settle(call_provider(texts, "text", "report", provider, concurrency).withColumnRenamed("report", "answer").join(F.broadcast(names), F.col("key") == F.col("report"), "right"))
+        files.export_markdown(got.filter("answer is not null").select(F.element_at(F.split("report", "/"), -1).alias("filename"), F.col("answer").alias("text")), reports)
+        for r in got.select("id", "answer", "error").collect():  # a batch
+            store.mark(r["id"], "failed" if r["answer"] is None else "complete", None if r["answer"] is not None else r["error"] or "no source")
+        done += len(taken)
+    return done
+
+
+def call_provider(texts: DataFrame, text: str, key: str, provider: Callable[[str], str], concurrency: int) -> DataFrame:
+    return call(texts.select(F.col(key).alias("key"), F.col(text)), text, "key", provider, concurrency)
+
+
 def run_queue(steps: list[Callable[[DataFrame], DataFrame]], items: DataFrame, dry_run: bool = False) -> DataFrame:
     """Commands in turn on the items; a dry run plans none of them."""
     for step in [] if dry_run else steps:

@@ -11,16 +11,30 @@ FETCHED_BYTES = 200
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Cut the lineage in the folder of ``spark.checkpoint.dir``; in one of our own only where none is set."""
+    """Cut the lineage in the folder of ``spark.checkpoint.dir``."""
     spark = df.sparkSession
     if spark.conf.get("spark.checkpoint.dir", None) is None and spark.sparkContext._jsc.sc().getCheckpointDir().isEmpty():
-        import os
-        import tempfile
-
-        spark.sparkContext.setCheckpointDir(os.path.join(tempfile.gettempdir(), "corpusloom-checkpoints"))
+        spark.sparkContext.setCheckpointDir(scratch(spark))
     return df.checkpoint()
 
 
+def scratch(spark: SparkSession) -> str:
+    """A folder that the driver and all executors share: ``spark.checkpoint.dir``, or in local mode one of this machine."""
+    import os
+    import re
+    import tempfile
+
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None and not re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that the driver and all executors share")
+    return shared or os.path.join(tempfile.gettempdir(), "corpusloom-checkpoints")
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
+
+
 def read_csv(spark: SparkSession, path: str) -> DataFrame:
     """All columns as text, missing ones empty; ``row_pos`` keeps the order within and across files."""
     raw = spark.read.csv(path, header=True, inferSchema=False, multiLine=True, quote='"', escape='"', encoding="utf-8")
@@ -85,6 +99,35 @@ def pretty(df: DataFrame) -> Column:
     return F.to_json(F.struct(*df.columns), {"pretty": "true"})
 
 
+def export_markdown(df: DataFrame, path: str, most: int = 100_000, name: str = "filename", text: str = "text") -> int:
+    """One file for each row, for people and small corpora: more than ``most`` rows are refused, not cut.  Returns the number of files.
+
+    A file is written under a name of its task's own and then renamed, so a task that runs twice leaves one whole file.
+    """
+    n = df.count()
+    if n > most:
+        raise ValueError(f"{n} documents are more than the {most} an export of single files takes")
+    if "://" in path and not path.startswith("file:"):
+        raise ValueError("single files are exported to a folder that every machine mounts")
+    folder = path.removeprefix("file://")
+
+    def write(batches):
+        import os
+        import uuid
+
+        os.makedirs(folder, exist_ok=True)
+        for b in batches:
+            for file, body in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
+                part = os.path.join(folder, f".{uuid.uuid4().hex}")
+                with open(part, "w", encoding="utf-8", newline="") as f:
+                    f.write(body or "")
+                os.replace(part, os.path.join(folder, os.path.basename(file)))
+            yield b.slice(0, 0)
+
+    df.select(name, text).mapInArrow(write, df.select(name, text).schema).count()
+    return n
+
+
 def write_documents(df: DataFrame, path: str, name: str = "filename", text: str = "text") -> None:
     """A row for each document, in Parquet: small files by the million are no way to keep a corpus."""
     df.select(name, text).write.mode("overwrite").parquet(path)

@@ -5,32 +5,17 @@ An extension: the same fold as :func:`corpusloom.operators.work_queue.latest`, k
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-
-OUT = "id bigint, status string, n_events bigint, last_event bigint"
-STATE = "status string, n_events bigint, last_event bigint"
-
-
-def fold(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-    """The status of the event of greatest number, whatever order events come in, and how many there were."""
-    status, n, last = state.get if state.exists else (None, 0, -1)
-    for f in frames:
-        n += len(f)
-        top = f.loc[f["event_id"].idxmax()]
-        if int(top["event_id"]) > last:
-            status, last = top["status"], int(top["event_id"])
-    state.update((status, n, last))
-    yield pd.DataFrame({"id": [key[0]], "status": [status], "n_events": [n], "last_event": [last]})
 
 
 def follow(events: DataFrame) -> DataFrame:
-    """``events``: a stream of ``id, event_id, status``; a row for each item that a batch touches."""
-    return events.groupBy("id").applyInPandasWithState(fold, OUT, STATE, "update", GroupStateTimeout.NoTimeout)
+    """``events``: a stream of ``id, event_id, status``; a row for each item that a batch touches, in update mode.
+
+    The status is that of the event of greatest number, whatever order events come in.  The state is an aggregate of
+    Spark's own, a row an item.
+    """
+    return events.groupBy("id").agg(F.max_by("status", "event_id").alias("status"), F.count("*").alias("n_events"), F.max("event_id").alias("last_event"))
 
 
 def run_to_end(spark: SparkSession, events: DataFrame, table: str, checkpoint: str) -> DataFrame:
