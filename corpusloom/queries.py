@@ -7,7 +7,7 @@ way in Spark and in SQL.
 from __future__ import annotations
 
 import os
-import tempfile
+
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from corpusloom.functions import extract, regex_html, scalars
 from corpusloom.functions import html as html_functions
 from corpusloom.operators import catalog, match, merge, naming, prompt, provider, recover, work_queue
+from corpusloom.sources import files
 
 QUERIES: dict = {}
 ORACLES: dict[str, str] = {}
@@ -242,20 +243,16 @@ def tier_first_match(spark, d):
 
 def report_files(spark, d) -> DataFrame:
     """Theme reports under names of all three kinds, some documents with two."""
-    docs = t(spark, d, "documents").filter(F.col("doc_id") % 5 != 0)
-    base = docs.select("doc_id", theme_report().alias("text"))
+    base = t(spark, d, "documents").select("doc_id", theme_report().alias("text"))
     first = base.select(F.concat(F.lit("run-"), F.col("doc_id").cast("string"), F.when(F.col("doc_id") % 2 == 0, ".md.md").otherwise(".md")).alias("name"), "text")
     second = base.filter(F.col("doc_id") % 3 == 0).select(F.concat(F.col("doc_id").cast("string"), F.lit(".md")).alias("name"), F.lit("- **Key theme:** never\n").alias("text"))
     return first.unionByName(second)
 
 
-@query(f"""SELECT CAST(doc_id AS VARCHAR) AS stem, category, summary FROM ({_FIELDS_SQL}) WHERE doc_id % 5 <> 0
-  UNION ALL SELECT 'run-' || doc_id, category, summary FROM ({_FIELDS_SQL}) WHERE doc_id % 5 <> 0
-  UNION ALL SELECT doc_id || '.md', category, summary FROM ({_FIELDS_SQL}) WHERE doc_id % 5 <> 0 AND doc_id % 2 = 0
-  UNION ALL SELECT 'run-' || doc_id || '.md', category, summary FROM ({_FIELDS_SQL}) WHERE doc_id % 5 <> 0 AND doc_id % 2 = 0""".replace(
-    "UNION ALL SELECT 'run-' || doc_id, category, summary FROM (" + _FIELDS_SQL + ") WHERE doc_id % 5 <> 0\n",
-    "UNION ALL SELECT 'run-' || doc_id, category, summary FROM (" + _FIELDS_SQL + ") WHERE doc_id % 5 <> 0 AND doc_id % 2 <> 0\n",
-))
+@query(f"""SELECT CAST(doc_id AS VARCHAR) AS stem, category, summary FROM ({_FIELDS_SQL})
+  UNION ALL SELECT 'run-' || doc_id, category, summary FROM ({_FIELDS_SQL}) WHERE doc_id % 2 <> 0
+  UNION ALL SELECT doc_id || '.md', category, summary FROM ({_FIELDS_SQL}) WHERE doc_id % 2 = 0
+  UNION ALL SELECT 'run-' || doc_id || '.md', category, summary FROM ({_FIELDS_SQL}) WHERE doc_id % 2 = 0""")
 def report_lookup(spark, d):
     """Every stem a file can stand for, and the report it gets."""
     return merge.theme_fields(merge.reports_by_stem(report_files(spark, d)))
@@ -345,7 +342,7 @@ def anti_recover(spark, d):
 
 @query("""WITH w AS (SELECT *, list_distinct(list_filter(string_split(p_name, ' '), lambda x: length(x) > 2)) AS words FROM part),
   s AS (SELECT a.p_partkey AS link, b.p_partkey AS pos, len(list_intersect(a.words, b.words)) + CASE WHEN contains(b.p_name, a.p_name) THEN 10
-    WHEN starts_with(b.p_name, string_split(a.p_name, ' ')[1]) THEN 3 ELSE 0 END AS score, len(a.words) AS n FROM w a JOIN w b ON a.p_brand = b.p_brand WHERE b.p_type <> a.p_type OR b.p_partkey = a.p_partkey OR true)
+    WHEN starts_with(b.p_name, string_split(a.p_name, ' ')[1]) THEN 3 ELSE 0 END AS score, len(a.words) AS n FROM w a JOIN w b ON a.p_brand = b.p_brand)
   SELECT link, 'p' || pos AS url, CAST(score AS INTEGER) AS score FROM (SELECT *, row_number() OVER (PARTITION BY link ORDER BY score DESC, pos) AS k FROM s WHERE score > 0) WHERE k = 1 AND (score >= 2 OR n = 1)""")
 def fuzzy_match(spark, d):
     part = t(spark, d, "part")
@@ -493,7 +490,7 @@ def streaming_queue(spark, d):
     """M*: the queue from its log as a stream, driven over all events there are."""
     from corpusloom.streaming.queue_stream import run_to_end
 
-    shared = spark.conf.get("spark.checkpoint.dir", None) or tempfile.gettempdir()
+    shared = files.scratch(spark)
     where = os.path.join(shared, f"queue-{uuid.uuid4().hex}")
     name = f"{d}/events.parquet"
     schema = spark.read.parquet(name).schema
@@ -543,3 +540,6 @@ def extend_remaining(spark, d):
 def llm_stub(spark, d):
     """V1, V2: calls of a provider; the stub answers from the text alone."""
     return provider.call(t(spark, d, "documents"), "text", "doc_id")
+
+
+from corpusloom import flow_queries  # noqa: E402, F401  (adds its queries to those above)
