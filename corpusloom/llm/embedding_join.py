@@ -20,6 +20,10 @@ from pyspark.sql import functions as F
 from corpusloom.llm.common import tidy
 
 
+#: Cells there are at least, and what the driver and every task can hold of them.
+LEAST_PIVOTS, MOST_PIVOTS = 12, 2048
+
+
 def rows_of(column: pa.Array) -> list[np.ndarray | None]:
     """Each vector as a numpy array; None for null, zero, empty, or with a null or non-finite component."""
     if isinstance(column, pa.ChunkedArray):
@@ -107,13 +111,16 @@ class Block:
         return out + [(None, None, a, b) for a, b in self.edges]
 
 
-def range_join(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = 0.9, pivots: int = 12, sample: int = 2000, block: int = 4096) -> DataFrame:
+def range_join(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embedding", threshold: float = 0.9, pivots: int | None = None, sample: int | None = None, block: int = 4096) -> DataFrame:
     """One row for each vector: the id, ``n_links`` (other vectors of cosine ``threshold`` or more), ``component_id``, ``kept``.
 
     Vectors that are null, zero, empty or hold null or non-finite components link with nothing, and neither do rows
     with a null id or vectors of different lengths; their component is their own id.  Equal vectors are compared once
     and count as often as they stand.  Different vectors that share an id are one node of a component.  An empty table gives no
-    rows; other columns are ignored.  ``pivots`` cells are taken from ``sample`` vectors; the result does not depend on them.
+    rows; other columns are ignored, whatever their names.  A cosine of exactly ``threshold``, each sum rounded once, links.
+    ``pivots``: cells, one for each ``block`` different vectors unless given, from ``LEAST_PIVOTS`` to ``MOST_PIVOTS``; they
+    are taken from ``sample`` vectors, sixteen for a pivot.  Cells of more vectors are dealt to blocks, so the result
+    depends on neither.
     """
     from corpusloom.llm.common import components, materialise
 
@@ -132,6 +139,10 @@ def range_join(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
 
     rows = materialise(df.select(F.col(id_col).cast("bigint"), vector_col).mapInArrow(tidy(read), "id bigint, key binary, raw binary"))
     distinct = materialise(rows.filter("key is not null").groupBy("key").agg(F.min("id").alias("rep"), F.count("*").alias("copies"), F.first("raw").alias("raw")))
+    if pivots is None:
+        pivots = min(MOST_PIVOTS, max(LEAST_PIVOTS, -(-distinct.count() // block)))
+    if sample is None:
+        sample = max(2000, 16 * pivots)
     picked = distinct.select("raw").orderBy(F.xxhash64("key")).limit(sample).collect()  # bounded by sample
     by_length: dict[int, list[np.ndarray]] = {}
     for (r,) in picked:

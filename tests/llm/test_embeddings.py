@@ -60,3 +60,13 @@ def test_planted_threshold(spark):
     rows = [(1, [1.0, 0.0]), (2, [0.9, float(np.sqrt(1 - 0.81)) * 0.9999999]), (3, [-0.9, float(np.sqrt(1 - 0.81)) * 1.0000001]), (4, [-1.0, 0.0])]
     got = {r.vec_id: r.n_links for r in range_join(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()}
     assert got == {1: 1, 2: 1, 3: 0, 4: 0}
+
+
+def test_cells_of_clusters_meet_few_vectors(spark):
+    """Clustered vectors: with pivots in proportion to the table most vectors go to one cell only, and the links are all found."""
+    rng = np.random.default_rng(11)
+    centres = rng.normal(size=(40, 32))
+    v = centres[np.arange(1600) % 40] + 0.05 * rng.normal(size=(1600, 32))
+    df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>").repartition(4)
+    got = range_join(df, block=40).collect()
+    assert {(r.vec_id, r.n_links, r.component_id) for r in got} == {(i, 39, i % 40) for i in range(1600)}
