@@ -35,6 +35,18 @@ def features(text: str) -> np.ndarray:
     return out / max(1e-9, float(np.linalg.norm(out)))
 
 
+def sparse(f: np.ndarray) -> bytes:
+    """Places and values of what is not zero."""
+    at = np.flatnonzero(f)
+    return at.astype("<u2").tobytes() + f[at].astype("<f4").tobytes()
+
+
+def dense(data: bytes) -> np.ndarray:
+    out, n = np.zeros(1 << DIM_BITS, np.float32), len(data) // 6
+    out[np.frombuffer(data, "<u2", n)] = np.frombuffer(data, "<f4", n, 2 * n)
+    return out
+
+
 def codewords(k: int, seed: int = 5) -> np.ndarray:
     """A row of -1 and 1 for each of ``k`` classes: every split in two for up to six classes, else random columns, the best of some draws."""
     if k <= 6:
@@ -141,7 +153,7 @@ def fit_language_model(df: DataFrame, id_col: str = "doc_id", text_col: str = "t
         seen = checked_broadcast(df.sparkSession.createDataFrame([(v,) for v in sorted({r["_lang"] for r in rows})], "_lang string"), k - lost)
         least = base.join(seen, "_lang", "left_anti").groupBy("_lang").agg(F.min(F.struct(place.alias("_at"), "_text")).alias("m"))
         rows += with_features(least.select("m._at", "m._text", "_lang")).orderBy("_lang").collect()
-    return LanguageModel.fit_features([np.frombuffer(r["_feature"], "<f4") for r in rows], [r["_lang"] for r in rows])
+    return LanguageModel.fit_features([dense(bytes(r["_feature"])) for r in rows], [r["_lang"] for r in rows])
 
 
 def with_features(texts: DataFrame) -> DataFrame:
@@ -150,7 +162,7 @@ def with_features(texts: DataFrame) -> DataFrame:
 
     def run(batches):
         for b in batches:
-            got = [features(t).astype("<f4").tobytes() for t in b.column(1).to_pylist()]
+            got = [sparse(features(t)) for t in b.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(got, pa.binary())], names=["_at", "_lang", "_feature"])
 
     return texts.mapInArrow(tidy(run), "_at bigint, _lang string, _feature binary")

@@ -499,8 +499,8 @@ def cut_repeats(df: DataFrame, plan: Plan, cut, types: list[tuple[str, pa.DataTy
     """What ``cut`` returns for texts with marks, the ids of these (``marked``), and ``id, text`` of the others; None for both if the ids are too many to be broadcast, and then all texts are cut."""
     spark = df.sparkSession
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    # Two buckets a partition halve what is in memory at once.  Blocks are read as they come and can be larger.
-    buckets, blocks = 2 * parts, -(-parts // 2)
+    # Several buckets a partition lessen what is in memory at once.  Blocks are read as they come and can be larger.
+    buckets, blocks = 4 * parts, -(-parts // 2)
     base = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
     plan = replace(plan, rank=common_runs(base, plan))
 

@@ -93,10 +93,11 @@ class Forest:
     def distance(a: np.ndarray, b: np.ndarray) -> np.ndarray:
         return np.bitwise_count(a ^ b).sum(1, dtype=np.int64)
 
-    def near(self, shard: np.ndarray, prints: np.ndarray, radius: int, visits: int = 1 << 21):
+    def near(self, shard: np.ndarray, prints: np.ndarray, radius: int, visits: int | None = None):
         """Pairs of a query and an item of its shard within the radius, some queries at a time; equal items count as one."""
         if not len(self.shards):
             return
+        visits = visits or (1 << 20) // prints.shape[1]  # bounds the memory of a step
         place = np.minimum(np.searchsorted(self.shards, shard), len(self.shards) - 1)
         known = np.flatnonzero(self.shards[place] == shard)
         root, most = self.roots[place[known]], np.cumsum(self.size[place[known]])
