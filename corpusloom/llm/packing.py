@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from corpusloom.llm.common import tidy
 from corpusloom.llm.byte_bpe import Kept
-from corpusloom.llm.windows import word_hashes, word_spans
+from corpusloom.llm.windows import distinct, word_hashes, word_spans
 
 
 #: Fixed value: a pattern under which a word of letters, or of letters and one stop, needs no search.
@@ -86,7 +86,8 @@ class WordTokenizer:
                 return [word[:-1], word[-1]]
         return self.pattern.findall(word)
 
-    def _encode_words(self, words: list[str]) -> list[bytes]:
+    def _encode_words(self, raw: list[bytes]) -> list[bytes]:
+        words = [w.decode() for w in raw]
         if not self.pattern:
             return [little(x.ids) for x in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
         found = list(map(self._parts, words))
@@ -122,8 +123,8 @@ class WordTokenizer:
         raw = [t.encode() for t in texts]
         data = b"\n".join(raw)
         start, end = self._spans(data)
-        _, first, inverse = np.unique(word_hashes(data, start, end), return_index=True, return_inverse=True)
-        found = self.words.all([data[a:b].decode() for a, b in zip(start[first].tolist(), end[first].tolist(), strict=True)], self._encode_words)
+        first, inverse = distinct(word_hashes(data, start, end))
+        found = self.words.all([data[a:b] for a, b in zip(start[first].tolist(), end[first].tolist(), strict=True)], self._encode_words)
         size = np.fromiter(map(len, found), np.int64, len(found)) // 4
         ids = np.frombuffer(b"".join(found), "<u4")
         length = size[inverse]
@@ -146,7 +147,7 @@ class WordTokenizer:
             elif low.isascii() or not _WIDE_SPACE.search(low):
                 fast.append((i, low))
             else:
-                out[i] = b"".join(self.words.all(low.split(), self._encode_words))
+                out[i] = b"".join(self.words.all([w.encode() for w in low.split()], self._encode_words))
         if fast:
             for (i, _), ids in zip(fast, self._together([t for _, t in fast]), strict=True):
                 out[i] = ids

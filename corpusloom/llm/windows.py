@@ -113,6 +113,27 @@ def word_hashes(data: bytes, start: np.ndarray, end: np.ndarray) -> np.ndarray:
     return out
 
 
+def distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """For 64-bit hashes in any order: a place of each different one, and for each the number of its place.
+
+    High bits of a hash and its place share a number, which sorts faster than places by hashes do; should two hashes
+    agree in the high bits alone, they are sorted whole.
+    """
+    n = len(hashes)
+    bits = np.uint64(max(1, n - 1).bit_length())
+    keys = np.sort(hashes >> bits << bits | np.arange(n, dtype=np.uint64))
+    at = (keys & ((np.uint64(1) << bits) - np.uint64(1))).astype(np.int64)
+    high, whole = keys >> bits, hashes[at]
+    new = np.ones(n, bool)
+    new[1:] = high[1:] != high[:-1]
+    if n and (new[1:] != (whole[1:] != whole[:-1])).any():
+        _, first, inverse = np.unique(hashes, return_index=True, return_inverse=True)
+        return first, inverse
+    inverse = np.empty(n, np.int64)
+    inverse[at] = np.cumsum(new) - 1
+    return at[new], inverse
+
+
 def word_tokens(data: bytes) -> np.ndarray:
     """Hashes of the words."""
     return word_hashes(data, *word_spans(data))

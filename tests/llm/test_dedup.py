@@ -403,3 +403,11 @@ def test_runs_in_steps():
     for n in (0, 3, 4, 50, 333):
         x = windows.mix(rng.integers(0, 9, n).astype(np.uint64))
         assert (windows.runs_of(x, 4, 3, step=7) == windows.Spans(x, 3).runs(4)).all()
+
+
+def test_distinct_hashes():
+    rng = np.random.default_rng(6)
+    for n in (0, 1, 2, 5, 300):
+        for h in (rng.integers(0, 2**63, n).astype(np.uint64)[rng.integers(0, max(1, n // 3), n)] if n else np.zeros(0, np.uint64), np.uint64(5) << np.uint64(60) | rng.integers(0, 4, n).astype(np.uint64)):
+            first, inverse = windows.distinct(h)
+            assert len(first) == len(np.unique(h)) and (h[first][inverse] == h).all()
