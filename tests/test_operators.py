@@ -57,6 +57,31 @@ def test_match_rules(spark):
     assert {r.link: r.method for r in match.resolve(wanted, index, overrides).collect()}["a"] == "manual"
 
 
+def test_matches_are_the_best_of_all_pairs(spark):
+    rng = random.Random(3)
+    words = ["a", "on", "the", "then", "other", "cat", "catalog", "cats", "faith", "and"]
+
+    def line():
+        return " ".join(rng.choice(words) for _ in range(rng.choice((0, 1, 1, 2, 3, 4))))
+
+    wanted = [(i, rng.choice("PPQ"), line()) for i in range(300)] + [(300, None, "faith"), (301, "P", None), (302, "R", "faith"), (303, "S", "on faith")]
+    index = [(rng.choice("PPQ"), i, line(), f"u{i}") for i in range(120)] + [(None, 120, "faith", "u120"), ("P", 121, None, "u121"), ("S", 122, "cat faith", "u122")]
+    want = {}
+    for key, author, title in wanted:
+        own, best = {w for w in (title or "").split() if len(w) > 2}, (0, 1, "")
+        for who, pos, text, url in index:
+            if own and author is not None and who == author:
+                bonus = 10 if title in (text or "") else 3 if (text or "").startswith(title.split()[0]) else 0
+                best = max(best, (len(own & {w for w in (text or "").split() if len(w) > 2}) + bonus, -pos, url))
+        if best[0] >= (1 if len(own) == 1 else 2):
+            want[key] = (best[2], best[0])
+    left = spark.createDataFrame(wanted, "link long, pope string, title string")
+    right = spark.createDataFrame(index, "pope string, pos long, text string, url string")
+    assert {r.link: (r.url, r.score) for r in match.best_matches(left, right).collect()} == want
+    assert {v[1] for v in want.values()} >= {1, 2, 3, 4, 11, 12}
+    assert match.best_matches(left.limit(0), right).count() == match.best_matches(left, right.limit(0)).count() == 0
+
+
 def test_reports_and_tiers(spark):
     names = [("run-s.md", "1"), ("s.md", "2"), ("run-t.md.md", "3")]
     got = {r.stem: r.text for r in merge.reports_by_stem(spark.createDataFrame(names, "name string, text string")).collect()}
