@@ -55,7 +55,10 @@ def suffixes(host: str, path: str) -> tuple[str, str, str]:
 
 @dataclass
 class UrlModel:
-    """Boosted regression trees under logistic loss; ``stats`` has the share of blocked URLs by suffix, shrunk to the whole."""
+    """Boosted regression trees under logistic loss; ``stats`` has the share of blocked URLs by suffix, shrunk to the whole.
+
+    The trees are fitted on statistics of the other folds, so that a row's own label is in none of its features.
+    """
 
     prior: float = 0.5
     stats: list[dict[str, tuple[float, float]]] = field(default_factory=lambda: [{}, {}, {}])
@@ -71,19 +74,18 @@ class UrlModel:
                 out[i, N_STATIC + 2 * k : N_STATIC + 2 * k + 2] = self.stats[k].get(s, (self.prior, 0.0))
         return out
 
-    def fit(self, rows: list[tuple[str, str, str]], blocked: np.ndarray, rounds: int = 40, rate: float = 0.2, bins: int = 32) -> UrlModel:
+    def fit(self, rows: list[tuple[str, str, str]], blocked: np.ndarray, rounds: int = 40, rate: float = 0.2, bins: int = 32, folds: int = 5) -> UrlModel:
         if not len(rows):
             return self
         y = np.asarray(blocked, float)
         self.prior = float(np.clip(y.mean(), 0.01, 0.99))
-        for k in range(3):
-            n, bad = Counter(), Counter()
-            for (_, h, p), b in zip(rows, y, strict=True):
-                s = suffixes(h, p)[k]
-                n[s] += 1
-                bad[s] += b
-            self.stats[k] = {s: ((bad[s] + 5 * self.prior) / (n[s] + 5), math.log1p(n[s])) for s in n}
-        x = self.features(rows)
+        ends = [suffixes(h, p) for _, h, p in rows]
+        fold = np.arange(len(rows)) % folds
+        x = np.zeros((len(rows), N_STATIC + 6))
+        for f in range(folds):
+            self.stats = self._stats(ends, y, fold != f)
+            x[fold == f] = self.features([rows[i] for i in np.flatnonzero(fold == f).tolist()])
+        self.stats = self._stats(ends, y, fold >= 0)
         cuts = [np.unique(np.quantile(c, np.linspace(0, 1, bins + 1)[1:-1])) for c in x.T]
         binned = np.stack([np.searchsorted(c, v, side="left") for c, v in zip(cuts, x.T, strict=True)], 1)
         self.bias = math.log(self.prior / (1 - self.prior))
@@ -96,6 +98,16 @@ class UrlModel:
             score += tree[2][leaf]
         return self
 
+    def _stats(self, ends: list[tuple[str, str, str]], y: np.ndarray, use: np.ndarray) -> list[dict[str, tuple[float, float]]]:
+        out = []
+        for k in range(3):
+            n, bad = Counter(), Counter()
+            for i in np.flatnonzero(use).tolist():
+                n[ends[i][k]] += 1
+                bad[ends[i][k]] += y[i]
+            out.append({s: ((bad[s] + 5 * self.prior) / (n[s] + 5), math.log1p(n[s])) for s in n})
+        return out
+
     def _tree(self, binned, cuts, grad, hess, bins):
         n_in = 2**self.depth - 1
         feat, cut, node = np.full(n_in, -1), np.full(n_in, np.inf), np.zeros(len(grad), int)

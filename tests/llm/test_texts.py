@@ -275,6 +275,28 @@ def test_trees_learn():
     assert ((model.predict(model.features([(u, "", p) for u, _, p, _ in rows[800:]])) > 0.5) == y[800:]).mean() > 0.85
 
 
+def test_trees_on_held_out_pages(spark):
+    """Labels are the rules' own; half of the ruled URLs train, the others are judged without their rule."""
+    urls = sorted({r.url for r in spark.read.parquet("/root/testdata/sf0.01/pages.parquet").select("url").collect() if r.url})
+    ruled = [(u, *brute_url(u)) for u in urls]
+    ruled = [((u, h, p), v == "block") for u, h, p, (_, v) in ruled if v]
+    train, rest = ruled[::2], ruled[1::2]
+    model = url_filter.UrlModel().fit([r for r, _ in train], np.array([b for _, b in train]))
+    right = (model.predict(model.features([r for r, _ in rest])) >= 0.5) == np.array([b for _, b in rest])
+    most = max(np.mean([b for _, b in rest]), 1 - np.mean([b for _, b in rest]))
+    assert len(rest) > 30 and right.mean() >= 0.9 and right.mean() >= most, (len(rest), right.mean(), most)
+
+
+def test_suffix_statistics_do_not_hold_a_rows_own_label():
+    """Every suffix stands once and labels are tossed: only features with the label in them could fit it."""
+    rng = np.random.default_rng(1)
+    rows = [(f"http://a.s{i}/", f"a.s{i}", "/") for i in range(400)]
+    y = rng.random(400) < 0.5
+    model = url_filter.UrlModel().fit(rows, y)
+    for k in range(2):
+        assert all(set(tree[0][tree[0] >= 0]) & {url_filter.N_STATIC + 2 * k} == set() for tree in model.trees)
+
+
 # Language ID ----------------------------------------------------------------------------------------------------
 
 def test_language(docs, rows):
