@@ -60,6 +60,33 @@ def broadcast_texts(small: DataFrame, *columns: str) -> DataFrame:
     return checked_broadcast(small, n, strings)
 
 
+#: A key is hot if it has more rows than this share of what a partition holds on average.
+HOT_SHARE = 0.25
+
+
+def join_hot(large: DataFrame, small: DataFrame, key: str) -> DataFrame:
+    """``large`` with the columns of ``small``, which has a row for each key of ``large``; null is a key like others.
+
+    A key of ``large`` can hold any share of its rows.  ``small`` is broadcast if a count proves it short.  Else rows of
+    hot keys meet a broadcast of the few rows of ``small`` that have these keys, at most partitions / ``HOT_SHARE`` of
+    them, and all other keys are joined by exchange.  Both tables should be written: each is read up to three times.
+    """
+    small = materialise(small)
+    right = small.withColumnRenamed(key, fresh("_key", large, small))
+    same = F.col(key).eqNullSafe(F.col(right.columns[small.columns.index(key)]))
+    key_ = right.columns[small.columns.index(key)]
+    n = small.count()
+    if n <= BROADCAST_ROWS:
+        return large.join(F.broadcast(right), same, "left").drop(key_)
+    parts = int(large.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    least = max(1, int(HOT_SHARE * large.count() / parts))
+    hot = materialise(large.groupBy(key).count().filter(F.col("count") > least).select(F.col(key).alias(key_)))
+    few = F.broadcast(hot)  # at most parts / HOT_SHARE rows
+    mine = F.col(key).eqNullSafe(F.col(key_))
+    heavy = large.join(few, mine, "left_semi").join(F.broadcast(right.join(few.withColumnRenamed(key_, key), F.col(key_).eqNullSafe(F.col(key)), "left_semi")), same, "left").drop(key_)
+    return heavy.unionByName(large.join(few, mine, "left_anti").join(right, same, "left").drop(key_))
+
+
 def fresh(name: str, *frames: DataFrame) -> str:
     """``name``, longer if it has to be, so that no frame has a column of it."""
     taken = {c.lower() for f in frames for c in f.columns}

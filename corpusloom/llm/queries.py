@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import byte_bpe, embedding_join, language_id, license_scan, packing, quality, simhash, substring_dedup, suffix_dedup, url_filter
+from corpusloom.llm import byte_bpe, embedding_join, language_id, license_scan, packing, quality, simhash, substring_dedup, suffix_dedup, transport_stream, url_filter, vector_codes
 from corpusloom.llm.common import bound_batches
 
 
@@ -59,7 +59,15 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_packing, op3_license_scan, op4_simhash, op5_byte_bpe, op6_suffix_dedup, op7_quality_rules, op8_embedding_join, op9_url_filter, op10_language_id)}
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.compress(table(spark, sf_dir, "embeddings"))
+
+
+def op13_transport_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return transport_stream.round_trip(table(spark, sf_dir, "documents"))
+
+
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_packing, op3_license_scan, op4_simhash, op5_byte_bpe, op6_suffix_dedup, op7_quality_rules, op8_embedding_join, op9_url_filter, op10_language_id, op12_vector_codes, op13_transport_stream)}
 ORACLES: dict[str, str] = {}
 ORACLES["op1_substring_dedup"]=r"""
 WITH t AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
@@ -106,3 +114,31 @@ r(n, m) AS (SELECT vec_id, vec_id FROM v UNION SELECT r.n, p.b FROM r JOIN p ON
 c AS (SELECT n, min(m) AS root FROM r GROUP BY n), l AS (SELECT a, count(*) AS n_links FROM p GROUP BY a)
 SELECT vec_id, coalesce(n_links, 0) AS n_links, coalesce(root, vec_id) AS component_id, coalesce(root, vec_id) = vec_id AS kept
 FROM embeddings LEFT JOIN c ON vec_id = c.n LEFT JOIN l ON vec_id = l.a"""
+
+
+def _codes_sql(rounds: int = 4) -> str:
+    """Rounds of training, one after the other.  Distances are sums of products, exact in doubles for whole numbers of this size."""
+    def nearest(k: int) -> str:
+        return (
+            f"SELECT vec_id, label, p, x, xx, min(struct_pack(d := xx - 2 * list_inner_product(x, e) + ee, k := k)) AS best FROM v JOIN (SELECT p, k, e, list_inner_product(e, e) AS ee FROM b{k}) USING (p) GROUP BY vec_id, label, p, x, xx"
+        )
+
+    steps = [
+        "r AS MATERIALIZED (SELECT vec_id, label, list_transform(embedding, lambda c: floor(1024 * CAST(c AS DOUBLE))) AS c, row_number() OVER (ORDER BY vec_id) - 1 AS n FROM embeddings "
+        "WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0)",
+        "v AS MATERIALIZED (SELECT *, list_inner_product(x, x) AS xx FROM (SELECT vec_id, label, n, p, c[len(c) // 4 * p + 1:len(c) // 4 * (p + 1)] AS x FROM r, (SELECT unnest(range(4)) AS p)))",
+        "b0 AS MATERIALIZED (SELECT p, n AS k, x AS e FROM v WHERE n < 256)",
+    ]
+    for k in range(rounds):
+        steps += [
+            f"a{k} AS MATERIALIZED ({nearest(k)})",
+            f"m{k} AS (SELECT p, k, list(floor(s / n) ORDER BY j) AS e FROM (SELECT p, best.k AS k, j, sum(x[j]) AS s, count(*) AS n FROM a{k}, (SELECT unnest(range(1, (SELECT max(len(x)) FROM v) + 1)) AS j) GROUP BY p, best.k, j) GROUP BY p, k)",
+            f"b{k + 1} AS MATERIALIZED (SELECT p, k, coalesce(m{k}.e, b{k}.e) AS e FROM b{k} LEFT JOIN m{k} USING (p, k))",
+        ]
+    return f"""WITH {", ".join(steps)}, a AS ({nearest(rounds)}),
+c AS (SELECT vec_id, label, string_agg(format('{{:02x}}', best.k), '' ORDER BY p) AS code, CAST(sum(best.d) AS BIGINT) AS error FROM a GROUP BY vec_id, label)
+SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+  (SELECT sha256(string_agg(array_to_string(list_transform(e, lambda y: CAST(CAST(y AS BIGINT) AS VARCHAR)), ','), ',' ORDER BY p, k)) FROM b{rounds}) AS codebooks_sha256 FROM c"""
+
+
+ORACLES["op12_vector_codes"] = _codes_sql()

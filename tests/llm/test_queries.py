@@ -17,6 +17,8 @@ COLUMNS = {
     "op8": {"vec_id", "n_links", "component_id", "kept"},
     "op9": {"page_id", "host", "path", "rule", "verdict"},
     "op10": {"doc_id", "held_out", "lang_pred", "score"},
+    "op12": {"vec_id", "code", "error", "label_error", "codebooks_sha256"},
+    "op13": {"doc_id", "n_bytes", "payload_bytes", "payload_sha256", "tail_crc32", "media_bytes", "media_sha256", "feature"},
 }
 
 
@@ -25,12 +27,12 @@ def test_query(spark, name):
     df = queries.QUERIES[name](spark, SF)
     columns, rows = spark_rows(df)
     assert COLUMNS[name.split("_")[0]] <= set(columns)
-    table = {"op8": "embeddings", "op9": "pages"}.get(name.split("_")[0], "documents")
+    table = {"op8": "embeddings", "op9": "pages", "op12": "embeddings"}.get(name.split("_")[0], "documents")
     n = spark.read.parquet(f"{SF}/{table}.parquet").count()
     assert len(rows) == n or name.startswith("op2")
     if name in queries.ORACLES:
         assert (columns, rows) == duck_rows(queries.ORACLES[name], SF)
 
 
-def test_all_ten_are_there():
+def test_all_are_there():
     assert {n.split("_")[0] for n in queries.QUERIES} == set(COLUMNS)
