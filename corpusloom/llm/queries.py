@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from corpusloom.llm import byte_bpe, embedding_join, language_id, license_scan, packing, quality, simhash, substring_dedup, suffix_dedup, transport_stream, url_filter, vector_codes
+from corpusloom.llm import byte_bpe, embedding_join, language_id, license_scan, packing, quality, ranked_search, simhash, substring_dedup, suffix_dedup, transport_stream, url_filter, vector_codes
 from corpusloom.llm.common import bound_batches
 
 
@@ -59,6 +59,10 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return got.select("doc_id", "held_out", "lang_pred", "score", "ambiguous")
 
 
+def op11_ranked_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ranked_search.search(ranked_search.build_index(table(spark, sf_dir, "documents")), table(spark, sf_dir, "benchmark"))
+
+
 def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.compress(table(spark, sf_dir, "embeddings"))
 
@@ -67,7 +71,7 @@ def op13_transport_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     return transport_stream.round_trip(table(spark, sf_dir, "documents"))
 
 
-QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_packing, op3_license_scan, op4_simhash, op5_byte_bpe, op6_suffix_dedup, op7_quality_rules, op8_embedding_join, op9_url_filter, op10_language_id, op12_vector_codes, op13_transport_stream)}
+QUERIES = {f.__name__: f for f in (op1_substring_dedup, op2_packing, op3_license_scan, op4_simhash, op5_byte_bpe, op6_suffix_dedup, op7_quality_rules, op8_embedding_join, op9_url_filter, op10_language_id, op11_ranked_search, op12_vector_codes, op13_transport_stream)}
 ORACLES: dict[str, str] = {}
 ORACLES["op1_substring_dedup"]=r"""
 WITH t AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS words FROM documents),
@@ -115,6 +119,16 @@ c AS (SELECT n, min(m) AS root FROM r GROUP BY n), l AS (SELECT a, count(*) AS n
 SELECT vec_id, coalesce(n_links, 0) AS n_links, coalesce(root, vec_id) AS component_id, coalesce(root, vec_id) = vec_id AS kept
 FROM embeddings LEFT JOIN c ON vec_id = c.n LEFT JOIN l ON vec_id = l.a"""
 
+_TERMS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"""
+ORACLES["op11_ranked_search"] = rf"""
+WITH w AS (SELECT doc_id, unnest({_TERMS}) AS term FROM documents), d AS (SELECT doc_id, count(*) AS n FROM w GROUP BY doc_id),
+c AS (SELECT count(*) AS nn, CAST(sum(n) AS BIGINT) AS l FROM d), tf AS (SELECT doc_id, term, count(*) AS tf FROM w GROUP BY doc_id, term),
+q AS (SELECT DISTINCT item_id, unnest({_TERMS}) AS term FROM benchmark),
+v AS (SELECT term, CAST(floor(1000 * ln((2 * nn + 2) / (2 * count(*) + 1))) AS BIGINT) AS w FROM tf, c GROUP BY term, nn),
+s AS (SELECT item_id, doc_id, CAST(sum(w * ((1000000000 * tf) // (1000 * tf + 8 * (10 + (90 * n * nn) // l)))) AS BIGINT) AS score
+  FROM q JOIN v USING (term) JOIN tf USING (term) JOIN d USING (doc_id), c GROUP BY item_id, doc_id)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM (SELECT *, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank FROM s WHERE score > 0) WHERE rank <= 10"""
+
 
 def _codes_sql(rounds: int = 4) -> str:
     """Rounds of training, one after the other.  Distances are sums of products, exact in doubles for whole numbers of this size."""
