@@ -24,7 +24,7 @@ from pyspark.sql import types as T
 
 from corpusloom.llm.common import tidy
 from corpusloom.llm.byte_bpe import Kept
-from corpusloom.llm.windows import distinct, word_hashes, word_spans
+from corpusloom.llm.windows import distinct_words, word_spans
 
 
 #: Fixed value: a pattern under which a word of letters, or of letters and one stop, needs no search.
@@ -123,7 +123,7 @@ class WordTokenizer:
         raw = [t.encode() for t in texts]
         data = b"\n".join(raw)
         start, end = self._spans(data)
-        first, inverse = distinct(word_hashes(data, start, end))
+        first, inverse = distinct_words(data, start, end)
         found = self.words.all([data[a:b] for a, b in zip(start[first].tolist(), end[first].tolist(), strict=True)], self._encode_words)
         size = np.fromiter(map(len, found), np.int64, len(found)) // 4
         ids = np.frombuffer(b"".join(found), "<u4")

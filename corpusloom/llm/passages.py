@@ -11,7 +11,9 @@
    A window is removed only where the method says that it repeats.
 5. Texts with marks lose the marked tokens.
 
-Hashes only find candidates and equal stretches; what repeats is decided in ``resolve`` (rounds 1 and 4) and nowhere else.
+Hashes of tokens only find candidates.  Equal stretches are told by 56 bits of BLAKE2b of their bytes, under a key drawn
+anew for every run, beside their anchor: nobody can write a text that collides.  What repeats is decided in ``resolve``
+(rounds 1 and 4), on the bytes, and nowhere else.
 
 What is sent travels as packed arrays.  A row holds what one gather of a task has for one bucket or block, at least one
 stretch or mark: there are never more rows than stretches and marks, so rows grow with the corpus alone.  Rows of a few
@@ -21,9 +23,11 @@ stretches are not compressed.  Buckets and blocks are numbers modulo ``spark.sql
 from __future__ import annotations
 
 import itertools
+import secrets
 import struct
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, replace
+from hashlib import blake2b
 
 import numpy as np
 import pyarrow as pa
@@ -47,14 +51,37 @@ class Plan:
     k: int
     #: Tokens of a text as hashes.
     tokens: Callable[[bytes], np.ndarray]
-    #: What the method is run on, one for each token.
+    #: The bytes that the method is run on.
     content: Callable[[bytes], np.ndarray]
+    #: Where the tokens of some content begin, and its end; None if every byte is a token.
+    edges: Callable[[np.ndarray], np.ndarray] | None
     #: Whether a window that starts earlier in the same text counts.
     same_text: bool
     #: The method: (rank, least documents, first starts, lengths in tokens, owners, content of all records) to two masks
     #: of windows, one for each token: those that stand more than once, and those that also start earlier than the least owner's.
     resolve: Callable[[W.Rank, np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray], tuple[np.ndarray, np.ndarray]]
     rank: W.Rank = W.Rank(np.zeros(0, np.uint64))
+    #: Of the hashes that tell equal stretches.
+    key: bytes = b""
+
+    def spans(self, content: np.ndarray, start: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Places and lengths in bytes of spans of tokens."""
+        if self.edges is None:
+            return start, length
+        edges = self.edges(content)
+        return edges[start], edges[start + length] - edges[start]
+
+    def cut(self, content: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """The bytes of spans of tokens, one span after the other."""
+        return content[W.ranges(*self.spans(content, start, length))]
+
+    def count(self, content: np.ndarray) -> int:
+        return len(content) if self.edges is None else len(self.edges(content)) - 1
+
+    def digests(self, content: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
+        """Of spans of tokens, by their bytes."""
+        raw, (at, size) = content.tobytes(), self.spans(content, start, length)
+        return np.frombuffer(b"".join([blake2b(raw[a : a + n], digest_size=8, key=self.key).digest() for a, n in zip(at.tolist(), size.tolist(), strict=True)]), np.uint64)
 
 
 KINDS = ("u1", "u2", "u4", "u8", "i8")
@@ -155,7 +182,7 @@ def send_stretches(plan: Plan, buckets: int):
         n = np.concatenate([x[3] for x in found])
         sizes = [len(x[0]) for x in found]
         doc = np.repeat(np.array([docs[i] for i in order], np.int64), sizes)
-        begin = np.repeat(np.cumsum([0] + [len(x[4]) for x in found[:-1]]), sizes)  # where the text of each stretch begins in all content
+        begin = np.repeat(np.cumsum([0] + [x[5] for x in found[:-1]]), sizes)  # where the text of each stretch begins in all tokens
         by = np.argsort(s, kind="stable")  # rows stand by document and place, and so they do among equals
         h, s, first, n, doc, begin = h[by], s[by], first[by], n[by], doc[by], begin[by]
         head = np.concatenate(([True], (s[1:] != s[:-1]) | (h[1:] != h[:-1])))
@@ -171,7 +198,7 @@ def send_stretches(plan: Plan, buckets: int):
             own, weight = np.unique(at[late], return_counts=True)
             length = n[own] - 1 + plan.window
             everything = np.concatenate([x[4] for x in found])
-            repeats, _ = plan.resolve(plan.rank, doc[own], first[own], length, weight + 1, everything[W.ranges(begin[own] + first[own], length)])
+            repeats, _ = plan.resolve(plan.rank, doc[own], first[own], length, weight + 1, plan.cut(everything, begin[own] + first[own], length))
             mine = np.flatnonzero(late)
             who, f, e = owned_spans(plan.window, *W.mask_spans(repeats, length), np.searchsorted(own, at[late]), first[mine])
             # Covered spans can pass through any bucket; whose they are spreads them evenly.
@@ -204,14 +231,13 @@ def send_stretches(plan: Plan, buckets: int):
             tokens = plan.tokens(text)
             if len(tokens) < plan.window:
                 continue
-            spans = W.Spans(tokens, 3)
-            runs = spans.runs(plan.k)
+            runs = W.Spans(tokens, 3).runs(plan.k)
             anchor, first, last = W.stretches(plan.rank(runs), plan.window, plan.k)
             docs.append(i)
-            content = tokens if plan.content is plan.tokens else plan.content(text)
-            found.append((runs[anchor], spans.hash(first, last + plan.window), first, last - first + 1, content))
+            content = plan.content(text)
+            found.append((runs[anchor], plan.digests(content, first, last - first + plan.window), first, last - first + 1, content, len(tokens)))
             n += len(anchor)
-            size += found[-1][-1].nbytes
+            size += content.nbytes
             if n >= GATHER or size >= 2 * GATHER_BYTES:
                 yield flush(docs, found)
                 docs, found, n, size = [], [], 0, 0
@@ -331,7 +357,7 @@ def answer_requests(plan: Plan):
         for b, (at,) in dealt(bucket, np.arange(len(bucket))):
             at = at[np.argsort(idx[at], kind="stable")]
             out.append((b, CONTENT, squeeze(
-                np.diff(idx[at], prepend=0), *table(doc[at]), first[at].astype(np.uint32), length[at].astype(np.uint32), content[W.ranges(begin[at], length[at])], level=4,
+                np.diff(idx[at], prepend=0), *table(doc[at]), first[at].astype(np.uint32), length[at].astype(np.uint32), plan.cut(content, begin[at], length[at]), level=4,
             )))
         return rows(*map(list, zip(*out, strict=True)))
 
@@ -355,10 +381,10 @@ def answer_requests(plan: Plan):
                         continue
                     content = plan.content(text)
                     first, end, idx, bucket = (c[lo:hi] for c in cols[1:])
-                    there = end <= len(content)
+                    there = end <= plan.count(content)
                     if not there.all():  # asked of another text of the same id
                         first, end, idx, bucket = (c[there] for c in (first, end, idx, bucket))
-                    gathered.append((bucket, idx, np.full(len(idx), i), first, end - first, content[W.ranges(first, end - first)]))
+                    gathered.append((bucket, idx, np.full(len(idx), i), first, end - first, plan.cut(content, first, end - first)))
                     size += gathered[-1][-1].nbytes + 40 * len(idx)
                     if size >= GATHER_BYTES:
                         yield flush(gathered)
@@ -388,7 +414,7 @@ def decide(plan: Plan, blocks: int):
             order = np.argsort(idx, kind="stable")
             order = order[np.concatenate(([True], np.diff(idx[order]) != 0))]  # repeated rows answer twice
             begin = np.cumsum(length) - length
-            idx, doc, first, length, content = idx[order], doc[order], first[order], length[order], content[W.ranges(begin[order], length[order])]
+            idx, doc, first, length, content = idx[order], doc[order], first[order], length[order], plan.cut(content, begin[order], length[order])
             known = np.isin(owner, idx)
             owner, owner_doc, owner_start = np.searchsorted(idx, owner[known]), owner_doc[known], owner_start[known]
             weight = 1 + np.bincount(owner, minlength=len(idx))
@@ -502,7 +528,7 @@ def cut_repeats(df: DataFrame, plan: Plan, cut, types: list[tuple[str, pa.DataTy
     # Several buckets a partition lessen what is in memory at once.  Blocks are read as they come and can be larger.
     buckets, blocks = 4 * parts, -(-parts // 2)
     base = df.select(F.col(id_col).cast("bigint").alias("id"), F.col(text_col).cast("string").alias("text"))
-    plan = replace(plan, rank=common_runs(base, plan))
+    plan = replace(plan, rank=common_runs(base, plan), key=secrets.token_bytes(16))
 
     def deal(x: DataFrame) -> DataFrame:
         return x.repartitionById(parts, F.col("part")).sortWithinPartitions("part", "kind")

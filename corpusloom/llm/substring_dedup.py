@@ -25,11 +25,14 @@ def classes_of(keys: np.ndarray, weight: np.ndarray) -> tuple[np.ndarray, np.nda
 def doubling(window: int):
     """The method on words: lengths 1, 2, 4 and so on; the last step reaches exactly ``window``.
 
-    Two windows of a length are equal if their halves (overlapping ones in the last step) are, so classes are numbered
-    by pairs of classes and nothing is hashed on the way.  A window that stands alone at a length is no candidate later.
+    Words are numbered by their bytes.  Two windows of a length are equal if their halves (overlapping ones in the last
+    step) are, so classes are numbered by pairs of classes and nothing hangs on a hash.  A window that stands alone at a
+    length is no candidate later.
     """
 
-    def resolve(rank: W.Rank, doc: np.ndarray, first: np.ndarray, length: np.ndarray, owners: np.ndarray, tokens: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    def resolve(rank: W.Rank, doc: np.ndarray, first: np.ndarray, length: np.ndarray, owners: np.ndarray, content: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        data = content.tobytes()
+        _, tokens = W.distinct_words(data, *W.word_spans(data))
         n = len(tokens)
         record = np.repeat(np.arange(len(length)), length)
         end = np.cumsum(length)[record]  # where the record of each token ends
@@ -62,8 +65,17 @@ def doubling(window: int):
     return resolve
 
 
+def one_blank(text: bytes) -> np.ndarray:
+    """The words, a blank after each."""
+    return np.frombuffer(b" ".join([*text.split(), b""]), np.uint8)
+
+
+def word_ends(content: np.ndarray) -> np.ndarray:
+    return np.concatenate(([0], np.flatnonzero(content == 32) + 1))
+
+
 def plan_of(window: int, k: int) -> Plan:
-    return Plan(window, k, W.word_tokens, W.word_tokens, True, doubling(window))
+    return Plan(window, k, W.word_tokens, one_blank, word_ends, True, doubling(window))
 
 
 def cut_words(text: bytes, start: np.ndarray, end: np.ndarray) -> tuple:

@@ -213,7 +213,7 @@ def sort_windows(window: int, k: int, salt: int = 3, at_once: int = 200_000):
 
 
 def plan_of(window: int, k: int) -> Plan:
-    return Plan(window, k, W.byte_tokens, lambda t: np.frombuffer(t, np.uint8), False, sort_windows(window, k))
+    return Plan(window, k, W.byte_tokens, lambda t: np.frombuffer(t, np.uint8), None, False, sort_windows(window, k))
 
 
 def cut_bytes(text: bytes, start: np.ndarray, end: np.ndarray) -> tuple:

@@ -134,6 +134,22 @@ def distinct(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return at[new], inverse
 
 
+def distinct_words(data: bytes, start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """A place of each different word, and for each word the number of its place: by their bytes.  Hashes only sort them; where two words share one, bytes tell them apart."""
+    first, inverse = distinct(word_hashes(data, start, end))
+    like = first[inverse]
+    same = np.ones(len(start), bool)
+    for key in word_keys(data, start, end):
+        same &= key == key[like]
+    for i in np.flatnonzero((end - start > 16) & same & (like != np.arange(len(like)))).tolist():
+        same[i] = data[start[i] : end[i]] == data[start[like[i]] : end[like[i]]]
+    if not same.all():
+        number: dict[bytes, int] = {}
+        inverse = np.fromiter((number.setdefault(data[a:b], len(number)) for a, b in zip(start.tolist(), end.tolist(), strict=True)), np.int64, len(start))
+        _, first = np.unique(inverse, return_index=True)
+    return first, inverse
+
+
 def word_tokens(data: bytes) -> np.ndarray:
     """Hashes of the words."""
     return word_hashes(data, *word_spans(data))
