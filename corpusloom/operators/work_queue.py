@@ -45,17 +45,19 @@ def _with_done(items: DataFrame, present: DataFrame) -> DataFrame:
     return items.join(done, "report_file", "left").withColumn("_done", F.coalesce("_done", F.lit(False)))
 
 
-def sync(items: DataFrame, present: DataFrame, now: Column) -> DataFrame:
-    """Whatever is not complete and has a report becomes complete, its error cleared; nothing goes back."""
+def sync(items: DataFrame, present: DataFrame, now: Column, only: bool = False) -> DataFrame:
+    """Whatever is not complete and has a report becomes complete, its error cleared; nothing goes back.  ``only``: the items that change."""
     flagged = _with_done(items, present)
     hit = F.col("_done") & (F.col("status") != "complete")
-    return _set(flagged, hit, {"status": F.lit("complete"), "error": F.lit(None).cast("string"), "completed_at": or_else(F.col("completed_at"), now)})
+    return _set(flagged, hit, {"status": F.lit("complete"), "error": F.lit(None).cast("string"), "completed_at": or_else(F.col("completed_at"), now)}, only)
 
 
-def reset_stale(items: DataFrame, present: DataFrame, now: Column) -> DataFrame:
-    """What is in progress becomes complete if its report is there (the error stays), else pending and nobody's."""
+def reset_stale(items: DataFrame, present: DataFrame, now: Column, only: bool = False) -> DataFrame:
+    """What is in progress becomes complete if its report is there (the error stays), else pending and nobody's.  ``only``: the items that change."""
     flagged = _with_done(items, present)
     busy = F.col("status") == "in_progress"
+    if only:
+        flagged = flagged.filter(busy)
     done, lost = busy & F.col("_done"), busy & ~F.col("_done")
     none = F.lit(None).cast("string")
     out = flagged.withColumns({
@@ -66,11 +68,21 @@ def reset_stale(items: DataFrame, present: DataFrame, now: Column) -> DataFrame:
     return out.select(*COLUMNS)
 
 
-def next_batch(items: DataFrame, now: Column, size: int = BATCH) -> tuple[DataFrame, DataFrame]:
-    """Items with the first ``size`` pending ones in progress, and those.  0 means the default; a negative size is refused."""
+def pending(items: DataFrame, size: int = BATCH) -> DataFrame:
+    """The first ``size`` pending items."""
     if size < 0:
         raise ValueError("size of a batch is negative")
-    batch = items.filter(F.col("status") == "pending").orderBy("id").limit(size or BATCH)
+    return items.filter(F.col("status") == "pending").orderBy("id").limit(size or BATCH)
+
+
+def begin(batch: DataFrame, now: Column) -> DataFrame:
+    """The items of a batch, in progress."""
+    return _set(batch, F.lit(True), {"status": F.lit("in_progress"), "batch_id": batch_id(now), "started_at": now})
+
+
+def next_batch(items: DataFrame, now: Column, size: int = BATCH) -> tuple[DataFrame, DataFrame]:
+    """Items with the first ``size`` pending ones in progress, and those.  0 means the default; a negative size is refused."""
+    batch = pending(items, size)
     chosen = batch.select("id").withColumn("_done", F.lit(True))
     flagged = items.join(chosen, "id", "left")
     out = _set(flagged, F.coalesce("_done", F.lit(False)), {"status": F.lit("in_progress"), "batch_id": batch_id(now), "started_at": now})
@@ -91,9 +103,25 @@ def mark(items: DataFrame, item: int, status: str, now: Column, error: str | Non
     return _set(items, hit, values)
 
 
-def _set(items: DataFrame, hit: Column, values: dict[str, Column]) -> DataFrame:
+def mark_all(items: DataFrame, results: DataFrame, now: Column) -> DataFrame:
+    """The items that ``results`` (``id, status, error, agent_id``) names, marked as :func:`mark` does; of several rows for an item the last one by status and error."""
+    last = results.groupBy("id").agg(F.max(F.struct("status", "error", "agent_id")).alias("_new"))
+    new, was = F.col("_new.status"), {c: F.col(c) for c in COLUMNS}
+    ended = new.isin("complete", "failed")
+    values = {
+        "completed_at": F.when(ended, now).otherwise(was["completed_at"]),
+        "error": F.when(new == "complete", F.lit(None).cast("string")).when(new == "failed", or_else(F.col("_new.error"), F.lit(UNKNOWN_ERROR))).otherwise(was["error"]),
+        "agent_id": or_else(F.col("_new.agent_id"), was["agent_id"]),
+        "status": new,
+    }
+    return items.join(last, "id").withColumns(values).select(*COLUMNS)
+
+
+def _set(items: DataFrame, hit: Column, values: dict[str, Column], only: bool = False) -> DataFrame:
     # The status last: the others are set by what it was.
     out = items.withColumn("_hit", hit)
+    if only:
+        out = out.filter("_hit")
     return out.withColumns({c: F.when(F.col("_hit"), v).otherwise(F.col(c)) for c, v in values.items()}).select(*COLUMNS)
 
 
