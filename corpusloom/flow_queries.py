@@ -8,13 +8,14 @@ from __future__ import annotations
 import json
 import uuid
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from corpusloom.functions import extract, html, scalars
 from corpusloom.operators import catalog, match, provider, work_queue
 from corpusloom.plans import flows
 from corpusloom.queries import NOW, query, t
-from corpusloom.sources import files, web
+from corpusloom.sources import files, pacing, web
 
 
 def place(spark, name: str) -> str:
@@ -130,16 +131,75 @@ def fetch_outcomes(spark, d):
     return flows.fetch_missing(rows, there, get=get, pause=0)[1]
 
 
-@query("""SELECT c AS category, 1 + i // 100 AS page, i % 100 AS pos, 'l' || c || '-' || i AS link, 't' || i AS title FROM (SELECT unnest([4, 9]) AS c), (SELECT CAST(unnest(range(203)) AS INTEGER) AS i) WHERE i < CASE c WHEN 4 THEN 203 ELSE 7 END""")
-def listing_pages(spark, d):
-    """Page after page of each category until one is short."""
+def _posts_of(counts: dict[int, int], told: dict[int, int]):
+    """An interface that has ``counts`` posts in each category, and says that it has ``told``."""
 
     def get(url: str) -> tuple[str, str]:
-        q = dict(x.split("=") for x in url.split("?")[1].split("&"))
-        lo, n = (int(q["page"]) - 1) * 100, 203 if q["categories"] == "4" else 7
-        return "application/json", json.dumps([{"link": f"l{q['categories']}-{i}", "title": {"rendered": f"t{i}"}, "date": None} for i in range(lo, min(n, lo + 100))])
+        path, _, options = url.partition("?")
+        q = dict(x.split("=") for x in options.split("&"))
+        lo, size = (int(q["page"]) - 1) * int(q["per_page"]), int(q["per_page"])
+        if path.endswith("/categories"):
+            found = [{"id": c, "slug": f"s{c}", "name": f"n{c}", "count": told[c]} for c in sorted(told)[lo : lo + size]]
+        else:
+            c = int(q["categories"])
+            found = [{"link": f"l{c}-{i}", "title": {"rendered": f"t{i}"}, "date": None} for i in range(lo, min(counts[c], lo + size))]
+        return "application/json", json.dumps(found)
+
+    return get
+
+
+@query("""SELECT n AS category, CAST(1 + i // 100 AS INTEGER) AS page, CAST(i % 100 AS INTEGER) AS pos, 'l' || n || '-' || i AS link, c_custkey
+  FROM (SELECT CAST(c_nationkey AS INTEGER) AS n, c_custkey, row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1 AS i FROM customer)""")
+def listing_pages(spark, d):
+    """A data source with a partition for each page of each category; a category for each nation, a post for each of its customers.
+
+    The interface counts too few posts in every third category and too many in every other third.
+    """
+    customer = t(spark, d, "customer")
+    counts = {r["c_nationkey"]: r["count"] for r in customer.groupBy("c_nationkey").count().collect()}  # a row for each nation
+    told = {c: max(0, n - 250) if c % 3 == 0 else n + 250 if c % 3 == 1 else n for c, n in counts.items()}
+    found = web.listing(spark, "http://api", _posts_of(counts, told), tuple(sorted(counts)), pause=0)
+    number = F.row_number().over(Window.partitionBy("c_nationkey").orderBy("c_custkey")) - 1
+    named = customer.select(F.concat(F.lit("l"), "c_nationkey", F.lit("-"), number).alias("link"), "c_custkey")
+    return found.join(named, "link").select("category", "page", "pos", "link", "c_custkey")
+
+
+@query("""SELECT CASE n_regionkey % 2 WHEN 0 THEN 'posts' ELSE 'pages' END AS kind, r_name AS pope, 'N' || n_nationkey AS title, CASE WHEN n_regionkey % 2 = 0 THEN 'encyclical' WHEN n_nationkey % 2 = 0 THEN 'apostolic_letter' ELSE 'other' END AS doc_type,
+  CASE n_nationkey % 5 WHEN 0 THEN 'pdf' ELSE 'html' END AS format, 'https://www.vatican.va/' || n_nationkey || CASE n_nationkey % 5 WHEN 0 THEN '.pdf' ELSE '.html' END AS link FROM nation JOIN region ON n_regionkey = r_regionkey""")
+def crawl_catalog(spark, d):
+    """The registry, posts of categories, documents below the headings of pages; an author for each region, a document for each nation."""
+    region, nation = (t(spark, d, x) for x in ("region", "nation"))
+    regions = [(r[0], r[1]) for r in region.select("r_regionkey", "r_name").orderBy("r_regionkey").collect()]  # regions and nations have 5 and 25 rows at any scale
+    nations = [(r[0], r[1]) for r in nation.select("n_nationkey", "n_regionkey").orderBy("n_nationkey").collect()]
 
-    return web.listing(spark, "http://api", get, (4, 9), pause=0).select("category", F.col("page").cast("bigint").alias("page"), "pos", "link", "title").withColumn("page", F.col("page").cast("int"))
+    def get(url: str) -> tuple[str, str]:
+        path, _, options = url.partition("?")
+        q = dict(x.split("=") for x in options.split("&"))
+        link = lambda n: f"https://www.vatican.va/{n}" + (".pdf" if n % 5 == 0 else ".html")
+        if path.endswith("/categories"):
+            found = [{"id": 10 + r, "slug": f"c{r}", "name": name, "count": 0} for r, name in regions] if q["page"] == "1" else []
+        elif path.endswith("/posts"):
+            found = [{"link": link(n), "title": {"rendered": f"<i>N{n}</i>"}, "date": "1900-01-01T00:00:00"} for n, r in nations if 10 + r == int(q["categories"]) and q["page"] == "1"]
+        elif q["slug"] == "popelist":
+            found = [{"link": "http://h/popelist", "title": {"rendered": "x"}, "content": {"rendered": "".join(f'<p><a href="/{f"category/c{r}" if r % 2 == 0 else f"p{r}"}">{name}</a></p>' for r, name in regions)}}]
+        else:
+            own = [n for n, r in nations if f"p{r}" == q["slug"]]
+            lists = [("Apostolic Letters", [n for n in own if n % 2 == 0]), ("Speeches", [n for n in own if n % 2]), ("Additional Links", [1000])]
+            found = [{"link": "http://h/" + q["slug"], "title": {"rendered": "x"}, "content": {"rendered": "".join(f"<h3>{h}</h3><ul>" + "".join(f'<li><a href="{link(n)}?again=1">N{n}</a></li><li><a href="{link(n)}">N{n}</a></li>' for n in ns) + "</ul>" for h, ns in lists)}}]
+        return "application/json", json.dumps(found)
+
+    rows, _ = flows.crawl(spark, "http://api", get, pause=0)
+    return rows.select(F.when(F.col("published_date") == "", "pages").otherwise("posts").alias("kind"), "pope", "title", "doc_type", "format", F.regexp_replace("link", r"\?again=1$", "").alias("link"))
+
+
+@query("SELECT c_custkey, 'page' AS via, true AS apart FROM customer")
+def paced_site(spark, d):
+    """One site over many tasks; no two documents begin in the same slot, so all of them are a pause apart."""
+    pause = 0.0004
+    links = t(spark, d, "customer").select("c_custkey", F.concat(F.lit("http://h/"), "c_custkey").alias("link"))
+    got = files.settle(web.fetch(links, key="c_custkey", get=lambda url: ("text/html", url), pause=pause, per_lane=100, lanes=4, stamps=True))
+    slot = F.floor(F.col("started") / (pause * (1 + pacing.SLACK)))
+    return got.select("c_custkey", "via", (F.count("*").over(Window.partitionBy(slot)) == 1).alias("apart"))
 
 
 @query("SELECT o_custkey, 'https://h/' || o_orderkey AS link, o_orderstatus AS title FROM orders")

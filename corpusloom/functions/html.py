@@ -253,6 +253,17 @@ def links(html: str, base: str) -> list[tuple[str, str]]:
     return out
 
 
+def section_links(html: str, base: str) -> list[tuple[str | None, str, str]]:
+    """Heading (``h3``) above, text and address of each link with a text, in order; null before the first heading."""
+    out, heading = [], None
+    for n in parse(html).walk():
+        if n.tag == "h3":
+            heading = n.words()
+        elif n.tag == "a" and n.attrs.get("href") and (text := n.words()):
+            out.append((heading, text, urljoin(base, n.attrs["href"])))
+    return out
+
+
 #: A value, or why there is none.
 OUTCOME = T.StructType([T.StructField("value", T.StringType()), T.StructField("error", T.StringType())])
 
@@ -307,3 +318,8 @@ def html_text(html: pd.Series) -> pd.Series:
 @F.pandas_udf(T.ArrayType(T.StructType([T.StructField("text", T.StringType()), T.StructField("url", T.StringType())])))
 def html_links(html: pd.Series, base: pd.Series) -> pd.Series:
     return pd.Series([[] if h is None else [{"text": t, "url": u} for t, u in links(h, b or "")] for h, b in zip(html, base, strict=True)])
+
+
+@F.pandas_udf(T.ArrayType(T.StructType([T.StructField(c, T.StringType()) for c in ("heading", "text", "url")])))
+def html_sections(html: pd.Series, base: pd.Series) -> pd.Series:
+    return pd.Series([[] if h is None else [{"heading": a, "text": t, "url": u} for a, t, u in section_links(h, b or "")] for h, b in zip(html, base, strict=True)])

@@ -10,9 +10,10 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions.html import html_markdown, page_body
 from corpusloom.functions.scalars import text_or_empty
+from corpusloom.operators import catalog as catalog_ops
 from corpusloom.operators import match, merge, naming, prompt, recover
 from corpusloom.operators.provider import call
-from corpusloom.sources import files, web
+from corpusloom.sources import files, posts, web
 
 
 def enrich_catalog(catalog: DataFrame, theme_files: DataFrame, tier_files: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -49,6 +50,35 @@ def fetch_catalog(catalog: DataFrame, present: DataFrame, pages: DataFrame) -> t
     return documents, log.unionByName(skipped)
 
 
+def crawl(spark: SparkSession, api_base: str, get=web.http_get, pause: float = web.PAUSE_S, lanes: int = 4, registry_slug: str = "popelist") -> tuple[DataFrame, DataFrame]:
+    """The catalog of a site (``merge.BASE_COLUMNS``, the first row of each address) and the registry of its authors.
+
+    The registry names a category or a page for each author: posts of categories first, then the documents below the
+    headings of pages.  Every page of the interface is asked for once: what came is written down.
+    """
+    name = posts.register(spark, get, "site_crawl")
+
+    def read(resource: str, **options) -> DataFrame:
+        reader = spark.read.format(name).option("base", api_base).option("pause", pause).option("lanes", lanes).option("resource", resource)
+        return files.settle(reader.options(**options).load())
+
+    authors = files.settle(web.registry(read("pages", slugs=registry_slug).withColumn("link", F.coalesce("link", F.lit("")))))
+    known = read("categories").select(F.col("id").alias("number"), F.col("slug").alias("category"))
+    by_number = files.settle(match.first_by(authors.filter("category is not null").join(known, "category"), ["number"], "pos").select(F.col("number").alias("category"), "pope", "pope_url"))
+    # Names for options: as many as a site has authors.
+    numbers, slugs = ([str(r[0]) for r in df.collect()] for df in (by_number.select("category").orderBy("category"), authors.filter("page is not null").select("page").distinct().orderBy("page")))
+    listings = []
+    if numbers:
+        listings.append(web.post_rows(read("posts", categories=",".join(numbers)), by_number))
+    if slugs:
+        named = match.first_by(authors.filter("page is not null"), ["page"], "pos").select(F.col("page").alias("slug"), "pope", "pope_url")
+        listings.append(web.section_rows(read("pages", slugs=",".join(slugs)).join(named, "slug").select("pope", "content", F.col("pope_url").alias("link"))))
+    if not listings:
+        return spark.createDataFrame([], ", ".join(f"{c} string" for c in merge.BASE_COLUMNS)), authors
+    by_pope = [x.withColumn("pos", F.struct("pope", "pos")) for x in listings]
+    return catalog_ops.union_listings(*by_pope, url="link").select(*merge.BASE_COLUMNS), authors
+
+
 def fetch_missing(catalog: DataFrame, present: DataFrame, get=web.http_get, api_base: str | None = None, pause: float = web.PAUSE_S, sleep=time.sleep) -> tuple[DataFrame, DataFrame]:
     """As :func:`fetch_catalog`, fetching as well: only links of documents that are not there are asked for, each once.
 

@@ -1,14 +1,16 @@
 """Fetching, listing, exports and runs of the queue, with getters that count."""
 
 import json
+import time
 
 import pytest
+from pyspark.sql import functions as F
 
 from corpusloom import cli
 from corpusloom.functions import extract
 from corpusloom.operators import provider
 from corpusloom.plans import flows
-from corpusloom.sources import files, web
+from corpusloom.sources import files, posts, web
 
 PAGE = "<html><body><article><p>" + "word " * 60 + "</p></article></body></html>"
 
@@ -48,15 +50,126 @@ def test_a_site_is_paced(spark, tmp_path):
     assert len((tmp_path / "slept").read_text().split()) == 7 + 3
 
 
-def test_listing(spark):
-    def get(url):
-        q = dict(x.split("=") for x in url.split("?")[1].split("&"))
-        n = {1: 100, 2: 3}.get(int(q["page"]), 0) if q.get("categories") != "9" else 1
-        return "application/json", json.dumps([{"link": f"l{q.get('categories')}-{q['page']}-{i}", "title": {"rendered": "t"}, "date": "d"} for i in range(n)])
+@pytest.fixture()
+def site():
+    """An interface on this machine that counts what it is asked for."""
+    import threading
+    from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
+    from urllib.parse import parse_qs, urlparse
+
+    asked, posts = [], {4: 1503, 9: 100, 11: 0, 12: 7}
+
+    class Handler(BaseHTTPRequestHandler):
+        def do_GET(self):
+            u = urlparse(self.path)
+            q = {k: v[0] for k, v in parse_qs(u.query).items()}
+            asked.append((u.path, *sorted(q.items())))
+            size, page = int(q.get("per_page", 10)), int(q.get("page", 1))
+            code, found = 200, []
+            if u.path == "/wp/categories":
+                found = [{"id": c, "slug": f"s{c}", "name": f"n{c}", "count": {4: 1203, 9: 100, 11: 0, 12: 450}[c]} for c in posts][(page - 1) * size : page * size]
+            elif u.path == "/wp/posts":
+                numbers = [(c, i) for c in posts if str(c) == q.get("categories", str(c)) for i in range(posts[c])]
+                if page > 1 and (page - 1) * size >= len(numbers):
+                    code, found = 400, {"code": "rest_post_invalid_page_number"}
+                else:
+                    found = [{"link": f"l{c}-{i}", "title": {"rendered": "t"}, "date": "d"} for c, i in numbers[(page - 1) * size : page * size]]
+            elif u.path == "/endless/posts":
+                found = [{"link": f"l{i}"} for i in range(size)]
+            elif u.path == "/wp/pages":
+                found = [{"link": f"http://h/{q['slug']}", "title": {"rendered": q["slug"]}, "content": {"rendered": "<p>x</p>"}}] if q["slug"] != "none" else []
+            else:
+                code = 404
+            body = json.dumps(found).encode()
+            self.send_response(code)
+            self.send_header("Content-Type", "application/json")
+            self.end_headers()
+            self.wfile.write(body)
+
+        def log_message(self, *args):
+            pass
+
+    server = ThreadingHTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    yield f"http://127.0.0.1:{server.server_port}", asked
+    server.shutdown()
+
+
+def test_every_post_of_a_listing(spark, site):
+    """1503 posts where the interface counts 1203, 7 where it counts 450; each page is asked for once, and a partition is a page."""
+    base, asked = site
+    got = web.listing(spark, f"{base}/wp", categories=(4, 9, 11, 12), pause=0)
+    assert got.rdd.getNumPartitions() == 13 + 1 + 1 + 5
+    asked.clear()
+    rows = got.collect()
+    assert {(r.category, r.page, r.pos): r.link for r in rows} == {(c, i // 100 + 1, i % 100): f"l{c}-{i}" for c, n in ((4, 1503), (9, 100), (12, 7)) for i in range(n)}
+    pages = [x for x in asked if x[0] == "/wp/posts"]
+    assert len(pages) == len(set(pages)) and len([p for p in pages if ("categories", "4") in p]) == 16
+    all_ = web.listing(spark, f"{base}/wp", pause=0)
+    assert all_.count() == 1610 and all_.filter("category is null").count() == 1610
+    with pytest.raises(Exception, match="repeats the page before"):
+        web.listing(spark, f"{base}/endless", pause=0).count()
+    with pytest.raises(Exception, match="404"):
+        web.listing(spark, f"{base}/nowhere", pause=0).count()
+
+
+def test_lanes_of_a_listing(spark, site):
+    """With a pause pages are dealt to lanes, and requests are apart whoever makes them."""
+    base, asked = site
+    got = web.listing(spark, f"{base}/wp", categories=(4, 9, 12), pause=0.05, lanes=3)
+    assert got.rdd.getNumPartitions() == 3
+    began = time.time()
+    assert got.count() == 1610
+    n = len([x for x in asked if x[0] == "/wp/posts"])
+    assert time.time() - began >= 0.05 * (n - 1)
+
+
+def test_pages_and_categories(spark, site):
+    base, _ = site
+    read = lambda **o: spark.read.format(posts.register(spark)).option("base", f"{base}/wp").options(**o).load()
+    assert sorted(tuple(r) for r in read(resource="pages", slugs="leo14,none,franc").select("slug", "link", "content").collect()) == [("franc", "http://h/franc", "<p>x</p>"), ("leo14", "http://h/leo14", "<p>x</p>")]
+    assert sorted(tuple(r) for r in read(resource="categories").collect()) == [(4, "s4", "n4", 1203), (9, "s9", "n9", 100), (11, "s11", "n11", 0), (12, "s12", "n12", 450)]
+    assert read(categories="*").count() == 1610
+
+
+def test_a_large_site_is_paced_over_tasks(spark):
+    """Ten thousand documents of one site, four tasks: all of them used, and no two documents begin closer than the pause."""
+    pause = 0.001
+    links = spark.range(10_000).selectExpr("concat('http://a.org/', id) AS link")
+    got = web.fetch(links, get=lambda url: ("text/html", "x"), pause=pause, per_lane=2500, lanes=4, stamps=True)
+    rows = got.withColumn("task", F.spark_partition_id()).collect()
+    began = sorted(r.started for r in rows)
+    assert len(rows) == 10_000 and min(b - a for a, b in zip(began, began[1:], strict=False)) >= pause
+    assert len({r.task for r in rows}) >= 2
+
+
+def test_a_slow_document_holds_up_its_own_lane_only():
+    """Turns of four lanes by a clock of our own: slots never meet, and a lane that comes late skips to its next one."""
+    from corpusloom.sources.pacing import Lane
+
+    now, starts = [1000.0], []
+
+    def sleep(s):
+        now[0] += s + 0.01  # sleeps overrun
+
+    lanes = [Lane(1.0, k, 4, sleep, lambda: now[0]) for k in range(4)]
+    for k in (0, 1, 2, 3, 0, 0, 2, 1, 3, 3):
+        starts.append((lanes[k].wait(), k))
+        now[0] += 7.3 if k == 2 else 0.1
+    assert all(round(t / 1.25 - 0.1, 0) % 4 == k for t, k in starts)
+    assert all(b[0] - a[0] >= 1 for a, b in zip(starts, starts[1:], strict=False))
+
+
+def test_registry_and_sections(spark):
+    html = '<p><a href="/category/saints/leo13/">Leo XIII</a> <a href="/franc">Francis</a><a href="">none</a><a href="https://h/jp02/?x=1"></a></p>'
+    got = web.registry(spark.createDataFrame([(html, "https://h/popelist")], "content string, link string")).collect()
+    assert [(r.pope, r.pope_url, r.category, r.page) for r in got] == [("Leo XIII", "https://h/category/saints/leo13/", "leo13", None), ("Francis", "https://h/franc", None, "franc")]
+    page = '<a href="/before">no heading</a><h3>Encyclicals</h3><ul><li><a href="http://www.vatican.va/a.html">A <b>b</b></a></li></ul><h3>Motu  Proprio</h3><a href="c.PDF?x">C</a><h3> Additional Links </h3><a href="/d">D</a><h3>Speeches</h3><a href="/e">E</a>'
+    rows = web.section_rows(spark.createDataFrame([("P", page, "https://h/p"), ("Q", None, "https://h/q")], "pope string, content string, link string")).orderBy("pos").collect()
+    assert [(r.title, r.doc_type, r.format, r.link, r.source) for r in rows] == [
+        ("A b", "encyclical", "html", "http://www.vatican.va/a.html", "vatican"), ("C", "motu_proprio", "pdf", "https://h/c.PDF?x", "papalencyclicals"), ("E", "other", "html", "https://h/e", "papalencyclicals"),
+    ]
 
-    got = web.listing(spark, "http://api", get, (4, 9), pause=0)
-    assert {(r.category, r.n) for r in got.groupBy("category").count().withColumnRenamed("count", "n").collect()} == {(4, 103), (9, 1)}
-    assert got.select("link").distinct().count() == 104
 
 
 def test_export(spark, tmp_path):
