@@ -11,8 +11,8 @@
    A window is removed only where the method says that it repeats.
 5. Texts with marks lose the marked tokens.
 
-Hashes of tokens only find candidates.  Equal stretches are told by 56 bits of BLAKE2b of their bytes, under a key drawn
-anew for every run, beside their anchor: nobody can write a text that collides.  What repeats is decided in ``resolve``
+Hashes of tokens only find candidates.  Equal stretches are told by 56 bits of BLAKE2b of their bytes, under a salt drawn
+anew for every run and told to no one, beside their anchor: nobody can write a text that collides.  What repeats is decided in ``resolve``
 (rounds 1 and 4), on the bytes, and nowhere else.
 
 What is sent travels as packed arrays.  A row holds what one gather of a task has for one bucket or block, at least one
@@ -81,7 +81,7 @@ class Plan:
     def digests(self, content: np.ndarray, start: np.ndarray, length: np.ndarray) -> np.ndarray:
         """Of spans of tokens, by their bytes."""
         raw, (at, size) = content.tobytes(), self.spans(content, start, length)
-        return np.frombuffer(b"".join([blake2b(raw[a : a + n], digest_size=8, key=self.key).digest() for a, n in zip(at.tolist(), size.tolist(), strict=True)]), np.uint64)
+        return np.frombuffer(b"".join([blake2b(raw[a : a + n], digest_size=8, salt=self.key).digest() for a, n in zip(at.tolist(), size.tolist(), strict=True)]), np.uint64)
 
 
 KINDS = ("u1", "u2", "u4", "u8", "i8")
