@@ -122,7 +122,7 @@ def range_join(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
     are taken from ``sample`` vectors, sixteen for a pivot.  Cells of more vectors are dealt to blocks, so the result
     depends on neither.
     """
-    from corpusloom.llm.common import components, materialise
+    from corpusloom.llm.common import components, join_hot, materialise
 
     spark = df.sparkSession
     if df.schema[vector_col].dataType.simpleString() not in ("array<float>", "array<double>"):
@@ -246,6 +246,6 @@ def range_join(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
     roots = components(found.filter("b is not null").select("a", "b")).select(F.col("node").alias("rep"), "root")
     by_key = distinct.select("key", "rep").join(counts, "key", "left").join(roots, "rep", "left")
     by_key = by_key.select("key", "n_links", F.coalesce("root", "rep").alias("root"))
-    out = rows.select("id", "key").join(by_key, "key", "left")
+    out = join_hot(rows.select("id", "key"), by_key, "key")  # equal vectors can be any share of the rows
     component = F.coalesce("root", "id")
     return out.select(F.col("id").alias(id_col), F.coalesce("n_links", F.lit(0)).cast("bigint").alias("n_links"), component.alias("component_id"), F.coalesce(F.col("id") == component, F.lit(True)).alias("kept"))

@@ -192,7 +192,7 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     Repeated rows give repeated results; an empty table gives no rows.  A text of any length is taken whole.  A bit that
     exactly half of the hashes have is 0.  Other columns are ignored, whatever their names.
     """
-    from corpusloom.llm.common import components, map_texts, materialise
+    from corpusloom.llm.common import components, join_hot, map_texts, materialise
 
     prints = map_texts(df, id_col, text_col, lambda: lambda t: (fingerprint(t, k, seed),), [T.StructField("_fp", T.LongType())])
     prints = materialise(prints)
@@ -201,7 +201,8 @@ def near_duplicates(df: DataFrame, id_col: str = "doc_id", text_col: str = "text
     rooted = classes.join(roots, "_fp", "left").withColumn("_root", F.coalesce("_root", "_fp"))
     least = rooted.groupBy("_root").agg(F.min("_least").alias("component_id"))
     member = rooted.select("_fp", "_root").join(least, "_root").select("_fp", "component_id")
-    return prints.join(member, "_fp").select(F.col(id_col), hex_print(F.col("_fp")).alias("fingerprint"), "component_id")
+    # A fingerprint, zero above all, can be that of any share of the rows.
+    return join_hot(prints, member, "_fp").select(F.col(id_col), hex_print(F.col("_fp")).alias("fingerprint"), "component_id")
 
 
 def similarity_radius(similarity: float, bits: int, spread: float = 3.0) -> int:
@@ -498,35 +499,32 @@ def verified(members: DataFrame, texts: DataFrame, k: int, similarity: float, bl
     return sent.mapInArrow(tidy(run), "a bigint, b bigint")
 
 
-def shard_width(n: int) -> tuple[int, int]:
-    """Bits of a block and closest votes turned over in it, for so many documents; see README for what such shards miss."""
-    return (16, 2) if n <= 1 << 20 else (20, 3) if n <= 1 << 24 else (24, 5)
+#: Bits of a block and closest votes turned over in it, for any number of documents: what such shards miss doesn't hang on the corpus.
+SHARD = (20, 3)
 
 
 def drop_near_duplicates(
-    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, similarity: float = 0.8, bits: int = 256, block: int | None = None, flips: int | None = None, seed: int = 42, tree_nodes: int = 1024, small: int = 48
+    df: DataFrame, id_col: str = "doc_id", text_col: str = "text", k: int = 5, similarity: float = 0.8, bits: int = 256, block: int = SHARD[0], flips: int = SHARD[1], seed: int = 42, tree_nodes: int = 1024, small: int = 48
 ) -> DataFrame:
     """The rows of ``df`` without near copies: of each group linked at ``similarity`` or more the smallest id stays.
 
     Similarity is the Jaccard similarity of sets of ``k``-word shingles.  Fingerprints of ``bits`` bits find groups in
     which it may be reached, with a radius three standard deviations beyond what is expected at the threshold; an exact
-    check of the sets follows inside each group.  Shards hold ``block`` bits, with the ``flips`` closest votes turned over;
-    both follow the number of documents unless given (:func:`shard_width`).  With 256 bits such shards and the radius miss
-    fewer than one pair in 100 at 0.8 of sets of over 48 shingles, one in 200 up to 16 million documents.
+    check of the sets follows inside each group.  Shards hold ``block`` bits, with the ``flips`` closest votes turned over,
+    the same at every size of the corpus.  With 256 bits such shards and the radius miss fewer than one pair in 100 at 0.8
+    of sets of over 48 shingles.
     Smaller sets would lose more (9 against 9 shingles
     about 3 %): pairs with a set of up to ``small`` shingles are found by an exact index instead, so none is missed.  Documents of one set of shingles are copies of each other; different sets of one
     fingerprint are a group, in which the exact check takes every set.  Texts without a word, null ones too, are one set.
     A row with a null id always stays.  Of repeated rows one stays.  A text of any length is taken whole.  All columns of
     ``df`` are returned, whatever their names; an empty table gives no rows.
     """
-    from corpusloom.llm.common import components, fresh, map_texts, materialise
+    from corpusloom.llm.common import components, fresh, join_hot, map_texts, materialise
 
     # Batches are bounded by map_texts, and so are those of the check.
     fields = [T.StructField("_fp", T.BinaryType()), T.StructField("_keys", T.ArrayType(T.LongType())), T.StructField("_set", T.LongType()), T.StructField("_small", T.ArrayType(T.LongType()))]
     most = int(small / similarity + 1e-9)  # the largest set that a small one can be similar to
     base = df.select(F.col(id_col).cast("bigint").alias("_id"), F.col(text_col).cast("string").alias("_text"))
-    if block is None or flips is None:
-        block, flips = shard_width(base.count())
     prints = map_texts(base, "_id", "_text", lambda: lambda t: long_fingerprint(t, k, bits, seed, block, flips, most), fields)
     prints = materialise(prints)
     # Equal sets are one node, named by the least id; all sets of a fingerprint are in its group, which has the keys of each.
@@ -549,7 +547,8 @@ def drop_near_duplicates(
     roots = components(near)
     # Ids that go: of each set all but the least, and sets that are not the least of their group.
     least = sets.select("_fp", "_set", "node").join(roots.filter("node <> root").select("node").withColumn("_late", F.lit(True)), "node", "left")
-    gone = prints.filter("_id is not null").select("_id", "_fp", "_set").join(least, ["_fp", "_set"]).filter("_late or _id <> node")
+    of = F.struct("_fp", "_set").alias("_of")  # texts without a word are one set, and may be any share of the rows
+    gone = join_hot(prints.filter("_id is not null").select("_id", of), least.select(of, "node", "_late"), "_of").filter("_late or _id <> node")
     out_id = fresh("_gone", df)
     gone = materialise(gone.select(F.col("_id").alias(out_id)).distinct())
     # An id that stays with one text and goes with another is kept apart by no column; it goes.
