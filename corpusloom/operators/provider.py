@@ -36,16 +36,30 @@ def stub_gradient(text: str) -> str:
 
 
 def research(df: DataFrame, text_col: str, key: str, providers: dict[str, Callable[[str], str]], concurrency: int = 5) -> DataFrame:
-    """``tier, key, report, error``: every tier's provider on every row, tiers in the order given."""
+    """``tier, key, report, error``: every tier's provider on every row, tiers in the order given.
+
+    A tier is written down before the next one begins, so the bound on calls holds for all of them together.
+    """
+    from corpusloom.sources.files import settle
+
     out = None
     for tier, provider in providers.items():
-        own = call(df, text_col, key, provider, concurrency).select(F.lit(tier).alias("tier"), key, "report", "error")
+        own = settle(call(df, text_col, key, provider, concurrency).select(F.lit(tier).alias("tier"), key, "report", "error"))
         out = own if out is None else out.unionByName(own)
     return out
 
 
-def call(df: DataFrame, text_col: str, key: str, provider: Callable[[str], str] = stub_theme, concurrency: int = 5) -> DataFrame:
-    """``key, report, error``; at most ``concurrency`` calls run at once in a task.  A null text is not sent."""
+def call(df: DataFrame, text_col: str, key: str, provider: Callable[[str], str] = stub_theme, concurrency: int = 5, tasks: int | None = None) -> DataFrame:
+    """``key, report, error``; at most ``concurrency`` calls run at once in the whole job.  A null text is not sent.
+
+    Rows are dealt to ``tasks`` partitions (as many as can run side by side, unless given, and no more than calls); the
+    calls are shared out among these, so the bound holds wherever and whenever they run.  A task that is lost and run
+    again calls again for its rows.
+    """
+    spark = df.sparkSession
+    if concurrency < 1:
+        raise ValueError("no calls at all")
+    tasks = max(1, min(concurrency, spark.sparkContext.defaultParallelism if tasks is None else tasks))
 
     def one(text):
         if text is None:
@@ -56,7 +70,10 @@ def call(df: DataFrame, text_col: str, key: str, provider: Callable[[str], str]
             return None, str(e) or type(e).__name__
 
     def run(batches):
-        with ThreadPoolExecutor(concurrency) as pool:
+        from pyspark import TaskContext
+
+        share = concurrency // tasks + (TaskContext.get().partitionId() < concurrency % tasks)
+        with ThreadPoolExecutor(share) as pool:
             for b in batches:
                 for lo in range(0, b.num_rows, 256):
                     part = b.slice(lo, 256)
@@ -64,4 +81,5 @@ def call(df: DataFrame, text_col: str, key: str, provider: Callable[[str], str]
                     yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c, pa.string()) for c in zip(*rows, strict=True))], names=[key, "report", "error"])
 
     kind = df.schema[key].dataType.simpleString()
-    return df.select(F.col(key), F.col(text_col).cast("string")).mapInArrow(run, f"`{key}` {kind}, report string, error string")
+    # The last step before the calls: partitions are numbered as they were dealt.
+    return df.select(F.col(key), F.col(text_col).cast("string")).repartition(tasks).mapInArrow(run, f"`{key}` {kind}, report string, error string")

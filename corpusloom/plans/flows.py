@@ -115,7 +115,7 @@ def run_commands(commands: list[tuple[str, dict]], run: Callable[[str, dict], in
 def run_rest(store, sources: str, reports: str, provider: Callable[[str], str], size: int = 30, limit: int | None = None, concurrency: int = 5) -> int:
     """Take batches from the queue until none is pending or ``limit`` items are done: call the provider, write the reports, mark the items.
 
-    What a provider cannot do is marked failed with its error.  Returns the number of items taken.
+    A batch is marked as one change.  What a provider cannot do is marked failed with its error.  Returns the number of items taken.
     """
     spark, done = store.spark, 0
     while limit is None or done < limit:
@@ -123,19 +123,16 @@ def run_rest(store, sources: str, reports: str, provider: Callable[[str], str],
         if not taken:
             break
         names = spark.createDataFrame([(r["id"], r["source_file"], r["report_file"]) for r in taken], "id long, name string, report string")
-        texts = files.read_texts(spark, sources).join(F.broadcast(names), "name")  # a batch
-        got = files.settle(call_provider(texts, "text", "report", provider, concurrency).withColumnRenamed("report", "answer").join(F.broadcast(names), F.col("key") == F.col("report"), "right"))
+        texts = files.read_texts(spark, sources).join(names, "name")  # Spark broadcasts a batch that is small enough to be
+        got = files.settle(call(texts.select(F.col("report").alias("key"), "text"), "text", "key", provider, concurrency).withColumnRenamed("report", "answer").join(names, F.col("key") == F.col("report"), "right"))
         files.export_markdown(got.filter("answer is not null").select(F.element_at(F.split("report", "/"), -1).alias("filename"), F.col("answer").alias("text")), reports)
-        for r in got.select("id", "answer", "error").collect():  # a batch
-            store.mark(r["id"], "failed" if r["answer"] is None else "complete", None if r["answer"] is not None else r["error"] or "no source")
+        failed = F.col("answer").isNull()
+        error = F.when(failed, F.coalesce(F.nullif("error", F.lit("")), F.lit("no source")))
+        store.mark_all(got.select("id", F.when(failed, "failed").otherwise("complete").alias("status"), error.alias("error"), F.lit(None).cast("string").alias("agent_id")))
         done += len(taken)
     return done
 
 
-def call_provider(texts: DataFrame, text: str, key: str, provider: Callable[[str], str], concurrency: int) -> DataFrame:
-    return call(texts.select(F.col(key).alias("key"), F.col(text)), text, "key", provider, concurrency)
-
-
 def run_queue(steps: list[Callable[[DataFrame], DataFrame]], items: DataFrame, dry_run: bool = False) -> DataFrame:
     """Commands in turn on the items; a dry run plans none of them."""
     for step in [] if dry_run else steps:

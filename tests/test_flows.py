@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 from corpusloom import cli
 from corpusloom.functions import extract
 from corpusloom.operators import provider
+from corpusloom.operators.queue_store import QueueStore
 from corpusloom.plans import flows
 from corpusloom.sources import files, posts, web
 
@@ -217,3 +218,46 @@ def test_braces_in_a_string_are_no_object(spark):
     text = f"## Gradients\n\n```json\n{block}\n```\n"
     row = spark.createDataFrame([(text,)], "t string").select(extract.gradient(extract.gradient_json(F.col("t"))).alias("g")).select("g.*").first()
     assert row["prescriptive_saturation"] == "2" and row["prescriptive_density"] == "3"
+
+
+def test_calls_of_a_whole_job_are_bounded(spark, tmp_path):
+    """A provider that writes down when it begins and ends: never more than five calls at once, however many tasks there are."""
+
+    def slow(text):
+        began = time.time()
+        time.sleep(0.02)
+        with open(f"{tmp_path}/calls", "a") as f:
+            f.write(f"{began} {time.time()}\n")
+        if text == "7":
+            raise ValueError("no")
+        return text
+
+    df = spark.range(120).selectExpr("id", "CASE WHEN id = 5 THEN null ELSE cast(id AS string) END AS text").repartition(12)
+    got = {r.id: (r.report, r.error) for r in provider.call(df, "text", "id", slow, concurrency=5).collect()}
+    assert got == {i: (None, "no text") if i == 5 else (None, "no") if i == 7 else (str(i), None) for i in range(120)}
+    calls = [tuple(map(float, line.split())) for line in (tmp_path / "calls").read_text().splitlines()]
+    at_once = [sum(a <= t < b for a, b in calls) for t, _ in calls]
+    assert len(calls) == 119 and 2 <= max(at_once) <= 5
+    assert provider.call(df, "text", "id", slow, concurrency=7, tasks=3).rdd.getNumPartitions() == 3
+    with pytest.raises(ValueError, match="no calls"):
+        provider.call(df, "text", "id", slow, concurrency=0)
+
+
+def test_a_batch_is_marked_once(spark, tmp_path):
+    docs, out = tmp_path / "docs", tmp_path / "reports"
+    docs.mkdir()
+    for k in range(7):
+        (docs / f"d{k}.md").write_text("bad" if k == 3 else f"text {k}")
+    store = QueueStore(spark, str(tmp_path / "q"))
+    store.init(spark.createDataFrame([(f"d{k}.md",) for k in range(8)], "name string"), spark.createDataFrame([], "report_file string, size long"))
+
+    def answer(text):
+        if text == "bad":
+            raise ValueError("refused")
+        return "" if text == "text 5" else text.upper()
+
+    assert flows.run_rest(store, str(docs), str(out), answer, size=5) == 8
+    state = {r.source_file: (r.status, r.error) for r in store.items().collect()}
+    assert state == {f"d{k}.md": ("failed", "refused") if k == 3 else ("failed", "no source") if k == 7 else ("complete", None) for k in range(8)}
+    assert [r.event for r in store.log().orderBy("version").collect()] == ["init", "next_batch", "mark_all", "next_batch", "mark_all"]
+    assert (out / "run-d1.md").read_text() == "TEXT 1" and not (out / "run-d3.md").exists()
