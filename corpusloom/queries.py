@@ -492,12 +492,41 @@ def streaming_queue(spark, d):
 
     shared = files.scratch(spark)
     where = os.path.join(shared, f"queue-{uuid.uuid4().hex}")
+    events = _event_stream(spark, d).select(F.col("user_id").alias("id"), "event_id", state().alias("status"))
+    return run_to_end(spark, events, f"{where}/rows", f"{where}/state")
+
+
+#: Events up to an hour before the last one, an item in progress for twelve hours goes back.
+_DELAY_MS, _STALE_MS = 3_600_000, 43_200_000
+_OLD_SQL = f"(a.status = 'in_progress' AND x.since - a.since >= {_STALE_MS})"
+_OK_SQL = f"(x.status <> 'in_progress' OR a.status = 'pending' OR {_OLD_SQL})"
+_FIELDS_SQL = "applied := 0::BIGINT, refused := 0::BIGINT, stale := 0::BIGINT"
+
+
+@query(f"""WITH e AS (SELECT user_id, event_id, epoch_us(ts) // 1000 AS ms, {_STATE_SQL} AS status FROM events), h AS (SELECT max(ms) - {_DELAY_MS} AS upto FROM e),
+l AS (SELECT user_id, list_prepend(struct_pack(status := 'pending', since := 0::BIGINT, {_FIELDS_SQL}),
+  list(struct_pack(status := status, since := ms, {_FIELDS_SQL}) ORDER BY ms, event_id)) AS es FROM e, h WHERE ms <= upto GROUP BY user_id),
+r AS (SELECT user_id, list_reduce(es, lambda a, x: struct_pack(
+  status := CASE WHEN {_OK_SQL} THEN x.status WHEN {_OLD_SQL} THEN 'pending' ELSE a.status END, since := CASE WHEN {_OK_SQL} THEN x.since WHEN {_OLD_SQL} THEN a.since + {_STALE_MS} ELSE a.since END,
+  applied := a.applied + CASE WHEN {_OK_SQL} THEN 1::BIGINT ELSE 0::BIGINT END, refused := a.refused + CASE WHEN {_OK_SQL} THEN 0::BIGINT ELSE 1::BIGINT END, stale := a.stale + CASE WHEN {_OLD_SQL} THEN 1::BIGINT ELSE 0::BIGINT END)) AS s FROM l)
+SELECT user_id AS id, CASE WHEN old THEN 'pending' ELSE s.status END AS status, CASE WHEN old THEN s.since + {_STALE_MS} ELSE s.since END AS since, s.applied AS applied, s.refused AS refused,
+  s.stale + CASE WHEN old THEN 1 ELSE 0 END AS stale FROM (SELECT user_id, s, s.status = 'in_progress' AND upto - s.since >= {_STALE_MS} AS old FROM r, h)""")
+def streaming_rules(spark, d):
+    """M3 to M6: the queue as a stream with rules; events in order of their time, illegal ones refused, stale items put back by a timer."""
+    from corpusloom.streaming.queue_rules import run_to_end
+
+    where = os.path.join(files.scratch(spark), f"rules-{uuid.uuid4().hex}")
+    # Times without a zone, as they stand.
+    ts = F.expr("timestamp_millis(timestampdiff(MILLISECOND, TIMESTAMP_NTZ'1970-01-01 00:00:00', ts))")
+    events = _event_stream(spark, d).select(F.col("user_id").alias("id"), "event_id", ts.alias("ts"), state().alias("status"))
+    return run_to_end(spark, events, f"{where}/rows", f"{where}/state", f"{_DELAY_MS} milliseconds", _STALE_MS)
+
+
+def _event_stream(spark: SparkSession, d: str) -> DataFrame:
     name = f"{d}/events.parquet"
     schema = spark.read.parquet(name).schema
     # A stream reads folders; a table may be one file of a folder.
-    source = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d) if not _is_folder(spark, name) else spark.readStream.schema(schema).parquet(name)
-    events = source.select(F.col("user_id").alias("id"), "event_id", state().alias("status"))
-    return run_to_end(spark, events, f"{where}/rows", f"{where}/state")
+    return spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d) if not _is_folder(spark, name) else spark.readStream.schema(schema).parquet(name)
 
 
 def _is_folder(spark: SparkSession, path: str) -> bool:
