@@ -12,20 +12,92 @@ def base_stem(date: Column, author: Column, title: Column, strip_html: bool = Fa
     return F.concat_ws("_", ddmmyyyy(date), file_part(author, strip_html=strip_html), file_part(title, strip_html=strip_html))
 
 
-def unique_stems(df: DataFrame, pos: str = "row_pos", date: str = "published_date", author: str = "pope", title: str = "title", link: str = "link", strip_html: bool = False) -> DataFrame:
+#: Rows of a base name up to which a task numbers them by itself.
+MOST_ROWS = 1_000_000
+
+
+def unique_stems(df: DataFrame, pos: str = "row_pos", date: str = "published_date", author: str = "pope", title: str = "title", link: str = "link", strip_html: bool = False, most: int = MOST_ROWS) -> DataFrame:
     """Adds ``stem``: the first row of a base name has it, later ones get the stem of their link and a number.
 
-    Numbers count from 2 for each base and link stem.  The first row of a base is found by an aggregate; only rows after
-    it are numbered, by ranges of the sorted names, so a name that very many rows share is no single task.
+    ``pos`` is different in every row.  Rows are named in its order, and no two get one name: numbers count from 2 for each
+    base and link stem, past names that an earlier row has, whether as its base or made up (:func:`repair`).  Where no base
+    has over ``most`` rows they are numbered where they meet, in one exchange; else by ranges of the sorted names, so a name
+    that very many rows share is no single task.
     """
     slug = file_part(url_stem(F.col(link)), strip_html=strip_html)
     named = df.withColumns({"_base": base_stem(F.col(date), F.col(author), F.col(title), strip_html), "_slug": slug})
+    largest = named.groupBy("_base").count().agg(F.max("count")).first()[0] or 0
+    numbered = _by_window(named, pos) if largest <= most else _by_ranges(named, pos)
+    stem = F.when(F.col("_nth").isNull(), F.col("_base")).otherwise(made_up(F.col("_nth") + 1))
+    return repair(numbered.withColumn("stem", stem).drop("_nth"), pos).drop("_base", "_slug")
+
+
+def made_up(number: Column) -> Column:
+    return F.concat_ws("_", "_base", "_slug", number.cast("string"))
+
+
+def _by_window(named: DataFrame, pos: str) -> DataFrame:
+    """Adds ``_nth``: the place of a row among those of its base and slug, without the first of its base, which has null."""
+    first = F.col(pos) == F.min(pos).over(Window.partitionBy("_base"))
+    # Both windows are dealt by the base.
+    nth = F.row_number().over(Window.partitionBy("_base", "_slug", "_first").orderBy(pos))
+    return named.withColumn("_first", first).withColumn("_nth", F.when(~F.col("_first"), nth)).drop("_first")
+
+
+def _by_ranges(named: DataFrame, pos: str) -> DataFrame:
     least = named.groupBy("_base").agg(F.min(pos).alias("_least"), F.count("*").alias("_rows"))
     later = named.select("_base", "_slug", pos).join(least.filter("_rows > 1"), "_base").filter(F.col(pos) > F.col("_least")).select("_base", "_slug", pos)
     nth = nth_in_key(later, ["_base", "_slug"], pos, "_nth").select(F.col(pos).alias("_pos"), "_nth")
-    out = named.join(nth, F.col(pos) == F.col("_pos"), "left")
-    stem = F.when(F.col("_nth").isNull(), F.col("_base")).otherwise(F.concat_ws("_", "_base", "_slug", (F.col("_nth") + 1).cast("string")))
-    return out.withColumn("stem", stem).drop("_base", "_slug", "_pos", "_nth")
+    return named.join(nth, F.col(pos) == F.col("_pos"), "left").drop("_pos")
+
+
+def repair(named: DataFrame, pos: str, most_rounds: int = 100) -> DataFrame:
+    """No two rows of one name: each has the first of its candidates (base, then numbers from 2) that no row before it has.
+
+    In a round every row looks at the names that rows before it have just now; names up to the first wrong one stay as they
+    are, so the names that a round no longer changes are the ones that naming row by row would give.  Without a clash nothing is done but to look for one: a
+    name made up for a row can only be met by another made-up one, or by a base that ends in a number.
+    """
+    from corpusloom.sources.files import settle
+
+    def clash(x: DataFrame) -> DataFrame:
+        risky = x.filter((F.col("stem") != F.col("_base")) | F.col("_base").rlike("_[0-9]+$"))
+        return risky.groupBy("stem").count().filter("count > 1")
+
+    if clash(named).isEmpty():
+        return named
+    now = settle(named.select(pos, "_base", "_slug", "stem"))
+    for _ in range(most_rounds):
+        # Names that a row may meet: the least place at which each stands, and the next one, for the row's own does not count.
+        taken = now.groupBy(F.col("stem").alias("_name")).agg(F.min(pos).alias("_at"))
+        others = taken.join(now.select(F.col(pos).alias("_at"), F.col("_base").alias("_of_base"), F.col("_slug").alias("_of_slug"), F.col("stem").alias("_of")), "_at")
+        # A base is taken if the first to have this name stands before the row.
+        based = now.join(taken, F.col("_base") == F.col("_name")).select(pos, "_base", "_slug", "stem", (F.col("_at") < F.col(pos)).alias("_taken"))
+        base_free = now.join(taken, F.col("_base") == F.col("_name"), "left_anti").select(pos, "_base", "_slug", "stem", F.lit(False).alias("_taken"))
+        rows = based.unionByName(base_free)
+        # Numbers of a base and slug that rows of others have, and since when.
+        prefix, number = F.regexp_extract("_name", "^(.*)_[0-9]+$", 1), F.regexp_extract("_name", "_([1-9][0-9]{0,17})$", 1)
+        numbers = others.select(prefix.alias("_prefix"), F.when(number != "", number.cast("long")).alias("_number"), "_at", "_of_base", "_of_slug", "_of").filter("_number >= 2")
+        keys = rows.filter("_taken").select("_base", "_slug").distinct().withColumn("_prefix", F.concat_ws("_", "_base", "_slug"))
+        foreign = keys.join(numbers, "_prefix").filter((F.col("_base") != F.col("_of_base")) | (F.col("_slug") != F.col("_of_slug")) | (F.col("_of") == F.col("_of_base")))
+        blocked = foreign.groupBy("_base", "_slug").agg(F.sort_array(F.collect_list(F.struct("_number", "_at"))).alias("_blocked"))
+        later = _nth_of(rows.filter("_taken"), pos).join(blocked, ["_base", "_slug"], "left")
+        # Each number that is taken and not above the row's moves it on by one.
+        free = F.aggregate(
+            F.coalesce("_blocked", F.array().cast("array<struct<_number:bigint,_at:bigint>>")), (F.col("_nth") + 1).cast("long"),
+            lambda n, x: F.when((x["_number"] <= n) & (x["_at"] < F.col(pos)), n + 1).otherwise(n),
+        )
+        new = later.select(pos, "_base", "_slug", F.concat_ws("_", "_base", "_slug", free.cast("string")).alias("_new"), "stem")
+        new = settle(new.unionByName(rows.filter("not _taken").select(pos, "_base", "_slug", F.col("_base").alias("_new"), "stem")))
+        changed = new.filter("_new <> stem").limit(1).count()
+        now = new.select(pos, "_base", "_slug", F.col("_new").alias("stem"))
+        if not changed:
+            return named.drop("stem").join(now.select(F.col(pos).alias("_pos"), "stem"), F.col(pos) == F.col("_pos")).drop("_pos")
+    raise RuntimeError(f"names did not settle in {most_rounds} rounds")
+
+
+def _nth_of(rows: DataFrame, pos: str) -> DataFrame:
+    return nth_in_key(rows, ["_base", "_slug"], pos, "_nth")
 
 
 def nth_in_key(df: DataFrame, keys: list[str], pos: str, out: str) -> DataFrame:
@@ -42,7 +114,7 @@ def nth_in_key(df: DataFrame, keys: list[str], pos: str, out: str) -> DataFrame:
 
 
 def clashes(named: DataFrame) -> DataFrame:
-    """Stems that stand more than once: a later base may equal a name made up for an earlier row."""
+    """Stems that stand more than once; :func:`unique_stems` leaves none."""
     return named.groupBy("stem").count().filter("count > 1")
 
 

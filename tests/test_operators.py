@@ -39,6 +39,42 @@ def test_names_follow_input_order(spark):
     assert naming.clashes(named).count() == 0
 
 
+def one_by_one(rows):
+    """Row by row, as a loop over a set of used names does it."""
+    used, out = set(), {}
+    for pos, _, author, title, link in sorted(rows):
+        base, slug = f"00000000_{author}_{title}", link.rsplit("/", 1)[1].rsplit(".", 1)[0]
+        name, n = base, 2
+        while name in used:
+            name, n = f"{base}_{slug}_{n}", n + 1
+        used.add(name)
+        out[pos] = name
+    return out
+
+
+@pytest.mark.parametrize(("seed", "most"), [(1, 1000), (2, 3), (3, 1000), (4, 3)])
+def test_made_up_names_meet_others(spark, seed, most):
+    """Bases that equal names made up for other rows, before and after these, and made-up names that meet each other."""
+    rng = random.Random(seed)
+    titles, slugs = ("t", "t_a_2", "t_a_2_a_2", "t_b_3", "t_a", "t_2_2", "t_a_007", "t_a_3"), ("a", "b", "2", "a_2", "a_2_a")
+    rows = [(i * 7, "", "A", rng.choice(titles), f"http://x/{rng.choice(slugs)}.htm") for i in range(120)]
+    df = spark.createDataFrame(rows, "row_pos int, published_date string, pope string, title string, link string").repartition(4)
+    named = naming.unique_stems(df, most=most)
+    got = {r.row_pos: r.stem for r in named.collect()}
+    assert got == one_by_one(rows)
+    assert len(set(got.values())) == 120 and set(named.columns) == {*df.columns, "stem"}
+
+
+def test_names_without_clashes_are_left(spark, monkeypatch):
+    """Where no name is met nothing is repaired, and an empty table has no names."""
+    from corpusloom.sources import files
+
+    df = spark.createDataFrame([(i, "", "A", f"t{i % 5}", "http://x/a.htm") for i in range(50)], "row_pos int, published_date string, pope string, title string, link string")
+    monkeypatch.setattr(files, "settle", lambda df: pytest.fail("repaired"))
+    assert naming.clashes(naming.unique_stems(df)).count() == 0
+    assert naming.unique_stems(df.limit(0)).count() == 0
+
+
 def test_numbers(spark):
     names = [f"n{i * 37 % 101:03}" for i in range(101)]
     df = spark.createDataFrame([(n,) for n in names], "name string").repartition(5)
