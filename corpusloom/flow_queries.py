@@ -11,11 +11,12 @@ import uuid
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from corpusloom.functions import extract, html, scalars
-from corpusloom.operators import catalog, match, provider, work_queue
+from corpusloom.functions import extract, html, scalars, tables
+from corpusloom.operators import catalog, match, merge, naming, provider, work_queue
 from corpusloom.plans import flows
-from corpusloom.queries import NOW, query, t
+from corpusloom.queries import NOW, ORACLES, enriched, query, t, tier_reports
 from corpusloom.sources import files, pacing, web
+from corpusloom.streaming import report_stream as report_streams
 
 
 def place(spark, name: str) -> str:
@@ -370,3 +371,89 @@ def research_stub(spark, d):
     saturation = extract.axis_value(extract.gradient_json(F.col("report")), "reflective", "saturation")
     number = F.coalesce(F.nullif(saturation, F.lit("")).cast("double"), F.lit(-1.0))
     return got.select("c_custkey", "tier", number.alias("saturation"), "error")
+
+
+# Table functions, observed counts, publishing, files as a stream ------------------------------------------------
+
+@query(ORACLES["tree_links"])
+def lateral_links(spark, d):
+    """As ``tree_links``, by a table function: links leave a page one by one."""
+    page = F.concat(F.lit('<a href="/p/'), "c_custkey", F.lit('.html"> '), "c_name", F.lit(' </a><a href="q.html">abc</a><a href="x.htm">long text</a><a href="b/'), "c_custkey", F.lit('.html"><b>two</b> <i>words</i></a>'))
+    pages = t(spark, d, "customer").select("c_custkey", page.alias("html"))
+    return pages.lateralJoin(tables.HtmlLinks(F.col("html").outer(), F.lit("http://h/d/i.html"))).select("c_custkey", "pos", "text", "url")
+
+
+@query(ORACLES["section_split"])
+def lateral_sections(spark, d):
+    """As ``section_split``, by a table function in SQL."""
+    tables.register(spark)
+    t(spark, d, "documents").select("doc_id", F.concat(F.lit("# Title\nintro\n## Context\n"), "lang", F.lit("\n\n### Citations\n"), "source", F.lit("\n")).alias("text")).createOrReplaceTempView("section_texts")
+    return spark.sql("SELECT doc_id, heading, level, body FROM section_texts, LATERAL md_sections(text)")
+
+
+@query("""SELECT doc_id, CAST(i AS INTEGER) AS pos, CASE i WHEN 0 THEN '1' ELSE '' END AS number, list_value('media', 'archival')[i + 1] AS type, CASE i WHEN 0 THEN source ELSE '' END AS author,
+  list_value('T ' || lang, lang)[i + 1] AS title, CASE i WHEN 0 THEN CAST(n_chars AS VARCHAR) ELSE '' END AS year, list_value('http://h/' || doc_id, 'note')[i + 1] AS url FROM documents, (SELECT unnest([0, 1]) AS i)""")
+def citation_table(spark, d):
+    """Tables of six columns, and of three, by a table function; rules and headings are no rows."""
+    c = lambda x: F.col(x).cast("string")
+    six = F.concat(F.lit("| 1 | media | "), c("source"), F.lit(" | T "), c("lang"), F.lit(" | "), c("n_chars"), F.lit(" | http://h/"), c("doc_id"), F.lit(" |\n"))
+    text = F.concat(F.lit("### 5. Citations Table\n| # | Type | Author/Outlet | Title | Year | URL |\n|---|---|---|---|---|---|\n"), six, F.lit("text\n| archival | "), c("lang"), F.lit(" | note |\n| a | b |\n"))
+    return t(spark, d, "documents").select("doc_id", text.alias("text")).lateralJoin(tables.CitationTable(F.col("text").outer())).drop("text")
+
+
+@query(ORACLES["conditional_stats"])
+def observed_stats(spark, d):
+    """A3, K5, K2: the counts of ``conditional_stats``, taken while the catalog is published."""
+    rows, watch = merge.observed(enriched(spark, d))
+    files.publish_csv(rows.select("stem", *merge.ANALYSIS_COLUMNS), place(spark, "published"), ["stem", *merge.ANALYSIS_COLUMNS])
+    counts = watch.get
+    names = [k for k in counts if not k.startswith(("total_", "full_"))]
+    return spark.createDataFrame([tuple(counts[k] for k in names)], ", ".join(f"`{k}` long" for k in names))
+
+
+@query(ORACLES["bucket_order"])
+def observed_buckets(spark, d):
+    """A4, A5: the counts of ``bucket_order``, taken while the catalog is written."""
+    rows, watch = merge.observed(enriched(spark, d))
+    rows.write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame(merge.observed_buckets(watch.get), "pos int, bucket string, total long, gradients_full long")
+
+
+@query("SELECT CAST(p_partkey AS VARCHAR) AS link, p_name AS title, CAST(p_size + 1 AS VARCHAR) AS note FROM part")
+def published_catalog(spark, d):
+    """K2: a catalog published onto the folder it was read from; readers see the last whole version."""
+    path = place(spark, "catalog")
+    files.publish_csv(t(spark, d, "part").select(key_text("p_partkey").alias("link"), F.col("p_name").alias("title"), key_text("p_size").alias("note")), path, ["link", "title", "note"])
+    again = files.read_published(spark, path).withColumn("note", (F.col("note").cast("int") + 1).cast("string"))
+    files.publish_csv(again, path, ["link", "title", "note"])
+    return files.read_published(spark, path).select("link", "title", "note")
+
+
+@query(ORACLES["tier_first_match"])
+def tier_by_turns(spark, d):
+    """As ``tier_first_match``, a tier parsed only for documents that the tiers before have left open."""
+    return merge.first_tier_by_turns(tier_reports(spark, d), t(spark, d, "documents").select(key_text("doc_id").alias("stem")))[0]
+
+
+@query("SELECT 'run-' || s_suppkey || '.md' AS report_file, CAST(600 + s_suppkey % 7 AS BIGINT) AS size, 1 AS found FROM supplier")
+def report_stream(spark, d):
+    """M3, C4: reports found as a stream of files; after a restart only those that came since."""
+    path = place(spark, "reports")
+    rows = t(spark, d, "supplier").select("s_suppkey", F.concat(F.lit("run-"), "s_suppkey", F.lit(".md")).alias("filename"), F.repeat(F.lit("x"), (600 + F.col("s_suppkey") % 7).cast("int")).alias("text"))
+    for part in (0, 1):
+        files.export_markdown(rows.filter(F.col("s_suppkey") % 2 == part), f"{path}/in")
+        report_streams.follow(spark, f"{path}/in", f"{path}/state", lambda df, n, part=part: df.withColumn("run", F.lit(part)).write.mode("append").parquet(f"{path}/found"))
+    return spark.read.parquet(f"{path}/found").groupBy("report_file", "size").agg(F.count("*").cast("int").alias("found"))
+
+
+@query("""SELECT c_custkey, list_value(b, b || '_s_2', b || '_s_2_s_2', CASE c_custkey % 2 WHEN 0 THEN b || '_s_3' ELSE b || '_s_2_s_3' END)[k + 1] AS stem, CAST(k AS INTEGER) AS k
+  FROM (SELECT c_custkey, '00000000_' || c_mktsegment || '_' || c_custkey AS b FROM customer), (SELECT unnest(range(4)) AS k)""")
+def collision_repair(spark, d):
+    """Bases that equal names made up for rows before them."""
+    k = F.col("k")
+    again = (k == 2) | ((k == 3) & (F.col("c_custkey") % 2 == 1))
+    rows = t(spark, d, "customer").select("c_custkey", F.col("c_mktsegment").alias("pope"), F.explode(F.sequence(F.lit(0), F.lit(3))).alias("k")).select(
+        "c_custkey", "k", "pope", (F.col("c_custkey") * 4 + k).alias("row_pos"), F.lit("").alias("published_date"),
+        F.concat(key_text("c_custkey"), F.when(again, "_s_2").otherwise("")).alias("title"), F.lit("http://h/s.html").alias("link"),
+    )
+    return naming.unique_stems(rows).select("c_custkey", "stem", "k")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from corpusloom.functions import extract
@@ -55,6 +55,33 @@ def first_tier(reports: DataFrame, text: str = "text", tiers: tuple[str, ...] =
     return best.select("stem", "b.tier", "b.block")
 
 
+def first_tier_by_turns(reports: DataFrame, stems: DataFrame, text: str = "text", tiers: tuple[str, ...] = TIERS) -> tuple[DataFrame, dict[str, int]]:
+    """As :func:`first_tier`, for ``stems``; a tier is parsed only for stems that the tiers before have left open.
+
+    What is left open after a tier is written down, and the next tier's reports are cut to it before any text is parsed.  Returns the
+    rows and how many reports of each tier were parsed, observed on their way to the parser; a tier after the last open
+    stem is not read.
+    """
+    from corpusloom.sources.files import settle
+
+    left, found, parsed = settle(stems.select("stem").distinct()), None, {}
+    for tier in tiers:
+        if left.isEmpty():
+            break
+        watch = Observation()
+        # The observation also keeps the parser's filter from moving before the join.
+        own = reports.filter(F.col("tier") == tier).select("stem", "tier", text).join(left, "stem", "left_semi").observe(watch, F.count("*").alias("n"))
+        block = extract.gradient_json(F.col(text))
+        valid = own.select("stem", "tier", block.alias("block")).filter(F.col("block").isNotNull() & ~F.col("block").rlike(r"^\{\s*\}$"))
+        best = settle(valid.groupBy("stem").agg(F.min(F.struct("tier", "block")).alias("b")).select("stem", "b.tier", "b.block"))
+        parsed[tier] = watch.get["n"]
+        found = best if found is None else found.unionByName(best)
+        left = settle(left.join(best, "stem", "left_anti"))
+    if found is None:
+        found = reports.sparkSession.createDataFrame([], "stem string, tier string, block string")
+    return found, parsed
+
+
 def enrich(catalog: DataFrame, themes: DataFrame, gradients: DataFrame) -> DataFrame:
     """Left joins on the stem; all six columns are set anew, to empty where there is no report."""
     g = gradients.select("stem", F.col("tier").alias("_tier"), extract.gradient(F.col("block")).alias("_g")).select("stem", "_tier", "_g.*")
@@ -80,9 +107,9 @@ def has_full() -> Column:
     return out
 
 
-def coverage(enriched: DataFrame, tiers: tuple[str, ...] = TIERS) -> DataFrame:
-    """One row of counts; a tier counts only where a saturation is there."""
-    return enriched.agg(
+def counters(tiers: tuple[str, ...] = TIERS) -> list[Column]:
+    """Counts of an enriched catalog; a tier counts only where a saturation is there."""
+    return [
         F.count("*").alias("rows"),
         F.count_if(F.col("category") != "").alias("category"),
         F.count_if(F.col("summary") != "").alias("summary"),
@@ -90,7 +117,28 @@ def coverage(enriched: DataFrame, tiers: tuple[str, ...] = TIERS) -> DataFrame:
         F.count_if(has_full()).alias("gradients_full"),
         *[F.count_if(has_any() & (F.col("_tier") == t)).alias("gradients_" + t.replace("-", "_")) for t in tiers],
         F.count_if(~F.col("_has_report")).alias("missing_reports"),
-    )
+    ]
+
+
+def coverage(enriched: DataFrame, tiers: tuple[str, ...] = TIERS) -> DataFrame:
+    """One row of counts."""
+    return enriched.agg(*counters(tiers))
+
+
+def observed(enriched: DataFrame, tiers: tuple[str, ...] = TIERS) -> tuple[DataFrame, Observation]:
+    """The catalog, and what is counted of it while it is written: the counts of :func:`coverage`, and for each bucket ``total_`` and ``full_``.
+
+    The observation has its counts when the first action on the catalog is over; rows are read once for both.
+    """
+    bucket = theme_bucket(F.col("category"))
+    by = [c for b in BUCKETS for c in (F.count_if(bucket == b).alias(f"total_{b}"), F.count_if((bucket == b) & has_full()).alias(f"full_{b}"))]
+    watch = Observation("coverage")
+    return enriched.observe(watch, *counters(tiers), *by), watch
+
+
+def observed_buckets(counts: dict) -> list[tuple[int, str, int, int]]:
+    """``pos, bucket, total, gradients_full`` of buckets that are there, from what was observed."""
+    return [(i, b, counts[f"total_{b}"], counts[f"full_{b}"]) for i, b in enumerate(BUCKETS, 1) if counts[f"total_{b}"]]
 
 
 def by_bucket(enriched: DataFrame) -> DataFrame:

@@ -30,6 +30,22 @@ def enrich_catalog(catalog: DataFrame, theme_files: DataFrame, tier_files: DataF
     return merge.projected(enriched), merge.coverage(enriched), merge.by_bucket(enriched)
 
 
+def enrich_and_publish(catalog: DataFrame, theme_files: DataFrame, tier_files: DataFrame, path: str, dry_run: bool = False) -> tuple[dict[str, int], list[tuple[int, str, int, int]]]:
+    """As :func:`enrich_catalog`, written to a folder (:func:`files.publish_csv`) and counted on the way: counts, and counts by bucket.  A dry run counts and writes nothing."""
+    named = naming.unique_stems(catalog)
+    themes = merge.theme_fields(merge.reports_by_stem(theme_files))
+    keyed = tier_files.withColumn("_key", F.explode(merge.report_keys(F.col("name")))).select("tier", "name", "text", "_key.*")
+    tiers = match.first_by(keyed, ["tier", "stem"], "priority", "name")
+    rows, watch = merge.observed(merge.enrich(named, themes, merge.first_tier(tiers)))
+    if dry_run:
+        rows.write.format("noop").mode("overwrite").save()
+    else:
+        out = merge.projected(rows)
+        files.publish_csv(out, path, [c for c in out.columns if c != "row_pos"])
+    counts = watch.get
+    return {k: v for k, v in counts.items() if not k.startswith(("total_", "full_"))}, merge.observed_buckets(counts)
+
+
 def fetch_catalog(catalog: DataFrame, present: DataFrame, pages: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Documents to write (``filename, text``) and the log (``outcome, file, link, error``).
 

@@ -84,6 +84,34 @@ def write_csv(df: DataFrame, path: str, columns: list[str], dry_run: bool = Fals
         df.select(*columns).write.mode("overwrite").csv(path, header=True, quote='"', escape='"')
 
 
+def publish_csv(df: DataFrame, path: str, columns: list[str], keep: int = 2) -> tuple[int, DataFrame]:
+    """A catalog as the next version of a folder: written apart, then made the current one at once.  Returns its number and the catalog as it was written.
+
+    Who reads (:func:`read_published`) sees the old catalog or the new one, whole; a writer that is killed leaves the old
+    one.  So a catalog can be published onto the folder it is read from.  The ``keep`` versions before stay readable.
+    """
+    from corpusloom.sources.commits import Commits
+
+    commits = Commits(df.sparkSession, path)
+    place = commits.new_place("data")
+    write_csv(df, f"{commits.path}/{place}", columns)
+    number, _ = commits.change(lambda version, content: {"place": place, "columns": columns})
+    for old in [v for v in commits.versions() if v < number - keep][-keep:]:
+        commits.delete(commits.read(old)["place"])
+    return number, read_csv(df.sparkSession, f"{commits.path}/{place}")
+
+
+def read_published(spark: SparkSession, path: str) -> DataFrame:
+    """The current version of a published catalog, as :func:`read_csv` reads it."""
+    from corpusloom.sources.commits import Commits
+
+    commits = Commits(spark, path)
+    version, content = commits.latest()
+    if not version:
+        raise FileNotFoundError(f"nothing was published in {path}")
+    return read_csv(spark, f"{commits.path}/{content['place']}")
+
+
 def write_json(df: DataFrame, path: str, dry_run: bool = False) -> None:
     if not dry_run:
         df.write.mode("overwrite").json(path)
