@@ -10,10 +10,13 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from corpusloom.llm.windows import ranges
+
 #: Phrases that count wherever their words stand consecutively.
 PHRASES = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 
@@ -62,6 +65,16 @@ def seeds_of(notice: int, text: str, edits: int) -> list[Seed]:
     return [Seed(notice, a, text[a:b]) for a, b in zip(cuts, cuts[1:], strict=False)]
 
 
+#: Characters of a gram, and times a notice's length from which a stretch is looked at by grams before it is matched.
+GRAM, LONG = 3, 3
+
+
+def grams(text: str) -> np.ndarray:
+    """Each run of three characters as a number, one to one."""
+    c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4").astype(np.uint64)
+    return c[:-2] << np.uint64(42) | c[1:-1] << np.uint64(21) | c[2:] if len(c) >= GRAM else np.zeros(0, np.uint64)
+
+
 class Scanner:
     def __init__(self, phrases: dict[str, str], notices) -> None:
         import ahocorasick
@@ -70,6 +83,11 @@ class Scanner:
         self.phrases = [(re.compile(f"(?= {re.escape(p)} )"), label) for p, label in phrases.items()]
         self.notices = notices
         self.verify = [regex.compile(f"(?b)(?:{regex.escape(text)}){{e<={k}}}") for _, text, k in notices]
+        self.grams = []
+        for _, text, _ in notices:
+            own = grams(text)
+            order = np.argsort(own, kind="stable")
+            self.grams.append((own[order], order))
         self.seeds = ahocorasick.Automaton()
         found: dict[str, list[Seed]] = {}
         for i, (_, text, k) in enumerate(notices):
@@ -101,14 +119,43 @@ class Scanner:
             # Blocks of bounded length keep the work of the matcher linear.  Only matches that start in the block count; the
             # rest is so long that nothing beyond it changes them: a match gives way to one of fewer edits only, k times at most.
             step, ahead = 40 * len(text), (k + 2) * (len(text) + 2 * k)
-            for lo, hi in spans:
-                a = max(0, lo)
+            for lo, hi in (x for lo, hi in spans for x in self.likely(notice, norm, max(0, lo), min(hi, len(norm)))):
+                a = lo
                 while a < min(hi, len(norm)):
                     own = [m for m in self.matches(notice, norm, a, min(len(norm), a + step + ahead, hi)) if m[0] < a + step]
                     out += [(label, *m) for m in own]
                     a = max([a + step, *(m[1] for m in own)])
         return sorted(out, key=lambda x: (x[1], x[2], x[0]))
 
+    def likely(self, notice: int, norm: str, lo: int, hi: int) -> list[tuple[int, int]]:
+        """The parts of a stretch in which a match can lie; a short stretch is one.
+
+        An edit breaks at most three of a notice's grams, and moves those behind it by one place: a match with k edits
+        has all grams but 3 k of the notice, no more than k places from where they would stand without edits.  Beginnings of a
+        notice over and over have seeds but never so many grams, and so never reach the matcher.
+        """
+        _, text, k = self.notices[notice]
+        least = len(text) - GRAM + 1 - GRAM * k
+        if hi - lo <= LONG * len(text) or least <= 0:
+            return [(lo, hi)]
+        sorted_, order = self.grams[notice]
+        own = grams(norm[lo:hi])
+        left = np.searchsorted(sorted_, own, "left")
+        n = np.searchsorted(sorted_, own, "right") - left
+        # Where the notice would begin, for each gram of the text that it has.
+        start = np.repeat(np.arange(len(own)), n) - order[ranges(left, n)] + len(text)
+        count = np.bincount(start, minlength=len(own) + len(text) + 2 * k + 1)
+        upto = np.concatenate(([0], np.cumsum(count)))
+        width = 2 * k + 1
+        at = np.flatnonzero(upto[width:] - upto[:-width] >= least) - len(text)
+        out: list[list[int]] = []
+        for a in (at + lo).tolist():
+            if out and a <= out[-1][1]:
+                out[-1][1] = a + len(text) + 3 * k
+            else:
+                out.append([a, a + len(text) + 3 * k])
+        return [(max(lo, a), min(hi, b)) for a, b in out]
+
     def matches(self, notice: int, norm: str, lo: int, hi: int) -> list[tuple[int, int, int]]:
         """Start, end, edits: the match of fewest edits, then those of the stretches before and after it, until none is left."""
         _, text, k = self.notices[notice]

@@ -376,3 +376,48 @@ def test_long_words_keep_their_ids():
         words = ["".join(letters[i.bit_count() & 1] for i in range(n)) for letters in ("ab", "ba")]
         assert [tok(w) for w in words] == tok.all(words) == [packing.little(tok.tokenizer.encode(w, add_special_tokens=False).ids) for w in words]
         assert tok(" ".join(words)) == tok(words[0]) + tok(words[1])
+
+
+def test_license_grams_change_nothing(monkeypatch):
+    """Notices whole, edited, cut and in heaps: the same spans with the look at grams as without it; and beginnings over and over cost little."""
+    import random
+    import time
+
+    rng = random.Random(7)
+    scan = license_scan.Scanner({}, license_scan.NOTICES)
+    found = 0
+    for _ in range(120):
+        parts = []
+        for _ in range(rng.randrange(1, 20)):
+            _, text, k = rng.choice(license_scan.NOTICES)
+            kind = rng.random()
+            if kind < 0.5:
+                own = list(text)
+                for _ in range(rng.randrange(k + 2)):
+                    own[rng.randrange(len(own))] = rng.choice(("", "x", "a ", "é"))
+                parts.append("".join(own))
+            else:
+                parts.append(text[: rng.randrange(len(text))] if kind < 0.8 else f"w{rng.randrange(9)} 日本")
+        norm = license_scan.normal(" ".join(parts))
+        got = scan.fuzzy(norm)
+        monkeypatch.setattr(license_scan, "LONG", 10**9)
+        assert got == scan.fuzzy(norm)
+        monkeypatch.undo()
+        found += len(got)
+    assert found > 300
+    for text in ("redistribution and use in source and binary forms ", "permission is hereby "):
+        norm = license_scan.normal(text * (500_000 // len(text)))
+        began = time.perf_counter()
+        assert scan.fuzzy(norm) == []
+        assert time.perf_counter() - began < 5
+
+
+def test_a_frequent_url_is_one_of_the_sample(spark, monkeypatch):
+    """One URL on most rows: the trees see it once, and as many others as they may."""
+    seen = []
+    monkeypatch.setattr(url_filter.UrlModel, "fit", lambda self, urls, y, real=url_filter.UrlModel.fit: seen.append([u[0] for u in urls]) or real(self, urls, y))
+    often = "http://a.com/en/x"
+    df = spark.range(6000).selectExpr("id AS page_id", f"CASE WHEN id % 10 < 8 THEN '{often}' WHEN id % 20 < 10 THEN concat('http://b.net/de/', id) ELSE concat('http://h', id, '.example.com/en/7', id) END AS url")
+    got = url_filter.filter_urls(df, train_rows=500)
+    assert got.count() == 6000
+    assert len(seen[0]) == len(set(seen[0])) == 500
