@@ -166,7 +166,7 @@ def matched_rule(host: Column, path: Column, rules=RULES) -> tuple[Column, Colum
 def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", rules=RULES, train_rows: int = 10_000, threshold: float = 0.5) -> DataFrame:
     """Judge every URL: by the longest rule that fits, else by the trees.
 
-    The trees learn from at most ``train_rows`` URLs that a rule labels, the ones chosen by a hash of the URL.
+    The trees learn from at most ``train_rows`` different URLs that a rule labels, the ones chosen by a hash of the URL.
     Returns the id, ``host``, ``path``, ``rule``, ``verdict`` and ``p_block`` (null where a rule decides).  A null,
     empty or odd URL has an empty host and path and is judged by the trees; with no labelled URL at all every
     other URL is allowed.  A URL of any length is read whole.  Of rules of one length the first listed wins; a
@@ -179,10 +179,11 @@ def filter_urls(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
     rule, verdict = matched_rule(F.col("host"), F.col("path"), rules)
     base = base.withColumns({"rule": rule, "_ruled": verdict})
     labelled = base.filter("_ruled is not null").select("_url", "host", "path", "_ruled")
-    # A share by hash first, somewhat over what is wanted, so that no task sends all it has to the driver.
-    scale, n = 1 << 20, max(1, labelled.count())
+    # Different URLs: one that stands very often is one of them.  A share by hash first, somewhat over what is wanted, so
+    # that no task sends all it has to the driver.
+    scale, n = 1 << 20, max(1, labelled.agg(F.count_distinct("_url")).first()[0])
     share = min(scale, -(-scale * train_rows * 5 // (4 * n)))
-    picked = labelled.filter(F.pmod(F.xxhash64("_url", F.lit(5)), F.lit(scale)) < share)
+    picked = labelled.filter(F.pmod(F.xxhash64("_url", F.lit(5)), F.lit(scale)) < share).distinct()
     sample = picked.orderBy(F.xxhash64("_url"), "_url").limit(train_rows).collect()  # bounded by train_rows
     model = UrlModel().fit([(r[0], r[1], r[2]) for r in sample], np.array([r[3] == "block" for r in sample]))
 
