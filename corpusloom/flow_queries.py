@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from corpusloom.functions import extract, html, scalars, tables
 from corpusloom.operators import catalog, match, merge, naming, provider, work_queue
+from corpusloom.operators.queue_store import QueueStore
 from corpusloom.plans import flows
 from corpusloom.queries import NOW, ORACLES, enriched, query, t, tier_reports
 from corpusloom.sources import files, pacing, web
@@ -340,12 +341,37 @@ def queue_meta(spark, d):
     return work_queue.meta(t(spark, d, "documents"), F.lit(NOW), "step3", "m", "p.md")
 
 
-@query("SELECT * FROM (VALUES (0, 'reset_stale', -1, true), (1, 'run', 7, true), (2, 'status', -1, true)) AS v(pos, command, max_items, ran)")
+@query("""SELECT s_suppkey, CASE WHEN n = 3 THEN 'failed' WHEN n <= 7 THEN 'complete' ELSE 'pending' END AS status, CASE WHEN n = 3 THEN 'refused' END AS error, CASE WHEN n <= 7 AND n <> 3 THEN upper(s_name) END AS report
+  FROM (SELECT s_suppkey, s_name, row_number() OVER (ORDER BY 'd' || s_suppkey || '.md') AS n FROM supplier)""")
 def remaining_run(spark, d):
-    """The commands of a run, the limit passed through, each run in turn."""
-    commands = flows.remaining_commands(limit=7)
-    ran = flows.run_commands(commands, lambda name, options: 0)
-    return spark.createDataFrame([(i, name, options.get("limit", -1), name in ran) for i, (name, options) in enumerate(commands)], "pos int, command string, max_items int, ran boolean")
+    """A queue of all suppliers; stale items reset, a run with a limit passed through, in turn, and what it leaves."""
+    path = place(spark, "run")
+    supplier = t(spark, d, "supplier").select("s_suppkey", F.concat(F.lit("d"), "s_suppkey", F.lit(".md")).alias("filename"), "s_name")
+    third = supplier.orderBy("filename").limit(3).agg(F.max("s_name")).first()[0]  # the provider refuses the text of the third item
+    files.export_markdown(supplier.select("filename", F.col("s_name").alias("text")), f"{path}/docs")
+    store = QueueStore(spark, f"{path}/queue")
+    none = spark.createDataFrame([], "report_file string, size long")
+    store.init(supplier.select(F.col("filename").alias("name")), none)
+    store.next_batch(2)  # taken and never finished: stale
+
+    def answer(text: str) -> str:
+        if text == third:
+            raise ValueError("refused")
+        return text.upper()
+
+    def run(name: str, options: dict) -> int:
+        if name == "reset_stale":
+            store.reset_stale(none)
+        elif name == "run":
+            flows.run_rest(store, f"{path}/docs", f"{path}/reports", answer, size=5, limit=options["limit"], concurrency=options["concurrency"])
+        else:
+            store.status()[1].collect()
+        return 0
+
+    flows.run_commands(flows.remaining_commands(limit=7), run)
+    reports = files.read_texts(spark, f"{path}/reports").select(F.col("name").alias("report_file"), F.col("text").alias("report"))
+    left = store.items().join(reports, "report_file", "left")
+    return left.join(supplier, F.col("source_file") == F.col("filename")).select("s_suppkey", "status", "error", "report")
 
 
 @query("""SELECT c_custkey, CASE c_custkey % 3 WHEN 0 THEN 'Social' WHEN 1 THEN 'Spiritual' ELSE 'Mixed' END AS theme, '4 words' AS summary, CAST(NULL AS VARCHAR) AS error FROM customer""")

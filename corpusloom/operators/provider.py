@@ -5,8 +5,12 @@ A call that fails gives an error in its row.  Without a provider a stub answers
 
 from __future__ import annotations
 
+import json
+import time
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
+from urllib.error import HTTPError, URLError
+from urllib.request import Request, urlopen
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -35,6 +39,55 @@ def stub_gradient(text: str) -> str:
     return f'# Report\n\n## Gradients\n\n```json\n{{"reflective": {axis(social, spiritual)}, "prospective": {axis(spiritual, social)}}}\n```\n'
 
 
+class HttpProvider:
+    """A service behind an address: the text goes out as JSON, the answer is read from a field of the JSON that comes back.
+
+    ``body``: what is sent, with the text in place of every ``None`` in it; ``field``: where the answer stands, keys and places
+    with dots between.  An answer that is late, and one that says to come back (408, 425, 429 and 5xx), is asked for again
+    after a growing pause, or the one it names, ``tries`` times in all; anything else is the row's error at once.
+    """
+
+    def __init__(self, url: str, field: str = "text", body: dict | None = None, headers: dict[str, str] | None = None, timeout: float = 120.0, tries: int = 3, pause: float = 1.0) -> None:
+        self.url, self.field, self.body, self.headers = url, field, {"text": None} if body is None else body, headers or {}
+        self.timeout, self.tries, self.pause = timeout, tries, pause
+
+    def _filled(self, value, text: str):
+        if value is None:
+            return text
+        if isinstance(value, dict):
+            return {k: self._filled(v, text) for k, v in value.items()}
+        return [self._filled(v, text) for v in value] if isinstance(value, list) else value
+
+    def _ask(self, data: bytes) -> dict:
+        request = Request(self.url, data, {"Content-Type": "application/json", **self.headers})
+        with urlopen(request, timeout=self.timeout) as r:  # noqa: S310
+            return json.loads(r.read())
+
+    def __call__(self, text: str) -> str:
+        data = json.dumps(self._filled(self.body, text)).encode()
+        for n in range(1, self.tries + 1):
+            wait = self.pause * 2 ** (n - 1)
+            try:
+                found = self._ask(data)
+                for key in self.field.split("."):
+                    found = found[int(key)] if isinstance(found, list) else found[key]
+                if not isinstance(found, str):
+                    raise ValueError(f"no text in {self.field}")
+                return found
+            except HTTPError as e:
+                if n == self.tries or not (e.code in (408, 425, 429) or e.code >= 500):
+                    raise
+                named = e.headers.get("Retry-After") or ""
+                wait = float(named) if named.isdigit() else wait
+            except (URLError, TimeoutError):
+                if n == self.tries:
+                    raise
+            except (KeyError, IndexError):
+                raise ValueError(f"no {self.field} in the answer") from None
+            time.sleep(wait)
+        raise AssertionError("unreachable")
+
+
 def research(df: DataFrame, text_col: str, key: str, providers: dict[str, Callable[[str], str]], concurrency: int = 5) -> DataFrame:
     """``tier, key, report, error``: every tier's provider on every row, tiers in the order given.
 

@@ -261,3 +261,41 @@ def test_a_batch_is_marked_once(spark, tmp_path):
     assert state == {f"d{k}.md": ("failed", "refused") if k == 3 else ("failed", "no source") if k == 7 else ("complete", None) for k in range(8)}
     assert [r.event for r in store.log().orderBy("version").collect()] == ["init", "next_batch", "mark_all", "next_batch", "mark_all"]
     assert (out / "run-d1.md").read_text() == "TEXT 1" and not (out / "run-d3.md").exists()
+
+
+def test_a_service_behind_an_address(spark):
+    """Answers read from a field, errors in their rows, another try where the service says so."""
+    import threading
+    from http.server import BaseHTTPRequestHandler, ThreadingHTTPServer
+
+    asked = []
+
+    class Handler(BaseHTTPRequestHandler):
+        def do_POST(self):
+            body = json.loads(self.rfile.read(int(self.headers["Content-Length"])))
+            text = body["messages"][1]["content"]
+            asked.append((text, self.headers["X-Key"], body["model"]))
+            code = 400 if text == "bad" else 503 if text == "down" else 429 if text == "busy" and [a[0] for a in asked].count("busy") < 3 else 200
+            self.send_response(code)
+            if code == 429:
+                self.send_header("Retry-After", "0")
+            self.end_headers()
+            if code == 200:
+                self.wfile.write(json.dumps({"choices": [{"message": {"content": text.upper() if text != "empty" else None}}]} if text != "odd" else {"choices": []}).encode())
+
+        def log_message(self, *args):
+            pass
+
+    server = ThreadingHTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    try:
+        body = {"model": "m", "messages": [{"role": "system", "content": "s"}, {"role": "user", "content": None}]}
+        service = provider.HttpProvider(f"http://127.0.0.1:{server.server_port}/x", "choices.0.message.content", body, {"X-Key": "k"}, pause=0.01)
+        df = spark.createDataFrame([(t,) for t in ("one", "bad", "down", "busy", "empty", "odd", "é")], "text string")
+        got = {r.key: (r.report, r.error) for r in provider.call(df.withColumn("key", F.col("text")), "text", "key", service).collect()}
+    finally:
+        server.shutdown()
+    assert got["one"] == ("ONE", None) and got["busy"] == ("BUSY", None) and got["é"] == ("É", None)
+    assert "400" in got["bad"][1] and "503" in got["down"][1] and got["empty"][1] == "no text in choices.0.message.content" and got["odd"][1] == "no choices.0.message.content in the answer"
+    times = [a[0] for a in asked]
+    assert (times.count("bad"), times.count("down"), times.count("busy")) == (1, 3, 3) and {a[1:] for a in asked} == {("k", "m")}
