@@ -200,7 +200,7 @@ def paced_site(spark, d):
     pause = 0.0004
     links = t(spark, d, "customer").select("c_custkey", F.concat(F.lit("http://h/"), "c_custkey").alias("link"))
     got = files.settle(web.fetch(links, key="c_custkey", get=lambda url: ("text/html", url), pause=pause, per_lane=100, lanes=4, stamps=True))
-    slot = F.floor(F.col("started") / (pause * (1 + pacing.SLACK)))
+    slot = F.floor((F.col("started") + pause / 40) / (pause * (1 + pacing.SLACK)))  # a beginning lies in the first fifth of its slot
     return got.select("c_custkey", "via", (F.count("*").over(Window.partitionBy(slot)) == 1).alias("apart"))
 
 
@@ -483,3 +483,16 @@ def collision_repair(spark, d):
         F.concat(key_text("c_custkey"), F.when(again, "_s_2").otherwise("")).alias("title"), F.lit("http://h/s.html").alias("link"),
     )
     return naming.unique_stems(rows).select("c_custkey", "stem", "k")
+
+
+@query("""SELECT n_nationkey, CAST(i AS INTEGER) AS pos, list_value('pope', 'title', 'link', 'zeta', 'alpha', 'category', 'summary', 'reflective_saturation', 'reflective_density', 'prescriptive_saturation', 'prescriptive_density')[i + 1] AS name,
+  list_value(r_name, n_name, 'l' || n_nationkey, 'z', CAST(n_regionkey AS VARCHAR), 'c', '', '', '', '', '')[i + 1] AS value FROM nation JOIN region ON n_regionkey = r_regionkey, (SELECT unnest(range(11)) AS i)""")
+def ordered_columns(spark, d):
+    """Columns of a catalog in their order, then unknown ones as they stand, then those of enrichment, set anew."""
+    joined = t(spark, d, "nation").join(t(spark, d, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    rows = joined.select(F.lit("z").alias("zeta"), F.lit("old").alias("summary"), F.concat(F.lit("l"), "n_nationkey").alias("link"), F.col("n_regionkey").cast("string").alias("alpha"), F.col("n_name").alias("title"), F.col("r_name").alias("pope"), "n_nationkey")
+    themes = rows.select(F.col("link").alias("stem"), F.lit("c").alias("category"), F.lit(None).cast("string").alias("summary"))
+    none = spark.createDataFrame([], "stem string, tier string, block string")
+    out = merge.projected(merge.enrich(rows.drop("n_nationkey").withColumn("stem", F.col("link")), themes, none))
+    cells = F.array(*[F.struct(F.lit(c).alias("name"), F.col(c).alias("value")) for c in out.columns])
+    return out.select(F.substring("link", 2, 9).cast("int").alias("n_nationkey"), F.posexplode(cells).alias("pos", "c")).select("n_nationkey", "pos", "c.name", "c.value")

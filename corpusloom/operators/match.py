@@ -49,27 +49,36 @@ def best_matches(wanted: DataFrame, index: DataFrame, key: str = "link", author:
     def keyed(kind: str, keys: Column) -> Column:
         return F.transform(keys, lambda k: F.concat(F.lit(kind), k))
 
-    # Keys of texts, and in how many texts of the author each stands.
-    keys = F.concat(keyed("w", F.col("_text_words")), *[keyed(str(n), _runs(F.col("_text"), n)) for n in RUNS])
-    texts = right.select("*", F.explode(keys).alias("_by"))
+    # Words of texts, and in how many texts of the author each stands.
+    texts = right.select("*", F.explode("_text_words").alias("_by"))
     often = texts.groupBy("_author", "_by").agg(F.count("*").alias("_n"))
+    own = titles.select("*", F.explode("_words").alias("_by")).join(often, ["_author", "_by"], "left")
+    titles = own.groupBy("_author", "_title", "_first", "_words").agg(F.max(F.struct(F.coalesce("_n", F.lit(0)).alias("_n"), "_by"))["_by"].alias("_top"))
+    # A text that holds the title has the title's inner words as words of its own.  Where these are none but the commonest,
+    # the rarest run of characters of the title finds it instead.
+    tokens = F.split("_title", " ")
+    inner = F.filter(F.slice(tokens, 2, F.greatest(F.size(tokens) - 2, F.lit(0))), lambda w: (F.length(w) > 2) & (w != F.col("_top")))
+    plain = titles.filter(F.size(inner) == 0).select("_author", "_title")
     run = F.when(F.length("_title") >= RUNS[1], keyed(str(RUNS[1]), _runs(F.col("_title"), RUNS[1]))).otherwise(keyed(str(RUNS[0]), _runs(F.col("_title"), RUNS[0])))
-    own = titles.select("*", F.explode(F.concat(keyed("w", F.col("_words")), run)).alias("_by"))
-    own = own.join(often, ["_author", "_by"], "left").withColumn("_n", F.coalesce("_n", F.lit(0)))
-    word = F.col("_by").startswith("w")
-    top, rare = F.max(F.when(word, F.struct("_n", "_by"))), F.min(F.when(~word, F.struct("_n", "_by")))
-    titles = own.groupBy("_author", "_title", "_first", "_words").agg(top.alias("_top"), rare.alias("_rare"))
-    titles = titles.withColumns({"_top": F.col("_top._by"), "_rare": F.when(F.col("_rare._n") > 0, F.col("_rare._by"))})
+    asked = plain.select("_author", "_title", F.explode(run).alias("_by"))
+    # Runs of texts count only where a title asks for them.
+    runs = right.join(plain.select("_author").distinct(), "_author", "left_semi").select("_author", "_text", F.explode(F.concat(*[keyed(str(n), _runs(F.col("_text"), n)) for n in RUNS])).alias("_by"))
+    runs = runs.join(asked.select("_author", "_by").distinct(), ["_author", "_by"], "left_semi")
+    rare = asked.join(runs.groupBy("_author", "_by").agg(F.count("*").alias("_n")), ["_author", "_by"])
+    # All runs of a title stand in a text that holds it: a title with a run that stands in none is in none.
+    rare = asked.groupBy("_author", "_title").agg(F.count("*").alias("_all")).join(rare.groupBy("_author", "_title").agg(F.count("*").alias("_found"), F.min(F.struct("_n", "_by"))["_by"].alias("_by")), ["_author", "_title"]).filter("_all = _found")
 
     # Two common words or more, or the whole title: these pairs are scored.
-    asks = F.array_compact(F.concat(F.array_remove(keyed("w", F.col("_words")), F.col("_top")), F.array("_rare")))
     s = score(F.col("_title"), F.col("_words"), F.col("_text"), F.col("_text_words"))
-    pairs = titles.select("*", F.explode(asks).alias("_by")).join(texts, ["_author", "_by"]).select("_author", "_title", s.alias("score"), "_at")
+    asks = titles.select("*", F.explode(F.array_remove("_words", F.col("_top"))).alias("_by"))
+    holds = rare.select("_author", "_title", "_by").join(runs, ["_author", "_by"]).filter(F.col("_text").contains(F.col("_title"))).select("_author", "_title", "_text")
+    pairs = asks.join(texts, ["_author", "_by"]).select("_author", "_title", s.alias("score"), "_at")
+    pairs = pairs.unionByName(holds.join(titles, ["_author", "_title"]).join(right, ["_author", "_text"]).select("_author", "_title", s.alias("score"), "_at"))
 
     # Less than that: the first text with the beginning and the word, with the beginning, or with the word.
     begin = right.select("_author", "_at", "_text_words", F.explode(_beginnings(F.get(F.split("_text", " "), F.lit(0)))).alias("_first"))
-    both = begin.select("_author", "_first", "_at", F.explode(keyed("w", F.col("_text_words"))).alias("_top"))
-    words = texts.filter(F.col("_by").startswith("w")).select("_author", F.col("_by").alias("_top"), "_at")
+    both = begin.select("_author", "_first", "_at", F.explode("_text_words").alias("_top"))
+    words = texts.select("_author", F.col("_by").alias("_top"), "_at")
     firsts = None
     for value, rows, by in ((4, both, ["_author", "_first", "_top"]), (3, begin, ["_author", "_first"]), (1, words, ["_author", "_top"])):
         found = titles.join(rows.groupBy(*by).agg(F.max("_at").alias("_at")), by).select("_author", "_title", F.lit(value).alias("score"), "_at")
