@@ -3,7 +3,8 @@
 Vectors are scaled to length one, where a cosine of t is a distance of sqrt(2 - 2t).  Each vector lives in the cell of
 its nearest pivot.  It is also sent to every other cell that can hold a vector within the radius: the triangle
 inequality, against the pivots and against the cell's own radius, rules the others out.  Every cell then finds all
-links of the vectors that live in it by itself; large cells are dealt to blocks that each see the whole cell.
+links of the vectors that live in it by itself.  Cells in which many live are cut once more, around pivots of their own,
+by the same rule; what is large even then is dealt to blocks that each see the whole cell.
 Links of a vector are counted where it lives and never listed; for components a block sends on a spanning set.
 """
 
@@ -22,6 +23,8 @@ from corpusloom.llm.common import tidy
 
 #: Cells there are at least, and what the driver and every task can hold of them.
 LEAST_PIVOTS, MOST_PIVOTS = 12, 2048
+#: Blocks of vectors from which a cell is cut again, pivots inside all cells, vectors sampled for each of these and for all of them, at most.
+LARGE, MOST_SUBS, SUB_SAMPLE, SAMPLED = 4, 32_768, 16, 1 << 17
 
 
 def rows_of(column: pa.Array) -> list[np.ndarray | None]:
@@ -66,6 +69,29 @@ def cosine(a: np.ndarray, b: np.ndarray) -> float:
     return math.fsum(a * b) / math.sqrt(math.fsum(a * a) * math.fsum(b * b))
 
 
+class Pivots:
+    """Pivots of a cell (or of all vectors of a length), and which cells around them a vector lives in or visits."""
+
+    def __init__(self, centres: np.ndarray) -> None:
+        self.centres = centres
+        self.between = np.sqrt(np.maximum(1e-18, 2 - 2 * (centres @ centres.T)))
+
+    def distances(self, units: np.ndarray) -> np.ndarray:
+        return np.sqrt(np.maximum(0, 2 - 2 * (units @ self.centres.T)))
+
+    def visits(self, d: np.ndarray, reach: np.ndarray, radius: float) -> tuple[np.ndarray, np.ndarray]:
+        """The nearest pivot of each vector, and the cells that can hold a vector within the radius of it; ``reach``: how far from its pivot anything lives in a cell."""
+        eps = 1e-9
+        home = d.argmin(1)
+        near = d[np.arange(len(d)), home]
+        # Distance to the plane between two pivots; distance to the farthest vector that lives in the cell.
+        return home, ((d**2 - near[:, None] ** 2) / (2 * self.between[home]) <= radius + eps) & (d <= reach + radius + eps)
+
+
+def cell_id(size: int, cell: int, sub: int = -1) -> int:
+    return size << 32 | cell << 16 | sub + 1
+
+
 class Block:
     """The vectors that live in a block of a cell, against streams of vectors."""
 
@@ -119,8 +145,8 @@ def range_join(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
     and count as often as they stand.  Different vectors that share an id are one node of a component.  An empty table gives no
     rows; other columns are ignored, whatever their names.  A cosine of exactly ``threshold``, each sum rounded once, links.
     ``pivots``: cells, one for each ``block`` different vectors unless given, from ``LEAST_PIVOTS`` to ``MOST_PIVOTS``; they
-    are taken from ``sample`` vectors, sixteen for a pivot.  Cells of more vectors are dealt to blocks, so the result
-    depends on neither.
+    are taken from ``sample`` vectors, sixteen for a pivot.  Cells of over ``LARGE`` blocks are cut again, around pivots
+    of their own; what has more vectors than a block even then is dealt to blocks, so the result depends on none of this.
     """
     from corpusloom.llm.common import components, join_hot, materialise
 
@@ -147,55 +173,103 @@ def range_join(df: DataFrame, id_col: str = "vec_id", vector_col: str = "embeddi
     by_length: dict[int, list[np.ndarray]] = {}
     for (r,) in picked:
         by_length.setdefault(len(r), []).append(unit(np.frombuffer(r, dtype)))
-    centres = {n: spread_pivots(v, pivots) for n, v in by_length.items()}
+    tops = {n: Pivots(spread_pivots(v, pivots)) for n, v in by_length.items()}
+    subs: dict[tuple[int, int], Pivots] = {}
     radius = math.sqrt(max(0.0, 2 - 2 * threshold))
 
-    def distances(raw: list[bytes], n: int) -> np.ndarray:
-        x = np.stack([unit(np.frombuffer(r, dtype)) for r in raw])
-        return np.sqrt(np.maximum(0, 2 - 2 * (x @ centres[n].T)))
+    def homes_of(raw: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Cell, cell inside it (-1 where it isn't cut), and distance from its pivot."""
+        cell, sub, far = np.zeros(len(raw), np.int32), np.full(len(raw), -1, np.int32), np.zeros(len(raw))
+        for n in {len(r) for r in raw}:
+            own = np.array([i for i, r in enumerate(raw) if len(r) == n])
+            if n not in tops:
+                continue
+            units = np.stack([unit(np.frombuffer(raw[i], dtype)) for i in own])
+            d = tops[n].distances(units)
+            cell[own], far[own] = d.argmin(1), d.min(1)
+            for c in np.unique(cell[own]).tolist():
+                if (n, c) in subs:
+                    at = np.flatnonzero(cell[own] == c)
+                    d = subs[n, c].distances(units[at])
+                    sub[own[at]], far[own[at]] = d.argmin(1), d.min(1)
+        return cell, sub, far
 
     def homes(batches):
         for b in batches:
-            raw = b.column(2).to_pylist()
-            at, far = np.zeros(len(raw), np.int32), np.zeros(len(raw))
-            for n in {len(r) for r in raw}:
-                own = [i for i, r in enumerate(raw) if len(r) == n]
-                if n in centres:
-                    d = distances([raw[i] for i in own], n)
-                    at[own], far[own] = d.argmin(1), d.min(1)
+            raw = b.column(0).to_pylist()
+            cell, sub, far = homes_of(raw)
             size = pa.array([len(r) for r in raw], pa.int32())
-            yield pa.RecordBatch.from_arrays([size, pa.array(at), pa.array(far)], names=["size", "cell", "far"])
-
-    # A number of rows bounded by lengths times pivots.
-    cells = {
-        (r["size"], r["cell"]): (r["far"], max(1, -(-r["n"] // block)))
-        for r in distinct.select("rep", "copies", "raw").mapInArrow(tidy(homes), "size int, cell int, far double").groupBy("size", "cell").agg(F.max("far").alias("far"), F.count("*").alias("n")).collect()
-    }
+            yield pa.RecordBatch.from_arrays([size, pa.array(cell), pa.array(sub), pa.array(far)], names=["size", "cell", "sub", "far"])
+
+    def counted() -> list:
+        """A row for each cell, of both levels: lengths times pivots bound them."""
+        return distinct.select("raw").mapInArrow(tidy(homes), "size int, cell int, sub int, far double").groupBy("size", "cell", "sub").agg(F.max("far").alias("far"), F.count("*").alias("n")).collect()
+
+    found = counted()
+    large = {(r["size"], r["cell"]): -(-2 * r["n"] // block) for r in found if r["n"] > LARGE * block and r["size"] in tops}
+    if large:
+        # Two pivots for each block of a cell, in proportion if these are too many; a sample of each cell for them.
+        share = min(1.0, MOST_SUBS / sum(large.values()))
+        wanted = {k: max(2, int(n * share)) for k, n in large.items()}
+        scale = 1 << 20
+        most = int(min(SAMPLED, SUB_SAMPLE * sum(wanted.values())))
+        rate = min(scale, max(1, int(scale * most / (block / 2 * sum(large.values())))))
+
+        def sampled(batches):
+            for b in batches:
+                raw = b.column(0).to_pylist()
+                cell, _, _ = homes_of(raw)
+                at = [i for i, r in enumerate(raw) if (len(r), int(cell[i])) in wanted]
+                yield pa.RecordBatch.from_arrays([pa.array(cell[at], pa.int32()), b.column(0).take(pa.array(at, pa.int64()))], names=["cell", "raw"])
+
+        few = distinct.filter(F.pmod(F.xxhash64("key", F.lit(11)), F.lit(scale)) < rate).select("raw").mapInArrow(tidy(sampled), "cell int, raw binary")
+        by_cell: dict[tuple[int, int], list[np.ndarray]] = {}
+        for r in few.orderBy(F.xxhash64("raw")).limit(2 * SAMPLED).collect():
+            by_cell.setdefault((len(r["raw"]), r["cell"]), []).append(unit(np.frombuffer(bytes(r["raw"]), dtype)))
+        subs.update({k: Pivots(spread_pivots(v, wanted[k])) for k, v in by_cell.items() if len(v) > 1})
+        found = counted()
+    cells = {cell_id(r["size"], r["cell"], r["sub"]): (r["far"], max(1, -(-r["n"] // block))) for r in found}
+    top_reach: dict[tuple[int, int], float] = {}
+    for n, top in tops.items():
+        for c in range(len(top.centres)):
+            # A cut cell reaches as far as what lives in the cells inside it, measured from its own pivot.
+            inner = [cells[cell_id(n, c, k)][0] + float(top.distances(p[None])[0, c]) for k, p in enumerate(subs[n, c].centres) if cell_id(n, c, k) in cells] if (n, c) in subs else []
+            top_reach[n, c] = max(inner, default=-10.0) if (n, c) in subs else cells.get(cell_id(n, c), (-10.0, 1))[0]
+    sub_reach = {k: np.array([cells.get(cell_id(*k, i), (-10.0, 1))[0] for i in range(len(p.centres))]) for k, p in subs.items()}
 
     def deal(batches):
-        eps = 1e-9
         for b in batches:
             raw = b.column(3).to_pylist()
-            take, cell, part, guest = [], [], [], []
+            places: list[tuple[np.ndarray, int, np.ndarray]] = []  # rows, their cell, whether they live there
             for n in {len(r) for r in raw}:
-                own = [i for i, r in enumerate(raw) if len(r) == n]
-                p = len(centres[n]) if n in centres else 1
-                d = distances([raw[i] for i in own], n) if n in centres else np.zeros((len(own), 1))
-                between = np.sqrt(np.maximum(1e-18, 2 - 2 * (centres[n] @ centres[n].T))) if n in centres else np.ones((1, 1))
-                home = d.argmin(1)
-                near = d[np.arange(len(own)), home]
-                reach = np.array([cells.get((n, c), (-10.0, 1))[0] for c in range(p)])
-                # Distance to the plane between two pivots; distance to the farthest vector that lives in the cell.
-                go = ((d**2 - near[:, None] ** 2) / (2 * between[home]) <= radius + eps) & (d <= reach + radius + eps)
+                own = np.array([i for i, r in enumerate(raw) if len(r) == n])
+                if n not in tops:
+                    places.append((own, cell_id(n, 0), np.ones(len(own), bool)))
+                    continue
+                units = np.stack([unit(np.frombuffer(raw[i], dtype)) for i in own])
+                home, go = tops[n].visits(tops[n].distances(units), np.array([top_reach[n, c] for c in range(len(tops[n].centres))]), radius)
                 go[np.arange(len(own)), home] = True
-                for k, c in zip(*np.nonzero(go), strict=True):
-                    parts = cells.get((n, c), (0.0, 1))[1]
-                    mine = int.from_bytes(hashlib.blake2b(raw[own[k]], digest_size=4).digest(), "little") % parts
+                for c in np.flatnonzero(go.any(0)).tolist():
+                    at = np.flatnonzero(go[:, c])
+                    lives = home[at] == c
+                    if (n, c) not in subs:
+                        places.append((own[at], cell_id(n, c), lives))
+                        continue
+                    inside, into = subs[n, c].visits(subs[n, c].distances(units[at]), sub_reach[n, c], radius)
+                    into[np.flatnonzero(lives), inside[lives]] = True
+                    for k in np.flatnonzero(into.any(0)).tolist():
+                        i = np.flatnonzero(into[:, k])
+                        places.append((own[at[i]], cell_id(n, c, k), lives[i] & (inside[i] == k)))
+            take, cell, part, guest = [], [], [], []
+            for rows_, c, lives in places:
+                parts = cells.get(c, (0.0, 1))[1]
+                for i, here in zip(rows_.tolist(), lives.tolist(), strict=True):
+                    mine = int.from_bytes(hashlib.blake2b(raw[i], digest_size=4).digest(), "little") % parts if here else -1
                     for s in range(parts):
-                        take.append(own[k])
-                        cell.append(n * 100_000 + int(c))
+                        take.append(i)
+                        cell.append(c)
                         part.append(s)
-                        guest.append(not (c == home[k] and s == mine))
+                        guest.append(s != mine)
             idx = pa.array(take, pa.int64())
             for lo in range(0, len(take), 4096):
                 i = idx.slice(lo, 4096)

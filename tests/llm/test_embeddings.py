@@ -1,6 +1,8 @@
 import numpy as np
 import pytest
+from pyspark.accumulators import AccumulatorParam
 
+from corpusloom.llm import embedding_join
 from corpusloom.llm.embedding_join import range_join
 
 
@@ -70,3 +72,59 @@ def test_cells_of_clusters_meet_few_vectors(spark):
     df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>").repartition(4)
     got = range_join(df, block=40).collect()
     assert {(r.vec_id, r.n_links, r.component_id) for r in got} == {(i, 39, i % 40) for i in range(1600)}
+
+
+@pytest.mark.parametrize(("block", "large", "most"), [(4, 1, 1000), (7, 2, 9), (3, 1, 40)])
+def test_cells_inside_cells(spark, monkeypatch, block, large, most):
+    """Few pivots at the top, so every cell is cut again: the links are those of all pairs, vectors of several lengths among them."""
+    monkeypatch.setattr(embedding_join, "LARGE", large)
+    monkeypatch.setattr(embedding_join, "MOST_SUBS", most)
+    rows = vectors(220, block) + [(1000 + i, [float(np.cos(i / 9)), float(np.sin(i / 9))]) for i in range(60)] + [(2000, [1.0, 2.0, 3.0]), (2001, None)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(3)
+    got = sorted((tuple(r) for r in range_join(df, pivots=2, block=block).collect()), key=str)
+    assert got == brute(rows)
+
+
+def test_visits_stay_few_as_clusters_grow_in_number(spark, monkeypatch):
+    """With a bound on the pivots at the top, four times the clusters make no vector meet more vectors: pivots inside cells see to that."""
+    for name, value in (("MOST_PIVOTS", 4), ("LEAST_PIVOTS", 4), ("LARGE", 1)):
+        monkeypatch.setattr(embedding_join, name, value)
+    rng = np.random.default_rng(3)
+    real, dealt = embedding_join.tidy, None
+
+    def counting(run):
+        if run.__name__ != "deal":
+            return real(run)
+        into = dealt
+
+        def counted(batches):
+            for b in run(batches):
+                for key in zip(*(b.column(i).to_pylist() for i in range(3)), strict=True):
+                    into.add({key: 1})
+                yield b
+
+        return counted
+
+    monkeypatch.setattr(embedding_join, "tidy", counting)
+
+    class Counts(AccumulatorParam):
+        def zero(self, value):
+            return {}
+
+        def addInPlace(self, a, b):  # noqa: N802
+            for k, n in b.items():
+                a[k] = a.get(k, 0) + n
+            return a
+
+    seen = []
+    for clusters in (30, 120):
+        centres = rng.normal(size=(clusters, 32))
+        v = centres[np.arange(clusters * 40) % clusters] + 0.02 * rng.normal(size=(clusters * 40, 32))
+        df = spark.createDataFrame([(i, x.tolist()) for i, x in enumerate(v)], "vec_id long, embedding array<double>").repartition(4)
+        dealt = spark.sparkContext.accumulator({}, Counts())
+        got = range_join(df, block=40).collect()
+        assert {(r.vec_id, r.n_links, r.component_id) for r in got} == {(i, 39, i % clusters) for i in range(clusters * 40)}
+        # What lives in a part of a cell meets all that are there.
+        seen.append(sum(n * (n + dealt.value.get((cell, part, True), 0)) for (cell, part, guest), n in dealt.value.items() if not guest) / len(v))
+    # All pairs would be 1200 and 4800; a cluster is 40.
+    assert seen[0] < 100 and seen[1] < 100
