@@ -52,7 +52,7 @@ def one_by_one(rows):
     return out
 
 
-@pytest.mark.parametrize(("seed", "most"), [(1, 1000), (2, 3), (3, 1000), (4, 3)])
+@pytest.mark.parametrize(("seed", "most"), [(1, 1000), (2, 3)])
 def test_made_up_names_meet_others(spark, seed, most):
     """Bases that equal names made up for other rows, before and after these, and made-up names that meet each other."""
     rng = random.Random(seed)
