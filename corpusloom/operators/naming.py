@@ -26,10 +26,22 @@ def unique_stems(df: DataFrame, pos: str = "row_pos", date: str = "published_dat
     """
     slug = file_part(url_stem(F.col(link)), strip_html=strip_html)
     named = df.withColumns({"_base": base_stem(F.col(date), F.col(author), F.col(title), strip_html), "_slug": slug})
-    largest = named.groupBy("_base").count().agg(F.max("count")).first()[0] or 0
+    # A row for each base and link stem says how large a base is, and whether a made-up name can be met at all.
+    from corpusloom.sources.files import settle
+
+    keys = settle(named.groupBy("_base", "_slug").count())
+    largest = keys.groupBy("_base").agg(F.sum("count").alias("n")).agg(F.max("n")).first()[0] or 0
     numbered = _by_window(named, pos) if largest <= most else _by_ranges(named, pos)
     stem = F.when(F.col("_nth").isNull(), F.col("_base")).otherwise(made_up(F.col("_nth") + 1))
-    return repair(numbered.withColumn("stem", stem).drop("_nth"), pos).drop("_base", "_slug")
+    numbered = numbered.withColumn("stem", stem).drop("_nth")
+    return (repair(numbered, pos) if _may_meet(keys) else numbered).drop("_base", "_slug")
+
+
+def _may_meet(keys: DataFrame) -> bool:
+    """Whether two bases and link stems make up the same names, or a base looks like a name made up for another."""
+    starts = keys.select(F.concat_ws("_", "_base", "_slug").alias("_start"))
+    like = keys.filter(F.col("_base").rlike("_[0-9]+$")).select(F.regexp_extract("_base", "^(.*)_[0-9]+$", 1).alias("_start")).distinct()
+    return not (starts.groupBy("_start").count().filter("count > 1").isEmpty() and like.join(starts, "_start", "left_semi").isEmpty())
 
 
 def made_up(number: Column) -> Column:
@@ -55,8 +67,8 @@ def repair(named: DataFrame, pos: str, most_rounds: int = 100) -> DataFrame:
     """No two rows of one name: each has the first of its candidates (base, then numbers from 2) that no row before it has.
 
     In a round every row looks at the names that rows before it have just now; names up to the first wrong one stay as they
-    are, so the names that a round no longer changes are the ones that naming row by row would give.  Without a clash nothing is done but to look for one: a
-    name made up for a row can only be met by another made-up one, or by a base that ends in a number.
+    are, so the names that a round no longer changes are the ones that naming row by row would give.  Without a clash nothing
+    is done but to look for one.
     """
     from corpusloom.sources.files import settle
 

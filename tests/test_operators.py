@@ -67,10 +67,8 @@ def test_made_up_names_meet_others(spark, seed, most):
 
 def test_names_without_clashes_are_left(spark, monkeypatch):
     """Where no name is met nothing is repaired, and an empty table has no names."""
-    from corpusloom.sources import files
-
     df = spark.createDataFrame([(i, "", "A", f"t{i % 5}", "http://x/a.htm") for i in range(50)], "row_pos int, published_date string, pope string, title string, link string")
-    monkeypatch.setattr(files, "settle", lambda df: pytest.fail("repaired"))
+    monkeypatch.setattr(naming, "repair", lambda df, pos: pytest.fail("repaired"))
     assert naming.clashes(naming.unique_stems(df)).count() == 0
     assert naming.unique_stems(df.limit(0)).count() == 0
 
