@@ -41,7 +41,12 @@ def _may_meet(keys: DataFrame) -> bool:
     """Whether two bases and link stems make up the same names, or a base looks like a name made up for another."""
     starts = keys.select(F.concat_ws("_", "_base", "_slug").alias("_start"))
     like = keys.filter(F.col("_base").rlike("_[0-9]+$")).select(F.regexp_extract("_base", "^(.*)_[0-9]+$", 1).alias("_start")).distinct()
-    return not (starts.groupBy("_start").count().filter("count > 1").isEmpty() and like.join(starts, "_start", "left_semi").isEmpty())
+    return not (starts.groupBy("_start").count().filter("count > 1").isEmpty() and like.join(sorted_side(starts), "_start", "left_semi").isEmpty())
+
+
+def sorted_side(df: DataFrame) -> DataFrame:
+    """A side of a join that grows with the rows: never sent whole, though Spark takes names put together from narrow columns for small."""
+    return df.hint("merge")
 
 
 def made_up(number: Column) -> Column:
@@ -58,9 +63,9 @@ def _by_window(named: DataFrame, pos: str) -> DataFrame:
 
 def _by_ranges(named: DataFrame, pos: str) -> DataFrame:
     least = named.groupBy("_base").agg(F.min(pos).alias("_least"), F.count("*").alias("_rows"))
-    later = named.select("_base", "_slug", pos).join(least.filter("_rows > 1"), "_base").filter(F.col(pos) > F.col("_least")).select("_base", "_slug", pos)
+    later = named.select("_base", "_slug", pos).join(sorted_side(least.filter("_rows > 1")), "_base").filter(F.col(pos) > F.col("_least")).select("_base", "_slug", pos)
     nth = nth_in_key(later, ["_base", "_slug"], pos, "_nth").select(F.col(pos).alias("_pos"), "_nth")
-    return named.join(nth, F.col(pos) == F.col("_pos"), "left").drop("_pos")
+    return named.join(sorted_side(nth), F.col(pos) == F.col("_pos"), "left").drop("_pos")
 
 
 def repair(named: DataFrame, pos: str, most_rounds: int = 100) -> DataFrame:
@@ -82,18 +87,18 @@ def repair(named: DataFrame, pos: str, most_rounds: int = 100) -> DataFrame:
     for _ in range(most_rounds):
         # Names that a row may meet: the least place at which each stands, and the next one, for the row's own does not count.
         taken = now.groupBy(F.col("stem").alias("_name")).agg(F.min(pos).alias("_at"))
-        others = taken.join(now.select(F.col(pos).alias("_at"), F.col("_base").alias("_of_base"), F.col("_slug").alias("_of_slug"), F.col("stem").alias("_of")), "_at")
+        others = taken.join(sorted_side(now).select(F.col(pos).alias("_at"), F.col("_base").alias("_of_base"), F.col("_slug").alias("_of_slug"), F.col("stem").alias("_of")), "_at")
         # A base is taken if the first to have this name stands before the row.
-        based = now.join(taken, F.col("_base") == F.col("_name")).select(pos, "_base", "_slug", "stem", (F.col("_at") < F.col(pos)).alias("_taken"))
-        base_free = now.join(taken, F.col("_base") == F.col("_name"), "left_anti").select(pos, "_base", "_slug", "stem", F.lit(False).alias("_taken"))
+        based = now.join(sorted_side(taken), F.col("_base") == F.col("_name")).select(pos, "_base", "_slug", "stem", (F.col("_at") < F.col(pos)).alias("_taken"))
+        base_free = now.join(sorted_side(taken), F.col("_base") == F.col("_name"), "left_anti").select(pos, "_base", "_slug", "stem", F.lit(False).alias("_taken"))
         rows = based.unionByName(base_free)
         # Numbers of a base and slug that rows of others have, and since when.
         prefix, number = F.regexp_extract("_name", "^(.*)_[0-9]+$", 1), F.regexp_extract("_name", "_([1-9][0-9]{0,17})$", 1)
         numbers = others.select(prefix.alias("_prefix"), F.when(number != "", number.cast("long")).alias("_number"), "_at", "_of_base", "_of_slug", "_of").filter("_number >= 2")
         keys = rows.filter("_taken").select("_base", "_slug").distinct().withColumn("_prefix", F.concat_ws("_", "_base", "_slug"))
-        foreign = keys.join(numbers, "_prefix").filter((F.col("_base") != F.col("_of_base")) | (F.col("_slug") != F.col("_of_slug")) | (F.col("_of") == F.col("_of_base")))
+        foreign = keys.join(sorted_side(numbers), "_prefix").filter((F.col("_base") != F.col("_of_base")) | (F.col("_slug") != F.col("_of_slug")) | (F.col("_of") == F.col("_of_base")))
         blocked = foreign.groupBy("_base", "_slug").agg(F.sort_array(F.collect_list(F.struct("_number", "_at"))).alias("_blocked"))
-        later = _nth_of(rows.filter("_taken"), pos).join(blocked, ["_base", "_slug"], "left")
+        later = _nth_of(rows.filter("_taken"), pos).join(sorted_side(blocked), ["_base", "_slug"], "left")
         # Each number that is taken and not above the row's moves it on by one.
         free = F.aggregate(
             F.coalesce("_blocked", F.array().cast("array<struct<_number:bigint,_at:bigint>>")), (F.col("_nth") + 1).cast("long"),
@@ -104,7 +109,7 @@ def repair(named: DataFrame, pos: str, most_rounds: int = 100) -> DataFrame:
         changed = new.filter("_new <> stem").limit(1).count()
         now = new.select(pos, "_base", "_slug", F.col("_new").alias("stem"))
         if not changed:
-            return named.drop("stem").join(now.select(F.col(pos).alias("_pos"), "stem"), F.col(pos) == F.col("_pos")).drop("_pos")
+            return named.drop("stem").join(sorted_side(now).select(F.col(pos).alias("_pos"), "stem"), F.col(pos) == F.col("_pos")).drop("_pos")
     raise RuntimeError(f"names did not settle in {most_rounds} rounds")
 
 

@@ -73,6 +73,26 @@ def test_names_without_clashes_are_left(spark, monkeypatch):
     assert naming.unique_stems(df.limit(0)).count() == 0
 
 
+def test_repairs_broadcast_no_names(spark, monkeypatch):
+    """Names are put together from narrow columns, so Spark takes them for small: only what has a row for each range may be sent whole."""
+    from corpusloom.sources import files
+
+    plans = []
+
+    def settle(df, own=files.settle):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return own(df)
+
+    monkeypatch.setattr(files, "settle", settle)
+    title = F.concat(F.lit("T"), F.floor(F.col("id") / 4), F.when(F.col("id") % 4 == 2, "_s_2").otherwise(""))
+    rows = spark.range(20).select(F.col("id").alias("row_pos"), F.lit("").alias("published_date"), F.lit("P").alias("pope"), title.alias("title"), F.lit("http://h/s").alias("link"))
+    named = naming.unique_stems(rows)
+    plans.append(named._jdf.queryExecution().executedPlan().toString())
+    assert naming.clashes(named).count() == 0 and named.count() == 20
+    joins = [line for plan in plans for line in plan.splitlines() if "Join" in line]
+    assert any("SortMergeJoin" in x for x in joins) and not [x for x in joins if "Broadcast" in x and "_part" not in x]
+
+
 def test_numbers(spark):
     names = [f"n{i * 37 % 101:03}" for i in range(101)]
     df = spark.createDataFrame([(n,) for n in names], "name string").repartition(5)
