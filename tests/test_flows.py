@@ -144,6 +144,20 @@ def test_a_large_site_is_paced_over_tasks(spark):
     assert len({r.task for r in rows}) >= 2
 
 
+def test_lanes_that_meet_in_a_task_share_their_slots(spark):
+    """One task has all lanes of a site: it takes each slot that comes, not only those of the lane of its next document."""
+    pause = 0.002
+    links = spark.range(1000).selectExpr("concat('http://a.org/', id) AS link")
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    try:
+        rows = web.fetch(links, get=lambda url: ("text/html", "x"), pause=pause, per_lane=250, lanes=4, stamps=True).collect()
+    finally:
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    began = sorted(r.started for r in rows)
+    assert len(rows) == 1000 and min(b - a for a, b in zip(began, began[1:], strict=False)) >= pause
+    assert began[-1] - began[0] < 1.8 * 1000 * pause * 1.25
+
+
 def test_a_slow_document_holds_up_its_own_lane_only():
     """Turns of four lanes by a clock of our own: slots never meet, and a lane that comes late skips to its next one."""
     from corpusloom.sources.pacing import Lane
