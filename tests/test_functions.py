@@ -114,3 +114,27 @@ def test_body_errors(spark):
     got = spark.createDataFrame(rows, "h string, u string").select(html.page_body("h", "u").alias("b")).select("b.*").collect()
     assert [r.value is not None for r in got] == [False, False, False, True, False]
     assert all((r.value is None) != (r.error is None) for r in got)
+
+
+def test_pages_go_to_python_in_small_batches(spark, tmp_path, monkeypatch):
+    """A batch of pages has a bound in bytes, however long they are; a bound of the session's own stays."""
+    import pandas as pd
+
+    from corpusloom import queries
+
+    @F.pandas_udf(html.OUTCOME)
+    def characters(page: pd.Series, url: pd.Series) -> pd.DataFrame:
+        return pd.DataFrame({"value": [str(page.str.len().sum())] * len(page), "error": None})
+
+    monkeypatch.setattr(queries.html_functions, "page_body", characters)
+    spark.range(300).select(F.col("id").alias("page_id"), F.lit("http://h/").alias("url"), F.repeat(F.lit("x"), 100_000).alias("html")).coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    largest = lambda: queries.QUERIES["html_markdown_body"](spark, str(tmp_path)).agg(F.max(F.col("value").cast("long"))).first()[0]
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(key)
+    try:
+        spark.conf.unset(key)
+        assert 100_000 <= largest() <= 5_000_000
+        spark.conf.set(key, "1m")
+        assert largest() <= 1_500_000
+    finally:
+        spark.conf.set(key, before)
