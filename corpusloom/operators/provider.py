@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import json
 import time
+import uuid
 from collections.abc import Callable
 from concurrent.futures import ThreadPoolExecutor
 from urllib.error import HTTPError, URLError
@@ -20,6 +21,9 @@ from pyspark.sql import functions as F
 SOCIAL_WORDS = ("labour", "work", "state", "justice", "poor", "people", "nation")
 SPIRITUAL_WORDS = ("prayer", "faith", "spirit", "soul", "grace", "church")
 
+#: Bytes of text that a task of calls gets; what is more waits for a later round.
+TASK_BYTES = 64 << 20
+
 
 def stub_theme(text: str) -> str:
     """A theme report from counts of words: the same for the same text, and no more than that."""
@@ -106,8 +110,10 @@ def call(df: DataFrame, text_col: str, key: str, provider: Callable[[str], str]
     """``key, report, error``; at most ``concurrency`` calls run at once in the whole job.  A null text is not sent.
 
     Rows are dealt to ``tasks`` partitions (as many as can run side by side, unless given, and no more than calls); the
-    calls are shared out among these, so the bound holds wherever and whenever they run.  A task that is lost and run
-    again calls again for its rows.
+    calls are shared out among these, so the bound holds wherever and whenever they run.  Texts of over :data:`TASK_BYTES` a
+    task are called for in rounds, at once and one after the other, each written down before the next begins: so no task
+    grows with the texts.  A task that is lost and run again calls again for its rows.  Texts are measured first: write
+    ``df`` down if it is dear.
     """
     spark = df.sparkSession
     if concurrency < 1:
@@ -134,5 +140,23 @@ def call(df: DataFrame, text_col: str, key: str, provider: Callable[[str], str]
                     yield pa.RecordBatch.from_arrays([part.column(0), *(pa.array(c, pa.string()) for c in zip(*rows, strict=True))], names=[key, "report", "error"])
 
     kind = df.schema[key].dataType.simpleString()
-    # The last step before the calls: partitions are numbered as they were dealt.
-    return df.select(F.col(key), F.col(text_col).cast("string")).repartition(tasks).mapInArrow(run, f"`{key}` {kind}, report string, error string")
+
+    def answers(rows: DataFrame) -> DataFrame:
+        # The last step before the calls: partitions are numbered as they were dealt.
+        return rows.repartition(tasks).mapInArrow(run, f"`{key}` {kind}, report string, error string")
+
+    texts = df.select(F.col(key), F.col(text_col).cast("string").alias("_text"))
+    rounds = -(-(texts.agg(F.sum(F.octet_length("_text"))).first()[0] or 0) // (tasks * TASK_BYTES))
+    return answers(texts) if rounds <= 1 else _in_rounds(texts, answers, rounds, tasks)
+
+
+def _in_rounds(texts: DataFrame, answers: Callable[[DataFrame], DataFrame], rounds: int, tasks: int) -> DataFrame:
+    """Texts dealt evenly to files, and the answers to as many of these at a time as there are tasks."""
+    from corpusloom.sources.files import scratch
+
+    spark, path = texts.sparkSession, f"{scratch(texts.sparkSession)}/calls-{uuid.uuid4().hex}"
+    texts.repartition(rounds * tasks).write.parquet(f"{path}/texts")
+    dealt = sorted(spark.read.parquet(f"{path}/texts").inputFiles())
+    for lo in range(0, len(dealt), tasks):
+        answers(spark.read.schema(texts.schema).parquet(*dealt[lo : lo + tasks])).write.mode("append").parquet(f"{path}/answers")
+    return spark.read.parquet(f"{path}/answers")

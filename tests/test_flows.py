@@ -2,6 +2,7 @@
 
 import json
 import time
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -257,6 +258,29 @@ def test_calls_of_a_whole_job_are_bounded(spark, tmp_path):
         provider.call(df, "text", "id", slow, concurrency=0)
 
 
+def test_long_texts_are_called_for_in_rounds(spark, tmp_path, monkeypatch):
+    """More text than the tasks may have: no task gets more than its share, calls stay bounded, every row has its answer once."""
+    monkeypatch.setattr(provider, "TASK_BYTES", 1000, raising=False)
+
+    def slow(text):
+        from pyspark import TaskContext
+
+        began = time.time()
+        time.sleep(0.01)
+        with open(f"{tmp_path}/calls", "a") as f:
+            f.write(f"{began} {time.time()} {TaskContext.get().taskAttemptId()}\n")
+        if text.startswith("7 "):
+            raise ValueError("no")
+        return text[:3]
+
+    df = spark.range(120).selectExpr("id AS `a key`", "CASE WHEN id = 5 THEN null ELSE rpad(concat(id, ' '), 100, 'x') END AS text").repartition(3)
+    got = [(r["a key"], r.report, r.error) for r in provider.call(df, "text", "a key", slow, concurrency=3, tasks=2).collect()]
+    assert sorted(got) == [(i, None, "no text") if i == 5 else (i, None, "no") if i == 7 else (i, f"{i} xx"[:3], None) for i in range(120)]
+    calls = [(float(a), float(b), task) for a, b, task in map(str.split, (tmp_path / "calls").read_text().splitlines())]
+    assert len(calls) == 119 and max(sum(a <= t < b for a, b, _ in calls) for t, _, _ in calls) <= 3
+    assert max(Counter(task for _, _, task in calls).values()) <= 15
+
+
 def test_a_batch_is_marked_once(spark, tmp_path):
     docs, out = tmp_path / "docs", tmp_path / "reports"
     docs.mkdir()
