@@ -176,6 +176,61 @@ def test_a_slow_document_holds_up_its_own_lane_only():
     assert all(b[0] - a[0] >= 1 for a, b in zip(starts, starts[1:], strict=False))
 
 
+def begins_of(own: list[tuple], lanes: int, pause: float, n: int, late: float) -> list[float]:
+    """When ``n`` documents of each task begin that take no time; ``own``: the lanes of each.  Sleeps overrun, a look at the clock takes time."""
+    from corpusloom.sources.pacing import Lane
+
+    began = []
+    for task in own:
+        now, sleeps = [1_800_000_000.0123], []
+
+        def sleep(s, now=now, sleeps=sleeps):
+            sleeps.append(s)
+            assert len(sleeps) <= 2 * n, "turns are missed again and again"
+            now[0] += s + late
+
+        def clock(now=now):
+            now[0] += 1e-6
+            return now[0]
+
+        lane = Lane(pause, task[0], lanes, sleep, clock)
+        for k in task[1:]:
+            lane.add(k)
+        began += [lane.wait() for _ in range(n)]
+    return sorted(began)
+
+
+def test_short_pauses_cost_their_slack_once_a_turn():
+    """Documents of four lanes at 0.4 ms: a pause apart, in little more time than their pauses, though each sleep is late."""
+    pause = 0.0004
+    began = begins_of([(0,), (1,), (2,), (3,)], 4, pause, 1200, 0.00001)
+    assert min(b - a for a, b in zip(began, began[1:], strict=False)) >= pause
+    assert began[-1] - began[0] < 1.15 * 4800 * pause
+    late = begins_of([(0,), (1,), (2,), (3,)], 4, pause, 120, 0.0003)  # later than the slack
+    assert min(b - a for a, b in zip(late, late[1:], strict=False)) >= pause
+
+
+def test_turns_of_one_task_that_follow_each_other_are_one():
+    """A task with all lanes, and one with two that are neighbours: no slack where the next turn is the same task's."""
+    for pause in (0.0004, 1.0):
+        began = begins_of([(0, 1, 2, 3)], 4, pause, 1000, 0)
+        assert min(b - a for a, b in zip(began, began[1:], strict=False)) >= pause
+        assert began[-1] - began[0] < 1.02 * 1000 * pause
+        shared = begins_of([(0, 1), (2,), (3,)], 4, pause, 400, 0)
+        assert min(b - a for a, b in zip(shared, shared[1:], strict=False)) >= pause
+
+
+def test_paced_site_compares_beginnings(spark, monkeypatch):
+    """The query tells every document that begins too close to the one before it, in its second or the one before, and no other."""
+    from corpusloom import flow_queries
+
+    stamps = [100.0, 100.00045, 100.00084, 100.9998, 101.0001, 101.0006, 103.0]  # 0.45, 0.39 ms, ..., 0.3 ms over the second's end
+    monkeypatch.setattr(flow_queries, "t", lambda spark, d, name: spark.range(len(stamps)).select(F.col("id").alias("c_custkey")))
+    monkeypatch.setattr(web, "fetch", lambda links, **_: links.select("c_custkey", F.lit("page").alias("via"), F.element_at(F.array(*map(F.lit, stamps)), F.col("c_custkey").cast("int") + 1).alias("started")))
+    got = {r.c_custkey: r.apart for r in flow_queries.paced_site(spark, "").collect()}
+    assert got == {0: True, 1: True, 2: False, 3: True, 4: False, 5: True, 6: True}
+
+
 def test_registry_and_sections(spark):
     html = '<p><a href="/category/saints/leo13/">Leo XIII</a> <a href="/franc">Francis</a><a href="">none</a><a href="https://h/jp02/?x=1"></a></p>'
     got = web.registry(spark.createDataFrame([(html, "https://h/popelist")], "content string, link string")).collect()
